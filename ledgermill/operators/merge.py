@@ -286,11 +286,37 @@ def merge_documents(
     policy: MergePolicy = CURRENT_POLICY,
     now: Column | None = None,
 ) -> DataFrame:
-    """Full outer merge on the document key; adds ``merge_outcome``.
+    """Next state of core: a full outer merge on the key, with ``merge_outcome``.
 
     Both sides are unique on the key, so no key is hot. Outcomes: ``inserted``,
     ``updated``, ``protected`` (reviewed, left alone) and ``untouched``.
     """
+    return _merge(core, incoming, policy, now, "full_outer")
+
+
+def merge_changes(
+    core: DataFrame,
+    incoming: DataFrame,
+    policy: MergePolicy = CURRENT_POLICY,
+    now: Column | None = None,
+) -> DataFrame:
+    """Only the rows a merge inserts or updates.
+
+    Core is joined from the incoming side, so a small batch against a large
+    core costs one scan of core and writes nothing that did not change.
+    """
+    rows = _merge(core, incoming, policy, now, "right")
+    return rows.filter(F.col("merge_outcome").isin("inserted", "updated"))
+
+
+def latest_documents(changes: DataFrame, version: str) -> DataFrame:
+    """Current documents from a log of changed rows: the newest version per key."""
+    return first_per_key(changes, KEY, [F.col(version).desc()]).drop(version)
+
+
+def _merge(
+    core: DataFrame, incoming: DataFrame, policy: MergePolicy, now: Column | None, how: str
+) -> DataFrame:
     now = F.current_timestamp() if now is None else now
     last_id = F.coalesce(core.agg(F.max("doc_id")).scalar(), F.lit(0).cast("bigint"))
     incoming = with_surrogate_key(incoming, [F.col(k) for k in KEY], last_id, "_new_id")
@@ -298,7 +324,7 @@ def merge_documents(
     old = core.select(*[F.col(c).alias(f"o_{c}") for c in core.columns])
 
     on = [F.col(f"o_{k}") == F.col(f"n_{k}") for k in KEY]
-    joined = old.join(new, on, "full_outer")
+    joined = old.join(new, on, how)
     is_new, is_old = F.col("n__new_id").isNotNull(), F.col("o_doc_id").isNotNull()
     insert = is_new & ~is_old
     update = is_new & is_old & policy.may_update(F.col("o_review_status"))

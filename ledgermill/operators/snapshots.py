@@ -28,7 +28,9 @@ class SnapshotTable:
         """Versions, newest first; one row per completed write."""
         try:
             rows = self._log().orderBy(F.col("written_at").desc()).collect()
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return []
         return [row.version for row in rows]
 
