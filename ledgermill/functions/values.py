@@ -47,7 +47,11 @@ def java_date_format(strftime: str) -> str:
 
 
 def statement_date(text: Column, strftime: str) -> Column:
-    return F.try_to_timestamp(F.trim(text), F.lit(java_date_format(strftime))).cast("date")
+    """Date by a strftime pattern; two-digit years run from 1969 to 2068."""
+    day = F.try_to_timestamp(F.trim(text), F.lit(java_date_format(strftime))).cast("date")
+    if "%y" not in strftime:
+        return day
+    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
 
 
 def exact_mean(value: Column, scale: int) -> Column:

@@ -71,12 +71,13 @@ def category_scores(text: Column, rules: dict[str, tuple[str, ...]]) -> Column:
     """
     found = _words_in(text, [w for words in rules.values() for w in words])
 
+    def hits_of(names: Column, words: tuple[str, ...]) -> Column:
+        return F.size(F.filter(names, lambda n: n.isin(*[w.lower() for w in words])))
+
     def count_hits(names: Column) -> Column:
         per_rule = [
             F.struct(
-                F.size(
-                    F.filter(names, lambda n, words=words: n.isin(*[w.lower() for w in words]))
-                ).alias("hits"),
+                hits_of(names, words).alias("hits"),
                 F.lit(-place).alias("place"),
                 F.lit(category).alias("category"),
             )

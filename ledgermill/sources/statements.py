@@ -178,14 +178,11 @@ def read_statement(
         ]
         return F.coalesce(*branches)
 
+    def unmapped(layout: Layout) -> Column:
+        return F.to_json(F.map_filter("record", lambda k, _: ~k.isin(*layout.mapped)))
+
     extras = F.coalesce(
-        *[
-            F.when(
-                F.col("provider") == x.provider,
-                F.to_json(F.map_filter("record", lambda k, v, x=x: ~k.isin(*x.mapped))),
-            )
-            for x in layouts
-        ],
+        *[F.when(F.col("provider") == x.provider, unmapped(x)) for x in layouts],
         F.to_json("record"),
     )
     return rows.select(
