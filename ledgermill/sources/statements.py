@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgermill import seeds
 
-WHOLE_FILE_BYTES = 32 * 1024 * 1024
+WHOLE_FILE_BYTES = 8 * 1024 * 1024
 MAX_COLUMNS = 32
 _CSV_ROW = ", ".join(f"c{i} STRING" for i in range(MAX_COLUMNS))
 
@@ -50,22 +50,77 @@ def seeded_layouts() -> tuple[Layout, ...]:
     )
 
 
-def _small_file_lines(spark: SparkSession, path: str, limit: int, heads: int) -> DataFrame:
+def detect_provider(
+    file: Column, header: Column, layouts: tuple[Layout, ...] | None = None
+) -> Column:
+    """Provider by file name, else the first whose columns are all in the header."""
+    layouts = layouts or seeded_layouts()
+    name = F.lower(F.substring_index(file, "/", -1))
+    by_name = [F.when(name.contains(x.provider.lower()), x.provider) for x in layouts]
+    by_header = [
+        F.when(
+            F.size(F.array_except(F.array(*[F.lit(c) for c in x.mapped]), header)) == 0,
+            x.provider,
+        )
+        for x in layouts
+    ]
+    return F.coalesce(*by_name, *by_header)
+
+
+def _fields(df: DataFrame, line: str, out: str) -> DataFrame:
+    """Add the CSV fields of a line as an array.
+
+    The parsed row gets its own projection: field access directly on ``from_csv``
+    would be optimised into one parse per column.
+    """
+    parsed = df.withColumn("_csv", F.from_csv(line, _CSV_ROW))
+    columns = [F.trim(F.col(f"_csv.c{i}")) for i in range(MAX_COLUMNS)]
+    return parsed.withColumn(out, F.array(*columns)).drop("_csv")
+
+
+def _with_layout(heads: DataFrame, layouts: tuple[Layout, ...]) -> DataFrame:
+    """Provider, rows to skip and column names per file, from its first lines."""
+
+    def named(df: DataFrame, line: Column, out: str) -> DataFrame:
+        bare = df.withColumn("_line", F.regexp_replace(line, "^\ufeff", ""))
+        return _fields(bare, "_line", out).withColumn(
+            out, F.filter(out, lambda name: name.isNotNull())
+        )
+
+    found = named(heads, F.col("head")[0], "_first").withColumn(
+        "provider", detect_provider(F.col("file"), F.col("_first"), layouts)
+    )
+    skip = F.coalesce(
+        *[F.when(F.col("provider") == x.provider, F.lit(x.skip_rows)) for x in layouts], F.lit(0)
+    )
+    skipped = found.withColumn("skip", skip)
+    return named(skipped, F.try_element_at("head", F.col("skip") + 1), "names").drop(
+        "_first", "_line", "head"
+    )
+
+
+def _small_files(
+    spark: SparkSession, path: str, limit: int, layouts: tuple[Layout, ...], heads: int
+) -> DataFrame:
     files = (
         spark.read.text(path, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("file"),
                 F.col("_metadata.file_size").alias("size"))
         .filter(F.col("size") <= limit)
     )
-    lines = F.split("value", r"\r?\n")
-    return files.select(
-        "file",
-        F.slice(lines, 1, heads).alias("head"),
-        F.posexplode(lines).alias("pos", "value"),
-    ).select("file", "head", (F.col("pos") + 1).alias("line_no"), "value")
+    # Everything per file is done before the lines are exploded, and the
+    # exploded rows do not carry the whole file along.
+    split = files.select("file", F.split("value", r"\r?\n").alias("lines"))
+    described = _with_layout(split.withColumn("head", F.slice("lines", 1, heads)), layouts)
+    exploded = described.select(
+        "file", "provider", "skip", "names", F.posexplode("lines").alias("pos", "value")
+    )
+    return exploded.withColumn("line_no", F.col("pos") + 1).drop("pos")
 
 
-def _large_file_lines(spark: SparkSession, path: str, limit: int, heads: int) -> DataFrame:
+def _large_files(
+    spark: SparkSession, path: str, limit: int, layouts: tuple[Layout, ...], heads: int
+) -> DataFrame:
     """Number lines as (lines in earlier blocks) + (place in the block).
 
     The raw lines are checkpointed first: positions depend on how the files
@@ -102,60 +157,33 @@ def _large_file_lines(spark: SparkSession, path: str, limit: int, heads: int) ->
         .agg(F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("h"))
         .select("file", F.transform("h", lambda x: x["value"]).alias("head"))
     )
-    return numbered.join(head_lines, "file").select("file", "head", "line_no", "value")
+    described = _with_layout(head_lines, layouts)
+    return numbered.join(described, "file").select(
+        "file", "provider", "skip", "names", "value", "line_no"
+    )
 
 
-def read_lines(
-    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES, heads: int = 1
+def read_records(
+    spark: SparkSession,
+    path: str,
+    layouts: tuple[Layout, ...],
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
-    """``(file, head, line_no, value)`` for every non-blank line."""
-    lines = _small_file_lines(spark, path, whole_file_bytes, heads)
+    """``(file, provider, row_num, record)``: data lines as name -> text maps."""
+    heads = max(x.skip_rows for x in layouts) + 1
+    lines = _small_files(spark, path, whole_file_bytes, layouts, heads)
     sizes = spark.read.format("binaryFile").load(path).select("length")
     if sizes.filter(F.col("length") > whole_file_bytes).limit(1).count():
-        lines = lines.unionByName(_large_file_lines(spark, path, whole_file_bytes, heads))
-    return lines.filter(F.trim("value") != "")
-
-
-def _fields(line: Column) -> Column:
-    parsed = F.from_csv(line, _CSV_ROW)
-    return F.array(*[F.trim(parsed[f"c{i}"]) for i in range(MAX_COLUMNS)])
-
-
-def _names(line: Column) -> Column:
-    cleaned = F.regexp_replace(line, "^﻿", "")
-    return F.filter(_fields(cleaned), lambda name: name.isNotNull())
-
-
-def detect_provider(
-    file: Column, header: Column, layouts: tuple[Layout, ...] | None = None
-) -> Column:
-    """Provider by file name, else the first whose columns are all in the header."""
-    layouts = layouts or seeded_layouts()
-    name = F.lower(F.substring_index(file, "/", -1))
-    by_name = [F.when(name.contains(x.provider.lower()), x.provider) for x in layouts]
-    by_header = [
-        F.when(
-            F.size(F.array_except(F.array(*[F.lit(c) for c in x.mapped]), header)) == 0,
-            x.provider,
-        )
-        for x in layouts
-    ]
-    return F.coalesce(*by_name, *by_header)
-
-
-def _records(lines: DataFrame, layouts: tuple[Layout, ...]) -> DataFrame:
-    """Lines as ``column name -> text`` maps below their header line."""
-    skip = F.coalesce(
-        *[F.when(F.col("provider") == x.provider, F.lit(x.skip_rows)) for x in layouts], F.lit(0)
+        large = _large_files(spark, path, whole_file_bytes, layouts, heads)
+        lines = lines.unionByName(large)
+    data = lines.filter((F.trim("value") != "") & (F.col("line_no") > F.col("skip") + 1))
+    values = F.slice("_fields", F.lit(1), F.size("names"))
+    return _fields(data, "value", "_fields").select(
+        "file",
+        "provider",
+        (F.col("line_no") - F.col("skip") - 1).cast("int").alias("row_num"),
+        F.map_from_arrays("names", values).alias("record"),
     )
-    found = lines.withColumn(
-        "provider", detect_provider(F.col("file"), _names(F.col("head")[0]), layouts)
-    ).withColumn("_skip", skip)
-    named = found.withColumn("_names", _names(F.try_element_at("head", F.col("_skip") + 1)))
-    values = F.slice(_fields(F.col("value")), F.lit(1), F.size("_names"))
-    return named.filter(F.col("line_no") > F.col("_skip") + 1).withColumn(
-        "record", F.map_from_arrays("_names", values)
-    ).withColumn("row_num", (F.col("line_no") - F.col("_skip") - 1).cast("int"))
 
 
 def read_statement(
@@ -167,8 +195,7 @@ def read_statement(
 ) -> DataFrame:
     """Raw landing rows: mapped columns as text, the rest of each row as JSON."""
     layouts = layouts or seeded_layouts()
-    heads = max(x.skip_rows for x in layouts) + 1
-    rows = _records(read_lines(spark, path, whole_file_bytes, heads), layouts)
+    rows = read_records(spark, path, layouts, whole_file_bytes)
 
     def mapped(field: str) -> Column:
         branches = [
@@ -221,7 +248,7 @@ def read_share_trades(
 ) -> DataFrame:
     """Trade rows as text, with the columns that are not mapped as JSON."""
     columns = columns or TRADE_COLUMNS
-    rows = _records(read_lines(spark, path, whole_file_bytes), seeded_layouts())
+    rows = read_records(spark, path, seeded_layouts(), whole_file_bytes)
     names = list(columns.values())
     return rows.select(
         F.col("file").alias("source_file"),
