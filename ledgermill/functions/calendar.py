@@ -37,6 +37,12 @@ def days_since_fy_start(as_of: Column, fy_year: Column) -> Column:
     return F.date_diff(as_of, fy_start(fy_year))
 
 
+def epoch_ms(moment: Column) -> Column:
+    """Whole milliseconds since 1970, rounded half away from zero."""
+    micros = F.unix_micros(moment).cast("decimal(20,0)")
+    return F.round(micros / 1000).cast("bigint")
+
+
 def fy_calendar(fy_periods: DataFrame) -> DataFrame:
     """One row per calendar day covered by a period: ``(fy_day, fy_of_day)``.
 
@@ -72,7 +78,7 @@ def high_water_mark(
     newest = F.max("received_at") - F.make_dt_interval(days=F.lit(overlap_days))
     start = F.to_timestamp(F.lit(f"{floor} 00:00:00"))
     return rows.filter(F.col("source_type") == source_type).agg(
-        F.unix_millis(F.coalesce(newest, start)).alias("watermark_ms")
+        epoch_ms(F.coalesce(newest, start)).alias("watermark_ms")
     )
 
 
@@ -87,7 +93,7 @@ def high_water_mark_previous_fy(
     running = fy_of(today)
     start = F.to_timestamp(fy_start(running - 1))
     return rows.filter(F.col("source_type") == source_type).agg(
-        F.unix_millis(F.coalesce(F.max("received_at"), start)).alias("watermark_ms"),
+        epoch_ms(F.coalesce(F.max("received_at"), start)).alias("watermark_ms"),
         F.max(F.least(today, fy_end(running))).alias("before_date"),
     ).withColumn("before_date", F.coalesce("before_date", F.least(today, fy_end(running))))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgermill import seeds
 from ledgermill.functions import crypto
+from ledgermill.functions.calendar import epoch_ms
 from ledgermill.operators import checklist, config, health, quality, review, runlog
 from ledgermill.plans import frames
 from ledgermill.plans.frames import SAMPLE_KEY, SAMPLE_SECRET, with_frames
@@ -532,7 +533,7 @@ def config_vars(spark, sf):
 )
 def stored_mark(spark, sf):
     sent = frames.table(spark, sf, "events").select(
-        F.unix_millis(F.col("ts").cast("timestamp")).cast("string").alias("internalDate")
+        epoch_ms(F.col("ts").cast("timestamp")).cast("string").alias("internalDate")
     )
     return config.stored_mark(sent, "mail", "LAST_INTERNAL_DATE_MS")
 
