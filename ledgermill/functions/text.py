@@ -134,5 +134,8 @@ def bill_lines(text: Column) -> Column:
             F.when(credit, -size).otherwise(size).alias("amount"),
         )
 
-    charge_lines = F.filter(F.split(text, r"\r?\n"), lambda s: s.rlike(BILL_LINE))
+    # The plain search keeps the expression away from ordinary lines.
+    charge_lines = F.filter(
+        F.split(text, r"\r?\n"), lambda s: s.contains(" @ ") & s.rlike(BILL_LINE)
+    )
     return F.transform(charge_lines, parse)

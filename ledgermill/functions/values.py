@@ -31,11 +31,12 @@ def safe_boolean(text: Column) -> Column:
 
 
 def money(text: Column, precision: int = 12, scale: int = 2) -> Column:
-    """``$1,234.50`` and ``(1,234.50)`` to DECIMAL; brackets mean a negative."""
-    bare = F.trim(F.regexp_replace(text, r"[$,\s]", ""))
-    inside = F.regexp_extract(bare, r"^\((.+)\)$", 1)
-    signed = F.when(inside != "", F.concat(F.lit("-"), inside)).otherwise(bare)
-    return blank_to_null(signed).try_cast(f"decimal({precision},{scale})")
+    """``$1,234.50`` and ``(1,234.50)`` to DECIMAL; brackets mean a negative.
+
+    One character pass: an opening bracket becomes a minus, the closing one,
+    dollar signs, commas and blanks go.
+    """
+    return F.translate(text, "()$, \t", "-").try_cast(f"decimal({precision},{scale})")
 
 
 def java_date_format(strftime: str) -> str:

@@ -56,37 +56,37 @@ def _alternation(words: Sequence[str]) -> str:
     """Whole words, whatever the alphabet; longer phrases are tried first."""
     ordered = sorted({w.lower() for w in words}, key=lambda w: (-len(w), w))
     body = "|".join(re.escape(w).replace(r"\ ", " ") for w in ordered)
-    return rf"(?<![\p{{L}}\p{{N}}])({body})(?![\p{{L}}\p{{N}}])"
+    # The first-letter test comes first: it rules out most places cheaply.
+    first = "".join(sorted({re.escape(w[0]) for w in ordered}))
+    return rf"(?=[{first}])(?<![\p{{L}}\p{{N}}])({body})(?![\p{{L}}\p{{N}}])"
 
 
-def _words_in(text: Column, words: Sequence[str]) -> Column:
+def words_found(text: Column, words: Sequence[str]) -> Column:
+    """Every whole-word hit in the text, lower case, in one scan."""
     return F.regexp_extract_all(F.lower(text), F.lit(_alternation(words)), F.lit(1))
 
 
-def category_scores(text: Column, rules: dict[str, tuple[str, ...]]) -> Column:
-    """Hits per category, best first, as ``array<struct<hits, place, category>>``.
+def hits_of(found: Column, words: Sequence[str]) -> Column:
+    lowered = [w.lower() for w in words]
+    return F.size(F.filter(found, lambda n: n.isin(*lowered)))
 
-    The text is scanned once for all words of all rules; the categories are
-    then counted on the short list of words found.
-    """
-    found = _words_in(text, [w for words in rules.values() for w in words])
 
-    def hits_of(names: Column, words: tuple[str, ...]) -> Column:
-        return F.size(F.filter(names, lambda n: n.isin(*[w.lower() for w in words])))
+def best_category(found: Column, rules: dict[str, tuple[str, ...]]) -> Column:
+    """Category with most hits, the earlier rule on a tie: ``struct<hits, place, category>``.
 
-    def count_hits(names: Column) -> Column:
-        per_rule = [
+    Works on the short list of words found, not on the text. NULL without hits.
+    """
+    scores = F.array(
+        *[
             F.struct(
-                hits_of(names, words).alias("hits"),
+                hits_of(found, words).alias("hits"),
                 F.lit(-place).alias("place"),
                 F.lit(category).alias("category"),
             )
             for place, (category, words) in enumerate(rules.items())
         ]
-        return F.reverse(F.array_sort(F.filter(F.array(*per_rule), lambda s: s["hits"] > 0)))
-
-    # A one-element transform keeps the regular expression evaluated once.
-    return F.element_at(F.transform(F.array(found), count_hits), 1)
+    )
+    return F.array_max(F.filter(scores, lambda s: s["hits"] > 0))
 
 
 def confidence_of(hits: Column) -> Column:
@@ -125,18 +125,31 @@ def extract_amount(text: Column) -> Column:
     """Amount after the word "total", else the first dollar amount."""
     total = F.regexp_extract(text, r"(?i)total[^\n$]*\$\s*([0-9][0-9,]*\.[0-9]{2})", 1)
     first = F.regexp_extract(text, r"\$\s*([0-9][0-9,]*\.[0-9]{2})", 1)
-    return values.money(F.coalesce(F.nullif(total, F.lit("")), F.nullif(first, F.lit(""))))
+    found = F.coalesce(F.nullif(total, F.lit("")), F.nullif(first, F.lit("")))
+    # Most texts hold no dollar sign and need no expression.
+    return F.when(text.contains("$"), values.money(found))
 
 
 def extract_date(text: Column) -> Column:
-    """First ISO date, else the first ``dd/mm/yyyy``."""
-    iso = values.safe_to_date(
-        F.nullif(F.regexp_extract(text, r"(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
+    """First valid ISO date, else the first valid ``dd/mm/yyyy``; one scan for both."""
+    pattern = r"([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})"
+    parsed = F.transform(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(1)),
+        lambda d: F.struct(
+            values.safe_to_date(d).alias("iso"),
+            values.statement_date(d, "%d/%m/%Y").alias("local"),
+        ),
     )
-    local = values.statement_date(
-        F.nullif(F.regexp_extract(text, r"(\d{2}/\d{2}/\d{4})", 1), F.lit("")), "%d/%m/%Y"
+    return F.element_at(
+        F.transform(
+            F.array(parsed),
+            lambda p: F.coalesce(
+                F.try_element_at(F.filter(p["iso"], lambda d: d.isNotNull()), F.lit(1)),
+                F.try_element_at(F.filter(p["local"], lambda d: d.isNotNull()), F.lit(1)),
+            ),
+        ),
+        1,
     )
-    return F.coalesce(iso, local)
 
 
 def extract_abn(text: Column) -> Column:
@@ -167,40 +180,49 @@ def classify_documents(
     """
     rules = rules or CATEGORY_WORDS
     body = F.col(text)
-    best = F.try_element_at("_scores", F.lit(1))
-    day = extract_date(body)
-    amount = extract_amount(body)
     deductible = {
         name
         for _, name, _, _, flag, _, _ in seeds.rows_of(seeds.TAX_CATEGORIES)
         if flag == "true"
     }
-    category = F.coalesce(best["category"], F.lit(seeds.DEFAULT_CATEGORY))
-    relevant = (F.coalesce(best["hits"], F.lit(0)) > 0) & (
-        F.coalesce(best["hits"], F.lit(0)) >= F.size(_words_in(body, private_words))
+    # Everything that reads the text is computed once, in its own projection.
+    words = [w for rule in rules.values() for w in rule]
+    read = docs.withColumns(
+        {
+            "_words": words_found(body, [*words, *private_words]),
+            "_amount": extract_amount(body).cast("string"),
+            "_date": extract_date(body),
+            "_items": text_fn.bill_lines(body),
+        }
     )
+    read = read.withColumn("_best", best_category(F.col("_words"), rules)).withColumn(
+        "_private", hits_of(F.col("_words"), private_words)
+    )
+    hits = F.coalesce(F.col("_best.hits"), F.lit(0))
+    category = F.coalesce("_best.category", F.lit(seeds.DEFAULT_CATEGORY))
     confidence = F.coalesce(
-        confidence_of(best["hits"]).cast("decimal(4,3)").cast("string"),
+        confidence_of(hits).cast("decimal(4,3)").cast("string"),
         F.lit(DOCUMENT_DEFAULT_CONFIDENCE),
     )
+    nothing = F.lit(None).cast("string")
     found = F.struct(
-        relevant.cast("string").alias("is_tax_relevant"),
+        ((hits > 0) & (hits >= F.col("_private"))).cast("string").alias("is_tax_relevant"),
         category.alias("category"),
-        fy_of(day).cast("string").alias("fy_year"),
+        fy_of(F.col("_date")).cast("string").alias("fy_year"),
         category.isin(*sorted(deductible)).cast("string").alias("is_deductible"),
-        amount.cast("string").alias("deductible_amount"),
-        amount.cast("string").alias("total_amount"),
+        F.col("_amount").alias("deductible_amount"),
+        F.col("_amount").alias("total_amount"),
         confidence.alias("confidence"),
-        F.lit(None).cast("string").alias("document_type"),
-        day.cast("string").alias("document_date"),
-        F.lit(None).cast("string").alias("summary"),
-        F.lit(None).cast("string").alias("billing_period_start"),
-        F.lit(None).cast("string").alias("billing_period_end"),
+        nothing.alias("document_type"),
+        F.col("_date").cast("string").alias("document_date"),
+        nothing.alias("summary"),
+        nothing.alias("billing_period_start"),
+        nothing.alias("billing_period_end"),
         extract_supplier(body).alias("supplier_name"),
-        F.lit(None).cast("string").alias("supply_address"),
+        nothing.alias("supply_address"),
         extract_account(body).alias("account_reference"),
         F.transform(
-            text_fn.bill_lines(body),
+            "_items",
             lambda i: F.struct(
                 i["description"].alias("description"),
                 i["period"].alias("period"),
@@ -212,16 +234,12 @@ def classify_documents(
         ).alias("line_items"),
     )
     empty = body.isNull() | (body == "")
-    return (
-        docs.withColumn("_scores", category_scores(body, rules))
-        .withColumn(
-            "classification",
-            F.when(empty, document_default().cast(CLASSIFICATION)).otherwise(
-                found.cast(CLASSIFICATION)
-            ),
-        )
-        .drop("_scores")
-    )
+    return read.withColumn(
+        "classification",
+        F.when(empty, document_default().cast(CLASSIFICATION)).otherwise(
+            found.cast(CLASSIFICATION)
+        ),
+    ).drop("_words", "_best", "_private", "_amount", "_date", "_items")
 
 
 def parse_response(

@@ -96,30 +96,39 @@ def trade_type(raw: Column) -> Column:
 
 
 def normalise_trades(landing: DataFrame) -> DataFrame:
-    """Typed share trades; a sale is a CGT event and carries no cost base."""
+    """Typed share trades; a sale is a CGT event and carries no cost base.
+
+    The texts are parsed in a projection of their own, so that each is parsed
+    once although the hash and the derived columns use it again.
+    """
+    no_fee = F.lit(0).cast("decimal(10,2)")
     date = F.coalesce(
         *[values.statement_date(F.col("trade_date_raw"), f) for f in TRADE_FORMATS]
     )
-    kind = trade_type(F.col("trade_type_raw"))
-    value = values.money(F.col("value_raw"), 15, 2)
-    fee = F.coalesce(values.money(F.col("brokerage_raw"), 10, 2), F.lit(0).cast("decimal(10,2)"))
-    quantity = values.money(F.col("quantity_raw"), 15, 4)
-    security = F.upper(F.trim("security_raw"))
-    return landing.select(
+    parsed = landing.select(
         "account_id",
         date.alias("trade_date"),
-        security.alias("security_code"),
-        quantity.alias("quantity"),
+        F.upper(F.trim("security_raw")).alias("security_code"),
+        values.money(F.col("quantity_raw"), 15, 4).alias("quantity"),
         values.money(F.col("price_raw"), 12, 4).alias("price"),
-        value.alias("value"),
-        kind.alias("trade_type"),
-        fee.alias("brokerage"),
-        F.when(kind == "BUY", (value + fee).cast("decimal(15,2)")).alias("cost_base"),
-        (kind == "SELL").alias("cgt_event"),
-        fy_of(date).cast("smallint").alias("fy_year"),
-        dedup_hash(F.col("account_id"), date, security, quantity, kind).alias("dedup_hash"),
+        values.money(F.col("value_raw"), 15, 2).alias("value"),
+        trade_type(F.col("trade_type_raw")).alias("trade_type"),
+        F.coalesce(values.money(F.col("brokerage_raw"), 10, 2), no_fee).alias("brokerage"),
         "source_file",
     )
+    bought = (F.col("value") + F.col("brokerage")).cast("decimal(15,2)")
+    return parsed.select(
+        *parsed.columns,
+        F.when(F.col("trade_type") == "BUY", bought).alias("cost_base"),
+        (F.col("trade_type") == "SELL").alias("cgt_event"),
+        fy_of(F.col("trade_date")).cast("smallint").alias("fy_year"),
+        dedup_hash(
+            *[
+                F.col(c)
+                for c in ("account_id", "trade_date", "security_code", "quantity", "trade_type")
+            ]
+        ).alias("dedup_hash"),
+    )
 
 
 def new_trades(core: DataFrame, rows: DataFrame) -> DataFrame:
