@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.session import path_exists
+
 
 class SnapshotTable:
     """Parquet versions below ``root`` and a small log naming the current one.
@@ -24,25 +25,27 @@ class SnapshotTable:
             f"{self.root}/log"
         )
 
-    def versions(self) -> list[str]:
-        """Versions, newest first; one row per completed write."""
-        try:
-            rows = self._log().orderBy(F.col("written_at").desc()).collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        return [row.version for row in rows]
+    def current(self) -> str | None:
+        """Newest complete version."""
+        if not path_exists(self.spark, f"{self.root}/log"):
+            return None
+        row = self._log().orderBy(F.col("written_at").desc()).first()
+        return row.version if row else None
+
+    def has(self, version: str) -> bool:
+        if not path_exists(self.spark, f"{self.root}/log"):
+            return False
+        return self._log().filter(F.col("version") == version).limit(1).count() > 0
 
     def read(self) -> DataFrame:
-        known = self.versions()
-        if not known:
+        version = self.current()
+        if version is None:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/data/{known[0]}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/data/{version}")
 
     def write(self, df: DataFrame, version: str, partition_by: Sequence[str] = ()) -> None:
         """Write and switch; a version that is already complete is not redone."""
-        if version in self.versions():
+        if self.has(version):
             return
         out = df.write.mode("overwrite")
         if partition_by:

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgermill import seeds
-from ledgermill.operators import transactions
-from ledgermill.plans import frames
+from ledgermill.operators import archive, landing, runlog, transactions
+from ledgermill.operators.snapshots import SnapshotTable
+from ledgermill.plans import frames, portal
 from ledgermill.plans.frames import SAMPLE_SECRET, with_frames
-from ledgermill.plans.queries_docs import _INCOMING
+from ledgermill.plans.queries_docs import _INCOMING, _archive_docs
+from ledgermill.plans.queries_mart import tax_report
 from ledgermill.plans.queries_review import ACTIONS_SQL, review_actions
 from ledgermill.plans.registry import query
+from ledgermill.schemas import RUN_LOG
 from ledgermill.session import scratch_dir
 from ledgermill.sources import files, statements
 from ledgermill.streaming import ingest
@@ -164,12 +167,12 @@ def stream_rows(spark, sf):
 def stream_dedupe(spark, sf):
     """Repeated mail is dropped while its state is inside the lateness window."""
     base = scratch_dir(spark, "mail")
-    landing = frames.table(spark, sf, "documents").alias("d").selectExpr(
+    mail = frames.table(spark, sf, "documents").alias("d").selectExpr(
         *frames._LANDING_KEY,
         "TIMESTAMP'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(d.doc_id % 1440 AS INT)) AS received_at",
     )
-    landing.write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(landing.schema).parquet(f"{base}/in")
+    mail.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(mail.schema).parquet(f"{base}/in")
     once = ingest.dedupe_late(stream, ["source_type", "source_id"])
     run = (
         once.writeStream.format("parquet")
@@ -178,7 +181,7 @@ def stream_dedupe(spark, sf):
         .start(f"{base}/out")
     )
     run.awaitTermination()
-    return spark.read.schema(landing.schema).parquet(f"{base}/out").select(
+    return spark.read.schema(mail.schema).parquet(f"{base}/out").select(
         "source_type", "source_id"
     )
 
@@ -193,10 +196,10 @@ def stream_dedupe(spark, sf):
 )
 def stream_merge(spark, sf):
     base = scratch_dir(spark, "queue")
-    landing = frames.landing_documents(spark, sf)
-    landing.repartition(4, "source_type", "source_id").write.parquet(f"{base}/landing")
+    queued = frames.landing_documents(spark, sf)
+    queued.repartition(4, "source_type", "source_id").write.parquet(f"{base}/landing")
     stream = (
-        spark.readStream.schema(landing.schema)
+        spark.readStream.schema(queued.schema)
         .option("maxFilesPerTrigger", "2")
         .parquet(f"{base}/landing")
     )
@@ -221,3 +224,104 @@ def stream_actions(spark, sf):
     stream = spark.readStream.schema(actions.schema).parquet(f"{base}/in")
     ingest.log_decisions(stream, f"{base}/decisions", f"{base}/checkpoint", SAMPLE_SECRET)
     return ingest.read_decisions(spark, f"{base}/decisions").drop("token")
+
+
+# --- sinks -------------------------------------------------------------------
+
+
+@query(
+    "append_counts",
+    with_frames("landing")
+    + """, k AS (SELECT source_type, source_id, coalesce(file_name, '') AS f, bool_or(is_processed) AS known,
+  count(*) FILTER (NOT is_processed) AS offered FROM landing
+  WHERE source_type IS NOT NULL AND source_id IS NOT NULL GROUP BY ALL),
+c AS (SELECT count(*) FILTER (NOT known) + (SELECT count(*) FROM landing WHERE NOT is_processed
+  AND (source_type IS NULL OR source_id IS NULL)) AS loaded FROM k)
+SELECT loaded, (SELECT count(*) FROM landing WHERE NOT is_processed) - loaded AS skipped,
+  loaded + (SELECT count(*) FROM landing WHERE is_processed) AS rows_after FROM c""",
+)
+def append_counts(spark, sf):
+    """Append the new rows to a stored queue and read the counters of the write."""
+    path = scratch_dir(spark, "landing")
+    rows = frames.landing_documents(spark, sf)
+    rows.filter("is_processed").write.parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    counts = landing.append_new(stored, rows.filter("NOT is_processed"), path)
+    return spark.read.schema(rows.schema).parquet(path).agg(
+        F.lit(counts["loaded"]).cast("bigint").alias("loaded"),
+        F.lit(counts["skipped"]).cast("bigint").alias("skipped"),
+        F.count(F.lit(1)).alias("rows_after"),
+    )
+
+
+@query("queue_reset", "SELECT count(*) AS rows_before, 0 AS rows_after FROM documents")
+def queue_reset(spark, sf):
+    """The explicit call that empties the whole queue."""
+    path = scratch_dir(spark, "reset")
+    rows = frames.landing_documents(spark, sf)
+    rows.write.parquet(path)
+    before = spark.read.schema(rows.schema).parquet(path).count()
+    landing.reset_landing(rows, path)
+    return spark.read.schema(rows.schema).parquet(path).agg(
+        F.lit(before).cast("bigint").alias("rows_before"), F.count(F.lit(1)).alias("rows_after")
+    )
+
+
+@query(
+    "snapshot_merge",
+    with_frames("docs")
+    + "SELECT review_status, count(*) AS n, CAST(sum(total_amount) AS DOUBLE) AS total FROM docs GROUP BY 1",
+)
+def snapshot_merge(spark, sf):
+    """Write a version, write it again (no-op) and read the current one."""
+    core = frames.core_documents(spark, sf).drop("line_items")
+    schema = core.schema.toDDL()
+    stored = SnapshotTable(spark, scratch_dir(spark, "core"), schema)
+    stored.write(core.limit(0), "run-1")
+    for _ in range(2):
+        stored.write(core, "run-2", partition_by=["fy_year"])
+    return stored.read().groupBy("review_status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("total")
+    )
+
+
+@query(
+    "archive_written",
+    "SELECT CASE WHEN doc_id % 10 <> 9 THEN (2022 + doc_id % 5) || '-' || (2023 + doc_id % 5) ELSE '2024-2025' END AS fy_dir, "
+    "count(*) AS files FROM documents GROUP BY 1",
+)
+def archive_written(spark, sf):
+    """Archive index laid out by year folder and category path."""
+    path = scratch_dir(spark, "archive")
+    index = archive.archive_index(
+        _archive_docs(spark, sf), F.lit("2025-03-24 14:30:22").cast("timestamp")
+    )
+    archive.write_archive_index(index, path)
+    return spark.read.parquet(path).groupBy("fy_dir").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("tax_report_markdown")
+def tax_report_markdown(spark, sf):
+    """The report written as JSON and Markdown; the Markdown lines are read back."""
+    path = scratch_dir(spark, "report")
+    portal.write_tax_report(tax_report(spark, sf), path)
+    return spark.read.text(f"{path}/markdown")
+
+
+@query(
+    "run_log_written",
+    "SELECT 'load' AS workflow_nme, 'SUCCESS' AS status, count(*) AS rows_extracted, "
+    "count(DISTINCT text) AS rows_loaded, count(*) - count(DISTINCT text) AS rows_skipped FROM documents",
+)
+def run_log_written(spark, sf):
+    """A run that is opened, counted and closed in a stored log."""
+    path = scratch_dir(spark, "runs")
+    batch = runlog.start_run(spark, path, "load", "queries")
+    docs = frames.table(spark, sf, "documents").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("text").alias("d")
+    ).first()
+    runlog.end_run(spark, path, batch, "load", "SUCCESS", docs["n"], docs["d"], docs["n"] - docs["d"])
+    log = spark.read.schema(RUN_LOG).parquet(path)
+    return runlog.latest_run(log, "load").select(
+        "workflow_nme", "status", "rows_extracted", "rows_loaded", "rows_skipped"
+    )

@@ -53,3 +53,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         spark.conf.set(SCRATCH_KEY, base)
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, "ledgermill", f"{name}-{uuid.uuid4().hex}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the file system the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(target)

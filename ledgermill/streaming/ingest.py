@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +25,7 @@ from ledgermill.operators.merge import (
 from ledgermill.operators.review import valid_review_actions
 from ledgermill.schemas import CORE_DOCUMENTS
 from ledgermill.seeds import STAGING_EXTENSIONS
+from ledgermill.session import path_exists
 from ledgermill.sources.files import BINARY_FILE, describe_files
 
 EPOCH = "epoch"
@@ -50,12 +50,9 @@ def _epoch_path(path: str, epoch: int) -> str:
 def read_epochs(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
     """Rows of all finished micro-batches, or of those before one; empty at first."""
     full = f"{schema}, {EPOCH} INT"
-    try:
-        rows = spark.read.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], full)
+    rows = spark.read.schema(full).parquet(path)
     return rows if before is None else rows.filter(F.col(EPOCH) < before)
 
 
