@@ -203,7 +203,7 @@ def read_statement(
             for x in layouts
             if getattr(x, field)
         ]
-        return F.coalesce(*branches)
+        return F.coalesce(*branches, F.lit(None).cast("string"))
 
     def unmapped(layout: Layout) -> Column:
         return F.to_json(F.map_filter("record", lambda k, _: ~k.isin(*layout.mapped)))
