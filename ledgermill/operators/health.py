@@ -256,33 +256,36 @@ def trade_positions(trades: DataFrame) -> DataFrame:
     )
 
 
-def running_trades(trades: DataFrame, order: list[str]) -> DataFrame:
-    """Row-level running quantity: day totals before the day plus a window inside it.
+def running_trades(
+    trades: DataFrame, order: list[str], block: Column | None = None
+) -> DataFrame:
+    """Row-level running quantity per security, in order of day and ``order``.
 
-    Splitting the window at the day keeps a heavily traded security from ending
-    up in one task.
+    Quantities are summed per block first; a row adds the blocks before its own
+    to the window inside its block. Blocks are trading days, cut further by
+    ``block`` if given (it must not decrease along ``order``, for instance a
+    range of the leading order column). So a heavily traded security, or day,
+    does not end up in one task.
     """
-    rows = trades.withColumn("_q", _signed_quantity())
-    days = rows.groupBy("security_code", "trade_date").agg(F.sum("_q").alias("_day"))
+    rows = trades.withColumn("_q", _signed_quantity()).withColumn(
+        "_block", F.lit(0) if block is None else block
+    )
+    keys = ["security_code", "trade_date", "_block"]
+    blocks = rows.groupBy(*keys).agg(F.sum("_q").alias("_sum"))
     earlier = (
         Window.partitionBy("security_code")
-        .orderBy("trade_date")
+        .orderBy("trade_date", "_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = days.select(
-        "security_code", "trade_date",
-        F.coalesce(F.sum("_day").over(earlier), F.lit(0)).alias("_before"),
-    )
+    offsets = blocks.select(*keys, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     inside = (
-        Window.partitionBy("security_code", "trade_date")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
         rows.withColumn("_inside", F.sum("_q").over(inside))
-        .join(offsets, ["security_code", "trade_date"])
+        .join(offsets, keys)
         .withColumn("quantity_held", F.col("_before") + F.col("_inside"))
-        .drop("_q", "_inside", "_before")
+        .drop("_q", "_inside", "_before", "_block")
     )
 
 

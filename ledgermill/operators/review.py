@@ -82,27 +82,31 @@ def _status_list(core: DataFrame, categories: DataFrame, status: str) -> DataFra
     )
 
 
-def needs_review_list(core: DataFrame, categories: DataFrame) -> DataFrame:
+def needs_review_list(
+    core: DataFrame, categories: DataFrame, ordered: bool = True
+) -> DataFrame:
     """Least certain first, then the newest document."""
-    return _status_list(core, categories, "NEEDS_REVIEW").orderBy(
-        F.col("confidence").asc_nulls_last(), F.col("document_date").desc_nulls_first()
-    )
+    rows = _status_list(core, categories, "NEEDS_REVIEW")
+    order = [F.col("confidence").asc_nulls_last(), F.col("document_date").desc_nulls_first()]
+    return rows.orderBy(*order) if ordered else rows
 
 
-def auto_confirmed_list(core: DataFrame, categories: DataFrame) -> DataFrame:
-    return (
-        _status_list(core, categories, "AUTO_CONFIRMED")
-        .drop("reviewer_notes")
-        .orderBy(F.col("confidence").asc_nulls_last(), F.col("document_date").desc_nulls_first())
-    )
+def auto_confirmed_list(
+    core: DataFrame, categories: DataFrame, ordered: bool = True
+) -> DataFrame:
+    """Spot-check list: least certain first, then the newest document."""
+    rows = _status_list(core, categories, "AUTO_CONFIRMED").drop("reviewer_notes")
+    order = [F.col("confidence").asc_nulls_last(), F.col("document_date").desc_nulls_first()]
+    return rows.orderBy(*order) if ordered else rows
 
 
-def auto_rejected_list(core: DataFrame, categories: DataFrame) -> DataFrame:
-    return (
-        _status_list(core, categories, "AUTO_REJECTED")
-        .drop("reviewer_notes")
-        .orderBy(F.col("confidence").desc_nulls_first(), F.col("document_date").desc_nulls_first())
-    )
+def auto_rejected_list(
+    core: DataFrame, categories: DataFrame, ordered: bool = True
+) -> DataFrame:
+    """Rejected by the classifier: most certain first, then the newest document."""
+    rows = _status_list(core, categories, "AUTO_REJECTED").drop("reviewer_notes")
+    order = [F.col("confidence").desc_nulls_first(), F.col("document_date").desc_nulls_first()]
+    return rows.orderBy(*order) if ordered else rows
 
 
 def confidence_band(confidence: Column) -> Column:
@@ -175,15 +179,15 @@ def duplicate_candidates(core: DataFrame, ids_per_row: int = 1000) -> DataFrame:
     complete = core.select(*key, "doc_id")
     for column in key:
         complete = complete.filter(F.col(column).isNotNull())
-    parts = complete.groupBy(*key, F.floor(F.col("doc_id") / ids_per_row).alias("part")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.array_sort(F.collect_list("doc_id")).alias("_ids"),
-    )
+    # The groups come first: most documents have no copy and go no further than
+    # the join, whose group side is unique and far smaller.
     copies = complete.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    ids = F.array_sort(F.collect_list("doc_id")).cast("array<string>")
     return (
-        parts.join(copies, key)
-        .select(*key, "copies", "part", F.array_join(F.col("_ids").cast("array<string>"), ", ").alias("doc_ids"))
-        .orderBy(F.col("copies").desc(), "supplier_name", "document_date", "total_amount", "part")
+        complete.join(copies, key)
+        .groupBy(*key, "copies", F.floor(F.col("doc_id") / ids_per_row).alias("part"))
+        .agg(F.array_join(ids, ", ").alias("doc_ids"))
+        .orderBy(F.col("copies").desc(), *key, "part")
     )
 
 

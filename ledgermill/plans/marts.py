@@ -3,6 +3,10 @@
 Facts are grouped on their own ids before any dimension is joined: the partial
 aggregate takes the weight out of hot accounts and categories, and the joins
 that follow see one row per group.
+
+Views that return single documents or transactions take ``ordered=False`` for
+callers that sort or group themselves: a total order costs a second pass over
+the scan and a shuffle of every row.
 """
 
 from __future__ import annotations
@@ -191,9 +195,11 @@ def vw_savings_rate(txns: DataFrame, categories: DataFrame) -> DataFrame:
     ).orderBy(F.col("month_start").desc())
 
 
-def vw_anomalies(txns: DataFrame, accounts: DataFrame, categories: DataFrame) -> DataFrame:
+def vw_anomalies(
+    txns: DataFrame, accounts: DataFrame, categories: DataFrame, ordered: bool = True
+) -> DataFrame:
     """Flagged transactions with labels, newest first."""
-    return (
+    rows = (
         txns.filter("is_anomaly")
         .join(accounts.select("account_id", "account_nme", "provider"), "account_id")
         .join(
@@ -206,8 +212,8 @@ def vw_anomalies(txns: DataFrame, accounts: DataFrame, categories: DataFrame) ->
             "description_clean", "description_raw", "category_nme", "subcategory_nme",
             "anomaly_reason", "review_status", "created_at",
         )
-        .orderBy(F.col("txn_date").desc())
     )
+    return rows.orderBy(F.col("txn_date").desc()) if ordered else rows
 
 
 def vw_fy_cashflow(txns: DataFrame, categories: DataFrame, fy_periods: DataFrame) -> DataFrame:
@@ -290,8 +296,14 @@ def _utility_documents(core: DataFrame, fy_periods: DataFrame, categories: DataF
     )
 
 
-def vw_utility_bills(core: DataFrame, fy_periods: DataFrame, categories: DataFrame) -> DataFrame:
-    return (
+_BILL_ORDER = ("billing_start", "supplier_name")
+
+
+def vw_utility_bills(
+    core: DataFrame, fy_periods: DataFrame, categories: DataFrame, ordered: bool = True
+) -> DataFrame:
+    """Bills of the utility categories by billing start, missing ones last."""
+    rows = (
         _utility_documents(core, fy_periods, categories)
         .select(
             "doc_id", "source_id", "subject", "supplier_name", "account_ref", "supply_address",
@@ -299,8 +311,8 @@ def vw_utility_bills(core: DataFrame, fy_periods: DataFrame, categories: DataFra
             "line_items", "category_nme", "fy_label", "fy_year", "review_status", "filed_path",
             "confidence_score", "created_at",
         )
-        .orderBy(F.col("billing_start").asc_nulls_last(), F.col("supplier_name").asc_nulls_last())
     )
+    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in _BILL_ORDER]) if ordered else rows
 
 
 def line_items_from_json(json: Column) -> Column:
@@ -312,7 +324,7 @@ def line_items_from_json(json: Column) -> Column:
 
 
 def vw_utility_line_items(
-    core: DataFrame, fy_periods: DataFrame, categories: DataFrame
+    core: DataFrame, fy_periods: DataFrame, categories: DataFrame, ordered: bool = True
 ) -> DataFrame:
     """One row per charge line, numbered from 1, with typed numbers."""
 
@@ -320,7 +332,7 @@ def vw_utility_line_items(
         return F.nullif(F.col(f"item.{field}"), F.lit("")).try_cast("decimal(18,4)")
 
     docs = _utility_documents(core, fy_periods, categories)
-    return (
+    rows = (
         docs.select(
             "doc_id", "supplier_name", "account_ref", "supply_address", "billing_start",
             "billing_end", "fy_label", "fy_year", "category_nme", "review_status", "created_at",
@@ -338,11 +350,9 @@ def vw_utility_line_items(
             number("amount").alias("amount"),
             "review_status", "created_at",
         )
-        .orderBy(
-            F.col("billing_start").asc_nulls_last(), F.col("supplier_name").asc_nulls_last(),
-            "doc_id", "line_num",
-        )
     )
+    order = [F.col(c).asc_nulls_last() for c in _BILL_ORDER]
+    return rows.orderBy(*order, "doc_id", "line_num") if ordered else rows
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

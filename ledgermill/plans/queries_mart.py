@@ -377,7 +377,9 @@ def bill_line_items(spark, sf):
   count(*) AS lines FROM li WHERE billing_start IS NOT NULL GROUP BY billing_start""",
 )
 def energy_monthly(spark, sf):
-    return health.energy_monthly(marts.vw_utility_line_items(*_bill_tables(spark, sf)))
+    return health.energy_monthly(
+        marts.vw_utility_line_items(*_bill_tables(spark, sf), ordered=False)
+    )
 
 
 @query(
@@ -601,7 +603,9 @@ _TRADE_ORDER = "order_no, line_no, account_id, quantity, value, trade_type, brok
   ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS quantity_held FROM trade""",
 )
 def trade_running_rows(spark, sf):
-    return health.running_trades(frames.trades(spark, sf), _TRADE_ORDER.split(", ")).select(
+    block = F.floor(F.col("order_no") / 1000)
+    rows = health.running_trades(frames.trades(spark, sf), _TRADE_ORDER.split(", "), block)
+    return rows.select(
         "order_no", "line_no", "security_code", "trade_date", "trade_type", "quantity",
         "quantity_held",
     )

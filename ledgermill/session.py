@@ -19,8 +19,24 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split hot join keys even where that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Dedupe state of a long lateness window does not fit on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Shuffle width for a cluster: about 128 MB per partition, two waves at least.
+
+    Adaptive execution joins partitions that turn out small, so the width is
+    chosen for the largest shuffle and not for the average one.
+    """
+    partitions = max(2 * cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+    return {"spark.sql.shuffle.partitions": str(partitions)}
+
 
 def build_session(
     app: str = "ledgermill", master: str | None = None, extra: dict[str, str] | None = None

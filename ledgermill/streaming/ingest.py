@@ -141,6 +141,15 @@ def read_core(spark: SparkSession, core_path: str) -> DataFrame:
     return latest_documents(read_epochs(spark, core_path, CORE_DOCUMENTS), EPOCH)
 
 
+def compact_core(spark: SparkSession, core_path: str, target: str) -> None:
+    """Start a new change log at ``target`` from the current documents.
+
+    Readers of the old log are not disturbed; the next drain is given the new
+    path and the old checkpoint, so its epochs follow the base.
+    """
+    read_core(spark, core_path).write.mode("overwrite").parquet(_epoch_path(target, -1))
+
+
 DECISION = "doc_id BIGINT, action STRING, action_ts TIMESTAMP, token STRING"
 
 

@@ -77,6 +77,23 @@ def test_batches_add_up_to_one_merge(spark, folder):
     assert values(state, *columns) == values(streamed, *columns)
 
 
+def test_a_compacted_log_goes_on_from_its_base(spark, folder):
+    path, base = f"{folder}/landing", f"{folder}/state"
+    fy, categories = seeds.fy_periods(spark), seeds.tax_categories(spark)
+
+    def drain(core_path):
+        ingest.drain_queue(queue_stream(spark, path), core_path, f"{base}/checkpoint", fy, categories)
+
+    write_landing(spark, path, rows_of(3))
+    drain(f"{base}/core")
+    ingest.compact_core(spark, f"{base}/core", f"{base}/core-2")
+    write_landing(spark, path, rows_of(2, 2, subject="later"))
+    drain(f"{base}/core-2")
+    assert values(ingest.read_core(spark, f"{base}/core-2"), "source_id", "subject") == [
+        ("k0", "s0"), ("k1", "s1"), ("k2", "later"), ("k3", "later"),
+    ]
+
+
 def test_a_failed_batch_is_taken_again(spark, folder):
     """The checkpoint does not move past a batch whose sink failed."""
     path, base = f"{folder}/landing", f"{folder}/state"
