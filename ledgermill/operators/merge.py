@@ -129,14 +129,23 @@ def review_status_by_relevance(
     )
 
 
+def parse_classification(landing: DataFrame) -> DataFrame:
+    """Replace ``raw_json`` by the few fields the merge reads, as ``_raw``.
+
+    This runs before any shuffle: the JSON holds the full text of a document,
+    which must not travel, and behind the shuffle a later filter cannot pull
+    the parser down and run it once per field.
+    """
+    wanted = f"filed_path STRING, classification {CLASSIFICATION}"
+    return landing.withColumn("_raw", F.from_json("raw_json", wanted)).drop("raw_json")
+
+
 def unpack_classification(rows: DataFrame, total_from: str = "deductible_amount") -> DataFrame:
-    """Add the typed classification fields and ``cast_errors`` found in ``raw_json``.
+    """Typed classification fields and the ``cast_errors`` found, from parsed rows.
 
     ``total_from`` names the JSON field the total is read from: by default the
     deductible amount, or ``total_amount`` for the drop-folder form.
     """
-    parsed = F.from_json("raw_json", f"filed_path STRING, classification {CLASSIFICATION}")
-    rows = rows.withColumn("_raw", parsed)
 
     def raw(name: str) -> Column:
         return F.col(f"_raw.classification.{name}")
@@ -145,13 +154,14 @@ def unpack_classification(rows: DataFrame, total_from: str = "deductible_amount"
     total = values.safe_decimal(raw(total_from), 12, 2)
     confidence = raw("confidence").try_cast("decimal(4,3)")
     flag = raw("is_deductible").try_cast("boolean")
+    year = values.safe_int(raw("fy_year"))
 
     def unreadable(text: Column, value: Column, blank_allowed: bool) -> Column:
         given = text.isNotNull() & (text != "") if blank_allowed else text.isNotNull()
         return given & value.isNull()
 
     problems = {
-        "fy_year": unreadable(raw("fy_year"), values.safe_int(raw("fy_year")), True),
+        "fy_year": unreadable(raw("fy_year"), year, True),
         "deductible_amount": unreadable(raw("deductible_amount"), amount, True),
         total_from: unreadable(raw(total_from), total, True),
         "is_deductible": unreadable(raw("is_deductible"), flag, False),
@@ -162,28 +172,27 @@ def unpack_classification(rows: DataFrame, total_from: str = "deductible_amount"
         F.array(*[F.when(test, F.lit(name)) for name, test in problems.items()]),
         lambda e: e.isNotNull(),
     )
-    return (
-        rows.withColumn("cls_category", raw("category"))
-        .withColumn("cls_fy_year", values.safe_int(raw("fy_year")))
-        .withColumn("is_tax_relevant", values.safe_boolean(raw("is_tax_relevant")))
-        .withColumn("is_deductible", F.coalesce(flag, F.lit(False)))
-        .withColumn("deductible_amount", amount)
-        .withColumn("confidence_score", F.coalesce(confidence, F.lit(0).cast("decimal(4,3)")))
-        .withColumn("supplier_name", values.blank_to_null(raw("supplier_name")))
-        .withColumn("account_ref", values.blank_to_null(raw("account_reference")))
-        .withColumn("supply_address", values.blank_to_null(raw("supply_address")))
-        .withColumn("document_date", values.safe_to_date(raw("document_date")))
-        .withColumn("billing_start", values.safe_to_date(raw("billing_period_start")))
-        .withColumn("billing_end", values.safe_to_date(raw("billing_period_end")))
-        .withColumn("total_amount", total)
-        .withColumn("gst_amount", F.lit(None).cast("decimal(12,2)"))
-        .withColumn("filed_path", values.blank_to_null(F.col("_raw.filed_path")))
-        .withColumn(
-            "line_items", F.coalesce(raw("line_items"), F.array().cast(LINE_ITEMS))
-        )
-        .withColumn("cast_errors", errors)
-        .drop("_raw")
-    )
+    return rows.withColumns(
+        {
+            "cls_category": raw("category"),
+            "cls_fy_year": year,
+            "is_tax_relevant": values.safe_boolean(raw("is_tax_relevant")),
+            "is_deductible": F.coalesce(flag, F.lit(False)),
+            "deductible_amount": amount,
+            "confidence_score": F.coalesce(confidence, F.lit(0).cast("decimal(4,3)")),
+            "supplier_name": values.blank_to_null(raw("supplier_name")),
+            "account_ref": values.blank_to_null(raw("account_reference")),
+            "supply_address": values.blank_to_null(raw("supply_address")),
+            "document_date": values.safe_to_date(raw("document_date")),
+            "billing_start": values.safe_to_date(raw("billing_period_start")),
+            "billing_end": values.safe_to_date(raw("billing_period_end")),
+            "total_amount": total,
+            "gst_amount": F.lit(None).cast("decimal(12,2)"),
+            "filed_path": values.blank_to_null(F.col("_raw.filed_path")),
+            "line_items": F.coalesce(raw("line_items"), F.array().cast(LINE_ITEMS)),
+            "cast_errors": errors,
+        }
+    ).drop("_raw")
 
 
 def resolve_fy(rows: DataFrame, fy_periods: DataFrame) -> DataFrame:
@@ -231,7 +240,7 @@ def quarantined(landing: DataFrame, batch_id: int | None = None) -> DataFrame:
         "landing_id", F.array(F.lit("key")).alias("reasons")
     )
     bad = (
-        unpack_classification(primary_documents(queue))
+        unpack_classification(primary_documents(parse_classification(queue)))
         .filter(F.size("cast_errors") > 0)
         .select("landing_id", F.col("cast_errors").alias("reasons"))
     )
@@ -250,9 +259,10 @@ def incoming_documents(
     aliases: DataFrame | None = None,
 ) -> DataFrame:
     """Core-shaped rows for every readable primary document of the queue."""
-    rows = unpack_classification(
-        primary_documents(unprocessed(landing, batch_id)), total_from
-    ).filter(F.size("cast_errors") == 0)
+    queue = parse_classification(unprocessed(landing, batch_id))
+    rows = unpack_classification(primary_documents(queue), total_from).filter(
+        F.size("cast_errors") == 0
+    )
     rows = with_category_id(
         resolve_fy(rows, fy_periods), "cls_category", categories, aliases=aliases
     )
@@ -264,8 +274,8 @@ def incoming_documents(
     return (
         rows.withColumn("review_status", status)
         .withColumn("classification_model", F.lit(CLASSIFIER))
-        .drop("cast_errors", "cls_category", "cls_fy_year", "is_tax_relevant", "raw_json",
-              "landing_id", "loaded_at", "is_processed")
+        .drop("cast_errors", "cls_category", "cls_fy_year", "is_tax_relevant", "landing_id",
+              "loaded_at", "is_processed")
     )
 
 
@@ -273,10 +283,10 @@ def incoming_metadata(
     landing: DataFrame, fy_periods: DataFrame, batch_id: int | None = None
 ) -> DataFrame:
     """First form of the merge input: metadata only, everything PENDING."""
-    rows = primary_documents(unprocessed(landing, batch_id))
+    rows = primary_documents(unprocessed(landing, batch_id).drop("raw_json"))
     rows = with_fy_period(rows, F.to_date("received_at"), fy_periods, "fy_year")
     return rows.withColumn("review_status", F.lit("PENDING")).drop(
-        "raw_json", "landing_id", "loaded_at", "is_processed"
+        "landing_id", "loaded_at", "is_processed"
     )
 
 

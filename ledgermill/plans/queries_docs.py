@@ -268,7 +268,8 @@ checked AS (SELECT *,
 FROM checked WHERE NOT bad_flag AND NOT bad_conf""",
 )
 def json_unpack(spark, sf):
-    primary = merge.primary_documents(queue.unprocessed(frames.landing_documents(spark, sf)))
+    rows = merge.parse_classification(queue.unprocessed(frames.landing_documents(spark, sf)))
+    primary = merge.primary_documents(rows)
     good = merge.unpack_classification(primary).filter(F.size("cast_errors") == 0)
     return good.select(
         "landing_id", "cls_category", "cls_fy_year", "is_deductible", "deductible_amount",

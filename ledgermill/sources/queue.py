@@ -19,14 +19,16 @@ def unclassified(landing: DataFrame) -> DataFrame:
 
 
 def landed_hashes(landing: DataFrame) -> DataFrame:
-    """First landing row per file hash; pre-aggregated, so copies cost nothing."""
+    """First landing row per file hash; pre-aggregated, so copies cost nothing.
+
+    A queue that keeps ``file_hash`` as a column of its own is not parsed.
+    """
+    stored = "file_hash" in landing.columns
+    file_hash = F.col("file_hash") if stored else F.get_json_object("raw_json", "$.file_hash")
     return (
-        landing.select(
-            F.get_json_object("raw_json", "$.file_hash").alias("file_hash"), "landing_id"
-        )
-        .filter(F.col("file_hash").isNotNull())
-        .groupBy("file_hash")
+        landing.groupBy(file_hash.alias("file_hash"))
         .agg(F.min("landing_id").alias("landing_id"))
+        .filter(F.col("file_hash").isNotNull())
     )
 
 
