@@ -171,7 +171,8 @@ def payoff_schedule(debts: DataFrame) -> DataFrame:
     )
     return rows.select(
         "account_id", "months", "month_no",
-        F.round(F.greatest(left, F.lit(0.0)), 2).alias("balance_after"),
+        # Half a cent must round up although the power leaves a tiny error.
+        F.round(F.greatest(left, F.lit(0.0)) + F.lit(1e-9), 2).alias("balance_after"),
     )
 
 

@@ -622,7 +622,7 @@ m AS (SELECT *, CAST(ceil(-ln(1 - bal * r / pay) / ln(1 + r)) AS INT) AS months
     with_frames("acct")
     + _DEBTS
     + """SELECT account_id, CAST(months AS BIGINT) AS months, CAST(k AS BIGINT) AS month_no,
-  round(greatest(bal * pow(1 + r, k) - pay * (pow(1 + r, k) - 1) / r, 0), 2) AS balance_after
+  floor((greatest(bal * pow(1 + r, k) - pay * (pow(1 + r, k) - 1) / r, 0) + 1e-9) * 100 + 0.5) / 100 AS balance_after
 FROM (SELECT *, unnest(range(1, months + 1)) AS k FROM m)""",
 )
 def payoff_schedule(spark, sf):
