@@ -105,13 +105,17 @@ def archive_index(docs: DataFrame, filed_at: Column, taken: DataFrame | None = N
 
 
 def write_archive_index(index: DataFrame, path: str) -> None:
-    """Index laid out by financial-year folder and category path."""
+    """Index laid out by financial-year folder and category path.
+
+    Rebalancing groups the rows per folder and splits a folder that holds too
+    many of them over several tasks.
+    """
     parts = F.split("final_path", "/")
     rows = index.withColumn("fy_dir", F.element_at(parts, 1)).withColumn(
         "category_path", F.array_join(F.slice(parts, F.lit(2), F.size(parts) - 2), "-")
     )
     (
-        rows.repartition("fy_dir", "category_path")
+        rows.hint("rebalance", "fy_dir", "category_path")
         .write.mode("append")
         .partitionBy("fy_dir", "category_path")
         .parquet(path)

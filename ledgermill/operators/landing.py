@@ -25,7 +25,8 @@ def new_rows(landing: DataFrame, rows: DataFrame, order: list[Column] | None = N
     never conflict, as NULL is not equal to NULL. Both sides of the anti join
     are unique on the key, so it carries no hot key.
     """
-    order = order or [F.col("file_size_bytes").desc_nulls_last(), F.col("file_name").asc_nulls_last()]
+    # The hash settles ties, so that a repeated task picks the same row again.
+    order = order or [F.col("file_size_bytes").desc_nulls_last(), F.xxhash64(*rows.columns)]
     keyed = _keyed(rows)
     complete = F.col("source_type").isNotNull() & F.col("source_id").isNotNull()
     known = _keyed(landing).select(*LANDING_KEY)
@@ -45,11 +46,16 @@ def append_new(landing: DataFrame, rows: DataFrame, path: str) -> dict[str, int]
 
 
 def drop_known_files(files: DataFrame, landing: DataFrame) -> DataFrame:
-    """Files whose content is neither landed nor earlier in the same batch."""
+    """Files whose content is neither landed nor earlier in the same batch.
+
+    The bytes are hashed in the scan and dropped: only the file facts travel.
+    """
     hashed = files if "file_hash" in files.columns else files.withColumn(
         "file_hash", content_hash(F.col("content"))
     )
-    once = first_per_key(hashed, ["file_hash"], [F.col("file_name").asc()])
+    facts = hashed.drop("content")
+    order = [F.col("file_name").asc(), F.xxhash64(*facts.columns)]
+    once = first_per_key(facts, ["file_hash"], order)
     return once.join(landed_hashes(landing).select("file_hash"), "file_hash", "left_anti")
 
 

@@ -49,9 +49,10 @@ class SnapshotTable:
             return
         out = df.write.mode("overwrite")
         if partition_by:
-            # Group rows by partition first, so one task does not open every folder.
-            out = df.repartition(*[F.col(c) for c in partition_by]).write.mode("overwrite")
-            out = out.partitionBy(*partition_by)
+            # Group rows by folder, so that one task does not open every folder;
+            # rebalancing splits the folders that are too large for one task.
+            grouped = df.hint("rebalance", *partition_by)
+            out = grouped.write.mode("overwrite").partitionBy(*partition_by)
         out.parquet(f"{self.root}/data/{version}")
         entry = self.spark.range(1).select(
             F.lit(version).alias("version"), F.current_timestamp().alias("written_at")

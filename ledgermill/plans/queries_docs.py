@@ -616,16 +616,14 @@ def body_text(spark, sf):
 
 @query(
     "document_pages",
-    "SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations "
-    "WHERE text <> '' GROUP BY 1",
+    "SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda p: p <> ''), chr(10)) "
+    "AS text FROM documents",
 )
 def document_pages(spark, sf):
-    pages = frames.table(spark, sf, "conversations").groupBy("conv_id").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda p: p["text"]
-        ).alias("pages")
+    pages = F.split("text", "\n")
+    return frames.table(spark, sf, "documents").select(
+        "doc_id", text.join_pages(pages).alias("text")
     )
-    return pages.select("conv_id", text.join_pages(F.col("pages")).alias("text"))
 
 
 @query(
