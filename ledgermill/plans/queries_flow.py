@@ -12,7 +12,7 @@ from ledgermill.plans.frames import SAMPLE_SECRET, with_frames
 from ledgermill.plans.queries_docs import _INCOMING, _archive_docs
 from ledgermill.plans.queries_mart import tax_report
 from ledgermill.plans.queries_review import ACTIONS_SQL, review_actions
-from ledgermill.plans.registry import query
+from ledgermill.plans.registry import ORACLES, query
 from ledgermill.schemas import RUN_LOG
 from ledgermill.session import scratch_dir
 from ledgermill.sources import files, statements
@@ -300,7 +300,11 @@ def archive_written(spark, sf):
     return spark.read.parquet(path).groupBy("fy_dir").agg(F.count(F.lit(1)).alias("files"))
 
 
-@query("tax_report_markdown")
+@query(
+    "tax_report_markdown",
+    "SELECT '| ' || section || ' | ' || label || ' | ' || coalesce(CAST(document_count AS VARCHAR), '') || ' | ' "
+    f"|| coalesce(printf('%.2f', amount), '') || ' |' AS value FROM ({ORACLES['tax_report']})",
+)
 def tax_report_markdown(spark, sf):
     """The report written as JSON and Markdown; the Markdown lines are read back."""
     path = scratch_dir(spark, "report")
