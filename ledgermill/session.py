@@ -57,8 +57,8 @@ def pin_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder the cluster names for checkpoints.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The shared folder the cluster names for checkpoints.
 
     A machine-local folder is used only where no shared folder is configured,
     which is the case in tests.
@@ -67,8 +67,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="ledgermill-")
         spark.conf.set(SCRATCH_KEY, base)
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, "ledgermill", f"{name}-{uuid.uuid4().hex}")
+    return base
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path below the checkpoint folder."""
+    return os.path.join(checkpoint_base(spark), "ledgermill", f"{name}-{uuid.uuid4().hex}")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

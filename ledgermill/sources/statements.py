@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill import seeds
+from ledgermill.session import checkpoint_base
 
 WHOLE_FILE_BYTES = 8 * 1024 * 1024
 MAX_COLUMNS = 32
@@ -126,6 +127,7 @@ def _large_files(
     The raw lines are checkpointed first: positions depend on how the files
     were split, so they must not be computed twice.
     """
+    checkpoint_base(spark)
     raw = (
         spark.read.text(path)
         .select(
