@@ -96,14 +96,22 @@ def _edges(keys: list[str]) -> list[str]:
     return [f"first_{k}" for k in keys] + [f"last_{k}" for k in keys]
 
 
-def sorted_names(rows: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
+def sorted_names(
+    rows: DataFrame, keys: list[str], carry: list[str], deal: dict[str, Column] | None = None
+) -> DataFrame:
     """``carry`` columns of every row and ``name``, equal exactly for equal ``keys``.
 
+    ``deal`` names short columns that follow from the keys and lead the sort order.
+    A range partitioning samples its keys on the driver, which long keys would
+    fill; the names themselves come from comparing the keys.
+
     Names follow the sort order of the keys. The first two ``carry`` columns must
     identify the row, as they settle where a run of equal keys is split.
     """
-    ranged = rows.select(*keys, *carry).repartitionByRange(*keys, *carry[:2])
-    ranged = ranged.sortWithinPartitions(*keys)
+    lead = list(deal or {})
+    ranged = rows.select(*keys, *carry).withColumns(deal or {})
+    ranged = ranged.repartitionByRange(*(lead or keys), *carry[:2])
+    ranged = ranged.sortWithinPartitions(*lead, *keys).select(*keys, *carry)
     schema = ", ".join(
         [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carry]
         + ["name long", "names long"]
@@ -159,7 +167,14 @@ def text_identities(
     """row, sha (of the normalised text), rounds, name: the identity of each text."""
     first = stored(
         sorted_names(
-            blocks(docs, row, text, block_bytes), ["block"], [row, "pos", "n", "sha"]
+            blocks(docs, row, text, block_bytes),
+            ["block"],
+            [row, "pos", "n", "sha"],
+            {
+                "lead": F.substring("block", 1, 16),
+                "digest": F.xxhash64("block"),
+                "digest_2": F.xxhash64(F.lit("second"), "block"),
+            },
         ),
         "blocks",
     )
