@@ -228,10 +228,14 @@ def exact_duplicates(
     identities = text_identities(ids, "row_no", "text_", block_bytes)
     members = stored(identities.join(ids.select("row_no", "doc_id"), "row_no"), "identities")
     rank = F.coalesce("doc_id", F.lit(2**63 - 1))
-    groups = members.groupBy("rounds", "name").agg(
-        F.min("doc_id").alias("keep_id"),
-        F.count(F.lit(1)).alias("group_size"),
-        F.min_by("row_no", rank).alias("keep_row"),
+    # Stored, so that the join below shuffles both sides and a hot group can be split.
+    groups = stored(
+        members.groupBy("rounds", "name").agg(
+            F.min("doc_id").alias("keep_id"),
+            F.count(F.lit(1)).alias("group_size"),
+            F.min_by("row_no", rank).alias("keep_row"),
+        ),
+        "groups",
     )
     result = members.join(groups, ["rounds", "name"]).select(
         "doc_id",
