@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import exact, mixing, packing, simhash
+from ledgermill.llm import ann, exact, mixing, packing, quality, simhash, toxicity
 from ledgermill.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,11 +19,28 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of every hundredth vector."""
+    return ann.nearest(table(prepared(spark), sf_dir, "embeddings"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(prepared(spark), sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    prepared(spark)
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    prepared(spark)
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mixture(table(prepared(spark), sf_dir, "documents"))
@@ -55,7 +72,10 @@ FROM flat
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ann": op1_ann,
         "op2_simhash": op2_simhash,
+        "op3_toxicity": op3_toxicity,
+        "op4_quality": op4_quality,
         "op7_mixing": op7_mixing,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
