@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import ann, exact, mixing, packing, quality, simhash, toxicity
+from ledgermill.llm import ann, exact, mixing, packing, pii, quality, simhash, toxicity, warc
 from ledgermill.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,17 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, read back from the archives they were written to."""
+    found = warc.archived(table(prepared(spark), sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data of every document."""
+    return pii.personal_data(table(prepared(spark), sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mixture(table(prepared(spark), sf_dir, "documents"))
@@ -76,6 +87,8 @@ def queries() -> dict[str, Query]:
         "op2_simhash": op2_simhash,
         "op3_toxicity": op3_toxicity,
         "op4_quality": op4_quality,
+        "op5_warc": op5_warc,
+        "op6_pii": op6_pii,
         "op7_mixing": op7_mixing,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,

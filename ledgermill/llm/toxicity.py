@@ -5,8 +5,8 @@ lexicon: words that are far more frequent in toxic documents. The second grows t
 on the dense features below, the third fits the isotonic map from tree output to
 probability. So no row is judged by a lexicon or a tree it helped to make.
 
-Features of a document: density and number of lexicon words, density of lexicon
-words found only after obfuscation is undone, share of lexicon words near a word
+Features of a document: density of lexicon words and of lexicon
+stems, their number, density of words found only after obfuscation is undone, share of lexicon words near a word
 of address, density of words of address, of capitals, of shouted words, of
 punctuation, of exclamation marks, of words with signs or digits inside, of
 stretched letters, and the number of words.
@@ -30,9 +30,10 @@ from ledgermill.llm.quality import remainder, training_rows
 SAMPLE_ROWS = 12000
 THRESHOLD = 0.7
 LEXICON_WORDS = 4096
-LEXICON_CONTEXTS = 3
-LEXICON_SHARE = 0.01
+LEXICON_CONTEXTS = 6
+LEXICON_SHARE = 0.03
 LEXICON_ODDS = 3.0
+STEMS = (4, 5)
 NEAR_WORDS = 5
 TREES = 40
 DEPTH = 3
@@ -77,6 +78,7 @@ _PART_CHARS = 1 << 20
 
 FEATURES = (
     "lexicon_density",
+    "stem_density",
     "lexicon_words",
     "hidden_density",
     "near_address",
@@ -95,6 +97,11 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def stems_of(word: str) -> list[str]:
+    """Beginnings of a longer word, marked as such: a lexicon may hold them for all its forms."""
+    return [f"{word[:n]}*" for n in STEMS if len(word) > n]
+
+
 def unmasked(word: str) -> str:
     """A masked word with signs read as letters and the others taken out."""
     return "".join(_WORD.findall(word.lower().translate(PLAIN)))
@@ -141,14 +148,17 @@ def features(text: str | None, lexicon: frozenset[str]) -> list[float]:
     words = words_of(text)
     count = max(1, len(words))
     size = max(1, len(text))
-    hits, near, address = 0, 0, 0
+    hits, forms, near, address = 0, 0, 0, 0
     distinct = set(words)
     if not ADDRESS.isdisjoint(distinct):
         spoken = [i for i, w in enumerate(words) if w in ADDRESS]
         address = len(spoken)
-    if not lexicon.isdisjoint(distinct):
-        at = [i for i, w in enumerate(words) if w in lexicon]
-        hits = len(at)
+    known = lexicon.intersection(distinct)
+    formed = {w for w in distinct if not lexicon.isdisjoint(stems_of(w))}
+    if known or formed:
+        at = [i for i, w in enumerate(words) if w in known or w in formed]
+        hits = sum(words[i] in known for i in at)
+        forms = len(at)
         if address:
             near = sum(
                 bisect_right(spoken, i + NEAR_WORDS) > bisect_left(spoken, i - NEAR_WORDS)
@@ -158,9 +168,10 @@ def features(text: str | None, lexicon: frozenset[str]) -> list[float]:
     hidden = sum(unmasked(w) in lexicon for w in masked)
     return [
         hits / count,
-        float(min(hits, 20)),
+        forms / count,
+        float(min(forms, 20)),
         hidden / count,
-        near / max(1, hits),
+        near / max(1, forms),
         address / count,
         capitals / size,
         shouted / size,
@@ -301,9 +312,10 @@ class Model:
 
 
 def word_contexts(text: str) -> set[tuple[str, str]]:
-    """Distinct pairs of a word and the word before it."""
+    """Distinct pairs of a word, or of its stems, and the word before it."""
     words = words_of(text)
-    return set(zip(words, ["", *words[:-1]], strict=True))
+    pairs = set(zip(words, ["", *words[:-1]], strict=True))
+    return pairs | {(stem, before) for word, before in pairs for stem in stems_of(word)}
 
 
 def lexicon_of(sample: DataFrame) -> frozenset[str]:
