@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import ann, exact, mixing, packing, pii, quality, simhash, toxicity, warc
+from ledgermill.llm import ann, chat, exact, mixing, packing, pii, quality, simhash, toxicity, warc
 from ledgermill.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(prepared(spark), sf_dir, "documents"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repaired and rendered turns of every conversation."""
+    return chat.formatted(table(prepared(spark), sf_dir, "conversations"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every token piece in the packed sequences."""
     return packing.packed(table(prepared(spark), sf_dir, "documents"), tokenizer_path())
@@ -90,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op5_warc": op5_warc,
         "op6_pii": op6_pii,
         "op7_mixing": op7_mixing,
+        "op8_chat": op8_chat,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
     }
