@@ -9,11 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import exact, mixing, packing, simhash
+from ledgermill.llm import exact, mixing, packing, quality, simhash
 from ledgermill.llm.common import prepared, stored, table
 from ledgermill.llm.queries import tokenizer_path
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier rejects go; it learns from the labelled ones."""
+    return quality.accepted(docs, table(prepared(spark), sf_dir, "labels"))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id stays."""
     prepared(spark)
@@ -39,6 +44,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("quality", quality_stage),
     ("exact dedup", exact_stage),
     ("near dedup", near_stage),
     ("mixing", mixing_stage),
