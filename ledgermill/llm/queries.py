@@ -86,6 +86,30 @@ FROM flat
 """
 
 
+# DuckDB has no base 32: the digest's bits are read in groups of five.
+WARC_SQL = r"""
+WITH records AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS digest
+  FROM pages
+), coded AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes,
+         CAST(CAST(unhex(digest) AS BIT) AS VARCHAR) AS bits,
+         min(page_id) OVER (PARTITION BY payload) AS first_page
+  FROM records
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string([
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           16 * CAST(bits[5 * i + 1] AS INT) + 8 * CAST(bits[5 * i + 2] AS INT)
+           + 4 * CAST(bits[5 * i + 3] AS INT) + 2 * CAST(bits[5 * i + 4] AS INT)
+           + CAST(bits[5 * i + 5] AS INT) AS INT), 1)
+         FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_page THEN NULL ELSE first_page END AS refers_to
+FROM coded
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ann": op1_ann,
@@ -102,4 +126,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": EXACT_SQL}
+    return {"op5_warc": WARC_SQL, "op10_exact_dedup": EXACT_SQL}

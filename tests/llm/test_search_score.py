@@ -1,0 +1,243 @@
+"""Nearest neighbours, classifiers and personal data."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+
+from ledgermill.llm import ann, pii, quality, toxicity
+from ledgermill.llm.common import stored
+
+
+def test_nearest_reaches_the_recall_and_exact_scores(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 16))
+    vectors = (centres[rng.integers(0, 20, 1500)] + 0.4 * rng.normal(size=(1500, 16))).round(3)
+    rows = [(i, v.tolist(), -1) for i, v in enumerate(vectors)]
+    # A common vector, beyond one block when blocks are small.
+    rows += [(2000 + i, vectors[0].tolist(), -1) for i in range(120)]
+    odd = [
+        (3000, None, 0),
+        (3100, [0.0] * 16, 0),
+        (3200, [None] + [1.0] * 15, 0),
+        (3300, [math.nan] * 16, 0),
+        (3400, [math.inf] + [1.0] * 15, 0),
+        (None, vectors[1].tolist(), 0),
+        (3500, [1.0, 2.0], 0),
+    ]
+    data = stored(
+        spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, row_no int"), "v"
+    )
+    ann.BLOCK_ROWS, block = 64, ann.BLOCK_ROWS
+    try:
+        found = ann.nearest(data, list_rows=50).collect()
+    finally:
+        ann.BLOCK_ROWS = block
+    real = {i: np.array(v, dtype=np.float32).astype(float) for i, v, _ in rows}
+    ids = np.array(sorted(real))
+    points = np.array([real[i] for i in ids])
+    hits = 0
+    queries = [i for i in ids if i % 100 == 0]
+    for query in queries:
+        own = sorted((r for r in found if r["query_id"] == query), key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == list(range(1, 11))
+        away = np.sqrt(((points - real[query]) ** 2).sum(axis=1))
+        for r in own:
+            assert r["score"] == away[np.searchsorted(ids, r["vec_id"])]
+        assert [(r["score"], r["vec_id"]) for r in own] == sorted(
+            (r["score"], r["vec_id"]) for r in own
+        )
+        others = ids != query
+        best = ids[others][np.lexsort((ids[others], away[others]))][:10]
+        hits += len(set(best) & {r["vec_id"] for r in own})
+    assert {r["query_id"] for r in found} == set(queries)
+    assert hits / (10 * len(queries)) >= 0.9
+
+
+def test_nearest_of_few_rows(spark):
+    schema = "vec_id long, embedding array<float>"
+    assert ann.nearest(spark.createDataFrame([], schema)).count() == 0
+    two = stored(spark.createDataFrame([(100, [1.0, 0.0]), (7, [0.0, 1.0])], schema), "two")
+    rows = ann.nearest(two).collect()
+    assert [tuple(r)[:3] for r in rows] == [(100, 1, 7)]
+    assert rows[0]["score"] == math.sqrt(2)
+
+
+def test_boundary_vectors_are_copied():
+    index = ann.Centroids(
+        np.array([[0.0, 0, 0], [2.0, 0, 0], [0, 9.0, 0]]), np.zeros((3, 1), int), np.array([0])
+    )
+    copies = ann.copies(index, np.array([[0.99, 0.0], [0.1, 0.0]]), 2, 1.05)
+    assert sorted(copies[0][copies[0] >= 0]) == [0, 1]
+    assert copies[1][copies[1] >= 0].tolist() == [0]
+
+
+def labelled_docs():
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(900):
+        words = rng.choices("alpha beta gamma delta omega river stone cloud you".split(), k=40)
+        toxic, good = rng.random() < 0.2, rng.random() < 0.7
+        if toxic:
+            for bad in rng.choices(["grobag", "grobix", "zorple", "zorpel"], k=4):
+                words.insert(rng.randrange(len(words)), bad)
+        text = " ".join(words)
+        if not good:
+            text = text.upper().replace(" ", "!! ")
+        rows.append((i, text, "x"))
+        labels.append((i, int(good), int(toxic), "x"))
+    rows += [(900, None, "x"), (901, "", "x"), (902, " \n", "x"), (None, "alpha", "x")]
+    rows += [(903, "you grobag zorple grobix zorple " * 40000, "x"), (5, rows[5][1], "again")]
+    labels += [(None, 1, 1, "x"), (7, None, None, "x"), (8, 5, 9, "x")]
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    rows, labels = labelled_docs()
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string, score string"), "d")
+    marks = stored(
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int, label string"), "l"
+    )
+    return docs, marks, {r[0]: r for r in labels[:900]}
+
+
+@pytest.mark.parametrize(
+    ("operator", "place", "modulus", "left_out"),
+    [(quality.quality, 1, 5, 0), (toxicity.toxicity, 2, 3, 1)],
+)
+def test_classifiers_on_held_out_rows(scored, operator, place, modulus, left_out):
+    import zlib
+
+    docs, marks, labels = scored
+    found = operator(docs, marks).collect()
+    assert len(found) == docs.count()
+    right = total = 0
+    for r in found:
+        assert 0.0 <= r["score"] <= 1.0
+        if r["doc_id"] is not None:
+            remainder = zlib.crc32(str(r["doc_id"]).encode()) % modulus
+            assert r["held_out"] == (remainder == left_out)
+        if r["held_out"] and r["doc_id"] in labels:
+            total += 1
+            right += r["predicted"] == labels[r["doc_id"]][place]
+    assert total > 100 and right / total > 0.95
+    if place == 2:
+        assert [r["predicted"] for r in found if r["doc_id"] == 903] == [1]
+    empty = {r["score"] for r in found if r["doc_id"] in (900, 901, 902)}
+    assert len(empty) == 1
+
+
+def test_classifiers_without_rows_or_labels(scored, spark):
+    docs, marks, _ = scored
+    none = marks.where("false")
+    for operator in (quality.quality, toxicity.toxicity):
+        assert operator(docs.where("false"), marks).count() == 0
+        scores = {r["score"] for r in operator(docs.where("doc_id < 20"), none).collect()}
+        assert len(scores) == 1
+    assert quality.accepted(docs, marks).schema == docs.schema
+
+
+def test_quality_learns_the_same_in_parts(monkeypatch):
+    text = "one two  two three " * 500
+    whole = np.concatenate(list(quality.buckets(text)))
+    monkeypatch.setattr(quality, "PART_BYTES", 97)
+    parts = np.concatenate(list(quality.buckets(text)))
+    # Only word pairs over the border of two parts are not counted.
+    assert 0 <= len(whole) - len(parts) < len(text) / 40
+
+
+def test_isotonic_pools_and_trees_separate():
+    steps, chances = toxicity.isotonic(np.array([0.0, 1, 2, 3]), np.array([0.0, 1, 0, 1]))
+    assert np.interp([0, 1, 2, 3], steps, chances).tolist() == [0, 0.5, 0.5, 1]
+    rng = np.random.default_rng(1)
+    rows = rng.random((400, 3))
+    labels = ((rows[:, 0] > 0.5) & (rows[:, 1] < 0.4)).astype(float)
+    forest = toxicity.boost(rows, labels)
+    assert ((forest.raw(forest.binned(rows)) > 0) == (labels > 0)).mean() > 0.95
+
+
+def test_surface_counts_do_not_depend_on_parts(monkeypatch):
+    text = "YOU id1ot!!! aaa b.c " * 30
+    whole = toxicity.surface(text)
+    monkeypatch.setattr(toxicity, "_PART_CHARS", 7)
+    assert toxicity.surface(text)[0].tolist() == whole[0].tolist()
+    assert "id1ot!!!" in whole[1] and toxicity.unmasked("id1ot") == "idiot"
+
+
+# The patterns as the contract writes them.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def brute_base(text: str) -> str:
+    spans = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    for m in IP.finditer(text):
+        if all(int(p) <= 255 for p in m.group().split(".")):
+            spans.append(("ip", *m.span()))
+    for m in CARD.finditer(text):
+        digits = [int(c) for c in m.group() if c.isdigit()]
+        double = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits[::-1])]
+        if 13 <= len(digits) <= 19 and sum(double) % 10 == 0:
+            spans.append(("card", *m.span()))
+    for m in PHONE.finditer(text):
+        if 9 <= sum(c.isdigit() for c in m.group()) <= 15:
+            spans.append(("phone", *m.span()))
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+def test_base_spans_match_brute_force():
+    rng = random.Random(9)
+    parts = ["a.b@c.de", "@", "a@b", "1.2.3.4", "256.1.1.1", "4111 1111 1111 1111", "+1 (988) 555-"]
+    parts += ["2485", ".", "5.6", "-", " ", "é", "\n", "+", "0", "00411", "x%y@z-1.q.r", "٣"]
+    for _ in range(4000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 10)))
+        assert pii.joined(pii.base_spans(text)) == brute_base(text)
+    long = "a" * 200_000 + "1" * 200_000 + "@" * 1000 + "+1" + "." * 100_000
+    assert pii.joined(pii.base_spans(long)) == ""
+
+
+def test_field_learns_its_table_and_adds_spans(spark):
+    field = pii.train()
+    for tokens, labels in pii.labelled_rows():
+        assert field.decode([pii.token_features(tokens)])[0].tolist() == labels
+    rows = [
+        (1, "call 555-867-5309 now, or a.b@c.de", "s"),
+        (2, None, "s"),
+        (3, "", "s"),
+        (4, "Apache License, Version 2.0.", "s"),
+        (5, "x" * 300_000 + "1" * 5000, "s"),
+        (None, "ssn 123-45-6789", "s"),
+        (1, "call 555-867-5309 now, or a.b@c.de", "s"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    found = {r["doc_id"]: r for r in pii.personal_data(docs).collect()}
+    assert found[1]["spans"] == "email:26:34,phone:5:17"
+    assert (found[1]["n_email"], found[1]["n_phone"], found[1]["n_added"]) == (1, 0, 1)
+    assert found[1]["base_sha256"] == hashlib.sha256(b"email:26:34").hexdigest()
+    assert found[None]["spans"] == "id:4:15"
+    for i in (2, 3, 4, 5):
+        assert found[i]["spans"] == ""
+    assert pii.personal_data(docs.where("false")).count() == 0
+
+
+def test_viterbi_matches_enumeration():
+    import itertools
+
+    field = pii.train(rounds=5)
+    chain = pii.token_features([("call", 0, 4), ("555", 5, 8), ("-", 8, 9)])
+    scores, _ = field.scores([chain])
+
+    def worth(path):
+        steps = sum(field.step[a, b] for a, b in itertools.pairwise(path))
+        return steps + sum(scores[0, t, p] for t, p in enumerate(path))
+
+    best = max(itertools.product(range(len(pii.LABELS)), repeat=3), key=worth)
+    assert worth(field.decode([chain])[0].tolist()) == pytest.approx(worth(best))
