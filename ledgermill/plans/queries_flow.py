@@ -43,6 +43,30 @@ def _bank_csv(spark, sf, folder):
     ).write.option("header", "true").csv(folder)
 
 
+def _layout_csv(spark, sf, folder, provider: str, remainder: int) -> None:
+    """A third of the orders in a provider's layout, descriptions quoted over two lines."""
+    orders = frames.table(spark, sf, "orders").where(F.col("o_orderkey") % 3 == remainder)
+    text = F.concat(F.lit("Order "), "o_orderkey", F.lit(",\n"), "o_orderpriority")
+    if provider == "nab":
+        columns = [
+            F.date_format("o_orderdate", "d MMM yy").alias("Date"),
+            _signed_total().cast("string").alias("Amount"),
+            text.alias("Transaction Details"),
+        ]
+    else:
+        paid = F.col("o_orderstatus") != "F"
+        total = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+        columns = [
+            F.date_format("o_orderdate", "dd/MM/yyyy").alias("Date"),
+            F.when(paid, total).alias("Debit"),
+            F.when(~paid, total).alias("Credit"),
+            text.alias("Description"),
+        ]
+    orders.select(*columns, F.lit("0.00").alias("Balance")).write.option("header", "true").csv(
+        folder
+    )
+
+
 _STATEMENT_SQL = """SELECT {columns}CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS txn_date,
   CAST(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE -o_totalprice END AS DOUBLE) AS amount,
   'Order ' || o_orderkey || ', ' || o_orderpriority AS description_clean FROM orders"""
@@ -66,14 +90,26 @@ def statement_read(spark, sf):
     )
 
 
-@query("statement_read_split", _STATEMENT_SQL.format(columns=""))
+@query(
+    "statement_read_split",
+    _STATEMENT_SQL.format(
+        columns="CASE o_orderkey % 3 WHEN 0 THEN 'NAB' WHEN 1 THEN 'Bendigo' ELSE 'CommSec' END "
+        "AS provider, "
+    ),
+)
 def statement_read_split(spark, sf):
-    """The path for files too large to be read as one value."""
+    """The three layouts, told apart by file names, in one folder."""
     folder = scratch_dir(spark, "statements")
-    _bank_csv(spark, sf, folder)
-    rows = statements.read_statement(spark, folder, F.lit(1), whole_file_bytes=1024)
-    typed = transactions.normalise_transactions(rows, seeds.statement_providers(spark))
-    return typed.select("txn_date", "amount", "description_clean")
+    for provider, remainder in (("nab", 0), ("bendigo", 1), ("commsec", 2)):
+        _layout_csv(spark, sf, f"{folder}/{provider}", provider, remainder)
+    typed = None
+    for provider in ("nab", "bendigo", "commsec"):
+        rows = statements.read_statement(
+            spark, f"{folder}/{provider}", F.lit(1), file_name=F.lit(f"{provider}.csv")
+        )
+        typed = rows if typed is None else typed.unionByName(rows)
+    typed = transactions.normalise_transactions(typed, seeds.statement_providers(spark))
+    return typed.select("provider", "txn_date", "amount", "description_clean")
 
 
 @query(

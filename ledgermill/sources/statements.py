@@ -1,8 +1,10 @@
 """Bank and share statement CSV files to raw landing rows.
 
-Line numbers must follow the file. A small file is read as one value and split.
-Larger files are split by Spark and numbered from the line counts of their
-blocks, so no task holds a whole large file. Quoted line breaks are not supported.
+Files of any size take one path: Spark splits them into blocks of lines, and a line's
+number is the line count of the blocks before plus its place in the block. Quotes are
+counted the same way, so that a line which begins inside a quoted field is joined to
+the record it belongs to, also across blocks. A record's fields are kept as an array
+of any width, and columns are named by their place.
 """
 
 from __future__ import annotations
@@ -13,11 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill import seeds
-from ledgermill.session import checkpoint_base
 
-WHOLE_FILE_BYTES = 8 * 1024 * 1024
-MAX_COLUMNS = 32
-_CSV_ROW = ", ".join(f"c{i} STRING" for i in range(MAX_COLUMNS))
+# A field with the comma before it: quoted with doubled quotes inside, or plain.
+_FIELD = r'(?:^|,)\s*(?:"[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'
 
 
 @dataclass(frozen=True)
@@ -54,137 +54,207 @@ def seeded_layouts() -> tuple[Layout, ...]:
 def detect_provider(
     file: Column, header: Column, layouts: tuple[Layout, ...] | None = None
 ) -> Column:
-    """Provider by file name, else the first whose columns are all in the header."""
+    """Provider by a word of the file name, else by the header.
+
+    By the header it is the layout with the most columns among those whose columns
+    are all there. Layouts that cannot be told apart leave the provider NULL.
+    """
     layouts = layouts or seeded_layouts()
     name = F.lower(F.substring_index(file, "/", -1))
-    by_name = [F.when(name.contains(x.provider.lower()), x.provider) for x in layouts]
-    by_header = [
-        F.when(
-            F.size(F.array_except(F.array(*[F.lit(c) for c in x.mapped]), header)) == 0,
-            x.provider,
+    # A name may hold signs itself, so its words are looked for between signs.
+    words = F.concat(F.lit(" "), F.regexp_replace(name, r"[^a-z0-9]+", " "), F.lit(" "))
+
+    def named(layout: Layout) -> Column:
+        wanted = "".join(c if c.isalnum() else " " for c in layout.provider.lower())
+        return words.contains(f" {wanted} ")
+
+    by_name = [F.when(named(x), x.provider) for x in layouts]
+    sizes = {x.mapped: len(x.mapped) for x in layouts}
+    by_header = []
+    for mapped in sorted(sizes, key=lambda m: -sizes[m]):
+        owners = [x.provider for x in layouts if x.mapped == mapped]
+        fits = F.size(F.array_except(F.array(*[F.lit(c) for c in mapped]), header)) == 0
+        by_header.append((fits, F.lit(owners[0] if len(owners) == 1 else None).cast("string")))
+    choice = F.lit(None).cast("string")
+    for fits, provider in reversed(by_header):
+        choice = F.when(fits, provider).otherwise(choice)
+    return F.coalesce(*by_name, choice)
+
+
+def csv_fields(line: Column) -> Column:
+    """The fields of a record: trimmed, unquoted, empty ones NULL."""
+
+    def clean(part: Column) -> Column:
+        bare = F.trim(F.regexp_replace(part, r"^,", ""))
+        inner = F.regexp_extract(bare, r'(?s)^"(.*)"[^"]*$', 1)
+        value = F.when(bare.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"')))
+        return F.nullif(F.coalesce(value, bare), F.lit(""))
+
+    return F.transform(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(0)), clean)
+
+
+def column_names(header: Column) -> Column:
+    """Names by place: a blank one is numbered, a repeated one gets its number added."""
+
+    def numbered(names: Column) -> Column:
+        return F.transform(
+            names,
+            lambda name, i: F.when(
+                F.array_contains(F.slice(names, F.lit(1), i), name),
+                F.concat(name, F.lit("#"), (i + 1).cast("string")),
+            ).otherwise(name),
         )
-        for x in layouts
-    ]
-    return F.coalesce(*by_name, *by_header)
-
-
-def _fields(df: DataFrame, line: str, out: str) -> DataFrame:
-    """Add the CSV fields of a line as an array.
-
-    The parsed row gets its own projection: field access directly on ``from_csv``
-    would be optimised into one parse per column.
-    """
-    parsed = df.withColumn("_csv", F.from_csv(line, _CSV_ROW))
-    columns = [F.trim(F.col(f"_csv.c{i}")) for i in range(MAX_COLUMNS)]
-    return parsed.withColumn(out, F.array(*columns)).drop("_csv")
 
+    filled = F.transform(
+        header,
+        lambda name, i: F.coalesce(name, F.concat(F.lit("column_"), (i + 1).cast("string"))),
+    )
+    return numbered(numbered(filled))
 
-def _with_layout(heads: DataFrame, layouts: tuple[Layout, ...]) -> DataFrame:
-    """Provider, rows to skip and column names per file, from its first lines."""
 
-    def named(df: DataFrame, line: Column, out: str) -> DataFrame:
-        bare = df.withColumn("_line", F.regexp_replace(line, "^\ufeff", ""))
-        return _fields(bare, "_line", out).withColumn(
-            out, F.filter(out, lambda name: name.isNotNull())
-        )
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their number in the file and the number of the line their record starts in.
 
-    found = named(heads, F.col("head")[0], "_first").withColumn(
-        "provider", detect_provider(F.col("file"), F.col("_first"), layouts)
+    A block's lines keep their order in the scan, and a block is at most one scan
+    partition; what is known about a block is one row.
+    """
+    quote = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        "value",
+        (quote % 2).alias("odd"),
     )
-    skip = F.coalesce(
-        *[F.when(F.col("provider") == x.provider, F.lit(x.skip_rows)) for x in layouts], F.lit(0)
+    inside = Window.partitionBy("file", "block").orderBy("pos")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    placed = lines.withColumn("place", F.row_number().over(inside)).withColumn(
+        "open", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
     )
-    skipped = found.withColumn("skip", skip)
-    return named(skipped, F.try_element_at("head", F.col("skip") + 1), "names").drop(
-        "_first", "_line", "head"
+    starts = F.max(F.when(F.col("open") == 0, F.col("place")))
+    ends = F.max(F.when(F.col("open") == 1, F.col("place")))
+    blocks = placed.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("odd").alias("quotes"),
+        starts.alias("last_even"),
+        ends.alias("last_odd"),
     )
-
-
-def _small_files(
-    spark: SparkSession, path: str, limit: int, layouts: tuple[Layout, ...], heads: int
-) -> DataFrame:
-    files = (
-        spark.read.text(path, wholetext=True)
-        .select("value", F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_size").alias("size"))
-        .filter(F.col("size") <= limit)
+    earlier = (
+        Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    blocks = blocks.withColumn("lines_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    blocks = blocks.withColumn("flip", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    own_last = F.when(F.col("flip") == 0, F.col("last_even")).otherwise(F.col("last_odd"))
+    blocks = blocks.withColumn("last_start", F.col("lines_before") + own_last)
+    blocks = blocks.select(
+        "file",
+        "block",
+        "lines_before",
+        "flip",
+        F.last("last_start", ignorenulls=True).over(earlier).alias("start_before"),
+    )
+    numbered = placed.join(blocks, ["file", "block"]).select(
+        "file",
+        "block",
+        "start_before",
+        "value",
+        (F.col("lines_before") + F.col("place")).alias("line_no"),
+        (F.col("open") == F.col("flip")).alias("starts"),
     )
-    # Everything per file is done before the lines are exploded, and the
-    # exploded rows do not carry the whole file along.
-    split = files.select("file", F.split("value", r"\r?\n").alias("lines"))
-    described = _with_layout(split.withColumn("head", F.slice("lines", 1, heads)), layouts)
-    exploded = described.select(
-        "file", "provider", "skip", "names", F.posexplode("lines").alias("pos", "value")
+    running = (
+        Window.partitionBy("file", "block")
+        .orderBy("line_no")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return exploded.withColumn("line_no", F.col("pos") + 1).drop("pos")
+    own = F.max(F.when(F.col("starts"), F.col("line_no"))).over(running)
+    return numbered.withColumn("record_no", F.coalesce(own, "start_before", F.lit(1)))
 
 
-def _large_files(
-    spark: SparkSession, path: str, limit: int, layouts: tuple[Layout, ...], heads: int
-) -> DataFrame:
-    """Number lines as (lines in earlier blocks) + (place in the block).
+def _joined_records(lines: DataFrame) -> DataFrame:
+    """One row per record: file, line_no (of its first line), value.
 
-    The raw lines are checkpointed first: positions depend on how the files
-    were split, so they must not be computed twice.
+    Only records of several lines are collected; a quote that is never closed
+    makes one record of the rest of its file.
     """
-    checkpoint_base(spark)
-    raw = (
-        spark.read.text(path)
+    goes_on = lines.where("NOT starts").select("file", "record_no").distinct()
+    keys = ["file", "record_no"]
+    single = lines.join(goes_on, keys, "left_anti").select(
+        "file", F.col("record_no").alias("line_no"), "value"
+    )
+    several = (
+        lines.join(goes_on, keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("parts"))
         .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("size"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
+            "file",
+            F.col("record_no").alias("line_no"),
+            F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"),
         )
-        .filter(F.col("size") > limit)
-        .checkpoint()
-    )
-    # One row per block, then a running total over the blocks of a file.
-    blocks = raw.groupBy("file", "block").agg(
-        F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n")
     )
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    blocks = blocks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    numbered = raw.join(blocks, ["file", "block"]).select(
+    return single.unionByName(several)
+
+
+def _described(
+    records: DataFrame, layouts: tuple[Layout, ...], file_name: Column | None = None
+) -> DataFrame:
+    """file, provider, header_line, names: one row per file, from its first lines.
+
+    Lines above the header are counted as lines of the file.
+    """
+    most = max(x.skip_rows for x in layouts) + 1
+    heads = records.where(F.col("line_no") <= most).select(
         "file",
-        (F.col("pos") - F.col("first_pos") + F.col("before") + 1).cast("int").alias("line_no"),
-        "value",
+        "line_no",
+        csv_fields(F.regexp_replace("value", "^\ufeff", "")).alias("fields"),
     )
-    head_lines = (
-        numbered.filter(F.col("line_no") <= heads)
-        .groupBy("file")
-        .agg(F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("h"))
-        .select("file", F.transform("h", lambda x: x["value"]).alias("head"))
+    firsts = heads.groupBy("file").agg(
+        F.map_from_entries(F.collect_list(F.struct("line_no", "fields"))).alias("head")
     )
-    described = _with_layout(head_lines, layouts)
-    return numbered.join(described, "file").select(
-        "file", "provider", "skip", "names", "value", "line_no"
+    none = F.array().cast("array<string>")
+    first = F.coalesce(F.try_element_at("head", F.lit(1).cast("long")), none)
+    named = F.col("file") if file_name is None else file_name
+    found = firsts.withColumn("provider", detect_provider(named, first, layouts))
+    skip = F.coalesce(
+        *[F.when(F.col("provider") == x.provider, F.lit(x.skip_rows)) for x in layouts], F.lit(0)
     )
+    found = found.withColumn("header_line", (skip + 1).cast("long"))
+    header = F.coalesce(F.try_element_at("head", F.col("header_line")), none)
+    return found.select("file", "provider", "header_line", column_names(header).alias("names"))
 
 
 def read_records(
     spark: SparkSession,
     path: str,
     layouts: tuple[Layout, ...],
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    file_name: Column | None = None,
 ) -> DataFrame:
-    """``(file, provider, row_num, record)``: data lines as name -> text maps."""
-    heads = max(x.skip_rows for x in layouts) + 1
-    lines = _small_files(spark, path, whole_file_bytes, layouts, heads)
-    sizes = spark.read.format("binaryFile").load(path).select("length")
-    if sizes.filter(F.col("length") > whole_file_bytes).limit(1).count():
-        large = _large_files(spark, path, whole_file_bytes, layouts, heads)
-        lines = lines.unionByName(large)
-    data = lines.filter((F.trim("value") != "") & (F.col("line_no") > F.col("skip") + 1))
-    values = F.slice("_fields", F.lit(1), F.size("names"))
-    return _fields(data, "value", "_fields").select(
+    """``(file, provider, row_num, record)``: data records as name -> text maps.
+
+    ``file_name`` stands for the path where the provider is told by other means.
+
+    ``row_num`` counts lines after the header. Fields beyond the header's are kept
+    under their place; fields a short record lacks are NULL.
+    """
+    records = _joined_records(_numbered_lines(spark, path))
+    described = _described(records, layouts, file_name)
+    data = records.where(F.trim("value") != "").join(described, "file")
+    data = data.where(F.col("line_no") > F.col("header_line"))
+    parsed = data.withColumn("fields", csv_fields(F.col("value")))
+    width = F.greatest(F.size("names"), F.size("fields"))
+    named = F.transform(
+        F.sequence(F.lit(1), width),
+        lambda i: F.struct(
+            F.coalesce(
+                F.try_element_at("names", i), F.concat(F.lit("column_"), i.cast("string"))
+            ).alias("key"),
+            F.try_element_at("fields", i).alias("value"),
+        ),
+    )
+    return parsed.select(
         "file",
         "provider",
-        (F.col("line_no") - F.col("skip") - 1).cast("int").alias("row_num"),
-        F.map_from_arrays("names", values).alias("record"),
+        (F.col("line_no") - F.col("header_line")).cast("int").alias("row_num"),
+        F.map_from_entries(named).alias("record"),
     )
 
 
@@ -193,11 +263,11 @@ def read_statement(
     path: str,
     account_id: Column | None = None,
     layouts: tuple[Layout, ...] | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    file_name: Column | None = None,
 ) -> DataFrame:
     """Raw landing rows: mapped columns as text, the rest of each row as JSON."""
     layouts = layouts or seeded_layouts()
-    rows = read_records(spark, path, layouts, whole_file_bytes)
+    rows = read_records(spark, path, layouts, file_name)
 
     def mapped(field: str) -> Column:
         branches = [
@@ -246,11 +316,10 @@ def read_share_trades(
     path: str,
     account_id: Column | None = None,
     columns: dict[str, str] | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """Trade rows as text, with the columns that are not mapped as JSON."""
     columns = columns or TRADE_COLUMNS
-    rows = read_records(spark, path, seeded_layouts(), whole_file_bytes)
+    rows = read_records(spark, path, seeded_layouts())
     names = list(columns.values())
     return rows.select(
         F.col("file").alias("source_file"),

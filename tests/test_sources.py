@@ -30,10 +30,19 @@ def statement_folder(folder):
     return folder
 
 
-@pytest.mark.parametrize("limit", [statements.WHOLE_FILE_BYTES, 1])
-def test_statements_by_header_and_by_name(spark, statement_folder, limit):
-    """Small and large files take different paths to the same rows."""
-    rows = statements.read_statement(spark, statement_folder, F.lit(1), whole_file_bytes=limit)
+@pytest.mark.parametrize("block", ["128m", "16"])
+def test_statements_by_header_and_by_name(spark, statement_folder, block):
+    """A file gives the same rows whether it is split or not."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        check_statements(spark, statement_folder)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def check_statements(spark, statement_folder):
+    rows = statements.read_statement(spark, statement_folder, F.lit(1))
     name = F.substring_index("source_file", "/", -1)
     found = values(rows.withColumn("f", name), "f", "provider", "row_num", "txn_date_raw",
                    "amount_raw", "debit_raw", "credit_raw", "description_raw")
@@ -58,13 +67,46 @@ def test_split_files_number_lines_across_blocks(spark, folder):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
-        rows = statements.read_statement(spark, folder, F.lit(1), whole_file_bytes=1).collect()
+        rows = statements.read_statement(spark, folder, F.lit(1)).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted(r.row_num for r in rows) == list(range(1, 3001))
     assert all(r.description_raw == f"row {r.row_num}" for r in rows)
 
 
+@pytest.mark.parametrize("block", ["128m", "40"])
+def test_wide_files_blank_and_repeated_headers_and_quoted_breaks(spark, folder, block):
+    more = [f"x{i}" for i in range(40)]
+    names = ["Date", "Amount", "Account Number", "", "Type", "Type", "Transaction Details", "Balance"]
+    first = ["4 Mar 26", "-1.00", "7", "in", "a", "b", '"two\nlines, ""quoted"""', "9.00", *more]
+    second = ["5 Mar 26", "-2.00", "7", "", "c", "d", "plain", "8.00", *more, "beyond"]
+    with open(os.path.join(folder, "nab-wide.csv"), "w") as handle:
+        handle.write("\n".join(",".join(row) for row in ([*names, *more], first, second)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        rows = statements.read_statement(spark, folder, F.lit(1)).orderBy("row_num").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.description_raw for r in rows] == ['two\nlines, "quoted"', "plain"]
+    assert [r.balance_raw for r in rows] == ["9.00", "8.00"]
+    assert [r.row_num for r in rows] == [1, 3]
+    extra = [json.loads(r.raw_json) for r in rows]
+    assert [e.get("column_4") for e in extra] == ["in", None]
+    assert [(e["Type"], e["Type#6"]) for e in extra] == [("a", "b"), ("c", "d")]
+    assert extra[0]["x39"] == "x39" and extra[1]["column_49"] == "beyond"
+
+
+def test_provider_needs_a_whole_word_or_a_clear_header(spark, folder):
+    for name in ("annabel.csv", "my_commsec_2024.csv", "Bendigo Bank.csv"):
+        with open(os.path.join(folder, name), "w") as handle:
+            handle.write("Date,Debit,Credit,Description,Balance\n24/03/2026,10.00,,Rates,5.00\n")
+    rows = statements.read_statement(spark, folder, F.lit(1))
+    name = F.regexp_replace(F.substring_index("source_file", "/", -1), "%20", " ")
+    assert values(rows.withColumn("f", name), "f", "provider") == [
+        ("Bendigo Bank.csv", "Bendigo"), ("annabel.csv", None), ("my_commsec_2024.csv", "CommSec")]
+
+
 def test_rows_above_the_header_are_skipped(spark, folder):
     with open(os.path.join(folder, "x-bank.csv"), "w") as handle:
         handle.write("Report\nDate,Amount,What\n01/02/2026,5.00,a\n")
