@@ -60,10 +60,9 @@ def fy_calendar(fy_periods: DataFrame) -> DataFrame:
 def with_fy_period(df: DataFrame, day: Column, fy_periods: DataFrame, out: str) -> DataFrame:
     """Add the period that contains ``day``; NULL outside every period."""
     calendar = fy_calendar(fy_periods).withColumnRenamed("fy_of_day", out)
-    # Bounded by the calendar: a century of days is 36,525 rows.
     return (
         df.withColumn("_fy_day", day)
-        .join(F.broadcast(calendar), F.col("_fy_day") == F.col("fy_day"), "left")
+        .join(calendar, F.col("_fy_day") == F.col("fy_day"), "left")
         .drop("_fy_day", "fy_day")
     )
 

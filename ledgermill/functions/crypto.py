@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ def hmac_pads(secret: str) -> tuple[str, str]:
         raise ValueError("a signing secret is required")
     key = secret.encode("utf-8")
     if len(key) > _BLOCK:
-        raise ValueError("the signing secret must not exceed 64 bytes")
+        key = hashlib.sha256(key).digest()
     padded = key.ljust(_BLOCK, b"\0")
     return bytes(b ^ 0x36 for b in padded).hex(), bytes(b ^ 0x5C for b in padded).hex()
 

@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 PREVIEW_CHARS = 500
 
-# Classifier input limits (document, folder and message-body path).
-DOCUMENT_CHARS = 24000
-FOLDER_CHARS = 1000
-BODY_CHARS = 4000
-
 # Characters a file name may not hold.
 UNSAFE_IN_NAME = r"[\\/:*?\"<>|'‘’“”]"
 UNSAFE_IN_STAGED_NAME = r"[\\/:\"*?<>|]"

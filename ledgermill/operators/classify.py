@@ -398,10 +398,10 @@ def few_shot_recent_block(examples: DataFrame) -> DataFrame:
     )
 
 
-def prompts(docs: DataFrame, text: str, block: DataFrame, chars: int = text_fn.DOCUMENT_CHARS) -> DataFrame:
+def prompts(docs: DataFrame, text: str, block: DataFrame) -> DataFrame:
     """Add ``prompt`` for a downstream scorer: task, examples, names and the text.
 
-    ``chars`` is the input limit of the scorer.
+    The text is whole; a scorer with a limit is given parts of it by the caller.
     """
     names = "\n".join(seeds.path_map(seeds.DOCUMENT_PATHS))
     task = (
@@ -416,7 +416,7 @@ def prompts(docs: DataFrame, text: str, block: DataFrame, chars: int = text_fn.D
             F.lit(task),
             examples,
             F.lit("Document text:\n"),
-            F.substring(F.coalesce(F.col(text), F.lit("")), 1, chars),
+            F.coalesce(F.col(text), F.lit("")),
             F.lit("\n\nCategories:\n" + names),
         ),
     )

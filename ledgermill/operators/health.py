@@ -108,21 +108,11 @@ def detect_anomalies(
         F.lit(" standard deviations from its category mean"),
     )
     kept = [c for c in txns.columns if c not in ("is_anomaly", "anomaly_reason")]
-    return txns.join(_small_side(baseline, categories), "category_id", "left").select(
+    return txns.join(baseline, "category_id", "left").select(
         *kept, outlier.alias("is_anomaly"), F.when(outlier, reason).alias("anomaly_reason")
     )
 
 
-def _small_side(df: DataFrame, bounded_by: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast if the table that bounds its rows is small.
-
-    The check counts the bounding table only, up to one row over the limit.
-    Beyond it the join stays a shuffle join that splits hot keys.
-    """
-    rows = bounded_by.select(F.lit(1)).limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
-
-
 def savings_trend(savings: DataFrame, months: int = 3) -> DataFrame:
     """Savings rate with its change and rolling mean; one row per month goes in."""
     by_month = Window.orderBy("month_start")

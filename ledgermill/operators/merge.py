@@ -13,11 +13,11 @@ from ledgermill.operators.keys import first_per_key, with_surrogate_key
 from ledgermill.schemas import CLASSIFICATION, LINE_ITEMS, REVIEWED
 from ledgermill.sources.queue import unprocessed
 
-# Status thresholds of the merge and of the drop-folder scan, and the
-# name recorded for the model that classified a document.
+# Status thresholds of the merge and of the drop-folder scan.
 MERGE_THRESHOLD = 0.75
 FOLDER_THRESHOLD = 0.6
-CLASSIFIER = "qwen2.5:14b"
+# Recorded as the model where documents are classified by this library's rules.
+CLASSIFIER = "rules"
 
 KEY = ("source_type", "source_id")
 
@@ -233,16 +233,26 @@ def with_category_id(
     return joined.drop("_wanted", "_name", "_renamed")
 
 
-def quarantined(landing: DataFrame, batch_id: int | None = None) -> DataFrame:
-    """Unprocessed rows the merge cannot take, with the reasons."""
+def _unreadable(queue: DataFrame, total_from: str) -> DataFrame:
+    """Primary documents whose classification cannot be typed."""
+    return unpack_classification(
+        primary_documents(parse_classification(queue)), total_from
+    ).filter(F.size("cast_errors") > 0)
+
+
+def quarantined(
+    landing: DataFrame, batch_id: int | None = None, total_from: str = "deductible_amount"
+) -> DataFrame:
+    """Unprocessed rows the merge cannot take, with the reasons.
+
+    ``total_from`` must be that of :func:`incoming_documents`.
+    """
     queue = unprocessed(landing, batch_id)
     no_key = queue.filter(F.col("source_type").isNull() | F.col("source_id").isNull()).select(
         "landing_id", F.array(F.lit("key")).alias("reasons")
     )
-    bad = (
-        unpack_classification(primary_documents(parse_classification(queue)))
-        .filter(F.size("cast_errors") > 0)
-        .select("landing_id", F.col("cast_errors").alias("reasons"))
+    bad = _unreadable(queue, total_from).select(
+        "landing_id", F.col("cast_errors").alias("reasons")
     )
     return no_key.unionByName(bad)
 
@@ -257,6 +267,7 @@ def incoming_documents(
     threshold: float = MERGE_THRESHOLD,
     by_relevance: bool = False,
     aliases: DataFrame | None = None,
+    classifier: str = CLASSIFIER,
 ) -> DataFrame:
     """Core-shaped rows for every readable primary document of the queue."""
     queue = parse_classification(unprocessed(landing, batch_id))
@@ -273,7 +284,7 @@ def incoming_documents(
     )
     return (
         rows.withColumn("review_status", status)
-        .withColumn("classification_model", F.lit(CLASSIFIER))
+        .withColumn("classification_model", F.lit(classifier))
         .drop("cast_errors", "cls_category", "cls_fy_year", "is_tax_relevant", "landing_id",
               "loaded_at", "is_processed")
     )
@@ -387,22 +398,28 @@ def merge_counts(merged: DataFrame, rejected: DataFrame) -> DataFrame:
     return done.withColumn("quarantined", rejected.agg(F.count("*")).scalar())
 
 
-def mark_processed(landing: DataFrame, batch_id: int | None = None) -> DataFrame:
-    """Set the flag on every row, of any batch, whose key was in the run.
+def mark_processed(
+    landing: DataFrame, batch_id: int | None = None, total_from: str = "deductible_amount"
+) -> DataFrame:
+    """Set the flag on every row, of any batch, whose key the run merged.
 
-    A run over the whole queue marks each keyed row by itself and needs no
-    join. A run over one batch joins to its distinct keys; the key side is
-    unique, so a hot key is split by the skew join.
+    Keys whose document the quarantine holds stay unmarked, so that a corrected
+    classification is merged by a later run. Both key sides are unique; the
+    quarantine is small, and a hot key of a batch is split by the skew join.
     """
+    queue = unprocessed(landing, batch_id)
+    rejected = _unreadable(queue, total_from).select(*KEY)
     keyed = F.col("source_type").isNotNull() & F.col("source_id").isNotNull()
     if batch_id is None:
-        return landing.withColumn("is_processed", F.col("is_processed") | keyed)
-    done = (
-        has_key(unprocessed(landing, batch_id)).select(*KEY).distinct()
-        .withColumn("_done", F.lit(True))
-    )
+        done = rejected.withColumn("_done", F.lit(False))
+    else:
+        merged = has_key(queue).select(*KEY).distinct().join(rejected, list(KEY), "left_anti")
+        done = merged.withColumn("_done", F.lit(True))
     return (
         landing.join(done, list(KEY), "left")
-        .withColumn("is_processed", F.col("is_processed") | F.coalesce("_done", F.lit(False)))
+        .withColumn(
+            "is_processed",
+            F.col("is_processed") | (keyed & F.coalesce("_done", F.lit(batch_id is None))),
+        )
         .select(*landing.columns)
     )

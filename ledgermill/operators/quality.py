@@ -59,14 +59,18 @@ def unique_violations(
 ) -> DataFrame:
     """Keys that occur more than once; NULL in a key never conflicts."""
     rows = df if where is None else df.filter(where)
-    keys = [c.cast("string") for c in columns]
-    complete = reduce(lambda a, b: a & b, [k.isNotNull() for k in keys])
+    keys = [f"_key_{i}" for i in range(len(columns))]
+    complete = reduce(lambda a, b: a & b, [c.isNotNull() for c in columns])
+    # Grouped on the columns; joined only for the report, where texts may look alike.
     return (
         rows.filter(complete)
-        .groupBy(F.concat_ws("|", *keys).alias("row_key"))
+        .groupBy(*[c.alias(k) for c, k in zip(columns, keys, strict=True)])
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter("_n > 1")
-        .select(F.lit(f"unique:{name}").alias("rule"), "row_key")
+        .select(
+            F.lit(f"unique:{name}").alias("rule"),
+            F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("row_key"),
+        )
     )
 
 

@@ -48,11 +48,14 @@ def end_run(
 def runs(log: DataFrame) -> DataFrame:
     """One row per run: start, end and the counts of its closing row.
 
-    A plain aggregate: the closing row is the only one that carries counts.
+    A plain aggregate: closing rows are the only ones that carry counts. Of several
+    closing rows the newest gives the status.
     """
     closed = F.col("status") != "STARTED"
     return log.groupBy("batch_id", "workflow_nme").agg(
-        F.coalesce(F.max(F.when(closed, F.col("status"))), F.lit("STARTED")).alias("status"),
+        F.coalesce(
+            F.max_by("status", F.when(closed, F.struct("logged_at", "status"))), F.lit("STARTED")
+        ).alias("status"),
         F.max("rows_extracted").alias("rows_extracted"),
         F.max("rows_loaded").alias("rows_loaded"),
         F.max("rows_skipped").alias("rows_skipped"),

@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from ledgermill.functions import values
 from ledgermill.functions.calendar import fy_of
 from ledgermill.functions.crypto import dedup_hash
+from ledgermill.operators.keys import first_per_key
 from ledgermill.schemas import TRADE_TYPES
 
 # Date formats of the statement providers.
 STATEMENT_FORMATS = ("%d %b %y", "%d/%m/%Y")
 TRADE_FORMATS = ("%d/%m/%Y", "%Y-%m-%d")
-MAX_DESCRIPTION = 500
 
 
 def clean_description(raw: Column) -> Column:
-    """Blanks collapsed and trimmed, kept to the column's width."""
-    return F.substring(F.trim(F.regexp_replace(raw, r"\s+", " ")), 1, MAX_DESCRIPTION)
+    """Blanks collapsed and trimmed; the whole text, as rules search all of it."""
+    return F.trim(F.regexp_replace(raw, r"\s+", " "))
 
 
 def canonical_amount(amount: Column, debit: Column, credit: Column, single: Column) -> Column:
@@ -67,11 +67,30 @@ def normalise_transactions(
     )
 
 
-def readable_transactions(rows: DataFrame) -> DataFrame:
-    needed = ("account_id", "txn_date", "amount", "description_raw")
+# What a row must have to enter core.
+TRANSACTION_FIELDS = ("account_id", "txn_date", "amount", "description_raw")
+TRADE_FIELDS = ("account_id", "trade_date", "security_code", "quantity", "price", "value")
+
+
+def _complete(rows: DataFrame, needed: tuple[str, ...]) -> DataFrame:
     return rows.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed]))
 
 
+def rejected_rows(rows: DataFrame, needed: tuple[str, ...] = TRANSACTION_FIELDS) -> DataFrame:
+    """Rows that cannot enter core, with the fields they lack as ``reasons``.
+
+    Together with the rows that can, they are all rows: nothing is lost unseen.
+    """
+    lacking = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
+    return rows.withColumn("reasons", F.filter(lacking, lambda c: c.isNotNull())).filter(
+        F.size("reasons") > 0
+    )
+
+
+def readable_transactions(rows: DataFrame) -> DataFrame:
+    return _complete(rows, TRANSACTION_FIELDS)
+
+
 def new_transactions(core: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows to insert: one per hash, not in core. ``occurrences`` counts equal rows.
 
@@ -137,16 +156,16 @@ def new_trades(core: DataFrame, rows: DataFrame) -> DataFrame:
     The key leaves out price and value, so of trades that differ only there the
     first by file, value and price is kept; the rest is counted.
     """
-    needed = ("account_id", "trade_date", "security_code", "quantity", "price", "value")
-    complete = rows.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed]))
-    payload = [c for c in rows.columns if c not in ("dedup_hash", "source_file", "value", "price")]
-    first = F.min(F.struct("source_file", "value", "price", *payload))
-    once = complete.groupBy("dedup_hash").agg(
-        first.alias("t"), F.count(F.lit(1)).alias("occurrences")
-    )
-    return once.select("dedup_hash", "t.*", "occurrences").join(
+    complete = _complete(rows, TRADE_FIELDS).join(
         core.select("dedup_hash"), "dedup_hash", "left_anti"
     )
+    payload = [c for c in rows.columns if c not in ("dedup_hash", "source_file", "value", "price")]
+    order = [F.col(c).asc() for c in ("source_file", "value", "price", *payload)]
+    # The count combines by hash before the shuffle, the row by a group limit.
+    counts = complete.groupBy("dedup_hash").agg(F.count(F.lit(1)).alias("occurrences"))
+    return first_per_key(complete, ["dedup_hash"], order).join(counts, "dedup_hash").select(
+        "dedup_hash", "source_file", "value", "price", *payload, "occurrences"
+    )
 
 
 def advance_watermark(marks: DataFrame, loaded: DataFrame, loaded_at: Column) -> DataFrame:

@@ -40,7 +40,9 @@ def vw_tax_documents(
     core: DataFrame, fy_periods: DataFrame, categories: DataFrame, include_rejected: bool = True
 ) -> DataFrame:
     """Documents with year label and category; optionally without rejected ones."""
-    docs = core if include_rejected else core.filter(F.col("review_status") != "AUTO_REJECTED")
+    docs = core if include_rejected else core.filter(
+        ~F.col("review_status").eqNullSafe("AUTO_REJECTED")
+    )
     return (
         docs.withColumnRenamed("fy_year", "_doc_fy")
         .join(_labels(fy_periods), F.col("_doc_fy") == F.col("_fy"), "left")

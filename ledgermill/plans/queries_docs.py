@@ -278,16 +278,18 @@ def json_unpack(spark, sf):
     )
 
 
-@query(
-    "quarantine",
+QUARANTINE_SQL = (
     with_frames("landing")
     + _PRIMARY
     + _TYPED
     + """SELECT landing_id, 'key' AS reasons FROM landing WHERE NOT is_processed
   AND (source_type IS NULL OR source_id IS NULL)
 UNION ALL SELECT landing_id, concat_ws(',', CASE WHEN bad_flag THEN 'is_deductible' END,
-  CASE WHEN bad_conf THEN 'confidence' END) FROM checked WHERE bad_flag OR bad_conf""",
+  CASE WHEN bad_conf THEN 'confidence' END) FROM checked WHERE bad_flag OR bad_conf"""
 )
+
+
+@query("quarantine", QUARANTINE_SQL)
 def quarantine(spark, sf):
     rows = merge.quarantined(frames.landing_documents(spark, sf))
     return rows.select("landing_id", F.array_join("reasons", ",").alias("reasons"))
@@ -448,11 +450,19 @@ _DONE = (
     "AND q.source_type = l.source_type AND q.source_id = l.source_id)"
 )
 
+_TAKEN = (
+    "NOT EXISTS (SELECT 1 FROM checked c WHERE (c.bad_flag OR c.bad_conf) "
+    "AND c.source_type = l.source_type AND c.source_id = l.source_id)"
+)
+
 
 @query(
     "mark_processed",
     with_frames("landing")
-    + f"SELECT landing_id, is_processed OR {_DONE.format(batch='')} AS is_processed FROM landing l",
+    + _PRIMARY
+    + _TYPED
+    + f"SELECT landing_id, is_processed OR ({_DONE.format(batch='')} AND {_TAKEN}) AS is_processed "
+    + "FROM landing l",
 )
 def mark_processed(spark, sf):
     return merge.mark_processed(frames.landing_documents(spark, sf)).select(
@@ -463,9 +473,11 @@ def mark_processed(spark, sf):
 @query(
     "mark_processed_batch",
     with_frames("landing")
-    + "SELECT landing_id, is_processed OR "
+    + _PRIMARY.replace("NOT is_processed", "NOT is_processed AND batch_id = 3")
+    + _TYPED
+    + "SELECT landing_id, is_processed OR ("
     + _DONE.format(batch=" AND q.batch_id = 3")
-    + " AS is_processed FROM landing l",
+    + f" AND {_TAKEN}) AS is_processed FROM landing l",
 )
 def mark_processed_batch(spark, sf):
     return merge.mark_processed(frames.landing_documents(spark, sf), 3).select(
@@ -693,11 +705,10 @@ def category_rules(spark, sf):
 @query(
     "default_class",
     """SELECT doc_id, 'Invoice / Receipt — Other' AS document_category, '0.1' AS document_confidence,
-  'Other' AS folder_category, '0.0' AS folder_confidence, 'false' AS is_deductible FROM documents
-WHERE lang = 'en'""",
+  'Other' AS folder_category, '0.0' AS folder_confidence, 'false' AS is_deductible FROM documents""",
 )
 def default_class(spark, sf):
-    docs = frames.table(spark, sf, "documents").filter("lang = 'en'")
+    docs = frames.table(spark, sf, "documents")
     blank = classify.classify_documents(
         docs.select("doc_id", F.lit("").alias("text")), "text", SAMPLE_RULES
     )
@@ -986,9 +997,9 @@ def few_shot_recent_block(spark, sf):
     with_frames("docs", "tax_cats")
     + _EXAMPLES
     + _BLOCK
-    + """SELECT d.doc_id, instr(p, 'Document text:' || chr(10) || substr(d.text, 1, 24000)) > 0 AS has_text,
+    + """SELECT d.doc_id, instr(p, 'Document text:' || chr(10) || d.text) > 0 AS has_text,
   instr(p, (SELECT block FROM b)) > 0 AS has_block, length(p) AS chars
-FROM (SELECT doc_id, text, (SELECT block FROM b) || 'Document text:' || chr(10) || substr(text, 1, 24000) AS p
+FROM (SELECT doc_id, text, (SELECT block FROM b) || 'Document text:' || chr(10) || text AS p
   FROM documents) d""",
 )
 def prompt(spark, sf):
@@ -1000,7 +1011,7 @@ def prompt(spark, sf):
     middle = F.length("prompt") - F.length(task) - F.length(tail)
     return rows.select(
         "doc_id",
-        F.col("prompt").contains(F.concat(F.lit("Document text:\n"), F.substring("text", 1, 24000))).alias("has_text"),
+        F.col("prompt").contains(F.concat(F.lit("Document text:\n"), F.col("text"))).alias("has_text"),
         F.col("prompt").contains(block.scalar()).alias("has_block"),
         middle.cast("bigint").alias("chars"),
     )
@@ -1101,6 +1112,23 @@ def statement_normalised(spark, sf):
     )
 
 
+@query(
+    "statement_rejects",
+    """SELECT o_orderkey AS row_num, CASE WHEN o_orderkey % 3 = 0 THEN 'txn_date,amount' ELSE 'txn_date' END AS reasons
+FROM orders WHERE o_orderkey % 11 = 0""",
+)
+def statement_rejects(spark, sf):
+    """Rows of a provider nobody knows cannot be read; they are reported with the reasons."""
+    unknown = F.when(F.col("row_num") % 11 == 0, F.lit("Other Bank")).otherwise(F.col("provider"))
+    rows = transactions.normalise_transactions(
+        _statement_rows(spark, sf).withColumn("provider", unknown),
+        seeds.statement_providers(spark),
+    )
+    return transactions.rejected_rows(rows).select(
+        "row_num", F.array_join("reasons", ",").alias("reasons")
+    )
+
+
 @query(
     "transactions_new",
     "WITH " + _NORMAL.lstrip(", ")
@@ -1124,7 +1152,7 @@ def transactions_new(spark, sf):
     "account_watermark",
     "WITH " + _NORMAL.lstrip(", ")
     + """, a AS (SELECT account_id, max(txn_date) AS d, arg_max(source_file, (txn_date, source_file)) AS f
-  FROM h WHERE txn_date >= DATE '1998-01-01' GROUP BY 1),
+  FROM h GROUP BY 1),
 m AS (SELECT c_custkey AS account_id, DATE '1999-06-30' AS d, 'old' AS f FROM customer WHERE c_custkey % 2 = 0)
 SELECT CAST(account_id AS BIGINT) AS account_id, CAST(greatest(m.d, a.d) AS VARCHAR) AS last_txn_date,
   CASE WHEN a.d IS NOT NULL AND coalesce(a.d >= m.d, true) THEN a.f ELSE m.f END AS last_file_nme
@@ -1133,7 +1161,7 @@ FROM m FULL JOIN a USING (account_id)""",
 def account_watermark(spark, sf):
     rows = transactions.normalise_transactions(
         _statement_rows(spark, sf), seeds.statement_providers(spark)
-    ).filter("txn_date >= DATE'1998-01-01'")
+    )
     marks = frames.table(spark, sf, "customer").filter("c_custkey % 2 = 0").select(
         F.col("c_custkey").cast("int").alias("account_id"),
         F.lit("1999-06-30").cast("date").alias("last_txn_date"),
@@ -1155,9 +1183,10 @@ SELECT dedup_hash, count(*) AS occurrences, CAST(min(value) AS DOUBLE) AS value,
   any_value(CASE WHEN month(trade_date) >= 7 THEN year(trade_date) + 1 ELSE year(trade_date) END) AS fy_year,
   CAST(min(CASE WHEN trade_type = 'BUY' THEN value + 9.95 END) AS DOUBLE) AS cost_base
 FROM (SELECT *, sha256(account_id || '|' || CAST(trade_date AS VARCHAR) || '|' || security_code || '|'
-  || CAST(quantity AS VARCHAR) || '|' || trade_type) AS dedup_hash FROM t) GROUP BY 1""",
+  || CAST(quantity AS VARCHAR) || '|' || trade_type) AS dedup_hash FROM t WHERE account_id % 5 <> 0) GROUP BY 1""",
 )
 def share_merge(spark, sf):
+    """Trades against a core that holds every fifth account already."""
     raw = frames.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").cast("int").alias("account_id"),
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("trade_date_raw"),
@@ -1171,8 +1200,8 @@ def share_merge(spark, sf):
         F.lit("trades.csv").alias("source_file"),
     )
     rows = transactions.normalise_trades(raw)
-    nothing = rows.select("dedup_hash").limit(0)
-    return transactions.new_trades(nothing, rows).select(
+    core = rows.filter("account_id % 5 = 0").select("dedup_hash").distinct()
+    return transactions.new_trades(core, rows).select(
         "dedup_hash", "occurrences", "value", "cgt_event", "fy_year", "cost_base"
     )
 

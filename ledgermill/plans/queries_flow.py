@@ -9,7 +9,7 @@ from ledgermill.operators import archive, landing, runlog, transactions
 from ledgermill.operators.snapshots import SnapshotTable
 from ledgermill.plans import frames, portal
 from ledgermill.plans.frames import SAMPLE_SECRET, with_frames
-from ledgermill.plans.queries_docs import _INCOMING, _archive_docs
+from ledgermill.plans.queries_docs import QUARANTINE_SQL, _INCOMING, _archive_docs
 from ledgermill.plans.queries_mart import tax_report
 from ledgermill.plans.queries_review import ACTIONS_SQL, review_actions
 from ledgermill.plans.registry import ORACLES, query
@@ -231,6 +231,24 @@ def stream_dedupe(spark, sf):
   CAST(coalesce(conf, 0) AS DOUBLE) AS confidence_score, status AS review_status, supplier AS supplier_name FROM inc""",
 )
 def stream_merge(spark, sf):
+    base = _drained(spark, sf)
+    return ingest.read_core(spark, f"{base}/core").select(
+        "source_type", "source_id", "file_name", "fy_year", "tax_category_id", "confidence_score",
+        "review_status", "supplier_name",
+    )
+
+
+@query("stream_quarantine", QUARANTINE_SQL)
+def stream_quarantine(spark, sf):
+    """What the stream could not merge, from the quarantine of its batches."""
+    base = _drained(spark, sf)
+    return ingest.read_rejects(spark, f"{base}/core-rejects").select(
+        "landing_id", F.array_join("reasons", ",").alias("reasons")
+    )
+
+
+def _drained(spark, sf) -> str:
+    """Stream the landing queue into core; returns the folder it lies in."""
     base = scratch_dir(spark, "queue")
     queued = frames.landing_documents(spark, sf)
     queued.repartition(4, "source_type", "source_id").write.parquet(f"{base}/landing")
@@ -243,10 +261,7 @@ def stream_merge(spark, sf):
         stream, f"{base}/core", f"{base}/checkpoint", frames.doc_fy(spark),
         seeds.tax_categories(spark),
     )
-    return ingest.read_core(spark, f"{base}/core").select(
-        "source_type", "source_id", "file_name", "fy_year", "tax_category_id", "confidence_score",
-        "review_status", "supplier_name",
-    )
+    return base
 
 
 @query(
@@ -256,7 +271,7 @@ def stream_merge(spark, sf):
 def stream_actions(spark, sf):
     base = scratch_dir(spark, "actions")
     actions = review_actions(spark, sf)
-    actions.coalesce(1).write.parquet(f"{base}/in")
+    actions.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(actions.schema).parquet(f"{base}/in")
     ingest.log_decisions(stream, f"{base}/decisions", f"{base}/checkpoint", SAMPLE_SECRET)
     return ingest.read_decisions(spark, f"{base}/decisions").drop("token")

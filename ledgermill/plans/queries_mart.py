@@ -139,7 +139,7 @@ def doc_enriched(spark, sf):
     "doc_enriched_accepted",
     with_frames("docs", "doc_fy", "tax_cats")
     + _ENRICHED
-    + " WHERE d.review_status <> 'AUTO_REJECTED'",
+    + " WHERE d.review_status IS DISTINCT FROM 'AUTO_REJECTED'",
 )
 def doc_enriched_accepted(spark, sf):
     return marts.vw_tax_documents(*_doc_tables(spark, sf), include_rejected=False)

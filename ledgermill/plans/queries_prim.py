@@ -163,10 +163,10 @@ def computed_key_join(spark, sf):
 @query(
     "prim_unnest",
     "SELECT conv_id, word, pos FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word, "
-    "generate_subscripts(string_split(text, ' '), 1) AS pos FROM conversations WHERE role = 'system')",
+    "generate_subscripts(string_split(text, ' '), 1) AS pos FROM conversations)",
 )
 def unnest(spark, sf):
-    rows = table(spark, sf, "conversations").filter(F.col("role") == "system")
+    rows = table(spark, sf, "conversations")
     words = rows.select("conv_id", F.posexplode(F.split("text", " ")).alias("_pos", "word"))
     return words.select("conv_id", "word", (F.col("_pos") + 1).alias("pos"))
 
@@ -379,30 +379,37 @@ def rolling(spark, sf):
 
 @query(
     "prim_sort_keys",
-    "SELECT o_orderkey FROM orders ORDER BY o_orderstatus DESC, o_totalprice, o_orderkey LIMIT 25",
+    "SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus "
+    "ORDER BY o_totalprice, o_orderkey) AS place FROM orders",
 )
 def sort_keys(spark, sf):
-    keys = [F.col("o_orderstatus").desc(), F.col("o_totalprice").asc(), F.col("o_orderkey").asc()]
-    return table(spark, sf, "orders").orderBy(*keys).limit(25).select("o_orderkey")
+    """All rows, each with its place in the order of its status."""
+    keys = [F.col("o_totalprice").asc(), F.col("o_orderkey").asc()]
+    place = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy(*keys))
+    return table(spark, sf, "orders").select("o_orderkey", place.alias("place"))
 
 
 @query(
     "prim_nulls_last",
-    f"SELECT doc_id FROM (SELECT doc_id, quality {_SCORED}) ORDER BY quality DESC NULLS LAST, doc_id LIMIT 20",
+    f"SELECT doc_id, row_number() OVER (PARTITION BY doc_id % 7 ORDER BY quality DESC NULLS LAST, doc_id) AS place "
+    f"FROM (SELECT doc_id, quality {_SCORED})",
 )
 def nulls_last(spark, sf):
     keys = [F.col("quality").desc_nulls_last(), F.col("doc_id").asc()]
-    return _scored(spark, sf).orderBy(*keys).limit(20).select("doc_id")
+    order = Window.partitionBy(F.col("doc_id") % 7).orderBy(*keys)
+    return _scored(spark, sf).select("doc_id", F.row_number().over(order).alias("place"))
 
 
 @query(
     "prim_sort_by_aggregate",
-    "SELECT o_custkey FROM orders GROUP BY 1 ORDER BY sum(CAST(o_totalprice AS DECIMAL(12,2))) DESC, o_custkey LIMIT 10",
+    "SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey % 7 ORDER BY total DESC, o_custkey) AS place FROM "
+    "(SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS total FROM orders GROUP BY 1)",
 )
 def sort_by_aggregate(spark, sf):
     total = F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("total")
     grouped = table(spark, sf, "orders").groupBy("o_custkey").agg(total)
-    return grouped.orderBy(F.col("total").desc(), "o_custkey").limit(10).select("o_custkey")
+    order = Window.partitionBy(F.col("o_custkey") % 7).orderBy(F.col("total").desc(), "o_custkey")
+    return grouped.select("o_custkey", F.row_number().over(order).alias("place"))
 
 
 @query(

@@ -495,11 +495,11 @@ def dq_violations(spark, sf):
 @query(
     "seed_merge",
     """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, CASE WHEN n_regionkey = 0 THEN 'kept' ELSE 'seeded' END AS origin
-FROM nation UNION ALL SELECT CAST(c_custkey AS BIGINT), 'kept' FROM customer WHERE c_custkey >= 1000""",
+FROM nation UNION ALL SELECT CAST(c_custkey AS BIGINT) + 1000, 'kept' FROM customer""",
 )
 def seed_merge(spark, sf):
     nations = frames.table(spark, sf, "nation")
-    extra = frames.table(spark, sf, "customer").filter("c_custkey >= 1000")
+    extra = frames.table(spark, sf, "customer").selectExpr("c_custkey + 1000 AS c_custkey")
     existing = nations.filter("n_regionkey = 0").selectExpr(
         "CAST(n_nationkey AS BIGINT) AS n_nationkey", "'kept' AS origin"
     ).unionByName(extra.selectExpr("c_custkey AS n_nationkey", "'kept' AS origin"))

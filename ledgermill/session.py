@@ -60,11 +60,13 @@ def pin_settings(spark: SparkSession) -> SparkSession:
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    A machine-local folder is used only where no shared folder is configured,
-    which is the case in tests.
+    Without one, a cluster is refused: its executors do not see each other's disks. A
+    session on one machine gets a folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ledgermill-")
         spark.conf.set(SCRATCH_KEY, base)
     if spark.sparkContext.getCheckpointDir() is None:

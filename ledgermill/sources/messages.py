@@ -165,7 +165,7 @@ def body_rows(messages: DataFrame) -> DataFrame:
             F.lit(None).cast("bigint").alias("file_size_bytes"),
             text.preview(F.col("body")).alias("content_preview"),
             F.length("body").alias("body_text_length"),
-            F.substring("body", 1, text.BODY_CHARS).alias("classifier_input"),
+            F.col("body").alias("classifier_input"),
         )
     )
 

@@ -21,6 +21,7 @@ from ledgermill.operators.merge import (
     incoming_documents,
     latest_documents,
     merge_changes,
+    quarantined,
 )
 from ledgermill.operators.review import valid_review_actions
 from ledgermill.schemas import CORE_DOCUMENTS
@@ -101,7 +102,8 @@ def ingest_rows(
     def land(batch: DataFrame, epoch: int) -> None:
         rows = transform(batch)
         known = read_epochs(spark, landing, schema, before=epoch)
-        once = rows.dropDuplicates(list(keys))
+        # A full order, so that a retried batch keeps the same row.
+        once = first_per_key(rows, list(keys), [F.col(c).asc() for c in rows.columns])
         fresh = once.join(known.select(*keys), list(keys), "left_anti")
         fresh.write.mode("overwrite").parquet(_epoch_path(landing, epoch))
 
@@ -123,12 +125,19 @@ def drain_queue(
     categories: DataFrame,
     policy: MergePolicy = CURRENT_POLICY,
     now: Column | None = None,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
-    """Merge streamed landing rows into core, kept as a log of changed rows."""
+    """Merge streamed landing rows into core, kept as a log of changed rows.
+
+    Rows the merge cannot take are written with their reasons before the changes of
+    their batch, below ``rejects_path`` (default: ``<core_path>-rejects``).
+    """
     spark = landing.sparkSession
+    rejects = rejects_path or f"{core_path}-rejects"
 
     def merge(batch: DataFrame, epoch: int) -> None:
         core = latest_documents(read_epochs(spark, core_path, CORE_DOCUMENTS, before=epoch), EPOCH)
+        quarantined(batch).write.mode("overwrite").parquet(_epoch_path(rejects, epoch))
         incoming = incoming_documents(batch, fy_periods, categories)
         changes = merge_changes(core, incoming, policy, now).drop("merge_outcome")
         changes.write.mode("overwrite").parquet(_epoch_path(core_path, epoch))
@@ -141,6 +150,14 @@ def read_core(spark: SparkSession, core_path: str) -> DataFrame:
     return latest_documents(read_epochs(spark, core_path, CORE_DOCUMENTS), EPOCH)
 
 
+REJECT = "landing_id BIGINT, reasons ARRAY<STRING>"
+
+
+def read_rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """Rows of all batches that could not be merged, with their reasons."""
+    return read_epochs(spark, rejects_path, REJECT).drop(EPOCH)
+
+
 def compact_core(spark: SparkSession, core_path: str, target: str) -> None:
     """Start a new change log at ``target`` from the current documents.
 
