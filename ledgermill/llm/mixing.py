@@ -177,7 +177,8 @@ def mixed(
     repeats = F.sequence(
         F.lit(1), (F.col(whole) + F.when(F.col(part) > 0, 1).otherwise(0)).cast("int")
     )
-    rows = numbered.join(plan, row).withColumn(copy, F.explode(repeats))
+    # The plan has a row for nearly every document: it is never small next to them.
+    rows = numbered.join(plan.hint("merge"), row).withColumn(copy, F.explode(repeats))
     cut = F.col(copy) > F.col(whole)
     words = F.regexp_extract_all(F.col(quoted(text_column)), F.lit(WORD), F.lit(0))
     text = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.col(part)), " ")).otherwise(
