@@ -144,3 +144,9 @@ def test_bill_lines(spark):
     ]
     assert [float(i["amount"]) for i in items] == [63.51, -4.77, -1005.0, 29.39]
     assert float(items[0]["quantity"]) == 180.2 and items[3]["unit"] == "days"
+
+
+def test_long_signing_secrets_are_hashed_first(spark):
+    secret = "s" * 100
+    found = spark.range(1).select(crypto.hmac_sha256(F.lit("text"), secret)).first()[0]
+    assert found == hmac.new(secret.encode(), b"text", hashlib.sha256).hexdigest()

@@ -218,3 +218,27 @@ def test_surrogate_keys_are_unique_and_stable(spark):
     assert first.select("new_id").distinct().count() == 5000
     assert first.agg(F.min("new_id")).first()[0] > 100
     assert first.join(again, ["k", "new_id"]).count() == 5000
+
+
+def test_a_rejected_document_stays_unmarked_until_it_can_be_merged(spark):
+    rows = landing(
+        spark,
+        [
+            {"source_id": "a", "cls": {"confidence": "0.9"}},
+            {"source_id": "b", "file_size_bytes": 9, "cls": {"confidence": "very"}},
+            {"source_id": "b", "file_size_bytes": 1, "cls": {"confidence": "0.9"}},
+            {"source_id": None, "cls": {"confidence": "0.9"}},
+        ],
+    )
+    for batch in (None, 1):
+        # The largest file of "b" cannot be read, so no row of "b" was merged.
+        assert values(merge.mark_processed(rows, batch), "landing_id", "is_processed") == [
+            (1, True), (2, False), (3, False), (4, False),
+        ]
+
+
+def test_the_quarantine_follows_the_field_the_total_is_read_from(spark):
+    rows = landing(spark, [{"cls": {"confidence": "0.9", "total_amount": "a lot"}}])
+    assert merge.quarantined(rows).count() == 0
+    found = merge.quarantined(rows, total_from="total_amount")
+    assert values(found, "reasons") == [(["total_amount"],)]

@@ -285,3 +285,9 @@ def test_seed_if_absent_is_idempotent(spark):
     once = quality.seed_if_absent(table, seeds.transaction_categories(spark), key)
     assert once.count() == 43
     assert quality.seed_if_absent(once, seeds.transaction_categories(spark), key).count() == 43
+
+
+def test_unique_keys_are_compared_by_column(spark):
+    rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("x", "y"), ("x", "y")], "k STRING, v STRING")
+    found = quality.unique_violations(rows, "pair", [F.col("k"), F.col("v")]).collect()
+    assert [tuple(r) for r in found] == [("unique:pair", "x|y")]
