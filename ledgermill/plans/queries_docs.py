@@ -1233,6 +1233,8 @@ def _message_json(spark, sf):
         F.array(part(F.lit(""), F.lit("multipart/alternative"), empty,
                      F.array(part(pdf("deep"), F.lit("application/pdf"), body)))),
     )
+    for _ in range(6):
+        deep = part(F.lit(""), F.lit("multipart/mixed"), empty, F.array(deep))
     flat = F.array(
         part(F.lit("note.txt"), F.lit("text/plain"), body),
         part(pdf("one"), F.lit("application/octet-stream"), body),

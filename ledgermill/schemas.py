@@ -88,6 +88,7 @@ RUN_LOG = (
     "logged_at TIMESTAMP"
 )
 
+# Levels of MIME parts read by one pass; what lies deeper is read by further passes.
 MIME_DEPTH = 4
 
 

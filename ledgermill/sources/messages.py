@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from ledgermill import seeds
 from ledgermill.functions import text
-from ledgermill.schemas import MESSAGE, MIME_DEPTH
+from ledgermill.schemas import MESSAGE, MIME_DEPTH, message_part
 
-# A MIME part without its children; every level is brought to this shape.
+# A MIME part without its children; every level is brought to this shape. ``rest`` is
+# the raw text of children below the levels read so far.
 _PART = (
     "STRUCT<mimeType: STRING, filename: STRING, "
-    "body: STRUCT<attachmentId: STRING, data: STRING, size: BIGINT>>"
+    "body: STRUCT<attachmentId: STRING, data: STRING, size: BIGINT>, rest: STRING>"
 )
 
+# Passes over the raw rest: with four, parts are found down to level 24.
+PASSES = 4
+
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE).json(path)
@@ -27,41 +31,65 @@ def parse_messages(json: DataFrame, column: str) -> DataFrame:
     return json.select(F.from_json(column, MESSAGE).alias("m")).select("m.*")
 
 
-def _slim(part: Column) -> Column:
+def _slim(part: Column, rest: Column | None = None) -> Column:
     return F.struct(
         part["mimeType"].alias("mimeType"),
         part["filename"].alias("filename"),
         part["body"].alias("body"),
+        (F.lit(None) if rest is None else rest).cast("string").alias("rest"),
     ).cast(_PART)
 
 
-def _below(part: Column, depth: int) -> Column:
-    """Every part below ``part``, in document order. A missing list counts as empty."""
-    empty = F.array().cast(f"array<{_PART}>")
-    if depth == 0:
-        return empty
-    walk = F.transform(
-        part["parts"], lambda child: F.concat(F.array(_slim(child)), _below(child, depth - 1))
-    )
-    return F.coalesce(F.flatten(walk), empty)
+def _tree(parts: Column, depth: int) -> Column:
+    """Parts of a list and below, in document order. A missing list counts as empty."""
+
+    def with_children(part: Column) -> Column:
+        if depth == 0:
+            rest = F.when(~F.trim(part["parts"]).isin("[]", "null", ""), part["parts"])
+            return F.array(_slim(part, rest))
+        return F.concat(F.array(_slim(part)), _tree(part["parts"], depth - 1))
+
+    walk = F.flatten(F.transform(parts, with_children))
+    return F.coalesce(walk, F.array().cast(f"array<{_PART}>"))
+
+
+def _read_rest(parts: Column) -> Column:
+    """Put the children that are raw text so far behind their parts."""
+    level = f"ARRAY<{message_part(MIME_DEPTH)}>"
+
+    def read(part: Column) -> Column:
+        below = _tree(F.from_json(part["rest"], level), MIME_DEPTH)
+        return F.when(part["rest"].isNull(), F.array(part)).otherwise(
+            F.concat(F.array(part.withField("rest", F.lit(None).cast("string"))), below)
+        )
+
+    return F.flatten(F.transform(parts, read))
+
+
+def parts_below(payload: Column) -> Column:
+    """Every part below the message itself, in document order."""
+    parts = _tree(payload["parts"], MIME_DEPTH - 1)
+    for _ in range(PASSES):
+        parts = _read_rest(parts)
+    return parts
 
 
 def all_parts(payload: Column) -> Column:
-    return F.concat(F.array(_slim(payload)), _below(payload, MIME_DEPTH))
+    return F.concat(F.array(_slim(payload)), parts_below(payload))
 
 
 def too_deep(payload: Column) -> Column:
-    """True when a message nests deeper than the unrolled levels."""
+    """True when parts are left unread after all passes."""
+    return F.exists(parts_below(payload), lambda part: part["rest"].isNotNull())
 
-    def deeper(part: Column, depth: int) -> Column:
-        if depth == 0:
-            raw = part["parts"]
-            return F.coalesce(raw.isNotNull() & ~raw.isin("[]", "null", ""), F.lit(False))
-        return F.coalesce(
-            F.exists(part["parts"], lambda child: deeper(child, depth - 1)), F.lit(False)
-        )
 
-    return deeper(payload, MIME_DEPTH)
+def unread_messages(messages: DataFrame) -> DataFrame:
+    """Messages that nest too deep to be read whole; they belong in the quarantine."""
+    return messages.filter(too_deep(F.col("payload"))).select(
+        F.lit("GMAIL").alias("source_type"),
+        F.col("id").alias("source_id"),
+        F.array(F.lit("parts")).alias("reasons"),
+    )
 
 
 def header(payload: Column, name: str, last: bool = False) -> Column:
@@ -122,7 +150,7 @@ def first_pdf(messages: DataFrame, now: Column | None = None) -> DataFrame:
         return (mime.contains("pdf") | is_pdf_name(part["filename"])) & (inline | attached)
 
     payload = F.col("payload")
-    nested = F.filter(_below(payload, MIME_DEPTH), wanted)
+    nested = F.filter(parts_below(payload), wanted)
     root = F.filter(F.array(_slim(payload)), wanted)
     part = F.try_element_at(F.when(F.size(nested) > 0, nested).otherwise(root), F.lit(1))
     name = F.coalesce(F.nullif(F.col("part.filename"), F.lit("")), F.lit("attachment.pdf"))
@@ -144,7 +172,10 @@ def first_pdf(messages: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def body_rows(messages: DataFrame) -> DataFrame:
-    """Messages without a PDF: the body becomes the text, file fields stay NULL."""
+    """Messages without a PDF: the body becomes the text, file fields stay NULL.
+
+    A message with parts left unread may hold a PDF; it is no body row.
+    """
     payload = F.col("payload")
     plain = F.filter(
         all_parts(payload), lambda p: F.length(F.coalesce(p["body"]["data"], F.lit(""))) > 0
@@ -152,7 +183,7 @@ def body_rows(messages: DataFrame) -> DataFrame:
     data = F.try_element_at(plain, F.lit(1))["body"]["data"]
     body = text.body_text(data, F.col("snippet"))
     return (
-        messages.filter(F.size(pdf_parts(payload)) == 0)
+        messages.filter((F.size(pdf_parts(payload)) == 0) & ~too_deep(payload))
         .withColumn("body", body)
         .select(
             F.lit("GMAIL").alias("source_type"),

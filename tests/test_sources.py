@@ -164,13 +164,19 @@ def test_pdf_parts_at_any_depth(spark):
     ]
 
 
-def test_messages_nested_too_deep_are_seen(spark):
-    nested = part("x.pdf")
-    for _ in range(5):
-        nested = part("", "m/x", 0, [nested])
-    rows = parsed(spark, [nested, part("", "m/x", 0, [part("a.pdf")])])
-    deep = rows.select("id", messages.too_deep(F.col("payload")).alias("deep"))
-    assert values(deep, "id", "deep") == [("m0", True), ("m1", False)]
+def nested(levels):
+    inner = part("x.pdf")
+    for _ in range(levels):
+        inner = part("", "m/x", 0, [inner, part("note.txt")])
+    return inner
+
+
+def test_messages_are_read_to_any_usual_depth_and_deeper_ones_are_seen(spark):
+    rows = parsed(spark, [nested(5), nested(12), nested(23), nested(30), part("", "text/plain")])
+    found = values(messages.flatten_messages(rows), "source_id", "file_name")
+    assert found == [("m0", "x.pdf"), ("m1", "x.pdf"), ("m2", "x.pdf")]
+    assert values(messages.unread_messages(rows), "source_id", "reasons") == [("m3", ["parts"])]
+    assert values(messages.body_rows(rows), "source_id") == [("m4",)]
 
 
 def test_staging_folder(spark, folder):
