@@ -248,18 +248,18 @@ def trade_positions(trades: DataFrame) -> DataFrame:
 
 
 def running_trades(
-    trades: DataFrame, order: list[str], block: Column | None = None
+    trades: DataFrame, order: list[str], block: Column
 ) -> DataFrame:
     """Row-level running quantity per security, in order of day and ``order``.
 
     Quantities are summed per block first; a row adds the blocks before its own
     to the window inside its block. Blocks are trading days, cut further by
-    ``block`` if given (it must not decrease along ``order``, for instance a
-    range of the leading order column). So a heavily traded security, or day,
-    does not end up in one task.
+    ``block``, which must not decrease along ``order`` and should bound the rows of
+    a block, for instance a range of the leading order column. So a heavily traded
+    security, or day, does not end up in one task.
     """
     rows = trades.withColumn("_q", _signed_quantity()).withColumn(
-        "_block", F.lit(0) if block is None else block
+        "_block", block
     )
     keys = ["security_code", "trade_date", "_block"]
     blocks = rows.groupBy(*keys).agg(F.sum("_q").alias("_sum"))

@@ -83,7 +83,7 @@ def _status_list(core: DataFrame, categories: DataFrame, status: str) -> DataFra
 
 
 def needs_review_list(
-    core: DataFrame, categories: DataFrame, ordered: bool = True
+    core: DataFrame, categories: DataFrame, ordered: bool = False
 ) -> DataFrame:
     """Least certain first, then the newest document."""
     rows = _status_list(core, categories, "NEEDS_REVIEW")
@@ -92,7 +92,7 @@ def needs_review_list(
 
 
 def auto_confirmed_list(
-    core: DataFrame, categories: DataFrame, ordered: bool = True
+    core: DataFrame, categories: DataFrame, ordered: bool = False
 ) -> DataFrame:
     """Spot-check list: least certain first, then the newest document."""
     rows = _status_list(core, categories, "AUTO_CONFIRMED").drop("reviewer_notes")
@@ -101,7 +101,7 @@ def auto_confirmed_list(
 
 
 def auto_rejected_list(
-    core: DataFrame, categories: DataFrame, ordered: bool = True
+    core: DataFrame, categories: DataFrame, ordered: bool = False
 ) -> DataFrame:
     """Rejected by the classifier: most certain first, then the newest document."""
     rows = _status_list(core, categories, "AUTO_REJECTED").drop("reviewer_notes")

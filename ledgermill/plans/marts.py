@@ -4,9 +4,9 @@ Facts are grouped on their own ids before any dimension is joined: the partial
 aggregate takes the weight out of hot accounts and categories, and the joins
 that follow see one row per group.
 
-Views that return single documents or transactions take ``ordered=False`` for
-callers that sort or group themselves: a total order costs a second pass over
-the scan and a shuffle of every row.
+Views that return single documents or transactions are unordered unless asked with
+``ordered=True``: a total order costs a second pass over the scan and a shuffle of
+every row, and belongs to the sink that shows the rows.
 """
 
 from __future__ import annotations
@@ -198,7 +198,7 @@ def vw_savings_rate(txns: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def vw_anomalies(
-    txns: DataFrame, accounts: DataFrame, categories: DataFrame, ordered: bool = True
+    txns: DataFrame, accounts: DataFrame, categories: DataFrame, ordered: bool = False
 ) -> DataFrame:
     """Flagged transactions with labels, newest first."""
     rows = (
@@ -302,7 +302,7 @@ _BILL_ORDER = ("billing_start", "supplier_name")
 
 
 def vw_utility_bills(
-    core: DataFrame, fy_periods: DataFrame, categories: DataFrame, ordered: bool = True
+    core: DataFrame, fy_periods: DataFrame, categories: DataFrame, ordered: bool = False
 ) -> DataFrame:
     """Bills of the utility categories by billing start, missing ones last."""
     rows = (
@@ -326,7 +326,7 @@ def line_items_from_json(json: Column) -> Column:
 
 
 def vw_utility_line_items(
-    core: DataFrame, fy_periods: DataFrame, categories: DataFrame, ordered: bool = True
+    core: DataFrame, fy_periods: DataFrame, categories: DataFrame, ordered: bool = False
 ) -> DataFrame:
     """One row per charge line, numbered from 1, with typed numbers."""
 

@@ -201,7 +201,7 @@ def test_running_trades_match_a_plain_window(spark):
         "CAST(id % 7 AS DECIMAL(15,4)) AS quantity",
         "CASE id % 4 WHEN 0 THEN 'SELL' WHEN 1 THEN 'SPLIT' ELSE 'BUY' END AS trade_type",
     )
-    by_day = health.running_trades(rows, ["id"]).select("id", F.col("quantity_held").alias("day"))
+    by_day = health.running_trades(rows, ["id"], F.lit(0)).select("id", F.col("quantity_held").alias("day"))
     blocks = health.running_trades(rows, ["id"], F.floor(F.col("id") / 7))
     mine = blocks.select("id", F.col("quantity_held").alias("mine")).join(by_day, "id")
     assert mine.filter("mine <> day").count() == 0
