@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions.crypto import review_token
@@ -263,82 +263,143 @@ class BulkAction:
     note: str | None = None
 
 
-def _set_status(
-    core: DataFrame, hit: Column, status: str, note: Column, now: Column
-) -> DataFrame:
-    """Set status and note where ``hit``; stamp the review when the status changes."""
-    hit = F.coalesce(hit, F.lit(False))
-    changes = hit & (F.col("review_status") != status)
-    return core.select(
-        *[
-            F.when(changes, now).otherwise(F.col(c)).alias(c) if c == "reviewed_at"
-            else F.when(hit, note).otherwise(F.col(c)).alias(c) if c == "reviewer_notes"
-            else F.when(hit, F.lit(status)).otherwise(F.col(c)).alias(c) if c == "review_status"
-            else F.when(hit, now).otherwise(F.col(c)).alias(c) if c == "updated_at"
-            else F.col(c)
-            for c in core.columns
-        ]
+ACTION_KINDS = (
+    "accept", "reject", "accept_supplier", "reject_supplier", "accept_category", "accept_fy",
+    "rescue", "recategorise", "note",
+)
+BULK_ACTION = (
+    "step BIGINT, kind STRING, doc_id BIGINT, supplier STRING, category STRING, fy_year INT, "
+    "note STRING"
+)
+
+
+def bulk_action_rows(spark: SparkSession, actions: Sequence[BulkAction]) -> DataFrame:
+    """A review script as a table, numbered in the order given."""
+    for action in actions:
+        if action.kind not in ACTION_KINDS:
+            raise ValueError(f"unknown action {action.kind}")
+    rows = [
+        (i, a.kind, a.doc_id, a.supplier, a.category, a.fy_year, a.note)
+        for i, a in enumerate(actions)
+    ]
+    return spark.createDataFrame(rows, BULK_ACTION)
+
+
+def _after(state: Column, action: Column, floors: dict[str, Column], now: Column) -> Column:
+    """A document's state after one action that may concern it."""
+    status, kind = state["status"], action["kind"]
+    supplier_hit = kind.isin("accept_supplier", "reject_supplier") & (
+        status.isin("NEEDS_REVIEW", "AUTO_CONFIRMED")
+        | ((kind == "reject_supplier") & (status == "AUTO_REJECTED"))
+    )
+    category_hit = (
+        (kind == "accept_category")
+        & (state["category"] == action["category_id"])
+        & (status == "AUTO_CONFIRMED")
+        & floors["accept_category"]
+    )
+    fy_hit = (kind == "accept_fy") & (status == "AUTO_CONFIRMED") & floors["accept_fy"]
+    rescued = (kind == "rescue") & (status == "AUTO_REJECTED")
+    hit = F.coalesce(
+        kind.isin("accept", "reject") | supplier_hit | category_hit | fy_hit | rescued,
+        F.lit(False),
+    )
+    target = F.when(kind.isin("reject", "reject_supplier"), "REJECTED").otherwise("CONFIRMED")
+    changes = F.coalesce(hit & (status != target), F.lit(False))
+    return F.struct(
+        F.when(hit, target).otherwise(status).alias("status"),
+        F.when(hit | (kind == "note"), action["note"]).otherwise(state["note"]).alias("note"),
+        F.when(kind == "recategorise", action["category_id"])
+        .otherwise(state["category"])
+        .alias("category"),
+        F.when(changes, now).otherwise(state["reviewed_at"]).alias("reviewed_at"),
+        F.when(hit, now).otherwise(state["updated_at"]).alias("updated_at"),
     )
 
 
 def apply_bulk_actions(
-    core: DataFrame, actions: Sequence[BulkAction], categories: DataFrame, now: Column
+    core: DataFrame,
+    actions: Sequence[BulkAction] | DataFrame,
+    categories: DataFrame,
+    now: Column,
 ) -> DataFrame:
-    """Apply a review script. Each statement is a projection, so nothing is shuffled.
+    """Apply a review script: one join per way of naming documents, then one pass per document.
 
-    Every statement sees the rows as the one before left them. Category names
-    are looked up as scalar subqueries; an unknown name matches no row.
+    Every statement sees a document as the one before left it. An unknown category
+    name matches no row, and a document recategorised to one has no category. The
+    script is written by people: what names one document, supplier, year or category
+    is kept as one list.
     """
+    if not isinstance(actions, DataFrame):
+        actions = bulk_action_rows(core.sparkSession, actions)
+    names = categories.groupBy(F.col("category_nme").alias("category")).agg(
+        F.min("category_id").alias("category_id")
+    )
+    steps = actions.join(names, "category", "left")
+    steps = steps.withColumn("category_id", F.col("category_id").cast("int"))
+    entry = F.struct("step", "kind", "note", "category_id")
+    # A document moved to a category meets the statements on that category as well.
+    accepts = steps.filter("kind = 'accept_category'")
+    moved = steps.filter("kind = 'recategorise'").select("doc_id", "category_id")
+    steps = steps.unionByName(
+        accepts.drop("doc_id").join(moved, "category_id").select(*steps.columns)
+    )
 
-    def category_id(name: str) -> Column:
-        found = categories.filter(F.col("category_nme") == name)
-        return found.agg(F.min("category_id")).scalar()
+    def listed(named: Column, key: Column, name: str) -> DataFrame:
+        chosen = steps.filter(named & key.isNotNull())
+        return chosen.groupBy(key.alias(f"_{name}")).agg(
+            F.collect_list(entry).alias(f"_by_{name}")
+        )
 
-    status = F.col("review_status")
-    for a in actions:
-        by_id = F.col("doc_id") == F.lit(a.doc_id)
-        supplier = F.lower("supplier_name") == F.lower(F.lit(a.supplier))
-        if a.kind == "accept":
-            core = _set_status(core, by_id, "CONFIRMED", F.lit(a.note), now)
-        elif a.kind == "reject":
-            core = _set_status(core, by_id, "REJECTED", F.lit(a.note), now)
-        elif a.kind == "accept_supplier":
-            hit = supplier & status.isin("NEEDS_REVIEW", "AUTO_CONFIRMED")
-            core = _set_status(core, hit, "CONFIRMED", F.lit(a.note), now)
-        elif a.kind == "reject_supplier":
-            hit = supplier & status.isin("NEEDS_REVIEW", "AUTO_CONFIRMED", "AUTO_REJECTED")
-            core = _set_status(core, hit, "REJECTED", F.lit(a.note), now)
-        elif a.kind == "accept_category":
-            floor = F.lit(MIN_CATEGORY_CONFIDENCE).cast("decimal(4,3)")
-            hit = (
-                (F.col("tax_category_id") == category_id(a.category))
-                & (status == "AUTO_CONFIRMED")
-                & (F.col("confidence_score") >= floor)
-            )
-            core = _set_status(core, hit, "CONFIRMED", F.lit(a.note), now)
-        elif a.kind == "accept_fy":
-            floor = F.lit(MIN_FY_CONFIDENCE).cast("decimal(4,3)")
-            hit = (
-                (F.col("fy_year") == a.fy_year)
-                & (status == "AUTO_CONFIRMED")
-                & (F.col("confidence_score") >= floor)
-            )
-            core = _set_status(core, hit, "CONFIRMED", F.lit(a.note), now)
-        elif a.kind == "rescue":
-            hit = by_id & (status == "AUTO_REJECTED")
-            core = _set_status(core, hit, "CONFIRMED", F.lit(a.note), now)
-        elif a.kind == "recategorise":
-            core = core.withColumn(
-                "tax_category_id",
-                F.when(by_id, category_id(a.category)).otherwise(F.col("tax_category_id")),
-            )
-        elif a.kind == "note":
-            core = core.withColumn(
-                "reviewer_notes", F.when(by_id, F.lit(a.note)).otherwise(F.col("reviewer_notes"))
-            )
-        else:
-            raise ValueError(f"unknown action {a.kind}")
-    return core
+    kind = F.col("kind")
+    single = kind.isin("accept", "reject", "rescue", "recategorise", "note", "accept_category")
+    by_doc = listed(single, F.col("doc_id"), "doc")
+    by_supplier = listed(
+        kind.isin("accept_supplier", "reject_supplier"), F.lower("supplier"), "supplier"
+    )
+    by_year = listed(kind == "accept_fy", F.col("fy_year"), "year")
+    by_category = listed(kind == "accept_category", F.col("category_id"), "category")
+    rows = (
+        core.join(by_doc, F.col("doc_id") == F.col("_doc"), "left")
+        .join(by_supplier, F.lower("supplier_name") == F.col("_supplier"), "left")
+        .join(by_year, F.col("fy_year") == F.col("_year"), "left")
+        .join(by_category, F.col("tax_category_id") == F.col("_category"), "left")
+    )
+    none = F.array().cast("array<struct<step:bigint,kind:string,note:string,category_id:int>>")
+    lists = ("_by_doc", "_by_supplier", "_by_year", "_by_category")
+    script = F.array_sort(
+        F.array_distinct(F.concat(*[F.coalesce(F.col(c), none) for c in lists]))
+    )
+    confidence = F.col("confidence_score")
+    floors = {
+        kind: confidence >= F.lit(floor).cast("decimal(4,3)")
+        for kind, floor in (
+            ("accept_category", MIN_CATEGORY_CONFIDENCE),
+            ("accept_fy", MIN_FY_CONFIDENCE),
+        )
+    }
+    types = {f.name: f.dataType for f in core.schema.fields}
+    fields = {
+        "review_status": "status",
+        "reviewer_notes": "note",
+        "tax_category_id": "category",
+        "reviewed_at": "reviewed_at",
+        "updated_at": "updated_at",
+    }
+    kinds = ", ".join(
+        f"{f}: {'int' if f == 'category' else types[c].simpleString()}" for c, f in fields.items()
+    )
+    start = F.struct(*[F.col(c).alias(f) for c, f in fields.items()]).cast(f"struct<{kinds}>")
+    state = F.aggregate(
+        script, start, lambda s, x: _after(s, x, floors, now).cast(f"struct<{kinds}>")
+    )
+    done = rows.withColumn("_state", state)
+    return done.select(
+        *[
+            F.col(f"_state.{fields[c]}").cast(types[c]).alias(c) if c in fields else F.col(c)
+            for c in core.columns
+        ]
+    )
 
 
 # Notes of the signed review actions.

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import hmac
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +115,28 @@ def test_bulk_actions_see_earlier_statements(spark):
         review.apply_bulk_actions(docs, [review.BulkAction("drop")], docs, now)
 
 
+def test_a_long_script_is_one_pass(spark):
+    docs = core(spark, [{"doc_id": i, "review_status": "NEEDS_REVIEW"} for i in range(50)])
+    script = [review.BulkAction("note", doc_id=i % 50, note=str(i)) for i in range(1000)]
+    script += [review.BulkAction("accept", doc_id=7, note="last")]
+    now = F.lit("2026-01-01").cast("timestamp")
+    done = review.apply_bulk_actions(docs, script, seeds.tax_categories(spark), now)
+    found = dict(values(done, "doc_id", "reviewer_notes"))
+    assert found[7] == "last" and found[49] == "999" and len(found) == 50
+
+
+def test_a_moved_document_meets_the_statements_on_its_new_category(spark):
+    names = seeds.tax_categories(spark).orderBy("category_id").limit(2).collect()
+    docs = core(spark, [{"doc_id": 1, "review_status": "AUTO_CONFIRMED", "confidence_score": D("0.95"),
+                         "tax_category_id": names[0].category_id}])
+    move = review.BulkAction("recategorise", doc_id=1, category=names[1].category_nme)
+    accept = review.BulkAction("accept_category", category=names[1].category_nme, note="ok")
+    now = F.lit("2026-01-01").cast("timestamp")
+    for script, status in (([move, accept], "CONFIRMED"), ([accept, move], "AUTO_CONFIRMED")):
+        done = review.apply_bulk_actions(docs, script, seeds.tax_categories(spark), now).first()
+        assert (done.review_status, done.tax_category_id) == (status, names[1].category_id)
+
+
 def test_answers_cover_the_group_and_the_last_one_counts(spark):
     items = seeds.checklist_items(spark)
     answers = spark.createDataFrame(
