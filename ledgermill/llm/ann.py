@@ -10,7 +10,9 @@ Queries search the centroids through an in-memory graph: each centroid is linked
 to its nearest others, and a best-first walk collects those whose distance is at
 most ``PROBE_RATIO`` times the nearest one's; their lists are read, however many. Lists longer than a block are cut into blocks, queries of a list likewise,
 and every pair of blocks is one task's work, so that one common vector does not
-make a long task. The distances are exact and in double precision.
+make a long task. The nearest lists are read first; from the others a query takes only
+what is no further than its last neighbour so far. The distances are exact and in
+double precision.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ REPLICAS = 4
 REPLICA_RATIO = 1.05
 PROBE_RATIO = 1.22
 WALK_LEAST = 8
+FIRST_LISTS = 8
 GRAPH_LINKS = 16
 ENTRY_POINTS = 16
 BLOCK_ROWS = 1024
@@ -163,33 +166,32 @@ def copies(index: Centroids, vectors: np.ndarray, replicas: int, ratio: float) -
 
 
 def _dealer(lists_of):
-    """Rows (row_no, vec_id, vector) repeated for every list that ``lists_of`` gives."""
+    """Rows repeated for every list that ``lists_of`` gives, with the list's place, nearest 0."""
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if not len(frame):
                 continue
-            origin, numbers = lists_of(np.array(frame["vector"].tolist(), dtype=np.float64))
-            out = frame.iloc[origin].reset_index(drop=True)
-            out["list"] = np.asarray(numbers, dtype=np.int64)
+            found = lists_of(np.array(frame["vector"].tolist(), dtype=np.float64))
+            out = frame.iloc[np.repeat(np.arange(len(found)), [len(f) for f in found])]
+            out = out.reset_index(drop=True)
+            out["list"] = np.concatenate(found).astype(np.int64)
+            out["place"] = np.concatenate([np.arange(len(f)) for f in found])
             yield out
 
     return deal
 
 
 def _placer(shared, replicas: int, ratio: float):
-    def lists_of(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = copies(shared.value, vectors, replicas, ratio)
-        origin, column = np.nonzero(found >= 0)
-        return origin, found[origin, column]
+    def lists_of(vectors: np.ndarray) -> list[np.ndarray]:
+        return [row[row >= 0] for row in copies(shared.value, vectors, replicas, ratio)]
 
     return _dealer(lists_of)
 
 
 def _prober(shared, ratio: float):
-    def lists_of(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = [shared.value.within(v, ratio)[0] for v in vectors]
-        return np.repeat(np.arange(len(found)), [len(f) for f in found]), np.concatenate(found)
+    def lists_of(vectors: np.ndarray) -> list[np.ndarray]:
+        return [shared.value.within(v, ratio)[0] for v in vectors]
 
     return _dealer(lists_of)
 
@@ -200,8 +202,8 @@ def _searcher(count: int):
         if len(rows) and len(queries):
             points = np.array(rows["vector"].tolist(), dtype=np.float64)
             ids, places = rows["vec_id"].to_numpy(), rows["row_no"].to_numpy()
-            for place, query_id, vector in zip(
-                queries["row_no"], queries["vec_id"], queries["vector"], strict=True
+            for place, query_id, vector, most in zip(
+                *[queries[c] for c in ("row_no", "vec_id", "vector", "most")], strict=True
             ):
                 own = np.asarray(vector, dtype=np.float64)
                 if points.shape[1] != len(own):
@@ -209,6 +211,7 @@ def _searcher(count: int):
                 away = np.sqrt(((points - own) ** 2).sum(axis=1))
                 order = np.lexsort((ids, away))
                 order = order[places[order] != place][:count]
+                order = order[away[order] <= most]
                 out += [
                     (place, query_id, places[i], ids[i], float(away[i])) for i in order.tolist()
                 ]
@@ -261,7 +264,7 @@ def nearest(
     shared = spark.sparkContext.broadcast(train(sample, lists))
 
     columns = ["row_no", "vec_id", "vector"]
-    schema = "row_no long, vec_id long, vector array<double>, list long"
+    schema = "row_no long, vec_id long, vector array<double>, list long, place int"
     rows = stored(
         usable.select(*columns).mapInPandas(_placer(shared, replicas, replica_ratio), schema),
         "postings",
@@ -269,41 +272,60 @@ def nearest(
     asking = usable.where(F.col("vec_id") % query_step == 0).select(*columns)
     queries = stored(asking.mapInPandas(_prober(shared, probe_ratio), schema), "probes")
 
-    def blocks_of(listed: DataFrame, name: str) -> DataFrame:
-        # One row per list, so at most max_lists rows.
-        sizes = listed.groupBy("list").agg(F.count(F.lit(1)).alias("rows"))
-        return sizes.select("list", F.ceil(F.col("rows") / BLOCK_ROWS).alias(name))
-
-    sizes = blocks_of(rows, "row_blocks").join(blocks_of(queries, "query_blocks"), "list")
-    own = F.xxhash64("row_no")
-    rows = rows.join(F.broadcast(sizes), "list").select(
-        "list",
-        F.pmod(own, F.col("row_blocks")).alias("row_block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1)).alias(
-            "query_block"
-        ),
-        *columns,
-    )
-    queries = queries.join(F.broadcast(sizes), "list").select(
-        "list",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("row_blocks") - 1)).alias("row_block"),
-        F.pmod(own, F.col("query_blocks")).alias("query_block"),
-        *columns,
-    )
-    key = ["list", "row_block", "query_block"]
-    found = (
-        rows.groupBy(*key)
-        .cogroup(queries.groupBy(*key))
-        .applyInPandas(
+    def searched(asked: DataFrame) -> DataFrame:
+        """The nearest of every asked list, at most ``most`` away."""
+
+        def blocks_of(listed: DataFrame, name: str) -> DataFrame:
+            # One row per list, so at most max_lists rows.
+            sizes = listed.groupBy("list").agg(F.count(F.lit(1)).alias("rows"))
+            return sizes.select("list", F.ceil(F.col("rows") / BLOCK_ROWS).alias(name))
+
+        def numbers(count: str) -> Column:
+            return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+        sizes = blocks_of(rows, "row_blocks").join(blocks_of(asked, "query_blocks"), "list")
+        own = F.xxhash64("row_no")
+        key = ["list", "row_block", "query_block"]
+        stored_rows = rows.join(F.broadcast(sizes), "list").select(
+            "list",
+            F.pmod(own, F.col("row_blocks")).alias("row_block"),
+            numbers("query_blocks").alias("query_block"),
+            *columns,
+        )
+        asking_rows = asked.join(F.broadcast(sizes), "list").select(
+            "list",
+            numbers("row_blocks").alias("row_block"),
+            F.pmod(own, F.col("query_blocks")).alias("query_block"),
+            *columns,
+            "most",
+        )
+        found = stored_rows.groupBy(*key).cogroup(asking_rows.groupBy(*key)).applyInPandas(
             _searcher(neighbours),
             "query_row long, query_id long, row_no long, vec_id long, score double",
         )
+        return stored(found, "found")
+
+    # The nearest lists first: what lies beyond their last neighbour need not be returned
+    # by any other list, so that a query gets few rows back however many lists it reads.
+    order = Window.partitionBy("query_row").orderBy("score", "vec_id", "row_no")
+    near = searched(
+        queries.where(F.col("place") < FIRST_LISTS).withColumn("most", F.lit(float("inf")))
+    )
+    once = near.dropDuplicates(["query_row", "row_no"])
+    limits = once.withColumn("rank", F.row_number().over(order)).where(
+        F.col("rank") == neighbours
     )
+    limits = limits.select(F.col("query_row").alias("row_no"), F.col("score").alias("most"))
+    far = searched(
+        queries.where(F.col("place") >= FIRST_LISTS)
+        .join(limits, "row_no", "left")
+        .withColumn("most", F.coalesce("most", F.lit(float("inf"))))
+    )
+    found = near.unionAll(far)
     # A vector may be found in several lists.
     found = found.groupBy("query_row", "query_id", "row_no", "vec_id").agg(
         F.min("score").alias("score")
     )
-    order = Window.partitionBy("query_row").orderBy("score", "vec_id", "row_no")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= neighbours)
