@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import duckdb
 import pytest
 
@@ -65,3 +67,35 @@ def test_pipeline_stages_keep_the_columns_and_pass_on_what_they_keep(spark):
     assert last.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert corpus_pipeline.ORACLE_SQL is None
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_pipeline_over_odd_rows_and_an_empty_table(spark, folder):
+    good = "one two three four five six seven eight nine ten " * 4
+    rng = random.Random(4)
+    made = [" ".join(f"w{rng.randrange(300)}" for _ in range(60)) for _ in range(60)]
+    rows = [(i, f"{made[i]} number {i} of it", "en", f"s{i % 3}", 9, i) for i in range(60)]
+    rows += [(100 + i, "NOISE!! " * 40 + str(i), "en", "s0", 9, i) for i in range(60)]
+    rows += [(300, None, None, None, None, None), (301, "", "en", None, 0, 1), (5, *rows[5][1:])]
+    rows += [(None, good, "en", "s1", 9, 9), (400, "word " * 30000, "en", "hot", 9, 9)]
+    rows += [(500 + i, good.upper(), "en", "hot", 9, 9) for i in range(50)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row_no int"
+    labels = [(i, 1, 0) for i in range(60)] + [(100 + i, 0, 0) for i in range(60)]
+    labels += [(None, 1, 1), (3, None, None)]
+    for name, docs, marks in (("odd", rows, labels), ("none", [], [])):
+        path = f"{folder}/{name}"
+        spark.createDataFrame(docs, schema).write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(
+            f"{path}/labels.parquet"
+        )
+        found = spark.read.parquet(f"{path}/documents.parquet")
+        for step, stage in corpus_pipeline.STAGES[:-1]:
+            found = stored(stage(prepared(spark), found, path), "stage")
+            assert found.columns == schema.replace(" long", "").replace(" string", "").replace(
+                " int", ""
+            ).split(", "), step
+        packed = corpus_pipeline.run(spark, path).collect()
+        assert bool(packed) == bool(docs)
+        if docs:
+            assert found.where("text LIKE 'NOISE%'").count() == 0
+            texts = [r["text"] for r in found.collect() if r["text"]]
+            assert any("number 5 of" in t for t in texts)
