@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.common import fresh, quoted
 
+# At most 16, as bucket numbers travel as two bytes.
 BUCKET_BITS = 16
 WIDTH = 8
 SAMPLE_ROWS = 3000
@@ -194,7 +195,7 @@ def _bagger(bits: int):
                 for found in buckets(text if isinstance(text, str) else None, bits):
                     total += np.bincount(found, minlength=1 << bits)
                 used = np.flatnonzero(total)
-                ids.append(used.astype("<u4").tobytes())
+                ids.append(used.astype("<u2").tobytes())
                 counts.append(total[used].astype("<u4").tobytes())
             yield pd.DataFrame({"label": frame["label"], "ids": ids, "counts": counts})
 
@@ -227,8 +228,9 @@ def fit(
     )
     found = bags.limit(2 * rows).toPandas()
     found = found.sort_values(["label", "ids", "counts"], kind="stable")
+    # Views of the collected bytes: six bytes a bucket and no copies on the driver.
     read = [
-        (np.frombuffer(i, "<u4").astype(np.int64), np.frombuffer(c, "<u4").astype(np.int64))
+        (np.frombuffer(i, "<u2"), np.frombuffer(c, "<u4"))
         for i, c in zip(found["ids"], found["counts"], strict=True)
     ]
     return train(read, found["label"].to_numpy(dtype=np.int64), bits)
