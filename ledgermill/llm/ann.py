@@ -7,8 +7,11 @@ whose distance is at most ``REPLICA_RATIO`` times the nearest one, unless such a
 centroid lies closer to one already taken than to the vector.
 
 Queries search the centroids through an in-memory graph: each centroid is linked
-to its nearest others, and a best-first walk collects those whose distance is at
-most ``PROBE_RATIO`` times the nearest one's; their lists are read, however many. Lists longer than a block are cut into blocks, queries of a list likewise,
+to its nearest others, and a best-first walk collects the nearest ones until their
+lists hold enough rows for all neighbours, and then those whose distance is at most
+``PROBE_RATIO`` times that of the last of these; their lists are read, however many.
+A query at a centroid of its own thus reads on until it has its neighbours. Lists longer
+than a block are cut into blocks, queries of a list likewise,
 and every pair of blocks is one task's work, so that one common vector does not
 make a long task. The nearest lists are read first; from the others a query takes only
 what is no further than its last neighbour so far. The distances are exact and in
@@ -51,37 +54,53 @@ class Centroids:
     links: np.ndarray
     entries: np.ndarray
 
-    def within(self, vector: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-        """Best-first walk: centroids up to ``ratio`` times the nearest distance, nearest first.
+    def within(
+        self, vector: np.ndarray, ratio: float, sizes: np.ndarray, enough: int
+    ) -> tuple[np.ndarray, int]:
+        """Best-first walk: lists to read, nearest first, and how many of them hold ``enough`` rows.
 
-        The walk ends when nothing ahead is within the ratio and WALK_LEAST
-        centroids were opened.
+        Lists up to ``ratio`` times the distance at which the nearer lists hold
+        ``enough`` rows; all lists if they hold fewer. The walk ends when nothing
+        ahead is within the ratio and WALK_LEAST centroids were opened.
         """
         point = np.append(vector, 0.0)
         seen = np.zeros(len(self.points), dtype=bool)
-        seen[self.entries] = True
-        away = np.sqrt(((self.points[self.entries] - point) ** 2).sum(axis=1))
-        ahead = list(zip(away.tolist(), self.entries.tolist(), strict=True))
-        heapq.heapify(ahead)
-        found = list(ahead)
-        best, opened = min(found)[0], 0
+        found: list[tuple[float, int]] = []
+        ahead: list[tuple[float, int]] = []
+        # The nearest lists found that hold enough rows, the furthest of them on top.
+        cover: list[tuple[float, int]] = []
+        held, reach, opened = 0, np.inf, 0
+
+        def meet(places: np.ndarray) -> None:
+            nonlocal held, reach
+            seen[places] = True
+            away = np.sqrt(((self.points[places] - point) ** 2).sum(axis=1))
+            for pair in zip(away.tolist(), places.tolist(), strict=True):
+                heapq.heappush(ahead, pair)
+                found.append(pair)
+                if pair[0] < reach:
+                    heapq.heappush(cover, (-pair[0], pair[1]))
+                    held += int(sizes[pair[1]])
+                    while held - sizes[cover[0][1]] >= enough:
+                        held -= int(sizes[heapq.heappop(cover)[1]])
+                    if held >= enough:
+                        reach = -cover[0][0]
+
+        meet(self.entries)
         while ahead:
             distance, place = heapq.heappop(ahead)
-            if distance > ratio * best and opened >= WALK_LEAST:
+            if distance > ratio * reach and opened >= WALK_LEAST:
                 break
             opened += 1
             new = self.links[place]
             new = np.unique(new[~seen[new]])
-            if not len(new):
-                continue
-            seen[new] = True
-            away = np.sqrt(((self.points[new] - point) ** 2).sum(axis=1))
-            for pair in zip(away.tolist(), new.tolist(), strict=True):
-                heapq.heappush(ahead, pair)
-                found.append(pair)
-            best = min(best, float(away.min()))
-        ranked = sorted(pair for pair in found if pair[0] <= ratio * best)
-        return np.array([i for _, i in ranked]), np.array([d for d, _ in ranked])
+            if len(new):
+                meet(new)
+        if held < enough and not seen.all():
+            # No link leads to some centroids.
+            meet(np.flatnonzero(~seen))
+        ranked = sorted(pair for pair in found if pair[0] <= ratio * reach)
+        return np.array([i for _, i in ranked]), sum(pair[0] <= reach for pair in ranked)
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -166,32 +185,36 @@ def copies(index: Centroids, vectors: np.ndarray, replicas: int, ratio: float) -
 
 
 def _dealer(lists_of):
-    """Rows repeated for every list that ``lists_of`` gives, with the list's place, nearest 0."""
+    """Rows repeated for every list that ``lists_of`` gives; ``first`` marks the leading ones."""
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if not len(frame):
                 continue
-            found = lists_of(np.array(frame["vector"].tolist(), dtype=np.float64))
+            found, first = lists_of(np.array(frame["vector"].tolist(), dtype=np.float64))
             out = frame.iloc[np.repeat(np.arange(len(found)), [len(f) for f in found])]
             out = out.reset_index(drop=True)
             out["list"] = np.concatenate(found).astype(np.int64)
-            out["place"] = np.concatenate([np.arange(len(f)) for f in found])
+            out["first"] = np.concatenate(
+                [np.arange(len(f)) < n for f, n in zip(found, first, strict=True)]
+            )
             yield out
 
     return deal
 
 
 def _placer(shared, replicas: int, ratio: float):
-    def lists_of(vectors: np.ndarray) -> list[np.ndarray]:
-        return [row[row >= 0] for row in copies(shared.value, vectors, replicas, ratio)]
+    def lists_of(vectors: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+        found = [row[row >= 0] for row in copies(shared.value, vectors, replicas, ratio)]
+        return found, [1] * len(found)
 
     return _dealer(lists_of)
 
 
-def _prober(shared, ratio: float):
-    def lists_of(vectors: np.ndarray) -> list[np.ndarray]:
-        return [shared.value.within(v, ratio)[0] for v in vectors]
+def _prober(shared, ratio: float, sizes: np.ndarray, enough: int):
+    def lists_of(vectors: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+        found = [shared.value.within(v, ratio, sizes, enough) for v in vectors]
+        return [lists for lists, _ in found], [max(FIRST_LISTS, n) for _, n in found]
 
     return _dealer(lists_of)
 
@@ -237,7 +260,8 @@ def nearest(
 
     Vectors that are null, zero or hold null or non-finite components take no
     part, neither do rows with a null id or another length than most vectors of
-    the sample. Ties go to the smaller id, then the earlier row; repeated rows
+    the sample. A query has fewer than ``neighbours`` rows only where there are fewer
+    candidates. Ties go to the smaller id, then the earlier row; repeated rows
     are candidates of their own. An empty table gives no rows; other columns are
     ignored.
     """
@@ -261,16 +285,24 @@ def nearest(
     sample = sample.reshape(-1, width) if len(sample) else np.zeros((1, width))
     lists = max(1, min(max_lists, -(-total // list_rows)))
     # At most max_lists centroids, whatever the input.
-    shared = spark.sparkContext.broadcast(train(sample, lists))
+    index = train(sample, lists)
+    shared = spark.sparkContext.broadcast(index)
 
     columns = ["row_no", "vec_id", "vector"]
-    schema = "row_no long, vec_id long, vector array<double>, list long, place int"
+    schema = "row_no long, vec_id long, vector array<double>, list long, first boolean"
     rows = stored(
         usable.select(*columns).mapInPandas(_placer(shared, replicas, replica_ratio), schema),
         "postings",
     )
     asking = usable.where(F.col("vec_id") % query_step == 0).select(*columns)
-    queries = stored(asking.mapInPandas(_prober(shared, probe_ratio), schema), "probes")
+    sizes = np.zeros(len(index.points), dtype=np.int64)
+    for r in rows.groupBy("list").agg(F.count(F.lit(1)).alias("rows")).collect():
+        sizes[r["list"]] = r["rows"]
+    # A vector is in at most ``replicas`` lists and may be the query itself.
+    enough = replicas * (neighbours + 1)
+    queries = stored(
+        asking.mapInPandas(_prober(shared, probe_ratio, sizes, enough), schema), "probes"
+    )
 
     def searched(asked: DataFrame) -> DataFrame:
         """The nearest of every asked list, at most ``most`` away."""
@@ -309,7 +341,7 @@ def nearest(
     # by any other list, so that a query gets few rows back however many lists it reads.
     order = Window.partitionBy("query_row").orderBy("score", "vec_id", "row_no")
     near = searched(
-        queries.where(F.col("place") < FIRST_LISTS).withColumn("most", F.lit(float("inf")))
+        queries.where("first").withColumn("most", F.lit(float("inf")))
     )
     once = near.dropDuplicates(["query_row", "row_no"])
     limits = once.withColumn("rank", F.row_number().over(order)).where(
@@ -317,7 +349,7 @@ def nearest(
     )
     limits = limits.select(F.col("query_row").alias("row_no"), F.col("score").alias("most"))
     far = searched(
-        queries.where(F.col("place") >= FIRST_LISTS)
+        queries.where("NOT first")
         .join(limits, "row_no", "left")
         .withColumn("most", F.coalesce("most", F.lit(float("inf"))))
     )

@@ -68,6 +68,31 @@ def test_nearest_of_few_rows(spark):
     assert rows[0]["score"] == math.sqrt(2)
 
 
+def test_nearest_of_outliers_and_tight_groups(spark):
+    rng = np.random.default_rng(8)
+    vectors = {i: v for i, v in enumerate(rng.normal(size=(600, 8)), 1001) if i % 100}
+    vectors[100] = np.full(8, 900.0)
+    tight = rng.normal(size=8) - 300.0
+    vectors |= {i: tight + 1e-6 * rng.normal(size=8) for i in (200, 201, 202, 203)}
+    rows = [(i, v.tolist()) for i, v in vectors.items()]
+    # Vectors of few rows each, all of them centroids.
+    rows += [(i, [float(500 + i // 3 % 100)] * 8) for i in range(9300, 9600)]
+    schema = "vec_id long, embedding array<double>"
+    real = {i: np.array(v) for i, v in rows}
+    ids = np.array(sorted(real))
+    points = np.array([real[i] for i in ids])
+    for list_rows in (3, 20):
+        data = stored(spark.createDataFrame(rows, schema), "odd-vectors")
+        found = ann.nearest(data, list_rows=list_rows).collect()
+        for query in (q for q in real if q % 100 == 0):
+            own = sorted((r for r in found if r["query_id"] == query), key=lambda r: r["rank"])
+            assert [r["rank"] for r in own] == list(range(1, 11))
+            away = np.sqrt(((points - real[query]) ** 2).sum(axis=1))
+            others = ids != query
+            best = ids[others][np.lexsort((ids[others], away[others]))][:10]
+            assert len(set(best) & {r["vec_id"] for r in own}) >= 9
+
+
 def test_boundary_vectors_are_copied():
     index = ann.Centroids(
         np.array([[0.0, 0, 0], [2.0, 0, 0], [0, 9.0, 0]]), np.zeros((3, 1), int), np.array([0])
