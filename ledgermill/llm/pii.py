@@ -1,7 +1,7 @@
 """Personal data: patterns with checks, and a linear-chain conditional random field.
 
-The patterns give the base spans. The field reads the neighbourhood of every digit
-and at sign of the whole text as a chain of tokens (letter runs, digit runs, single
+The patterns give the base spans. The field reads the neighbourhood of every digit,
+at sign and word "at" or "dot" of the whole text as a chain of tokens (letter runs, digit runs, single
 signs), each described by its word shape, whether it is glued to the token before,
 and the shapes around it. It is trained on the small labelled table below by
 maximum likelihood, and windows are decoded by Viterbi in numpy batches. A decoded
@@ -141,8 +141,13 @@ LABELLED = (
 
 _MARK = re.compile(r"\{(\w+):([^}]*)\}")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|\b(?:at|dot)\b")
 _SPACE = re.compile(r"\s")
+# An address with its signs spelt out, or set apart by brackets or white space.
+_SPELT = re.compile(
+    r"(?<![\w.%+-])[\w.%+-]+(?:\s*@\s*|\s+at\s+|\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*)"
+    r"[\w-]+(?:(?:\.|\s+dot\s+|\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*)[\w-]+)+"
+)
 REACH = 40
 
 # Words that are features of their own.
@@ -322,7 +327,7 @@ def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Neighbourhoods of digits and at signs, cut at white space; they do not overlap."""
+    """Neighbourhoods of what starts a span, cut at white space; they do not overlap."""
     out: list[list[int]] = []
     for match in _TRIGGER.finditer(text):
         at = match.start()
@@ -369,6 +374,15 @@ def plausible(kind: str, text: str) -> bool:
     return False
 
 
+def checked(kind: str, text: str, start: int, end: int) -> list[Span]:
+    """What of a decoded span passes its check; an address ends where its form does."""
+    part = text[start:end]
+    if not plausible(kind, part):
+        return []
+    forms = [m.span() for m in _SPELT.finditer(part)] if kind == "email" else []
+    return [(kind, start + a, start + b) for a, b in forms or [(0, len(part))]]
+
+
 def decoded_spans(texts: list[str], field: Field) -> list[list[Span]]:
     """Spans that the field reads in each text, after their checks."""
     found: list[list[Span]] = [[] for _ in texts]
@@ -386,8 +400,7 @@ def decoded_spans(texts: list[str], field: Field) -> list[list[Span]]:
                     while after < len(tokens) and LABELS[marks[after]] == inside:
                         after += 1
                     start, end = tokens[place][1], tokens[after - 1][2]
-                    if plausible(name[2:], texts[i][start:end]):
-                        found[i].append((name[2:], start, end))
+                    found[i] += checked(name[2:], texts[i], start, end)
                 place = after
         batch.clear()
 

@@ -266,3 +266,13 @@ def test_viterbi_matches_enumeration():
 
     best = max(itertools.product(range(len(pii.LABELS)), repeat=3), key=worth)
     assert worth(field.decode([chain])[0].tolist()) == pytest.approx(worth(best))
+
+
+@pytest.mark.parametrize(
+    "address", ["jane at example dot com", "max (at) example (dot) org", "ann [at] example.com"]
+)
+def test_spelt_out_addresses_without_digits(address):
+    text = f"{'some words in front ' * 9}write to {address} soon{' and some behind' * 9}"
+    start = text.index(address)
+    found = pii.decoded_spans([text, "she was at home, dot the dog was not"], pii.train())
+    assert found == [[("email", start, start + len(address))], []]
