@@ -4,7 +4,8 @@ The patterns give the base spans. The field reads the neighbourhood of every dig
 at sign and word "at" or "dot" of the whole text as a chain of tokens (letter runs, digit runs, single
 signs), each described by its word shape, whether it is glued to the token before,
 and the shapes around it. It is trained on the small labelled table below by
-maximum likelihood, and windows are decoded by Viterbi in numpy batches. A decoded
+maximum likelihood, and windows are decoded by Viterbi in numpy batches, long ones in
+parts that hand on their scores, so that no span ends with a part. A decoded
 span counts if it passes the check of its kind and overlaps no base span; base
 spans always stay.
 """
@@ -149,6 +150,9 @@ _SPELT = re.compile(
     r"[\w-]+(?:(?:\.|\s+dot\s+|\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*)[\w-]+)+"
 )
 REACH = 40
+PART_TOKENS = 512
+# Features look at most so many tokens around.
+CONTEXT = 3
 
 # Words that are features of their own.
 CUES = frozenset(
@@ -267,6 +271,30 @@ class Field:
         return out
 
 
+    def decode_long(self, tokens: list[tuple[str, int, int]]) -> np.ndarray:
+        """Most likely labels of one chain of any length, its features made part by part."""
+        back = np.zeros((len(tokens), len(LABELS)), dtype=np.int8)
+        best = None
+        for start in range(0, len(tokens), PART_TOKENS):
+            left = max(0, start - CONTEXT)
+            names = token_features(tokens[left : start + PART_TOKENS + CONTEXT])
+            scores = self.scores([names[start - left :][:PART_TOKENS]])[0][0]
+            if best is not None:
+                scores[0] -= STARTS
+            for t, own in enumerate(scores, start):
+                if best is None:
+                    best = own
+                    continue
+                ways = best[:, None] + self.step
+                back[t] = ways.argmax(axis=0)
+                best = ways.max(axis=0) + own
+        labels = np.zeros(len(tokens), dtype=np.int64)
+        labels[-1] = best.argmax()
+        for t in range(len(tokens) - 1, 0, -1):
+            labels[t - 1] = back[t, labels[t]]
+        return labels
+
+
 def train(rounds: int = 120, rate: float = 0.3, decay: float = 0.02) -> Field:
     """Maximum likelihood with a squared penalty, by gradient steps over the table."""
     rows = labelled_rows()
@@ -388,33 +416,34 @@ def decoded_spans(texts: list[str], field: Field) -> list[list[Span]]:
     found: list[list[Span]] = [[] for _ in texts]
     batch: list[tuple[int, list[tuple[str, int, int]]]] = []
 
+    def read(i: int, tokens: list[tuple[str, int, int]], marks: np.ndarray) -> None:
+        place = 0
+        while place < len(tokens):
+            name = LABELS[marks[place]]
+            after = place + 1
+            if name != "O":
+                inside = f"I-{name[2:]}"
+                while after < len(tokens) and LABELS[marks[after]] == inside:
+                    after += 1
+                start, end = tokens[place][1], tokens[after - 1][2]
+                found[i] += checked(name[2:], texts[i], start, end)
+            place = after
+
     def flush() -> None:
         labels = field.decode([token_features(tokens) for _, tokens in batch])
         for (i, tokens), marks in zip(batch, labels, strict=True):
-            place = 0
-            while place < len(tokens):
-                name = LABELS[marks[place]]
-                after = place + 1
-                if name != "O":
-                    inside = f"I-{name[2:]}"
-                    while after < len(tokens) and LABELS[marks[after]] == inside:
-                        after += 1
-                    start, end = tokens[place][1], tokens[after - 1][2]
-                    found[i] += checked(name[2:], texts[i], start, end)
-                place = after
+            read(i, tokens, marks)
         batch.clear()
 
-    held = 0
     for i, text in enumerate(texts):
         for start, end in windows(text):
             tokens = [(m.group(), *m.span()) for m in _TOKEN.finditer(text, start, end)]
-            # Very long neighbourhoods are read in parts of a bounded number of tokens.
-            for part in range(0, len(tokens), 512):
-                batch.append((i, tokens[part : part + 512]))
-                held += 1
-                if held >= 256:
+            if len(tokens) > PART_TOKENS:
+                read(i, tokens, field.decode_long(tokens))
+            elif tokens:
+                batch.append((i, tokens))
+                if len(batch) >= 256:
                     flush()
-                    held = 0
     if batch:
         flush()
     return found

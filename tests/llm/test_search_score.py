@@ -276,3 +276,14 @@ def test_spelt_out_addresses_without_digits(address):
     start = text.index(address)
     found = pii.decoded_spans([text, "she was at home, dot the dog was not"], pii.train())
     assert found == [[("email", start, start + len(address))], []]
+
+
+def test_numbers_across_the_parts_of_a_long_chain():
+    field = pii.train()
+    number = "ssn 123-45-6789 on file"
+    for before in (*range(500, 516), 1020):
+        text = f"{'7 ' * before}{number}{' 7' * 900}"
+        tokens = [(m.group(), *m.span()) for m in pii._TOKEN.finditer(text)]
+        whole = field.decode([pii.token_features(tokens)])[0]
+        assert (field.decode_long(tokens) == whole).all()
+        assert ("id", 2 * before + 4, 2 * before + 15) in pii.decoded_spans([text], field)[0]
