@@ -166,6 +166,7 @@ def near_duplicates(
     row_column: str | None = None,
     words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
+    root_column: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -173,7 +174,8 @@ def near_duplicates(
     other. ``component_id`` is the smallest id reachable over links; null ids
     count only where a component has no other. Repeated rows stay repeated.
     Empty input gives no rows; other columns are ignored. With ``row_column``
-    the row numbers of ``docs`` are kept in the result.
+    the row numbers of ``docs`` are kept in the result, with ``root_column`` a
+    fingerprint that names the component, as ids may be null or repeated.
     """
     row = row_column or fresh(docs.columns, "row_no")
     numbered = docs if row_column else with_row_id(docs, row)
@@ -200,26 +202,28 @@ def near_duplicates(
         "rooted",
     )
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    classes = rooted.join(smallest, "root").select("print", "component_id")
-    result = printed.join(classes, "print").select(
+    classes = rooted.join(smallest, "root").select("print", "component_id", "root")
+    return printed.join(classes, "print").select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
-        F.col("row_no").alias(row_column or "row_no"),
+        *([F.col("row_no").alias(row_column)] if row_column else []),
+        *([F.col("root").alias(root_column)] if root_column else []),
     )
-    return result if row_column else result.drop("row_no")
 
 
 def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group, that of the smallest id."""
-    row = fresh([*docs.columns, "doc_id", "component_id", "fingerprint"], "row_no")
+    taken = [*docs.columns, "doc_id", "component_id", "fingerprint"]
+    row, root = fresh(taken, "row_no"), fresh(taken, "root")
     numbered = with_row_id(docs, row)
-    found = stored(near_duplicates(numbered, id_column, text_column, row), "near-duplicates")
-    best = found.groupBy("component_id").agg(
+    found = stored(
+        near_duplicates(numbered, id_column, text_column, row, root_column=root),
+        "near-duplicates",
+    )
+    best = found.groupBy(root).agg(
         F.min_by(row, F.coalesce("doc_id", F.lit(2**63 - 1))).alias("stays")
     )
-    dropped = found.join(
-        best, found["component_id"].eqNullSafe(best["component_id"])
-    ).where(F.col(row) != F.col("stays"))
+    dropped = found.join(best, root).where(F.col(row) != F.col("stays"))
     dropped = stored(dropped.select(row), "dropped")
     return numbered.join(dropped, row, "left_anti").drop(row)

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgermill.llm import exact, simhash
+from ledgermill.llm.common import stored
 from ledgermill.llm.components import components
 
 SCHEMA = "doc_id long, text string, row_no string, kept int, name double"
@@ -187,3 +188,14 @@ def test_components_of_a_chain_and_a_star(spark):
     assert {roots[i] for i in range(100, 131)} == {100}
     assert {roots[i] for i in [7, *range(200, 260)]} == {7}
     assert 5 not in roots
+
+
+def test_groups_do_not_follow_null_or_repeated_ids(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(8)]
+    # Distinct texts: five without an id, two of one id; the last has a copy without an id.
+    ids = [None] * 5 + [7, 7, 9]
+    rows = [*zip(ids, texts, strict=True), (None, texts[7])]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string"), "ids")
+    kept = [tuple(r) for r in simhash.one_per_group(docs).collect()]
+    assert sorted(kept, key=str) == sorted(rows[:8], key=str)
