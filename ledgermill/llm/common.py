@@ -53,14 +53,19 @@ def fresh(columns: list[str], name: str) -> str:
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """Number the rows of a scan.
+    """Number the rows of a scan: the place of the row in it.
 
-    ``df`` must be read from files or be a literal table: the number is the
-    place of the row in the scan, so two runs over the same ``df`` agree.
+    A second scan may be split in another way, so the result must be read once
+    only; what needs the numbers again takes :func:`numbered_copy`.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered_copy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with row numbers, written once, so that every later read has the same numbers."""
+    return stored(with_row_id(df, name), "numbered")
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import fresh, levels_for, stored, with_row_id
+from ledgermill.llm.common import fresh, levels_for, numbered_copy, stored, with_row_id
 
 BLOCK_BYTES = 8192
 
@@ -142,11 +142,20 @@ def sorted_names(
     )
 
 
-def blocks(docs: DataFrame, row: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """row, pos, n (blocks of the row), sha (on the first block), block."""
-    flat = docs.select(F.col(row), normalised(F.col(text)).alias("flat"))
+def blocks(
+    docs: DataFrame,
+    row: str,
+    text: str,
+    block_bytes: int = BLOCK_BYTES,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """row, pos, n (blocks of the row), sha and ``keep`` (on the first block), block."""
+    flat = docs.select(F.col(row), *keep, normalised(F.col(text)).alias("flat"))
     flat = flat.select(
-        row, F.sha2(F.col("flat"), 256).alias("sha"), F.encode("flat", "UTF-8").alias("flat")
+        row,
+        *keep,
+        F.sha2(F.col("flat"), 256).alias("sha"),
+        F.encode("flat", "UTF-8").alias("flat"),
     )
     size = F.octet_length("flat")
     flat = flat.withColumn(
@@ -156,20 +165,26 @@ def blocks(docs: DataFrame, row: str, text: str, block_bytes: int = BLOCK_BYTES)
         F.sequence(F.lit(0), F.col("n") - 1),
         lambda i: F.substring(F.col("flat"), i * block_bytes + 1, F.lit(block_bytes)),
     )
-    return flat.select(row, "n", "sha", F.posexplode(parts).alias("pos", "block")).withColumn(
-        "sha", F.when(F.col("pos") == 0, F.col("sha"))
-    )
+    cut = flat.select(row, *keep, "n", "sha", F.posexplode(parts).alias("pos", "block"))
+    return cut.withColumns({c: F.when(F.col("pos") == 0, F.col(c)) for c in (*keep, "sha")})
 
 
 def text_identities(
-    docs: DataFrame, row: str, text: str, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    row: str,
+    text: str,
+    block_bytes: int = BLOCK_BYTES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """row, sha (of the normalised text), rounds, name: the identity of each text."""
+    """row, ``keep``, sha (of the normalised text), rounds, name: the identity of each text.
+
+    ``docs`` is read once, so ``keep`` names what else is needed of it.
+    """
     first = stored(
         sorted_names(
-            blocks(docs, row, text, block_bytes),
+            blocks(docs, row, text, block_bytes, keep),
             ["block"],
-            [row, "pos", "n", "sha"],
+            [row, "pos", "n", "sha", *keep],
             {
                 "lead": F.substring("block", 1, 16),
                 "digest": F.xxhash64("block"),
@@ -179,7 +194,7 @@ def text_identities(
         "blocks",
     )
     heads = first.where("pos = 0").select(
-        row, "sha", "n", F.lit(0).alias("rounds"), "name"
+        row, *keep, "sha", "n", F.lit(0).alias("rounds"), "name"
     )
     most = heads.agg(F.max("n")).first()[0] or 1
     ended = None
@@ -198,7 +213,7 @@ def text_identities(
         current = current.where("n > 1")
     if ended is None:
         return heads.drop("n")
-    long = heads.where("n > 1").select(row, "sha").join(ended, row)
+    long = heads.where("n > 1").select(row, *keep, "sha").join(ended, row)
     return heads.where("n = 1").drop("n").unionByName(long)
 
 
@@ -225,8 +240,9 @@ def exact_duplicates(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).alias("text_"),
     )
-    identities = text_identities(ids, "row_no", "text_", block_bytes)
-    members = stored(identities.join(ids.select("row_no", "doc_id"), "row_no"), "identities")
+    members = stored(
+        text_identities(ids, "row_no", "text_", block_bytes, ("doc_id",)), "identities"
+    )
     rank = F.coalesce("doc_id", F.lit(2**63 - 1))
     # Stored, so that the join below shuffles both sides and a hot group can be split.
     groups = stored(
@@ -251,7 +267,7 @@ def exact_duplicates(
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` without the rows whose text an earlier row has; columns unchanged."""
     row = fresh([*docs.columns, "doc_id", "kept"], "row_no")
-    numbered = with_row_id(docs, row)
+    numbered = numbered_copy(docs, row)
     found = exact_duplicates(numbered, id_column, text_column, row)
     dropped = stored(found.where("NOT kept").select(row), "dropped")
     return numbered.join(dropped, row, "left_anti").drop(row)

@@ -18,7 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import WORD, fresh, quoted, stored, with_row_id, word_count
+from ledgermill.llm.common import (
+    WORD,
+    fresh,
+    numbered_copy,
+    quoted,
+    stored,
+    with_row_id,
+    word_count,
+)
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -161,7 +169,7 @@ def mixed(
     follows where there is such a column.
     """
     row = fresh([*docs.columns, "doc_id", "size", "taken", "part", "copies"], "row_no")
-    numbered = with_row_id(docs, row)
+    numbered = numbered_copy(docs, row)
     plan = mixture(
         numbered, id_column, text_column, source_column, row, max_epochs, weights, seed
     )

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import fresh, stored, with_row_id
+from ledgermill.llm.common import fresh, numbered_copy, stored, with_row_id
 from ledgermill.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -216,7 +216,7 @@ def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """``docs`` with one row of each near-duplicate group, that of the smallest id."""
     taken = [*docs.columns, "doc_id", "component_id", "fingerprint"]
     row, root = fresh(taken, "row_no"), fresh(taken, "root")
-    numbered = with_row_id(docs, row)
+    numbered = numbered_copy(docs, row)
     found = stored(
         near_duplicates(numbered, id_column, text_column, row, root_column=root),
         "near-duplicates",

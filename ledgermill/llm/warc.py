@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import stored, with_row_id
+from ledgermill.llm.common import numbered_copy, stored
 from ledgermill.session import scratch_dir
 
 MIN_REVISIT_BYTES = 0
@@ -170,7 +170,8 @@ def write_archives(
     is no other, and of rows repeated with one id the first. An empty table writes
     no file; other columns are ignored.
     """
-    rows = with_row_id(pages, "row__no").select(
+    needed = pages.select(*dict.fromkeys([id_column, url_column, html_column]))
+    rows = numbered_copy(needed, "row__no").select(
         F.col("row__no").alias("row_no"),
         F.col(id_column).cast("long").alias("page_id"),
         F.col(url_column).alias("url"),

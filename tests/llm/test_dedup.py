@@ -10,7 +10,7 @@ from collections import defaultdict
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgermill.llm import exact, simhash
+from ledgermill.llm import exact, mixing, simhash
 from ledgermill.llm.common import stored
 from ledgermill.llm.components import components
 
@@ -199,3 +199,35 @@ def test_groups_do_not_follow_null_or_repeated_ids(spark):
     docs = stored(spark.createDataFrame(rows, "doc_id long, text string"), "ids")
     kept = [tuple(r) for r in simhash.one_per_group(docs).collect()]
     assert sorted(kept, key=str) == sorted(rows[:8], key=str)
+
+
+def test_rows_keep_their_numbers_when_the_scan_is_split_anew(spark, folder):
+    rows = [(i, f"text {i % 40} " + "word " * (i % 7), "ab"[i % 2]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.repartition(12, "doc_id").write.parquet(f"{folder}/docs")
+    docs = spark.read.parquet(f"{folder}/docs")
+    size = "spark.sql.files.maxPartitionBytes"
+    for operator in (exact.deduplicated, simhash.one_per_group, mixing.mixed):
+        found = []
+        for first, then in (("128m", "128m"), ("128m", "1k"), ("1k", "128m")):
+            try:
+                spark.conf.set(size, first)
+                result = operator(docs)
+                spark.conf.set(size, then)
+                found.append(sorted(tuple(r) for r in result.collect()))
+            finally:
+                spark.conf.unset(size)
+        assert found[0] == found[1] == found[2]
+
+
+def test_exact_groups_read_the_numbered_table_once(spark, folder):
+    rows = [(i, f"text {i % 40}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.repartition(12, "doc_id").write.parquet(f"{folder}/docs")
+    docs = spark.read.parquet(f"{folder}/docs")
+    found = exact.text_identities(
+        docs.withColumn("n_", F.monotonically_increasing_id()), "n_", "text", keep=("doc_id",)
+    )
+    own = {r["doc_id"]: (r["rounds"], r["name"]) for r in found.collect()}
+    assert len(own) == 120
+    assert all(own[i] == own[i % 40] for i in own)
