@@ -1,10 +1,10 @@
 """Bank and share statement CSV files to raw landing rows.
 
 Files of any size take one path: Spark splits them into blocks of lines, and a line's
-number is the line count of the blocks before plus its place in the block. Quotes are
-counted the same way, so that a line which begins inside a quoted field is joined to
-the record it belongs to, also across blocks. A record's fields are kept as an array
-of any width, and columns are named by their place.
+number is the line count of the blocks before plus its place in the block. Whether a line
+begins inside a quoted field is carried the same way, so that it is joined to the record
+it belongs to, also across blocks; a quote opens at the start of a field only. A record's
+fields are kept as an array of any width, and columns are named by their place.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from ledgermill import seeds
 
 # A field with the comma before it: quoted with doubled quotes inside, or plain.
 _FIELD = r'(?:^|,)\s*(?:"[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'
+# The fields of a line from its start on that end in the line, with the comma behind.
+_ENDED = r'\G(?:\s*+"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!\s*+")[^,]*+)(?:,|\z)'
 
 
 @dataclass(frozen=True)
@@ -112,54 +114,97 @@ def column_names(header: Column) -> Column:
     return numbered(numbered(filled))
 
 
+def _carried(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """State before and after each row, given the rows' ``if_closed`` and ``if_open``.
+
+    A row's columns are the states (1 is inside quotes) it leaves if it is begun
+    closed and open: it settles the state, keeps it or flips it. The state before a
+    row is thus the one last settled, or the first one, and the flips since;
+    ``before_closed`` and ``before_open`` hold it for both first states, and
+    ``after_closed`` and ``after_open`` the state behind the row.
+    """
+    through = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    settles = F.col("if_closed") == F.col("if_open")
+    flips = (F.col("if_closed") > F.col("if_open")).cast("long")
+    rows = rows.withColumn("_flips", F.sum(flips).over(through))
+    settled = F.when(settles, F.col("if_closed") - F.col("_flips"))
+    rows = rows.withColumn("_settled", F.last(settled, ignorenulls=True).over(through))
+    after = {
+        f"after_{name}": F.pmod(F.coalesce("_settled", F.lit(first)) + F.col("_flips"), F.lit(2))
+        for name, first in (("closed", 0), ("open", 1))
+    }
+    rows = rows.withColumns(after)
+    own = Window.partitionBy(*keys).orderBy(order)
+    before = {
+        f"before_{name}": F.coalesce(F.lag(f"after_{name}").over(own), F.lit(first))
+        for name, first in (("closed", 0), ("open", 1))
+    }
+    return rows.withColumns(before).drop("_flips", "_settled")
+
+
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their number in the file and the number of the line their record starts in.
 
     A block's lines keep their order in the scan, and a block is at most one scan
-    partition; what is known about a block is one row.
+    partition; what is known about a block is one row. The lines of a record that is
+    not closed before its file ends are ``unclosed`` and stay single.
     """
-    quote = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    bare = F.regexp_replace("value", "^\ufeff", "")
+
+    def left_open(line: Column) -> Column:
+        return (F.regexp_replace(line, _ENDED, "") != "").cast("long")
+
+    quoted = F.col("value").contains('"')
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         "value",
-        (quote % 2).alias("odd"),
+        F.when(quoted, left_open(bare)).otherwise(F.lit(0).cast("long")).alias("if_closed"),
+        F.when(quoted, left_open(F.concat(F.lit('"'), "value")))
+        .otherwise(F.lit(1).cast("long"))
+        .alias("if_open"),
     )
     inside = Window.partitionBy("file", "block").orderBy("pos")
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    placed = lines.withColumn("place", F.row_number().over(inside)).withColumn(
-        "open", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
+    placed = _carried(lines, ["file", "block"], "pos").withColumn(
+        "place", F.row_number().over(inside)
     )
-    starts = F.max(F.when(F.col("open") == 0, F.col("place")))
-    ends = F.max(F.when(F.col("open") == 1, F.col("place")))
     blocks = placed.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("odd").alias("quotes"),
-        starts.alias("last_even"),
-        ends.alias("last_odd"),
+        F.max_by("after_closed", "place").alias("if_closed"),
+        F.max_by("after_open", "place").alias("if_open"),
+        F.max(F.when(F.col("before_closed") == 0, F.col("place"))).alias("last_closed"),
+        F.max(F.when(F.col("before_open") == 0, F.col("place"))).alias("last_open"),
     )
+    blocks = _carried(blocks, ["file"], "block")
     earlier = (
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
     blocks = blocks.withColumn("lines_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    blocks = blocks.withColumn("flip", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-    own_last = F.when(F.col("flip") == 0, F.col("last_even")).otherwise(F.col("last_odd"))
+    blocks = blocks.withColumn("begun", F.col("before_closed"))
+    own_last = F.when(F.col("begun") == 0, F.col("last_closed")).otherwise(F.col("last_open"))
     blocks = blocks.withColumn("last_start", F.col("lines_before") + own_last)
+    whole = Window.partitionBy("file")
+    at_end = F.max_by("after_closed", "block").over(whole)
     blocks = blocks.select(
         "file",
         "block",
         "lines_before",
-        "flip",
+        "begun",
+        F.when(at_end == 1, F.max("last_start").over(whole)).alias("unclosed_from"),
         F.last("last_start", ignorenulls=True).over(earlier).alias("start_before"),
     )
+    line_no = F.col("lines_before") + F.col("place")
+    unclosed = F.coalesce(line_no >= F.col("unclosed_from"), F.lit(False))
+    begun = F.when(F.col("begun") == 0, F.col("before_closed")).otherwise(F.col("before_open"))
     numbered = placed.join(blocks, ["file", "block"]).select(
         "file",
         "block",
         "start_before",
         "value",
-        (F.col("lines_before") + F.col("place")).alias("line_no"),
-        (F.col("open") == F.col("flip")).alias("starts"),
+        line_no.alias("line_no"),
+        unclosed.alias("unclosed"),
+        ((begun == 0) | unclosed).alias("starts"),
     )
     running = (
         Window.partitionBy("file", "block")
@@ -171,15 +216,15 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _joined_records(lines: DataFrame) -> DataFrame:
-    """One row per record: file, line_no (of its first line), value.
+    """One row per record: file, line_no (of its first line), value, unclosed.
 
-    Only records of several lines are collected; a quote that is never closed
-    makes one record of the rest of its file.
+    Only records of several lines are collected; where a quote is never closed, every
+    line from it to the end of its file is a row of its own.
     """
     goes_on = lines.where("NOT starts").select("file", "record_no").distinct()
     keys = ["file", "record_no"]
     single = lines.join(goes_on, keys, "left_anti").select(
-        "file", F.col("record_no").alias("line_no"), "value"
+        "file", F.col("record_no").alias("line_no"), "value", "unclosed"
     )
     several = (
         lines.join(goes_on, keys, "left_semi")
@@ -189,6 +234,7 @@ def _joined_records(lines: DataFrame) -> DataFrame:
             "file",
             F.col("record_no").alias("line_no"),
             F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"),
+            F.lit(False).alias("unclosed"),
         )
     )
     return single.unionByName(several)
@@ -233,13 +279,20 @@ def read_records(
     ``file_name`` stands for the path where the provider is told by other means.
 
     ``row_num`` counts lines after the header. Fields beyond the header's are kept
-    under their place; fields a short record lacks are NULL.
+    under their place; fields a short record lacks are NULL. Where a quote is never
+    closed, every line to the end of the file is a record whose only value is the
+    line, at the place after the header's, so that it is rejected and not lost.
     """
     records = _joined_records(_numbered_lines(spark, path))
     described = _described(records, layouts, file_name)
     data = records.where(F.trim("value") != "").join(described, "file")
     data = data.where(F.col("line_no") > F.col("header_line"))
-    parsed = data.withColumn("fields", csv_fields(F.col("value")))
+    unread = F.concat(
+        F.array_repeat(F.lit(None).cast("string"), F.size("names")), F.array("value")
+    )
+    parsed = data.withColumn(
+        "fields", F.when(F.col("unclosed"), unread).otherwise(csv_fields(F.col("value")))
+    )
     width = F.greatest(F.size("names"), F.size("fields"))
     named = F.transform(
         F.sequence(F.lit(1), width),

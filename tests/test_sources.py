@@ -223,3 +223,55 @@ def test_provider_layouts_follow_the_seeds(spark):
     assert [x.provider for x in statements.seeded_layouts()] == [
         r.provider_nme for r in seeds.statement_providers(spark).orderBy("provider_id").collect()
     ]
+
+
+@pytest.mark.parametrize("block", ["128m", "40"])
+def test_inch_signs_and_quotes_that_are_never_closed(spark, folder, block):
+    bodies = {
+        "bendigo-inch.csv": [
+            '24/03/2026,10.00,,TV 42" WALL MOUNT,5.00',
+            '25/03/2026,,7.00,"two, ""of""',
+            'them",12.00',
+            "26/03/2026,1.00,,plain,11.00",
+            '27/03/2026,1.00,,a 7" and 8" cut,10.00',
+            "28/03/2026,1.00,,last,9.00",
+        ],
+        "bendigo-open.csv": [
+            "24/03/2026,10.00,,first,5.00",
+            '25/03/2026,1.00,,"never closed,4.00',
+            "26/03/2026,1.00,,behind it,3.00",
+            "",
+            '27/03/2026,1.00,,the end,2.00',
+        ],
+    }
+    for name, lines in bodies.items():
+        with open(os.path.join(folder, name), "w") as handle:
+            handle.write("\n".join(["Date,Debit,Credit,Description,Balance", *lines]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        rows = statements.read_statement(spark, folder, F.lit(1)).orderBy("row_num").collect()
+        rejects = transactions.rejected_rows(
+            transactions.normalise_transactions(
+                statements.read_statement(spark, folder, F.lit(1)), seeds.statement_providers(spark)
+            )
+        ).orderBy("row_num").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    inch = [r for r in rows if r.source_file.endswith("inch.csv")]
+    assert [(r.row_num, r.description_raw) for r in inch] == [
+        (1, 'TV 42" WALL MOUNT'),
+        (2, 'two, "of"\nthem'),
+        (4, "plain"),
+        (5, 'a 7" and 8" cut'),
+        (6, "last"),
+    ]
+    assert [r.balance_raw for r in inch] == ["5.00", "12.00", "11.00", "10.00", "9.00"]
+    other = [r for r in rows if r.source_file.endswith("open.csv")]
+    assert [(r.row_num, r.description_raw) for r in other] == [
+        (1, "first"), (2, None), (3, None), (5, None)
+    ]
+    lines = bodies["bendigo-open.csv"]
+    assert [r.row_num for r in rejects] == [2, 3, 5]
+    kept = [json.loads(r.raw_json)["column_6"] for r in other[1:]]
+    assert kept == [lines[1], lines[2], lines[4]]
