@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import ann, chat, exact, mixing, packing, pii, quality, simhash, toxicity, warc
+from ledgermill.llm import (
+    ann,
+    audit,
+    centroids,
+    chat,
+    exact,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+    warc,
+)
 from ledgermill.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +85,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(prepared(spark), sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five quality filters remove in every order, per language."""
+    prepared(spark)
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds."""
+    return centroids.clustered(table(prepared(spark), sf_dir, "embeddings"))
+
+
 EXACT_SQL = r"""
 WITH flat AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS flat
@@ -110,6 +134,107 @@ FROM coded
 """
 
 
+AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), masked AS (
+  SELECT doc_id, part,
+         (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t)
+                  THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails
+  FROM texts
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good,
+         coalesce(sum(toxic), 0) AS toxic
+  FROM masked LEFT JOIN marks USING (doc_id) GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), played AS (
+  SELECT *, substr(filter_order, step, 1) AS own,
+         len(list_intersect(string_split(fails, ''),
+                            string_split(substr(filter_order, 1, step - 1), ''))) > 0
+           AND step > 1 AND fails <> '' AS gone
+  FROM cells, orders, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)
+), summed AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN NOT gone AND NOT contains(fails, own) THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND contains(fails, own) THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND contains(fails, own) THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND contains(fails, own) THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND contains(fails, own) THEN toxic ELSE 0 END) AS toxic_lost
+  FROM played GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed
+"""
+
+# One round: nearest centroid of every vector, then the floor of the mean per cluster.
+# SQL's division of whole numbers cuts towards zero, so the remainder is taken off first.
+_ROUND_SQL = """
+near_{i} AS (
+  SELECT row_no, min(struct_pack(
+           d := list_sum(list_transform(range(1, 65), lambda k: (v[k] - p[k]) * (v[k] - p[k]))),
+           c := c)) AS m
+  FROM kept, centroids_{i} GROUP BY row_no
+), sums_{i} AS (
+  SELECT c, k, sum(x) AS s, count(*) AS n
+  FROM (SELECT m.c AS c, unnest(range(1, 65)) AS k, unnest(v) AS x
+        FROM near_{i} JOIN kept USING (row_no))
+  GROUP BY c, k
+), means_{i} AS (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY k) AS p
+  FROM sums_{i} GROUP BY c
+), centroids_{j} AS (
+  SELECT c, coalesce(means_{i}.p, centroids_{i}.p) AS p
+  FROM centroids_{i} LEFT JOIN means_{i} USING (c)
+), """
+
+CENTROIDS_SQL = (
+    """
+WITH kept AS (
+  SELECT vec_id, row_number() OVER () AS row_no,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), centroids_0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS INT) AS c, v AS p
+  FROM kept QUALIFY c < 16
+), """
+    + "".join(_ROUND_SQL.format(i=i, j=i + 1) for i in range(3))
+    + """
+near_3 AS (
+  SELECT row_no, min(struct_pack(
+           d := list_sum(list_transform(range(1, 65), lambda k: (v[k] - p[k]) * (v[k] - p[k]))),
+           c := c)) AS m
+  FROM kept, centroids_3 GROUP BY row_no
+)
+SELECT vec_id, near_3.m.c AS cluster, CAST(near_3.m.d AS BIGINT) AS distance,
+       CAST(sum(near_3.m.d) OVER (PARTITION BY near_3.m.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(near_3.m.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(centroids_3.p, ',')) AS centroid_sha256
+FROM near_3 JOIN kept USING (row_no) JOIN centroids_3 ON near_3.m.c = centroids_3.c
+"""
+)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ann": op1_ann,
@@ -122,8 +247,15 @@ def queries() -> dict[str, Query]:
         "op8_chat": op8_chat,
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_filter_audit": op11_filter_audit,
+        "op13_centroids": op13_centroids,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": WARC_SQL, "op10_exact_dedup": EXACT_SQL}
+    return {
+        "op5_warc": WARC_SQL,
+        "op10_exact_dedup": EXACT_SQL,
+        "op11_filter_audit": AUDIT_SQL,
+        "op13_centroids": CENTROIDS_SQL,
+    }

@@ -23,10 +23,18 @@ COLUMNS = {
     "op8_chat": ("conv_id place turn role rendered cost", "conversations"),
     "op9_packing": ("doc_id start length ids_crc32 doc_tokens sequence_id offset", "documents"),
     "op10_exact_dedup": ("doc_id keep_id group_size kept text_sha256", "documents"),
+    "op11_filter_audit": (
+        "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+        "documents",
+    ),
+    "op13_centroids": (
+        "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+        "embeddings",
+    ),
 }
 
 
-def test_all_ten_are_registered():
+def test_all_operators_are_registered():
     assert set(registered.queries()) == set(COLUMNS)
     assert set(registered.oracle_sql()) <= set(COLUMNS)
 
@@ -43,11 +51,14 @@ def test_query_returns_its_columns_for_its_whole_table(spark, name):
         assert len(rows) == queries * 10
     elif name == "op9_packing":
         assert {r["doc_id"] for r in rows} == {r[key] for r in expected.select(key).collect()}
+    elif name == "op11_filter_audit":
+        assert len(rows) == 600 * expected.select("lang").distinct().count()
     else:
         assert len(rows) == expected.count()
     if name in registered.oracle_sql():
         base = duckdb.connect()
-        base.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+        for view in {table, "labels"}:
+            base.sql(f"CREATE VIEW {view} AS SELECT * FROM '{SF}/{view}.parquet'")
         wanted = base.sql(registered.oracle_sql()[name])
         order = [wanted.columns.index(c) for c in columns.split()]
         assert sorted(map(repr, (tuple(r[i] for i in order) for r in wanted.fetchall()))) == sorted(
