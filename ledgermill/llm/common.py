@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows of one Arrow batch: texts may be long, so a batch must not hold many.
 ARROW_ROWS = "512"
 
+MIN_PARTS_KEY = "spark.sql.files.minPartitionNum"
+
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Session settings of the library plus small Arrow batches."""
@@ -61,6 +63,18 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered_scan(df: DataFrame, name: str) -> DataFrame:
+    """Number the rows of files, the same at every read in this session; nothing is copied.
+
+    ``df`` must be the direct read of files. Spark splits them by their bytes and the
+    least number of parts, which it takes from the cores at hand unless it is set.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(MIN_PARTS_KEY, None) is None:
+        spark.conf.set(MIN_PARTS_KEY, str(spark.sparkContext.defaultParallelism))
+    return with_row_id(df, name)
+
+
 def numbered_copy(df: DataFrame, name: str) -> DataFrame:
     """``df`` with row numbers, written once, so that every later read has the same numbers."""
     return stored(with_row_id(df, name), "numbered")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgermill.llm import (
     ann,
@@ -17,10 +18,11 @@ from ledgermill.llm import (
     pii,
     quality,
     simhash,
+    suffix,
     toxicity,
     warc,
 )
-from ledgermill.llm.common import prepared, table
+from ledgermill.llm.common import numbered_scan, prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +93,22 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages that occur earlier."""
+    docs = numbered_scan(table(prepared(spark), sf_dir, "documents"), "row_no")
+    found = suffix.without_repeats(docs, row_column="row_no")
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"]
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector after three rounds."""
     return centroids.clustered(table(prepared(spark), sf_dir, "embeddings"))
@@ -186,6 +204,39 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept,
 FROM summed
 """
 
+# Bytes as pairs of hexadecimal digits: window p is 200 digits from digit 2 p + 1 on.
+SUFFIX_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT r, doc_id, p, md5_number(substr(h, 2 * p + 1, 200)) AS k
+  FROM (SELECT *, unnest(range(0, greatest(0, length(h) // 2 - 99))) AS p FROM texts)
+), again AS (
+  SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before
+  FROM (SELECT r, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, r, p) AS n FROM windows)
+  WHERE n > 1
+), runs AS (
+  SELECT r, p, sum(CASE WHEN p - before <= 100 THEN 0 ELSE 1 END)
+               OVER (PARTITION BY r ORDER BY p) AS run
+  FROM again
+), spans AS (
+  SELECT r, min(p) AS s, max(p) + 100 AS e FROM runs GROUP BY r, run
+), pieces AS (
+  SELECT r, e AS low, lead(s) OVER (PARTITION BY r ORDER BY e) AS high
+  FROM (SELECT r, 0 AS s, 0 AS e FROM texts UNION ALL SELECT r, s, e FROM spans)
+), rest AS (
+  SELECT r, string_agg(substr(h, 2 * low + 1, 2 * (coalesce(high, length(h) // 2) - low)), ''
+                       ORDER BY low) AS kept
+  FROM pieces JOIN texts USING (r) GROUP BY r
+)
+SELECT doc_id, length(h) // 2 AS n_bytes,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept)) AS kept_sha256
+FROM texts JOIN rest USING (r)
+LEFT JOIN (SELECT r, sum(e - s) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+USING (r)
+"""
+
 # One round: nearest centroid of every vector, then the floor of the mean per cluster.
 # SQL's division of whole numbers cuts towards zero, so the remainder is taken off first.
 _ROUND_SQL = """
@@ -248,6 +299,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing,
         "op10_exact_dedup": op10_exact_dedup,
         "op11_filter_audit": op11_filter_audit,
+        "op12_suffix": op12_suffix,
         "op13_centroids": op13_centroids,
     }
 
@@ -257,5 +309,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc": WARC_SQL,
         "op10_exact_dedup": EXACT_SQL,
         "op11_filter_audit": AUDIT_SQL,
+        "op12_suffix": SUFFIX_SQL,
         "op13_centroids": CENTROIDS_SQL,
     }

@@ -27,6 +27,7 @@ COLUMNS = {
         "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
         "documents",
     ),
+    "op12_suffix": ("doc_id n_bytes n_removed n_spans kept_sha256", "documents"),
     "op13_centroids": (
         "vec_id cluster distance cluster_inertia inertia centroid_sha256",
         "embeddings",
