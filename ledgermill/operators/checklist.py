@@ -43,6 +43,11 @@ def apply_answers(
         ["group_code", "fy_year"],
         [F.col("action_ts").desc(), F.col("answer").desc()],
     )
+    return apply_last_answers(responses, items, last)
+
+
+def apply_last_answers(responses: DataFrame, items: DataFrame, last: DataFrame) -> DataFrame:
+    """Answer groups for years; ``last`` has one valid answer per group and year."""
     documents = items.filter(F.col("item_type") == "DOCUMENT").select(
         "item_id", F.col("applicability_group").alias("group_code")
     )

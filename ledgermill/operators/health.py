@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.functions.calendar import fy_of, month_start
+from ledgermill.operators.parcels import SHARES, later_factor, split_factors
 
 # Account types that are owed, and months of the statement check.
 DEBT_TYPES = ("CREDIT_CARD", "MORTGAGE")
@@ -208,19 +209,36 @@ def missing_statements(
 
 
 def _signed_quantity() -> Column:
-    return (
+    """Shares of today that a trade adds; needs ``_factor``."""
+    zero = F.lit(0).cast("decimal(15,4)")
+    signed = (
         F.when(F.col("trade_type") == "BUY", F.col("quantity"))
         .when(F.col("trade_type") == "SELL", -F.col("quantity"))
-        .otherwise(F.lit(0).cast("decimal(15,4)"))
+        .otherwise(zero)
     )
+    return (signed * F.col("_factor")).cast(SHARES)
+
+
+def _with_factor(trades: DataFrame) -> DataFrame:
+    """Add ``_factor``: shares of today for one share of the trade's day."""
+    factor = later_factor(F.col("trade_date"), F.col("splits"))
+    joined = trades.join(split_factors(trades), "security_code", "left")
+    return joined.withColumn("_factor", factor).drop("splits")
+
+
+def _held(running: Column) -> Column:
+    """Shares of today as shares of the row's day."""
+    return (running / F.col("_factor")).cast("decimal(25,4)")
 
 
 def trade_positions(trades: DataFrame) -> DataFrame:
-    """Position per security at the end of each trading day.
+    """Position per security at the end of each trading day, in the shares of that day.
 
     Trades are grouped per day first, so the running window of a security sees
-    at most one row per calendar day, whatever its trading volume.
+    at most one row per calendar day, whatever its trading volume. A split counts
+    from the beginning of its day.
     """
+    trades = _with_factor(trades)
     zero = F.lit(0).cast("decimal(15,2)")
     sales = F.when(F.col("cgt_event"), F.col("value")).otherwise(zero)
     daily = trades.groupBy("security_code", "trade_date").agg(
@@ -229,6 +247,7 @@ def trade_positions(trades: DataFrame) -> DataFrame:
         F.sum("brokerage").alias("_fee"),
         F.sum(sales).alias("_sales"),
         F.count_if("cgt_event").alias("cgt_events"),
+        F.max("_factor").alias("_factor"),
     )
     running = (
         Window.partitionBy("security_code")
@@ -240,7 +259,7 @@ def trade_positions(trades: DataFrame) -> DataFrame:
         "trade_date",
         fy_of(F.col("trade_date")).alias("fy_year"),
         "cgt_events",
-        F.sum("_quantity").over(running).alias("quantity_held"),
+        _held(F.sum("_quantity").over(running)).alias("quantity_held"),
         F.sum("_cost").over(running).alias("cost_base"),
         F.sum("_fee").over(running).alias("brokerage"),
         F.sum("_sales").over(running).alias("proceeds"),
@@ -256,9 +275,10 @@ def running_trades(
     to the window inside its block. Blocks are trading days, cut further by
     ``block``, which must not decrease along ``order`` and should bound the rows of
     a block, for instance a range of the leading order column. So a heavily traded
-    security, or day, does not end up in one task.
+    security, or day, does not end up in one task. Quantities are those of the row's
+    day; a split counts from the beginning of its day.
     """
-    rows = trades.withColumn("_q", _signed_quantity()).withColumn(
+    rows = _with_factor(trades).withColumn("_q", _signed_quantity()).withColumn(
         "_block", block
     )
     keys = ["security_code", "trade_date", "_block"]
@@ -275,8 +295,8 @@ def running_trades(
     return (
         rows.withColumn("_inside", F.sum("_q").over(inside))
         .join(offsets, keys)
-        .withColumn("quantity_held", F.col("_before") + F.col("_inside"))
-        .drop("_q", "_inside", "_before", "_block")
+        .withColumn("quantity_held", _held(F.col("_before") + F.col("_inside")))
+        .drop("_q", "_inside", "_before", "_block", "_factor")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -320,31 +321,43 @@ def merge_changes(
     incoming: DataFrame,
     policy: MergePolicy = CURRENT_POLICY,
     now: Column | None = None,
+    last_id: Column | None = None,
+    keys: Sequence[str] = KEY,
 ) -> DataFrame:
     """Only the rows a merge inserts or updates.
 
     Core is joined from the incoming side, so a small batch against a large
-    core costs one scan of core and writes nothing that did not change.
+    core costs one scan of core and writes nothing that did not change. With
+    ``last_id``, the highest id given so far, core may be the part of it that
+    holds the incoming keys. ``keys`` may name further columns that follow from
+    the key, such as its slot.
     """
-    rows = _merge(core, incoming, policy, now, "right")
+    rows = _merge(core, incoming, policy, now, "right", last_id, keys)
     return rows.filter(F.col("merge_outcome").isin("inserted", "updated"))
 
 
-def latest_documents(changes: DataFrame, version: str) -> DataFrame:
+def latest_documents(changes: DataFrame, version: str, keys: Sequence[str] = KEY) -> DataFrame:
     """Current documents from a log of changed rows: the newest version per key."""
-    return first_per_key(changes, KEY, [F.col(version).desc()]).drop(version)
+    return first_per_key(changes, keys, [F.col(version).desc()]).drop(version)
 
 
 def _merge(
-    core: DataFrame, incoming: DataFrame, policy: MergePolicy, now: Column | None, how: str
+    core: DataFrame,
+    incoming: DataFrame,
+    policy: MergePolicy,
+    now: Column | None,
+    how: str,
+    last_id: Column | None = None,
+    keys: Sequence[str] = KEY,
 ) -> DataFrame:
     now = F.current_timestamp() if now is None else now
-    last_id = F.coalesce(core.agg(F.max("doc_id")).scalar(), F.lit(0).cast("bigint"))
+    if last_id is None:
+        last_id = F.coalesce(core.agg(F.max("doc_id")).scalar(), F.lit(0).cast("bigint"))
     incoming = with_surrogate_key(incoming, [F.col(k) for k in KEY], last_id, "_new_id")
     new = incoming.select(*[F.col(c).alias(f"n_{c}") for c in incoming.columns])
     old = core.select(*[F.col(c).alias(f"o_{c}") for c in core.columns])
 
-    on = [F.col(f"o_{k}") == F.col(f"n_{k}") for k in KEY]
+    on = [F.col(f"o_{k}") == F.col(f"n_{k}") for k in keys]
     joined = old.join(new, on, how)
     is_new, is_old = F.col("n__new_id").isNotNull(), F.col("o_doc_id").isNotNull()
     insert = is_new & ~is_old
@@ -354,7 +367,7 @@ def _merge(
         before = F.col(f"o_{column}")
         if column == "doc_id":
             return F.coalesce(before, F.col("n__new_id"))
-        if column in KEY:
+        if column in keys:
             return F.coalesce(before, F.col(f"n_{column}"))
         if column == "created_at":
             return F.when(insert, now).otherwise(before)
@@ -398,6 +411,19 @@ def merge_counts(merged: DataFrame, rejected: DataFrame) -> DataFrame:
     return done.withColumn("quarantined", rejected.agg(F.count("*")).scalar())
 
 
+def processed_keys(
+    landing: DataFrame, batch_id: int | None = None, total_from: str = "deductible_amount"
+) -> DataFrame:
+    """Keys that a run merged: entries for a log of marks.
+
+    Keys whose document the quarantine holds are left out, so that a corrected
+    classification is merged by a later run.
+    """
+    queue = unprocessed(landing, batch_id)
+    rejected = _unreadable(queue, total_from).select(*KEY)
+    return has_key(queue).select(*KEY).distinct().join(rejected, list(KEY), "left_anti")
+
+
 def mark_processed(
     landing: DataFrame, batch_id: int | None = None, total_from: str = "deductible_amount"
 ) -> DataFrame:

@@ -48,20 +48,25 @@ def end_run(
 def runs(log: DataFrame) -> DataFrame:
     """One row per run: start, end and the counts of its closing row.
 
-    A plain aggregate: closing rows are the only ones that carry counts. Of several
-    closing rows the newest gives the status.
+    Of several closing rows the newest gives status, counts and error alike; a run
+    without one is STARTED and has the counts of its start row. A missing or negative
+    count is 0.
     """
     closed = F.col("status") != "STARTED"
-    return log.groupBy("batch_id", "workflow_nme").agg(
-        F.coalesce(
-            F.max_by("status", F.when(closed, F.struct("logged_at", "status"))), F.lit("STARTED")
-        ).alias("status"),
-        F.max("rows_extracted").alias("rows_extracted"),
-        F.max("rows_loaded").alias("rows_loaded"),
-        F.max("rows_skipped").alias("rows_skipped"),
-        F.max("error_msg").alias("error_msg"),
-        F.min(F.when(~closed, F.col("logged_at"))).alias("started_at"),
-        F.max(F.when(closed, F.col("logged_at"))).alias("completed_at"),
+    counts = [
+        F.greatest(F.col(c), F.lit(0)).alias(c)
+        for c in ("rows_extracted", "rows_loaded", "rows_skipped")
+    ]
+    state = F.struct("status", *counts, "error_msg")
+    newest = F.max_by(state, F.struct(closed, "logged_at", "status"))
+    return (
+        log.groupBy("batch_id", "workflow_nme")
+        .agg(
+            newest.alias("_last"),
+            F.min(F.when(~closed, F.col("logged_at"))).alias("started_at"),
+            F.max(F.when(closed, F.col("logged_at"))).alias("completed_at"),
+        )
+        .select("batch_id", "workflow_nme", "_last.*", "started_at", "completed_at")
     )
 
 

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from ledgermill import seeds
 from ledgermill.functions import calendar, crypto, text, values
 from ledgermill.operators import archive, classify, landing, merge, transactions
+from ledgermill.operators.buckets import BucketedLog
 from ledgermill.plans import frames
 from ledgermill.plans.frames import with_frames
 from ledgermill.plans.registry import query
-from ledgermill.schemas import CLASSIFICATION
+from ledgermill.schemas import CLASSIFICATION, LANDING_DOCUMENTS
+from ledgermill.session import scratch_dir
 from ledgermill.sources import messages, queue
+from ledgermill.streaming import ingest
 
 # --- queue -------------------------------------------------------------------
 
@@ -480,8 +483,14 @@ def mark_processed(spark, sf):
     + f" AND {_TAKEN}) AS is_processed FROM landing l",
 )
 def mark_processed_batch(spark, sf):
-    return merge.mark_processed(frames.landing_documents(spark, sf), 3).select(
-        "landing_id", "is_processed"
+    """The queue in buckets, and a log of the keys that the batch has merged."""
+    rows, base = frames.landing_documents(spark, sf), scratch_dir(spark, "queue")
+    stored = BucketedLog(spark, f"{base}/queue", LANDING_DOCUMENTS, merge.KEY)
+    stored.write(rows, 0)
+    marks = ingest.marks_log(spark, base)
+    marks.write(merge.processed_keys(stored.read(), 3), 0)
+    return stored.rows_marked(marks, "_marked").select(
+        "landing_id", (F.col("is_processed") | F.col("_marked")).alias("is_processed")
     )
 
 
@@ -1210,7 +1219,7 @@ def share_merge(spark, sf):
 
 
 def _message_json(spark, sf):
-    """Documents as exported mail messages, PDF parts at several depths."""
+    """Documents as exported mail messages, PDF parts at several depths, one of them at sixty."""
     body = F.struct(
         F.lit("att").alias("attachmentId"), F.lit(None).cast("string").alias("data"),
         F.col("n_chars").alias("size"),
@@ -1228,13 +1237,13 @@ def _message_json(spark, sf):
     def pdf(number):
         return F.concat(F.lit(f"{number}-"), "doc_id", F.lit(".PDF"))
 
-    deep = part(
-        F.lit(""), F.lit("multipart/mixed"), empty,
-        F.array(part(F.lit(""), F.lit("multipart/alternative"), empty,
-                     F.array(part(pdf("deep"), F.lit("application/pdf"), body)))),
+    # Sixty levels of multiparts around one file, as text: the depth of the data is no schema.
+    level = F.to_json(
+        part(F.lit(""), F.lit("multipart/mixed"), empty, F.array(F.lit("@")))
     )
-    for _ in range(6):
-        deep = part(F.lit(""), F.lit("multipart/mixed"), empty, F.array(deep))
+    opening, closing = F.substring_index(level, '"@"', 1), F.substring_index(level, '"@"', -1)
+    leaf = F.to_json(part(pdf("deep"), F.lit("application/pdf"), body))
+    deep = F.concat(F.repeat(opening, F.lit(59)), leaf, F.repeat(closing, F.lit(59)))
     flat = F.array(
         part(F.lit("note.txt"), F.lit("text/plain"), body),
         part(pdf("one"), F.lit("application/octet-stream"), body),
@@ -1267,7 +1276,7 @@ def _message_json(spark, sf):
 
     return frames.table(spark, sf, "documents").select(
         F.when(slot == 0, message(flat, F.lit("")))
-        .when(slot == 1, message(F.array(deep), F.lit("")))
+        .when(slot == 1, F.replace(message(F.array(F.lit("@")), F.lit("")), F.lit('"@"'), deep))
         .when(slot == 2, message(unnamed, F.lit("")))
         .otherwise(message(None, pdf("root")))
         .alias("json")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgermill import seeds
 from ledgermill.functions import text
 from ledgermill.schemas import MESSAGE, MIME_DEPTH, message_part
+from ledgermill.session import scratch_dir
 
 # A MIME part without its children; every level is brought to this shape. ``rest`` is
 # the raw text of children below the levels read so far.
@@ -18,9 +19,6 @@ _PART = (
     "body: STRUCT<attachmentId: STRING, data: STRING, size: BIGINT>, rest: STRING>"
 )
 
-# Passes over the raw rest: with four, parts are found down to level 24.
-PASSES = 4
-
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE).json(path)
@@ -66,30 +64,33 @@ def _read_rest(parts: Column) -> Column:
     return F.flatten(F.transform(parts, read))
 
 
-def parts_below(payload: Column) -> Column:
-    """Every part below the message itself, in document order."""
-    parts = _tree(payload["parts"], MIME_DEPTH - 1)
-    for _ in range(PASSES):
-        parts = _read_rest(parts)
-    return parts
+def _unread(parts: Column) -> Column:
+    return F.exists(parts, lambda part: part["rest"].isNotNull())
 
 
-def all_parts(payload: Column) -> Column:
-    return F.concat(F.array(_slim(payload)), parts_below(payload))
+def with_parts(messages: DataFrame) -> DataFrame:
+    """Add ``_parts``: every part below the message itself, at any depth, in document order.
 
+    The schema reads the first levels. Messages that nest deeper, and only they, are
+    read again, some levels a pass, until no part is left as text. Each pass is written
+    to the scratch folder, so the next one starts from there.
+    """
+    spark = messages.sparkSession
+    rows = messages.withColumn("_parts", _tree(F.col("payload.parts"), MIME_DEPTH - 1))
+    unread = _unread(F.col("_parts"))
+    done, pending = rows.filter(~unread), rows.filter(unread)
+    while pending.limit(1).count():
+        path = scratch_dir(spark, "parts")
+        pending.withColumn("_parts", _read_rest(F.col("_parts"))).write.parquet(path)
+        stored = spark.read.schema(rows.schema).parquet(path)
+        done = done.unionByName(stored.filter(~unread))
+        pending = stored.filter(unread)
+    return done
 
-def too_deep(payload: Column) -> Column:
-    """True when parts are left unread after all passes."""
-    return F.exists(parts_below(payload), lambda part: part["rest"].isNotNull())
 
-
-def unread_messages(messages: DataFrame) -> DataFrame:
-    """Messages that nest too deep to be read whole; they belong in the quarantine."""
-    return messages.filter(too_deep(F.col("payload"))).select(
-        F.lit("GMAIL").alias("source_type"),
-        F.col("id").alias("source_id"),
-        F.array(F.lit("parts")).alias("reasons"),
-    )
+def all_parts() -> Column:
+    """The message itself and all parts of :func:`with_parts`."""
+    return F.concat(F.array(_slim(F.col("payload"))), F.col("_parts"))
 
 
 def header(payload: Column, name: str, last: bool = False) -> Column:
@@ -106,10 +107,10 @@ def is_pdf_name(name: Column) -> Column:
     return F.lower(F.coalesce(name, F.lit(""))).endswith(".pdf")
 
 
-def pdf_parts(payload: Column) -> Column:
+def pdf_parts() -> Column:
     """Parts with a PDF name and a size above zero, at any depth."""
     return F.filter(
-        all_parts(payload),
+        all_parts(),
         lambda p: is_pdf_name(p["filename"]) & (F.coalesce(p["body"]["size"], F.lit(0)) > 0),
     )
 
@@ -119,8 +120,9 @@ def flatten_messages(messages: DataFrame) -> DataFrame:
     kept = F.to_json(F.struct("id", "internalDate", "snippet", F.col("payload").dropFields("body").alias("payload")))
     name = F.coalesce(F.col("part.filename"), F.lit(""))
     return (
-        messages.withColumn("raw_json", kept)
-        .withColumn("part", F.explode(pdf_parts(F.col("payload"))))
+        with_parts(messages)
+        .withColumn("raw_json", kept)
+        .withColumn("part", F.explode(pdf_parts()))
         .select(
             F.lit("GMAIL").alias("source_type"),
             F.col("id").alias("source_id"),
@@ -150,12 +152,12 @@ def first_pdf(messages: DataFrame, now: Column | None = None) -> DataFrame:
         return (mime.contains("pdf") | is_pdf_name(part["filename"])) & (inline | attached)
 
     payload = F.col("payload")
-    nested = F.filter(parts_below(payload), wanted)
+    nested = F.filter("_parts", wanted)
     root = F.filter(F.array(_slim(payload)), wanted)
     part = F.try_element_at(F.when(F.size(nested) > 0, nested).otherwise(root), F.lit(1))
     name = F.coalesce(F.nullif(F.col("part.filename"), F.lit("")), F.lit("attachment.pdf"))
     sent = F.col("internalDate").try_cast("bigint")
-    return messages.withColumn("part", part).select(
+    return with_parts(messages).withColumn("part", part).select(
         F.lit("GMAIL").alias("source_type"),
         F.coalesce("id", F.lit("")).alias("source_id"),
         F.coalesce(header(payload, "subject", last=True), F.lit("")).alias("subject"),
@@ -172,18 +174,16 @@ def first_pdf(messages: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def body_rows(messages: DataFrame) -> DataFrame:
-    """Messages without a PDF: the body becomes the text, file fields stay NULL.
-
-    A message with parts left unread may hold a PDF; it is no body row.
-    """
+    """Messages without a PDF: the body becomes the text, file fields stay NULL."""
     payload = F.col("payload")
     plain = F.filter(
-        all_parts(payload), lambda p: F.length(F.coalesce(p["body"]["data"], F.lit(""))) > 0
+        all_parts(), lambda p: F.length(F.coalesce(p["body"]["data"], F.lit(""))) > 0
     )
     data = F.try_element_at(plain, F.lit(1))["body"]["data"]
     body = text.body_text(data, F.col("snippet"))
     return (
-        messages.filter((F.size(pdf_parts(payload)) == 0) & ~too_deep(payload))
+        with_parts(messages)
+        .filter(F.size(pdf_parts()) == 0)
         .withColumn("body", body)
         .select(
             F.lit("GMAIL").alias("source_type"),

@@ -5,6 +5,11 @@ number is the line count of the blocks before plus its place in the block. Wheth
 begins inside a quoted field is carried the same way, so that it is joined to the record
 it belongs to, also across blocks; a quote opens at the start of a field only. A record's
 fields are kept as an array of any width, and columns are named by their place.
+
+The text is scanned once: lines are written with their block, place and state, and all
+that follows reads this copy, so a scan that would be split in another way changes nothing.
+A record of several lines must be well formed and no longer than a documented bound;
+otherwise a quote was left open by mistake, and its lines are read one by one.
 """
 
 from __future__ import annotations
@@ -15,6 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill import seeds
+from ledgermill.session import scratch_dir
+
+# Longest record of several lines.
+MOST_LINES, MOST_CHARACTERS = 1000, 1 << 20
+# A record whose quoted fields all end right before a comma or the end.
+_STRICT = r'(?s)(?:\s*"[^"]*+(?:""[^"]*+)*+"\s*|(?!\s*")[^,]*)(?:,(?:\s*"[^"]*+(?:""[^"]*+)*+"\s*|(?!\s*")[^,]*))*'
 
 # A field with the comma before it: quoted with doubled quotes inside, or plain.
 _FIELD = r'(?:^|,)\s*(?:"[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'
@@ -169,6 +180,10 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     placed = _carried(lines, ["file", "block"], "pos").withColumn(
         "place", F.row_number().over(inside)
     )
+    # Blocks and places hold for this scan only, so what follows reads what it wrote.
+    copy = scratch_dir(spark, "lines")
+    placed.drop("pos", "if_open").write.parquet(copy)
+    placed = spark.read.schema(placed.drop("pos", "if_open").schema).parquet(copy)
     blocks = placed.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("n"),
         F.max_by("after_closed", "place").alias("if_closed"),
@@ -205,6 +220,7 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         line_no.alias("line_no"),
         unclosed.alias("unclosed"),
         ((begun == 0) | unclosed).alias("starts"),
+        (F.col("if_closed") == 1).alias("open_alone"),
     )
     running = (
         Window.partitionBy("file", "block")
@@ -216,28 +232,58 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _joined_records(lines: DataFrame) -> DataFrame:
-    """One row per record: file, line_no (of its first line), value, unclosed.
+    """One row per record: file, line_no (of its first line), value, unclosed, parts.
 
-    Only records of several lines are collected; where a quote is never closed, every
-    line from it to the end of its file is a row of its own.
+    Only records of several lines are collected, up to the bound; ``parts`` are their
+    lines. Where a quote is never closed, every line from it to the end of its file is
+    a row of its own, and so is every line of a record beyond the bound.
     """
-    goes_on = lines.where("NOT starts").select("file", "record_no").distinct()
     keys = ["file", "record_no"]
-    single = lines.join(goes_on, keys, "left_anti").select(
-        "file", F.col("record_no").alias("line_no"), "value", "unclosed"
+    later = lines.where("NOT starts").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("more_lines"), F.sum(F.length("value")).alias("more_characters")
+    )
+    joined = lines.join(later, keys, "left")
+    fits = (F.col("more_lines") < MOST_LINES) & (F.col("more_characters") < MOST_CHARACTERS)
+    part = F.struct("line_no", "value", "open_alone")
+    alone = joined.where(F.col("more_lines").isNull() | ~fits).select(
+        "file",
+        "line_no",
+        "value",
+        (F.col("unclosed") | (F.col("more_lines").isNotNull() & F.col("open_alone"))).alias("unclosed"),
+        F.lit(None).cast("array<struct<line_no:bigint,value:string,open_alone:boolean>>").alias("parts"),
     )
     several = (
-        lines.join(goes_on, keys, "left_semi")
+        joined.where(fits)
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("line_no", "value"))).alias("parts"))
+        .agg(F.array_sort(F.collect_list(part)).alias("parts"))
         .select(
             "file",
             F.col("record_no").alias("line_no"),
             F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"),
             F.lit(False).alias("unclosed"),
+            "parts",
         )
     )
-    return single.unionByName(several)
+    return alone.unionByName(several)
+
+
+def _line_by_line(data: DataFrame) -> DataFrame:
+    """Records of several lines that are not well formed, as single lines.
+
+    A quote that closes inside a field, or more fields than the header has, says that
+    the quote before was never meant to span lines.
+    """
+    fields = F.size(F.regexp_extract_all("value", F.lit(_FIELD), F.lit(0)))
+    formed = F.col("value").rlike(rf"\A{_STRICT}\z") & (fields <= F.size("names"))
+    whole = F.array(F.struct("line_no", "value", F.col("unclosed").alias("open_alone")))
+    kept = F.when(F.col("parts").isNull() | formed, whole).otherwise(F.col("parts"))
+    return (
+        data.withColumn("_line", F.explode(kept))
+        .withColumn("line_no", F.col("_line.line_no"))
+        .withColumn("value", F.col("_line.value"))
+        .withColumn("unclosed", F.col("_line.open_alone"))
+        .drop("_line", "parts")
+    )
 
 
 def _described(
@@ -276,17 +322,22 @@ def read_records(
 ) -> DataFrame:
     """``(file, provider, row_num, record)``: data records as name -> text maps.
 
+    The lines are read and written to the scratch folder when this is called.
+
     ``file_name`` stands for the path where the provider is told by other means.
 
     ``row_num`` counts lines after the header. Fields beyond the header's are kept
     under their place; fields a short record lacks are NULL. Where a quote is never
     closed, every line to the end of the file is a record whose only value is the
-    line, at the place after the header's, so that it is rejected and not lost.
+    line, at the place after the header's, so that it is rejected and not lost. A
+    record of several lines that is not well formed is taken line by line: of these,
+    lines that leave a quote open are such records, the others are read as they are.
     """
     records = _joined_records(_numbered_lines(spark, path))
     described = _described(records, layouts, file_name)
     data = records.where(F.trim("value") != "").join(described, "file")
-    data = data.where(F.col("line_no") > F.col("header_line"))
+    data = _line_by_line(data.where(F.col("line_no") > F.col("header_line")))
+    data = data.where(F.trim("value") != "")
     unread = F.concat(
         F.array_repeat(F.lit(None).cast("string"), F.size("names")), F.array("value")
     )

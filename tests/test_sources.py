@@ -97,6 +97,40 @@ def test_wide_files_blank_and_repeated_headers_and_quoted_breaks(spark, folder,
     assert extra[0]["x39"] == "x39" and extra[1]["column_49"] == "beyond"
 
 
+@pytest.mark.parametrize("block", ["128m", "40"])
+def test_a_quote_left_open_harms_its_own_line_only(spark, folder, block, monkeypatch):
+    """The text is scanned once, and a record that is not well formed is read line by line."""
+    lines = ["Date,Amount,Transaction Details,Balance"]
+    lines += [f"{i} Mar 26,-{i}.00,row {i},{i}" for i in range(1, 8)]
+    lines[2] = '2 Mar 26,-2.00,"TV screen,2'
+    lines[5] = '5 Mar 26,-5.00,"said, ""so""",5'
+    lines[7] = '7 Mar 26,-7.00,"two\nlines",7'
+    with open(os.path.join(folder, "nab.csv"), "w") as handle:
+        handle.write("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        rows = statements.read_statement(spark, folder, F.lit(1))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        found = {r.row_num: r.description_raw for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert "FileScan text" not in plan and "Scan text" not in plan
+    assert found == {1: "row 1", 2: None, 3: "row 3", 4: "row 4", 5: 'said, "so"', 6: "row 6",
+                     7: "two\nlines"}
+
+
+def test_records_beyond_the_bound_are_read_line_by_line(spark, folder, monkeypatch):
+    monkeypatch.setattr(statements, "MOST_LINES", 3)
+    body = "Date,Amount,Transaction Details,Balance\n"
+    body += '1 Mar 26,-1.00,"a\nb\nc",1\n2 Mar 26,-2.00,"a\nb\nc\nd",2\n3 Mar 26,-3.00,x,3\n'
+    with open(os.path.join(folder, "nab.csv"), "w") as handle:
+        handle.write(body)
+    found = statements.read_statement(spark, folder, F.lit(1))
+    assert [r[0] for r in values(found, "row_num")] == [1, 4, 5, 6, 7, 8]
+    assert values(found.filter("row_num IN (1, 8)"), "description_raw") == [("a\nb\nc",), ("x",)]
+
+
 def test_provider_needs_a_whole_word_or_a_clear_header(spark, folder):
     for name in ("annabel.csv", "my_commsec_2024.csv", "Bendigo Bank.csv"):
         with open(os.path.join(folder, name), "w") as handle:
@@ -171,12 +205,18 @@ def nested(levels):
     return inner
 
 
-def test_messages_are_read_to_any_usual_depth_and_deeper_ones_are_seen(spark):
-    rows = parsed(spark, [nested(5), nested(12), nested(23), nested(30), part("", "text/plain")])
+def test_messages_are_read_to_any_depth(spark):
+    depths = (0, 5, 6, 12, 30, 60, 150)
+    rows = parsed(spark, [nested(d) for d in depths] + [part("", "text/plain")])
     found = values(messages.flatten_messages(rows), "source_id", "file_name")
-    assert found == [("m0", "x.pdf"), ("m1", "x.pdf"), ("m2", "x.pdf")]
-    assert values(messages.unread_messages(rows), "source_id", "reasons") == [("m3", ["parts"])]
-    assert values(messages.body_rows(rows), "source_id") == [("m4",)]
+    assert found == [(f"m{i}", "x.pdf") for i in range(len(depths))]
+    assert values(messages.first_pdf(rows).filter("NOT no_attachment"), "source_id") == [
+        (f"m{i}",) for i in range(len(depths))
+    ]
+    assert values(messages.body_rows(rows), "source_id") == [(f"m{len(depths)}",)]
+    # Document order holds across the passes.
+    parts = messages.with_parts(rows).filter("id = 'm4'").select("_parts.filename").first()[0]
+    assert parts == [""] * 29 + ["x.pdf"] + ["note.txt"] * 30
 
 
 def test_staging_folder(spark, folder):
@@ -275,3 +315,20 @@ def test_inch_signs_and_quotes_that_are_never_closed(spark, folder, block):
     assert [r.row_num for r in rejects] == [2, 3, 5]
     kept = [json.loads(r.raw_json)["column_6"] for r in other[1:]]
     assert kept == [lines[1], lines[2], lines[4]]
+
+
+def test_a_run_takes_all_from_its_newest_closing_row(spark):
+    import datetime
+
+    def row(status, second, **more):
+        return {"batch_id": "b", "workflow_nme": "w", "status": status,
+                "logged_at": datetime.datetime(2025, 1, 1, 0, 0, second), **more}
+
+    from tests.rows import frame
+
+    log = frame(spark, schemas.RUN_LOG, [
+        row("STARTED", 1, rows_extracted=0), row("FAILED", 2, rows_extracted=9, error_msg="old"),
+        row("SUCCESS", 3, rows_extracted=4, rows_loaded=4)])
+    assert values(runlog.runs(log), "status", "rows_extracted", "error_msg") == [("SUCCESS", 4, None)]
+    started = runlog.runs(log.filter("status = 'STARTED'"))
+    assert values(started, "status", "rows_extracted", "completed_at") == [("STARTED", 0, None)]

@@ -160,3 +160,58 @@ def test_decisions_are_logged_once(spark, folder):
     docs = core(spark, [{"doc_id": i, "review_status": "NEEDS_REVIEW"} for i in (1, 2, 3)])
     done = review.apply_signed_actions(docs, log, secret)
     assert [r[0] for r in values(done, "review_status")] == ["CONFIRMED", "NEEDS_REVIEW", "REJECTED"]
+
+
+def test_the_last_answer_by_event_time_wins(spark, folder):
+    """Out of order, replayed and late answers over three batches, and a restart between them."""
+    from ledgermill.functions.crypto import checklist_token
+
+    secret, path = "s", f"{folder}/in"
+    schema = "action_ts TIMESTAMP, group_code STRING, fy_year INT, answer STRING"
+
+    def send(rows, forged=False):
+        frame = spark.createDataFrame(rows, schema)
+        token = checklist_token(F.col("group_code"), F.col("fy_year"), F.col("answer"), secret)
+        frame = frame.withColumn("token", F.lit("x") if forged else token)
+        frame.coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(frame.schema).parquet(path)
+        ingest.keep_answers(stream, f"{folder}/last", f"{folder}/checkpoint", secret)
+        return values(ingest.read_answers(spark, f"{folder}/last"), "group_code", "fy_year", "answer")
+
+    first = [(T(2025, 1, 5), "RENT", 2025, "YES"), (T(2025, 1, 9), "CAR", 2025, "NO"), (T(2025, 1, 9), "CAR", 2024, "MAYBE")]
+    assert send(first) == [("CAR", 2025, "NO"), ("RENT", 2025, "YES")]
+    # Late by months: it loses; equal times go to the larger answer.
+    late = [(T(2024, 6, 1), "RENT", 2025, "NO"), (T(2025, 1, 9), "CAR", 2025, "YES"), (T(2024, 1, 1), "CAR", 2024, "NO")]
+    assert send(late) == [("CAR", 2024, "NO"), ("CAR", 2025, "YES"), ("RENT", 2025, "YES")]
+    assert send([(T(2026, 1, 1), "RENT", 2025, "NO")], forged=True)[-1] == ("RENT", 2025, "YES")
+    again = send(first + late + [(T(2025, 1, 6), "RENT", 2025, "NO")])
+    assert again == [("CAR", 2024, "NO"), ("CAR", 2025, "YES"), ("RENT", 2025, "NO")]
+
+
+def test_a_failed_run_is_logged_and_leaves_the_mark(spark, folder):
+    from ledgermill.operators import runlog
+    from ledgermill.streaming import runs
+
+    path = f"{folder}/in"
+    spark.range(7).coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema("id LONG").parquet(path)
+
+    def fail(batch, epoch):
+        raise RuntimeError("down")
+
+    def land(batch, epoch):
+        return runs.written(batch.filter("id > 1"), lambda rows: rows.write.mode("append").parquet(f"{folder}/out"))
+
+    def advance():
+        newest = spark.read.schema("id LONG").parquet(f"{folder}/out").agg(F.max("id").alias("mark"))
+        runs.advance_mark(spark, f"{folder}/mark", newest)
+
+    seen = []
+    for write in (fail, land, land):
+        runs.run_logged(stream, write, f"{folder}/checkpoint", f"{folder}/log", "w", advance)
+        seen.append(runs.current_mark(spark, f"{folder}/mark"))
+    assert seen == [None, 6, 6]
+    log = runlog.runs(spark.read.schema(schemas.RUN_LOG).parquet(f"{folder}/log")).orderBy("started_at").collect()
+    assert [(r.status, r.rows_extracted, r.rows_loaded, r.rows_skipped) for r in log] == [
+        ("FAILED", 0, 0, 0), ("SUCCESS", 7, 5, 2), ("SUCCESS", 0, 0, 0)]
+    assert "down" in log[0].error_msg and log[1].error_msg is None

@@ -199,7 +199,7 @@ def test_running_trades_match_a_plain_window(spark):
         "id", "IF(id % 3 = 0, 'HOT', concat('S', id % 5)) AS security_code",
         "date_add(DATE'2025-01-01', CAST(id % 11 AS INT)) AS trade_date",
         "CAST(id % 7 AS DECIMAL(15,4)) AS quantity",
-        "CASE id % 4 WHEN 0 THEN 'SELL' WHEN 1 THEN 'SPLIT' ELSE 'BUY' END AS trade_type",
+        "CASE id % 4 WHEN 0 THEN 'SELL' WHEN 1 THEN 'OTHER' ELSE 'BUY' END AS trade_type",
     )
     by_day = health.running_trades(rows, ["id"], F.lit(0)).select("id", F.col("quantity_held").alias("day"))
     blocks = health.running_trades(rows, ["id"], F.floor(F.col("id") / 7))
