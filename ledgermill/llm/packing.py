@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,15 +36,32 @@ PIECES = (
 )
 PLACED = f"{PIECES}, sequence_id long, offset long"
 
-_ENCODERS: dict[str, object] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str):
-    """The byte-level BPE of a tokenizer file, read once per worker process.
+class Encoder:
+    """The ids of a tokenizer file, those of the file's own library.
 
-    The file's merges rank by id, so the ids are those of the file's own library;
-    this encoder needs a third of its time. Special tokens in a text are text.
+    The file's merges rank by id, so a byte-level encoder with these ranks gives the
+    same ids in a third of the time. Only a text that spells out one of the file's added
+    tokens is given to the library itself, which reads them as such; with
+    ``special_as_text`` they are text like any other.
     """
+
+    def __init__(self, path: str, fast, special: set[str]):
+        from tokenizers import Tokenizer
+
+        self.fast, self.library = fast, Tokenizer.from_file(path)
+        self.special = re.compile("|".join(map(re.escape, sorted(special)))) if special else None
+
+    def ids(self, text: str, special_as_text: bool = False) -> list[int]:
+        if special_as_text or self.special is None or not self.special.search(text):
+            return self.fast.encode_ordinary(text)
+        return self.library.encode(text, add_special_tokens=False).ids
+
+
+def encoder(path: str) -> Encoder:
+    """The byte-level BPE of a tokenizer file, read once per worker process."""
     if path not in _ENCODERS:
         import tiktoken
 
@@ -61,9 +79,10 @@ def encoder(path: str):
         }
         import public_tokenizers
 
-        _ENCODERS[path] = tiktoken.Encoding(
+        fast = tiktoken.Encoding(
             path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
+        _ENCODERS[path] = Encoder(path, fast, special)
     return _ENCODERS[path]
 
 
@@ -79,15 +98,15 @@ def cuts(length: int, window: int, piece: int) -> list[tuple[int, int]]:
     return out
 
 
-def _cutter(path: str, window: int, piece: int, end_id: int):
+def _cutter(path: str, window: int, piece: int, end_id: int, special_as_text: bool):
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(path).ids
         for frame in frames:
             rows = []
             for row_no, doc_id, text in zip(
                 frame["row_no"], frame["doc_id"], frame["text"], strict=True
             ):
-                ids = encode(text if isinstance(text, str) else "")
+                ids = encode(text if isinstance(text, str) else "", special_as_text)
                 ids.append(end_id)
                 data = memoryview(np.array(ids, dtype="<u4").tobytes())
                 for start, length in cuts(len(ids), window, piece):
@@ -112,6 +131,7 @@ def pieces(
     window: int = WINDOW,
     piece: int = PIECE,
     end_id: int = END_ID,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """Pieces of every document, the end id in the last one."""
     slim = docs.select(
@@ -119,7 +139,7 @@ def pieces(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
-    return slim.mapInPandas(_cutter(tokenizer_path, window, piece, end_id), PIECES)
+    return slim.mapInPandas(_cutter(tokenizer_path, window, piece, end_id, special_as_text), PIECES)
 
 
 def difference(lengths: list[int], windows: int) -> list[list[int]]:
@@ -221,9 +241,12 @@ def packed(
     piece: int = PIECE,
     end_id: int = END_ID,
     block_rows: int = BLOCK_ROWS,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
+    Ids are those the tokenizer file's library gives; a text that spells out one of the
+    file's special tokens has that token's id there, unless ``special_as_text`` is set.
     Null and empty texts have one id, the end id. Repeated rows and repeated or
     null ids are documents of their own. A block holds about ``block_rows``
     pieces; it is the only thing packed in one task, and the number of blocks
@@ -240,6 +263,7 @@ def packed(
             window,
             piece,
             end_id,
+            special_as_text,
         ),
         "pieces",
     )

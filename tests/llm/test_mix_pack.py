@@ -125,11 +125,10 @@ def test_packed_ids_are_those_of_the_library(spark):
     rng = random.Random(2)
     alphabet = "ab c\n\t'sé²Ⅷ  \x1c\U0001f600<|endoftext|>12"
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(60)]
-    texts += [None, "", "<|endoftext|>", "long word " * 3000, "z" * 5000]
+    texts += [None, "", "<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>é", "long word " * 3000, "z" * 5000]
     rows = [(i, t, "s", 0, 0, 0) for i, t in enumerate(texts)] + [(0, texts[0], "s", 0, 0, 0)]
     docs = stored(spark.createDataFrame(rows, SCHEMA), "fixture")
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     found = packing.packed(docs, tokenizer_path(), block_rows=16).toPandas()
     for doc_id, group in found.groupby("doc_id"):
         ids = tokenizer.encode(texts[doc_id] or "", add_special_tokens=False).ids + [1]
@@ -145,3 +144,8 @@ def test_packed_ids_are_those_of_the_library(spark):
             ends += r.length
         assert ends <= 2048
     assert packing.packed(spark.createDataFrame([], SCHEMA), tokenizer_path()).count() == 0
+    known = packing.encoder(tokenizer_path())
+    assert known.ids("a <|endoftext|> b") == [64, 220, 50256, 275]
+    tokenizer.encode_special_tokens = True
+    plain = tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids
+    assert known.ids("a <|endoftext|> b", special_as_text=True) == plain
