@@ -8,13 +8,15 @@ executor leaves at most files that nothing reads.
 Reading: a task gets byte ranges. It looks for the gzip magic from the start of
 its range on, accepts a candidate if the member decodes to a WARC header, and owns
 the records whose first byte lies in its range. From an accepted record on, the
-next one starts where the member before ends; other places are searched again.
+next one starts where the member before ends; what cannot be read there is reported
+and the search goes on. Records of other writers are read as far as they say.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,13 +43,15 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "urn:page"
+DAMAGED = "no record can be read where one begins"
 # Pages carry no time of their own; archives must be equal from run to run.
 DATE = "2000-01-01T00:00:00Z"
 
 FILES = "file string, bytes long, records long"
 RECORDS = (
-    "file string, at long, page_id long, record_type string, target_uri string, "
-    "payload_bytes long, payload_digest string, refers_to long, payload binary"
+    "file string, at long, record_id string, page_id long, record_type string, "
+    "target_uri string, payload_bytes long, payload_digest string, refers_to long, "
+    "payload binary, error string"
 )
 
 
@@ -69,9 +73,11 @@ def record_name(page_id: int | None, row_no: int) -> str:
 
 
 def page_of(name: str | None) -> int | None:
-    """The page id of a record name written by :func:`record_name`."""
-    middle = name.strip("<>").split(":")[2] if name else ""
-    return int(middle) if middle else None
+    """The page id of a record name written by :func:`record_name`; None for other names."""
+    parts = (name or "").strip("<>").rsplit(":", 2)
+    if len(parts) < 3 or parts[0] != RECORD or not re.fullmatch(r"-?[0-9]+", parts[1]):
+        return None
+    return int(parts[1])
 
 
 def record_bytes(
@@ -181,7 +187,8 @@ def write_archives(
         rows.select(
             "row_no",
             "page_id",
-            F.sha1("payload").alias("digest"),
+            # Payloads are equal if two digests of different kinds and their sizes are.
+            F.concat(F.sha1("payload"), F.hex(F.xxhash64("payload"))).alias("digest"),
             F.octet_length("payload").alias("size"),
         ).where(F.col("size") >= min_bytes),
         "payload-digests",
@@ -263,15 +270,29 @@ class RangeReader:
             return None
         return b"".join(parts), place - len(inflate.unused_data)
 
-    def records(self) -> Iterator[tuple[int, bytes]]:
+    def records(self) -> Iterator[tuple[int, bytes | None]]:
+        """Place and content of every record; no content where one must begin and none does.
+
+        A record begins at the start of the file and where another one ends. The range in
+        which the record before lies reports it, also if the place is beyond its end.
+        """
+        known = 0 if self.place == 0 and len(self._read(0, 1)) else None
         at = self._next_magic(self.place)
-        while 0 <= at < self.end:
-            found = self._member(at)
+        while True:
+            found = self._member(at) if 0 <= at < self.end else None
+            if known is not None and (at != known or found is None):
+                # Beyond the range's end it is somebody else's, unless it is damaged.
+                if known < self.end or self._member(known) is None:
+                    yield known, None
+            known = None
+            if not 0 <= at < self.end:
+                return
             if found is None:
                 at = self._next_magic(at + 1)
                 continue
             content, after = found
             yield at, content
+            known = after if len(self._read(after, 1)) else None
             at = self._next_magic(after)
 
 
@@ -282,28 +303,41 @@ def headers_of(block: bytes) -> dict[str, str]:
 
 
 def parsed(content: bytes) -> dict[str, object] | None:
-    """Fields of a response or revisit record; None for other kinds; an error if it is damaged."""
+    """Fields of a response or revisit record of any writer; None for other kinds.
+
+    What a record does not say is None, but for the payload's size and digest, which are
+    taken from the payload of a response. ``error`` says that they contradict it.
+    """
     head, _, rest = content.partition(b"\r\n\r\n")
     headers = headers_of(head)
     kind = headers.get("warc-type")
     if kind not in ("response", "revisit"):
         return None
-    block = rest[: int(headers["content-length"])]
+    length = headers.get("content-length", "")
+    error = None
+    if not length.isdigit() or int(length) > len(rest):
+        error = "the block is shorter than its length"
+    block = rest[: int(length)] if length.isdigit() else rest
     http, _, payload = block.partition(b"\r\n\r\n")
-    said = headers["warc-payload-digest"].removeprefix("sha1:")
-    size = int(headers_of(http)["content-length"])
+    said = headers.get("warc-payload-digest")
+    said = said.removeprefix("sha1:") if said and said.startswith("sha1:") else None
+    size = headers_of(http).get("content-length", "")
+    size = int(size) if size.isdigit() else None
     if kind == "response":
         found = digest_text(hashlib.sha1(payload).digest())
-        if found != said or size != len(payload):
-            raise ValueError(f"record {headers.get('warc-record-id')} does not match its digest")
+        if said not in (None, found) or size not in (None, len(payload)):
+            error = error or "the payload does not match its digest or size"
+        said, size = found, len(payload)
     return {
-        "page_id": page_of(headers["warc-record-id"]),
+        "record_id": headers.get("warc-record-id"),
+        "page_id": page_of(headers.get("warc-record-id")),
         "record_type": kind,
         "target_uri": headers.get("warc-target-uri"),
         "payload_bytes": size,
         "payload_digest": said,
         "refers_to": page_of(headers.get("warc-refers-to")),
         "payload": payload if kind == "response" else None,
+        "error": error,
     }
 
 
@@ -312,7 +346,7 @@ def _reader(payloads: bool):
 
     def frame_of(rows: list[dict[str, object]]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=names)
-        for name in ("page_id", "refers_to"):
+        for name in ("page_id", "payload_bytes", "refers_to"):
             out[name] = pd.array(out[name], dtype="Int64")
         return out
 
@@ -323,12 +357,12 @@ def _reader(payloads: bool):
                 rows, held = [], 0
                 with files.open_input_file(path) as handle:
                     for at, content in RangeReader(handle, split.start, split.end).records():
-                        fields = parsed(content)
+                        fields = {"error": DAMAGED} if content is None else parsed(content)
                         if fields is None:
                             continue
                         if not payloads:
                             fields["payload"] = None
-                        held += len(fields["payload"] or b"")
+                        held += len(fields.get("payload") or b"")
                         rows.append({"file": split.file, "at": at, **fields})
                         if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
                             yield frame_of(rows)
@@ -346,7 +380,9 @@ def read_archives(
 
     A record belongs to the range its first byte lies in, so ranges of any size
     give every record once. Without ``payloads`` the payload column stays null;
-    payloads are checked against their digests either way.
+    payloads are checked against their digests either way. A record that contradicts
+    itself, and a place where a record must begin and none can be read, is a row with
+    ``error`` set; reading goes on at the next record.
     """
     starts = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))
     ranges = files.where("bytes > 0").select("file", "bytes", F.explode(starts).alias("start"))
@@ -357,7 +393,24 @@ def read_archives(
     return ranges.repartition(tasks, "file", "start").mapInPandas(_reader(payloads), RECORDS)
 
 
+def checked(records: DataFrame, files: DataFrame) -> DataFrame:
+    """``records``, after a look at them: none has an error, and each file has all of its own."""
+    found = records.groupBy("file").agg(
+        F.count(F.lit(1)).alias("found"), F.max("error").alias("error")
+    )
+    wrong = files.join(found, "file", "left").where(
+        "error IS NOT NULL OR coalesce(found, 0) != records"
+    )
+    for r in wrong.limit(1).collect():
+        raise ValueError(f"{r['file']}: {r['found']} of {r['records']} records, {r['error']}")
+    return records
+
+
 def archived(pages: DataFrame, folder: str | None = None, **columns: str) -> DataFrame:
-    """Write ``pages`` to archives and read them back: the records without payloads."""
+    """Write ``pages`` to archives and read them back: the records without payloads.
+
+    Every record that was written must be read, else this raises.
+    """
     folder = folder or scratch_dir(pages.sparkSession, "archives")
-    return read_archives(write_archives(pages, folder, **columns), payloads=False)
+    files = write_archives(pages, folder, **columns)
+    return checked(stored(read_archives(files, payloads=False), "records"), files)
