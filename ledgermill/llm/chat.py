@@ -16,6 +16,7 @@ at the block borders, and every block is then repaired on its own.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,6 +132,20 @@ def opening(state: int) -> str:
 
 CLOSING = "<|im_end|>\n"
 
+# What could be read as a marker in a text, escaped or not.
+_MARKER = re.compile(r"<(\\*)\|(?=im_(?:start|end)\|>)")
+_ESCAPED = re.compile(r"<\\(\\*)\|(?=im_(?:start|end)\|>)")
+
+
+def escaped(text: str) -> str:
+    """``text`` with a backslash more inside every marker, so that it closes and opens nothing."""
+    return _MARKER.sub(r"<\\\1|", text)
+
+
+def unescaped(text: str) -> str:
+    """The text that :func:`escaped` was given."""
+    return _ESCAPED.sub(r"<\1|", text)
+
 
 def empty_message(state: int) -> str:
     return opening(state) + CLOSING
@@ -149,7 +164,7 @@ def rendered(
         cost, inserted, state, merged, relabelled = choice
         part = "" if (first and i == 0) or merged else CLOSING
         part += "".join(empty_message(s) for s in inserted)
-        part += (JOINER if merged else opening(state)) + text
+        part += (JOINER if merged else opening(state)) + escaped(text)
         if last and i == len(texts) - 1:
             cost += int(END_COST[state])
             part += CLOSING + "".join(empty_message(s) for s in ENDINGS[state])
@@ -279,7 +294,8 @@ def formatted(
     rendered text; the costs sum to the least cost of its repair. Turns are ordered
     by number, then role, text and row; a null number comes first. Roles are read
     without case; null and unknown roles are relabelled. Null texts are empty, empty
-    texts stay messages. Rows with a null conversation form one conversation.
+    texts stay messages. A marker of the rendered form inside a text is escaped
+    (:func:`escaped`), so no text can forge a turn. Rows with a null conversation form one conversation.
     Repeated rows are turns of their own. An empty table gives no rows; other
     columns are ignored.
     """
