@@ -30,7 +30,7 @@ EPOCHS = 6
 RATE = 0.5
 THRESHOLD = 0.3
 
-# A long text is read in parts that end at white space, so arrays stay small.
+# A long text is read in parts, so arrays stay small.
 PART_BYTES = 1 << 20
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -57,42 +57,65 @@ def _bucket(hashes: np.ndarray, salt: int, bits: int) -> np.ndarray:
     return ((mixed * _P) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _parts(data: bytes) -> Iterator[bytes]:
-    """``data`` in parts of about PART_BYTES that end at a space where there is one."""
-    start = 0
-    while len(data) - start > PART_BYTES:
-        cut = data.rfind(b" ", start, start + PART_BYTES)
-        end = cut if cut > start else start + PART_BYTES
-        yield data[start:end]
-        start = end
-    yield data[start:]
-
-
 def buckets(text: str | None, bits: int = BUCKET_BITS) -> Iterator[np.ndarray]:
-    """Arrays of bucket numbers of a text: words, pairs of words, 3- and 4-byte n-grams."""
+    """Arrays of bucket numbers of a text: words, pairs of words, 3- and 4-byte n-grams.
+
+    A long text is read in parts; what crosses their borders is carried over: the last
+    three bytes, the hash of a word that goes on, and the last whole word for the pair.
+    """
     if not text:
         return
-    for part in _parts(text.encode("utf-8", "surrogatepass")):
-        raw = np.frombuffer(b" " + part + b" ", dtype=np.uint8)
+    data = text.encode("utf-8", "surrogatepass") + b" "
+    tail = np.array([32], dtype=np.uint64)
+    open_hash, open_size = np.uint64(0), 0
+    last_word = np.zeros(0, dtype=np.uint64)
+    shift = np.uint64(8)
+    for start in range(0, len(data), PART_BYTES):
+        raw = np.frombuffer(data, dtype=np.uint8)[start : start + PART_BYTES]
         space = (raw == 32) | ((raw >= 9) & (raw <= 13))
-        if space.all():
-            continue
         codes = np.where(space, np.uint8(32), raw).astype(np.uint64)
-        edges = np.diff(space.view(np.int8))
-        starts, ends = np.flatnonzero(edges == -1) + 1, np.flatnonzero(edges == 1) + 1
+        before = np.concatenate([[open_size == 0], space[:-1]])
+        starts = np.flatnonzero(~space & before)
+        ends = np.flatnonzero(space & ~before)
         up, down = _powers(len(raw) + 1)
         sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * up[:-1])])
-        words = (sums[ends] - sums[starts]) * down[starts]
+        if open_size:
+            # The word that was open goes on to its end, or through the whole part.
+            size = int(ends[0]) if len(ends) else len(raw)
+            power = np.uint64(pow(int(_P), open_size, 1 << 64))
+            carried = open_hash + sums[size : size + 1] * power
+            open_size += size
+            first = carried if len(ends) else carried[:0]
+            open_hash = carried[0]
+            ends = ends[1:]
+        else:
+            first = np.zeros(0, dtype=np.uint64)
+        whole = starts[: len(ends)]
+        words = np.concatenate([first, (sums[ends] - sums[whole]) * down[whole]])
+        if len(starts) > len(ends):
+            at = int(starts[-1])
+            open_hash = ((sums[-1:] - sums[at : at + 1]) * down[at : at + 1])[0]
+            open_size = len(raw) - at
+        elif len(first) or len(ends):
+            open_size = 0
         yield _bucket(words, 0, bits)
-        if len(words) > 1:
-            pairs = words[:-1] * _P + words[1:]
+        paired = np.concatenate([last_word, words])
+        if len(paired) > 1:
+            pairs = paired[:-1] * _P + paired[1:]
             # A word that follows itself is one event, whichever word it is.
-            yield _bucket(np.where(words[:-1] == words[1:], np.uint64(1), pairs), 1, bits)
-        inner = ~space
-        shift = np.uint64(8)
+            yield _bucket(np.where(paired[:-1] == paired[1:], np.uint64(1), pairs), 1, bits)
+        last_word = paired[-1:]
+        # N-grams that end in this part.
+        codes = np.concatenate([tail, codes])
+        inner = codes != 32
+        known = len(tail)
+        tail = codes[-3:]
+        if len(codes) < 3:
+            continue
         three = (((codes[:-2] << shift) | codes[1:-1]) << shift) | codes[2:]
-        yield _bucket(three[inner[1:-1]], 2, bits)
-        if len(raw) > 3:
+        new = max(0, known - 2)
+        yield _bucket(three[new:][inner[1:-1][new:]], 2, bits)
+        if len(codes) > 3:
             four = (three[:-1] << shift) | codes[3:]
             yield _bucket(four[inner[1:-2] & inner[2:-1]], 3, bits)
 
@@ -221,12 +244,14 @@ def fit(
     slim = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
-    # The sample has a fixed number of rows.
-    sample = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-    bags = sample.select("doc_id", "label", "text").mapInPandas(
-        _bagger(bits), "label int, ids binary, counts binary"
+    # The sample has a fixed number of ids, and of rows that share one, one text is read.
+    sample = (
+        slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
     )
-    found = bags.limit(2 * rows).toPandas()
+    bags = sample.mapInPandas(_bagger(bits), "label int, ids binary, counts binary")
+    found = bags.toPandas()
     found = found.sort_values(["label", "ids", "counts"], kind="stable")
     # Views of the collected bytes: six bytes a bucket and no copies on the driver.
     read = [
