@@ -75,6 +75,8 @@ _CLASSES = np.array(
 )
 _INSIDE = np.array([c in _SIGNS_INSIDE for c in map(chr, range(_TOP))] + [False])
 _PART_CHARS = 1 << 20
+_STEP_CHARS = 256
+_RUN = re.compile(r"\S*")
 
 FEATURES = (
     "lexicon_density",
@@ -107,6 +109,19 @@ def unmasked(word: str) -> str:
     return "".join(_WORD.findall(word.lower().translate(PLAIN)))
 
 
+def run_at(text: str, place: int) -> tuple[str, int]:
+    """The whole run without white space around a place, and where it ends."""
+    low = place
+    while low:
+        before = text[max(0, low - _STEP_CHARS) : low]
+        size = _RUN.match(before[::-1]).end()
+        low -= size
+        if size < len(before):
+            break
+    end = _RUN.match(text, place).end()
+    return text[low:end], end
+
+
 def surface(text: str) -> tuple[np.ndarray, list[str]]:
     """Counts of capitals, shouted letters, signs, masked places and stretched letters.
 
@@ -132,10 +147,12 @@ def surface(text: str) -> tuple[np.ndarray, list[str]]:
         if odd.any():
             places = np.flatnonzero(odd) + 1
             totals[3] += len(places)
+            # Places of one run of signs without a space belong to one word.
+            end, word = -1, ""
             for place in places.tolist():
-                around = part[max(0, place - 24) : place].split()[-1]
-                after = part[place : place + 24].split()[0]
-                masked.append(around + after)
+                if start + place >= end:
+                    word, end = run_at(text, start + place)
+                masked.append(word)
         equal = codes[1:] == codes[:-1]
         totals[4] += np.count_nonzero(equal[1:] & equal[:-1] & letter[2:])
     return totals, masked
@@ -358,8 +375,8 @@ def lexicon_of(sample: DataFrame) -> frozenset[str]:
     return frozenset(r["word"] for r in found.collect())
 
 
-def feature_rows(sample: DataFrame, lexicon: frozenset[str], most: int) -> pd.DataFrame:
-    """Features of the sampled documents, at most ``most`` rows."""
+def feature_rows(sample: DataFrame, lexicon: frozenset[str]) -> pd.DataFrame:
+    """Features of the sampled documents, one row per sampled id."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -376,7 +393,7 @@ def feature_rows(sample: DataFrame, lexicon: frozenset[str], most: int) -> pd.Da
             )
 
     found = sample.mapInPandas(run, "doc_id long, part int, label int, row array<double>")
-    return found.limit(most).toPandas().sort_values("doc_id", kind="stable")
+    return found.toPandas().sort_values("doc_id", kind="stable")
 
 
 def fit(
@@ -394,17 +411,21 @@ def fit(
     slim = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
-    sample = slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select(
-        "doc_id",
-        "text",
-        "label",
-        F.greatest(
-            F.lit(0), F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)).cast("int") - 1
-        ).alias("part"),
+    # The sample has a fixed number of ids, and of rows that share one, one text is read.
+    sample = (
+        slim.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
+        .withColumn(
+            "part",
+            F.greatest(
+                F.lit(0), F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)).cast("int") - 1
+            ),
+        )
     )
     sample = stored(sample, "sample")
     lexicon = lexicon_of(sample.where("part = 0"))
-    found = feature_rows(sample.where("part > 0"), lexicon, 2 * rows)
+    found = feature_rows(sample.where("part > 0"), lexicon)
     matrix = np.array(found["row"].tolist(), dtype=float).reshape(len(found), len(FEATURES))
     truth = found["label"].to_numpy(dtype=float)
     grown, tuned = (found["part"] == 1).to_numpy(), (found["part"] == 2).to_numpy()

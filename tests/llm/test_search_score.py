@@ -287,3 +287,38 @@ def test_numbers_across_the_parts_of_a_long_chain():
         whole = field.decode([pii.token_features(tokens)])[0]
         assert (field.decode_long(tokens) == whole).all()
         assert ("id", 2 * before + 4, 2 * before + 15) in pii.decoded_spans([text], field)[0]
+
+
+def test_quality_buckets_do_not_depend_on_parts(monkeypatch):
+    """Words, pairs and n-grams across the borders of parts, and a word longer than a part."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab é\n  xyz\t世") for _ in range(rng.randint(0, 80))) for _ in range(120)]
+    texts += ["long" * 50, " ", "a", "a b a b", "x" * 9 + " " + "y" * 9]
+
+    def bag(text):
+        found = list(quality.buckets(text))
+        return np.bincount(np.concatenate(found), minlength=1 << 16) if found else np.zeros(1 << 16)
+
+    whole = [bag(t) for t in texts]
+    for size in (1, 2, 3, 4, 7, 16):
+        monkeypatch.setattr(quality, "PART_BYTES", size)
+        assert all((bag(t) == w).all() for t, w in zip(texts, whole, strict=True))
+
+
+def test_a_masked_word_is_read_whole(monkeypatch):
+    long = "q" * 400
+    text = f"say {long}i*d{long} and f*o,b@r end"
+    for size in (1 << 20, 5, 64):
+        monkeypatch.setattr(toxicity, "_PART_CHARS", size)
+        totals, masked = toxicity.surface(text)
+        assert masked == [f"{long}i*d{long}"] + ["f*o,b@r"] * (totals[3] - 1)
+        assert totals[3] >= 2
+
+
+def test_repeated_ids_give_one_training_row_and_equal_models(spark):
+    rows = [(i, f"{'good calm text' if i % 2 else 'BAD!! noise'} {i}") for i in range(40)]
+    rows += [(3, "zzz other text")] * 200
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tables = [quality.fit(d, labels).table for d in (docs, docs.repartition(7), docs.where("text NOT LIKE 'zzz%'"))]
+    assert (tables[0] == tables[1]).all() and (tables[0] == tables[2]).all()
