@@ -273,11 +273,9 @@ def nearest(
     ).where(F.col("vec_id").isNotNull() & _usable(F.col("vector")))
     usable = stored(usable, "vectors")
     total = usable.count()
-    share = min(1.0, 1.2 * sample_rows / max(1, total))
-    drawn = usable.where(
-        F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) <= int(share * (1 << 30))
-    )
-    drawn = drawn.select("vector").limit(sample_rows).toPandas()["vector"].tolist()
+    # The rows with the smallest hashes: every part of the table is as likely.
+    drawn = usable.orderBy(F.xxhash64("vec_id", "row_no"), "row_no").limit(sample_rows)
+    drawn = drawn.select("vector").toPandas()["vector"].tolist()
     widths = [len(v) for v in drawn]
     width = max(set(widths), key=lambda w: (widths.count(w), w)) if widths else 1
     usable = usable.where(F.size("vector") == width)
