@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgermill.operators import learned, merchants, similar
+from ledgermill.operators import baselines, learned, merchants, similar
 from ledgermill.plans import frames
 from ledgermill.plans.frames import with_frames
 from ledgermill.plans.registry import query
+from ledgermill.session import scratch_dir
 
 # --- naive Bayes -------------------------------------------------------------
 
@@ -160,3 +161,36 @@ def few_shot_similar(spark, sf):
     docs = frames.core_documents(spark, sf).select("doc_id", "review_status", "reviewed_at")
     docs = docs.join(texts, "doc_id")
     return similar.few_shot_similar(docs.filter(_OPEN), docs)
+
+
+# --- outliers by a baseline of months ----------------------------------------
+
+
+@query(
+    "outlier_median",
+    with_frames("txn")
+    + """, a AS (SELECT txn_id, category_id, amount, CAST(date_trunc('month', txn_date) AS DATE) AS m,
+  abs(amount) AS x FROM txn WHERE category_id IS NOT NULL),
+months AS (SELECT DISTINCT category_id, m FROM a),
+lists AS (SELECT months.category_id, months.m, list_sort(list(CAST(x AS DOUBLE))) AS l
+  FROM months JOIN a ON a.category_id = months.category_id AND a.m < months.m
+    AND a.m >= months.m - INTERVAL 12 MONTH GROUP BY 1, 2),
+q AS (SELECT *, l[CAST(ceil(0.25 * len(l)) AS INT)] AS lo, l[CAST(ceil(0.5 * len(l)) AS INT)] AS median,
+  l[CAST(ceil(0.75 * len(l)) AS INT)] AS hi FROM lists WHERE len(l) >= 5)
+SELECT txn_id, CAST(a.category_id AS BIGINT) AS category_id, CAST(a.amount AS DOUBLE) AS amount, median
+FROM a JOIN q ON q.category_id = a.category_id AND q.m = a.m
+WHERE CAST(x AS DECIMAL(18,4)) > CAST(hi + 0.25 * (hi - lo) AS DECIMAL(18,4))""",
+)
+def outlier_median(spark, sf):
+    """Amounts above the baseline of twelve months; sketches are stored month by month.
+
+    At the compared sizes a year of a category fits a sketch whole, so it is exact there.
+    """
+    path = scratch_dir(spark, "sketches")
+    txns = frames.transactions(spark, sf)
+    # Two runs: what was known before 1998, then the months since.
+    for part in ("txn_date < DATE'1998-01-01'", "txn_date >= DATE'1998-01-01'"):
+        baselines.write_months(baselines.month_sketches(txns.filter(part)), path)
+    known = baselines.month_baselines(baselines.read_months(spark, path))
+    found = baselines.median_outliers(txns, known, spreads=0.25)
+    return found.select("txn_id", "category_id", "amount", "median")
