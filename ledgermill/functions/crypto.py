@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,24 +34,47 @@ def hmac_pads(secret: str) -> tuple[str, str]:
     return bytes(b ^ 0x36 for b in padded).hex(), bytes(b ^ 0x5C for b in padded).hex()
 
 
-def hmac_sha256(message: Column, secret: str) -> Column:
-    """HMAC-SHA256 as hex, composed from two SHA-256 calls."""
+@dataclass(frozen=True)
+class Pads:
+    """Inner and outer pad as binary columns, read from where the secret is kept."""
+
+    inner: Column
+    outer: Column
+
+
+# A secret in clear text ends up in plans; see ``operators.secrets`` for the other form.
+Secret = str | Pads
+
+
+def pads_of(secret: Secret) -> Pads:
+    if isinstance(secret, Pads):
+        return secret
     inner, outer = hmac_pads(secret)
-    digest = F.sha2(F.concat(F.unhex(F.lit(inner)), F.encode(message, "UTF-8")), 256)
-    return F.sha2(F.concat(F.unhex(F.lit(outer)), F.unhex(digest)), 256)
+    return Pads(F.unhex(F.lit(inner)), F.unhex(F.lit(outer)))
 
 
-def review_token(doc_id: Column, action: Column, secret: str) -> Column:
+def hmac_sha256(message: Column, secret: Secret) -> Column:
+    """HMAC-SHA256 as hex, composed from two SHA-256 calls."""
+    pads = pads_of(secret)
+    digest = F.sha2(F.concat(pads.inner, F.encode(message, "UTF-8")), 256)
+    return F.sha2(F.concat(pads.outer, F.unhex(digest)), 256)
+
+
+def review_token(doc_id: Column, action: Column, secret: Secret) -> Column:
     return hmac_sha256(F.concat_ws("|", doc_id.cast("string"), action), secret)
 
 
-def checklist_token(group: Column, fy_year: Column, answer: Column, secret: str) -> Column:
+def checklist_token(group: Column, fy_year: Column, answer: Column, secret: Secret) -> Column:
     return hmac_sha256(F.concat_ws("|", group, fy_year.cast("string"), answer), secret)
 
 
-def encrypt(value: Column, key: str) -> Column:
-    return F.aes_encrypt(F.encode(value, "UTF-8"), F.encode(F.lit(key), "UTF-8"))
+def _key(key: str | Column) -> Column:
+    return key if isinstance(key, Column) else F.encode(F.lit(key), "UTF-8")
+
+
+def encrypt(value: Column, key: str | Column) -> Column:
+    return F.aes_encrypt(F.encode(value, "UTF-8"), _key(key))
 
 
-def decrypt(value: Column, key: str) -> Column:
-    return F.decode(F.aes_decrypt(value, F.encode(F.lit(key), "UTF-8")), "UTF-8")
+def decrypt(value: Column, key: str | Column) -> Column:
+    return F.decode(F.aes_decrypt(value, _key(key)), "UTF-8")

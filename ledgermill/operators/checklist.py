@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions.calendar import days_since_fy_start
-from ledgermill.functions.crypto import checklist_token
+from ledgermill.functions.crypto import Secret, checklist_token
 from ledgermill.operators.keys import first_per_key
 from ledgermill.seeds import SECTION_ORDER
 
@@ -22,7 +22,7 @@ WFH_ITEMS = {
 }
 
 
-def valid_answers(answers: DataFrame, secret: str) -> DataFrame:
+def valid_answers(answers: DataFrame, secret: Secret) -> DataFrame:
     """YES / NO answers with the right token over ``group|year|answer``."""
     expected = checklist_token(
         F.col("group_code"), F.col("fy_year"), F.col("answer"), secret
@@ -31,7 +31,7 @@ def valid_answers(answers: DataFrame, secret: str) -> DataFrame:
 
 
 def apply_answers(
-    responses: DataFrame, items: DataFrame, answers: DataFrame, secret: str
+    responses: DataFrame, items: DataFrame, answers: DataFrame, secret: Secret
 ) -> DataFrame:
     """Answer a group for a year; re-answering is allowed, the last answer counts.
 

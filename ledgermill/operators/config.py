@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions.crypto import decrypt, encrypt
@@ -18,19 +18,19 @@ def config_key(spark: SparkSession) -> str:
     return key
 
 
-def seal(rows: DataFrame, key: str) -> DataFrame:
+def seal(rows: DataFrame, key: str | Column) -> DataFrame:
     """``(package_nme, var_nme, value)`` to stored rows with an encrypted value."""
     return rows.select("package_nme", "var_nme", encrypt(F.col("value"), key).alias("var_val"))
 
 
-def config_vars(stored: DataFrame, package: str, key: str) -> DataFrame:
+def config_vars(stored: DataFrame, package: str, key: str | Column) -> DataFrame:
     """Every variable of a package in clear text."""
     return stored.filter(F.col("package_nme") == package).select(
         "var_nme", decrypt(F.col("var_val"), key).alias("var_val")
     )
 
 
-def upsert_vars(stored: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+def upsert_vars(stored: DataFrame, rows: DataFrame, key: str | Column) -> DataFrame:
     """Stored rows with the given values added or replaced."""
     new = seal(rows, key)
     kept = stored.join(new, ["package_nme", "var_nme"], "left_anti")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.functions.crypto import review_token
+from ledgermill.functions.crypto import Secret, review_token
 from ledgermill.functions.values import exact_mean
 from ledgermill.operators.keys import first_per_key
 from ledgermill.schemas import REVIEWED
@@ -237,7 +237,7 @@ def digest_summary(core: DataFrame) -> DataFrame:
     return core.agg(waiting.alias("waiting"), (waiting == 0).alias("all_clear"))
 
 
-def signed_links(digest: DataFrame, secret: str) -> DataFrame:
+def signed_links(digest: DataFrame, secret: Secret) -> DataFrame:
     """Add a confirm and a reject token per row."""
     return digest.withColumn(
         "confirm_token", review_token(F.col("doc_id"), F.lit("confirm"), secret)
@@ -406,14 +406,14 @@ def apply_bulk_actions(
 CONFIRM_NOTE, REJECT_NOTE = "Confirmed via email review bot", "Rejected via email review bot"
 
 
-def valid_review_actions(actions: DataFrame, secret: str) -> DataFrame:
+def valid_review_actions(actions: DataFrame, secret: Secret) -> DataFrame:
     """Actions that are exactly confirm or reject and carry the right token."""
     expected = review_token(F.col("doc_id"), F.col("action"), secret)
     return actions.filter(F.col("action").isin("confirm", "reject") & (F.col("token") == expected))
 
 
 def apply_signed_actions(
-    core: DataFrame, actions: DataFrame, secret: str, now: Column | None = None
+    core: DataFrame, actions: DataFrame, secret: Secret, now: Column | None = None
 ) -> DataFrame:
     """Apply ``actions(action_ts, doc_id, action, token)``; the first valid one counts.
 

@@ -7,11 +7,14 @@ common table expressions for the comparison queries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill import seeds
+from ledgermill.functions.crypto import Pads
+from ledgermill.operators import secrets
 from ledgermill.schemas import LINE_ITEMS
+from ledgermill.session import scratch_dir
 
 # Financial years that cover the orders, and the document years.
 ORDER_FY = (1995, 2002, 2001)
@@ -22,6 +25,20 @@ SAMPLE_SECRET = "sample-signing-secret"
 SAMPLE_KEY = "0123456789abcdef"
 
 
+def sample_pads(spark: SparkSession) -> Pads:
+    """The sample signing secret, kept in a table so that no plan holds it."""
+    path = scratch_dir(spark, "secret")
+    secrets.keep_secret(spark, path, SAMPLE_SECRET)
+    return secrets.signing_pads(spark, path)
+
+
+def sample_key(spark: SparkSession) -> Column:
+    """The sample encryption key, kept in a table so that no plan holds it."""
+    path = scratch_dir(spark, "secret")
+    secrets.keep_secret(spark, path, SAMPLE_KEY)
+    return secrets.encryption_key(spark, path)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -8,7 +8,7 @@ from ledgermill import seeds
 from ledgermill.operators import archive, landing, runlog, transactions
 from ledgermill.operators.snapshots import SnapshotTable
 from ledgermill.plans import frames, portal
-from ledgermill.plans.frames import SAMPLE_SECRET, with_frames
+from ledgermill.plans.frames import sample_pads, with_frames
 from ledgermill.plans.queries_docs import QUARANTINE_SQL, _INCOMING, _archive_docs
 from ledgermill.plans.queries_mart import tax_report
 from ledgermill.plans.queries_review import ACTIONS_SQL, review_actions
@@ -273,7 +273,7 @@ def stream_actions(spark, sf):
     actions = review_actions(spark, sf)
     actions.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(actions.schema).parquet(f"{base}/in")
-    ingest.log_decisions(stream, f"{base}/decisions", f"{base}/checkpoint", SAMPLE_SECRET)
+    ingest.log_decisions(stream, f"{base}/decisions", f"{base}/checkpoint", sample_pads(spark))
     return ingest.read_decisions(spark, f"{base}/decisions").drop("token")
 
 

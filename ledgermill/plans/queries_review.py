@@ -9,7 +9,7 @@ from ledgermill.functions import crypto
 from ledgermill.functions.calendar import epoch_ms
 from ledgermill.operators import checklist, config, health, quality, review, runlog
 from ledgermill.plans import frames
-from ledgermill.plans.frames import SAMPLE_KEY, SAMPLE_SECRET, with_frames
+from ledgermill.plans.frames import SAMPLE_SECRET, sample_key, sample_pads, with_frames
 from ledgermill.plans.queries_mart import ITEMS_SQL, RESPONSES_SQL, _responses
 from ledgermill.plans.registry import query
 
@@ -211,7 +211,7 @@ def digest_summary(spark, sf):
   {_hmac_sql("doc_id || '|reject'")} AS reject_token FROM docs WHERE review_status = 'NEEDS_REVIEW'""",
 )
 def signed_links(spark, sf):
-    rows = review.signed_links(review.digest_rows(_core(spark, sf), _cats(spark)), SAMPLE_SECRET)
+    rows = review.signed_links(review.digest_rows(_core(spark, sf), _cats(spark)), sample_pads(spark))
     return rows.select("doc_id", "confirm_token", "reject_token")
 
 
@@ -310,7 +310,7 @@ def review_actions(spark, sf):
         ).alias("action_ts"),
         "turn",
     )
-    token = crypto.review_token(F.col("doc_id"), F.col("action"), SAMPLE_SECRET)
+    token = crypto.review_token(F.col("doc_id"), F.col("action"), sample_pads(spark))
     return rows.withColumn("token", F.when(F.col("turn") % 5 == 4, "forged").otherwise(token)).drop(
         "turn"
     )
@@ -329,7 +329,7 @@ SELECT doc_id, CASE WHEN NOT hit THEN review_status WHEN action = 'confirm' THEN
   CAST(CASE WHEN hit THEN action_ts ELSE reviewed_at END AS VARCHAR) AS reviewed_at FROM r""",
 )
 def signed_actions(spark, sf):
-    done = review.apply_signed_actions(_core(spark, sf), review_actions(spark, sf), SAMPLE_SECRET)
+    done = review.apply_signed_actions(_core(spark, sf), review_actions(spark, sf), sample_pads(spark))
     return done.select("doc_id", "review_status", "reviewer_notes", "reviewed_at")
 
 
@@ -364,14 +364,14 @@ def _answers(spark, sf):
         "turn",
     )
     token = crypto.checklist_token(
-        F.col("group_code"), F.col("fy_year"), F.col("answer"), SAMPLE_SECRET
+        F.col("group_code"), F.col("fy_year"), F.col("answer"), sample_pads(spark)
     )
     return rows.withColumn("token", F.when(F.col("turn") % 5 == 4, "forged").otherwise(token))
 
 
 def _answered(spark, sf):
     return checklist.apply_answers(
-        _responses(spark, sf), seeds.checklist_items(spark), _answers(spark, sf), SAMPLE_SECRET
+        _responses(spark, sf), seeds.checklist_items(spark), _answers(spark, sf), sample_pads(spark)
     )
 
 
@@ -519,11 +519,12 @@ def config_vars(spark, sf):
         F.concat(F.lit("old "), "c_custkey").alias("value"),
         "c_custkey",
     )
-    stored = config.seal(rows, SAMPLE_KEY)
+    key = sample_key(spark)
+    stored = config.seal(rows, key)
     changed = rows.filter("c_custkey % 2 = 0").withColumn(
         "value", F.concat(F.lit("new "), "c_custkey")
     )
-    return config.config_vars(config.upsert_vars(stored, changed, SAMPLE_KEY), "BUILDING", SAMPLE_KEY)
+    return config.config_vars(config.upsert_vars(stored, changed, key), "BUILDING", key)
 
 
 @query(

@@ -10,7 +10,7 @@ from ledgermill.operators import checklist, runlog
 from ledgermill.operators.buckets import BucketedLog
 from ledgermill.operators.keys import first_per_key
 from ledgermill.plans import frames
-from ledgermill.plans.frames import SAMPLE_SECRET
+from ledgermill.plans.frames import sample_pads
 from ledgermill.plans.queries_review import _ANSWERED, _answers, _responses
 from ledgermill.plans.registry import query
 from ledgermill.schemas import RUN_LOG
@@ -33,7 +33,7 @@ def stream_answers(spark, sf):
     for part in ("turn >= 3", "turn IN (0, 2)", "turn = 1 OR turn >= 3"):
         rows.filter(part).write.mode("append").parquet(f"{base}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
-        ingest.keep_answers(stream, f"{base}/last", f"{base}/checkpoint", SAMPLE_SECRET)
+        ingest.keep_answers(stream, f"{base}/last", f"{base}/checkpoint", sample_pads(spark))
     done = checklist.apply_last_answers(
         _responses(spark, sf),
         seeds.checklist_items(spark),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgermill.functions.crypto import content_hash
+from ledgermill.functions.crypto import Secret, content_hash
 from ledgermill.operators.buckets import EPOCH, SLOT, BucketedLog
 from ledgermill.operators.checklist import valid_answers
 from ledgermill.operators.keys import first_per_key
@@ -222,7 +222,7 @@ def compact_core(spark: SparkSession, core_path: str, target: str) -> None:
 DECISION = "doc_id BIGINT, action STRING, action_ts TIMESTAMP, token STRING"
 
 
-def log_decisions(actions: DataFrame, path: str, checkpoint: str, secret: str) -> StreamingQuery:
+def log_decisions(actions: DataFrame, path: str, checkpoint: str, secret: Secret) -> StreamingQuery:
     """Keep the first valid review action per document; later ones are replays."""
 
     def keep(batch: DataFrame, epoch: int) -> None:
@@ -241,7 +241,7 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
 ANSWER = "group_code STRING, fy_year INT, answer STRING, action_ts TIMESTAMP"
 
 
-def keep_answers(answers: DataFrame, path: str, checkpoint: str, secret: str) -> StreamingQuery:
+def keep_answers(answers: DataFrame, path: str, checkpoint: str, secret: Secret) -> StreamingQuery:
     """Keep the last valid answer by event time of every group and year.
 
     The state is one row per group and year, whatever the number of answers, so it needs
