@@ -139,26 +139,45 @@ def share_read(spark, sf):
     return rows.select("security_code", "trade_date", "quantity", "value", "trade_type")
 
 
-def _drop_documents(spark, sf, folder, copies: int) -> None:
-    """Write the documents as staged files, several times over."""
-    docs = frames.table(spark, sf, "documents").select("text")
-    for _ in range(copies):
-        docs.write.mode("append").option("extension", "pdf").csv(folder)
+# Files of a fixed content: one line per text of a part, in order.
+_FILES_SQL = """parts AS (SELECT doc_id % 16 AS p,
+  string_agg('x' || hex(encode(text)), chr(10) ORDER BY doc_id) || chr(10) AS body FROM documents GROUP BY 1),
+files AS (SELECT sha256(body) AS file_hash, length(body) AS file_size_bytes FROM parts)"""
 
 
-@query("staging_scan")
+def _drop_documents(spark, sf, folder: str, extension: str) -> None:
+    """Write the documents as sixteen files of a type, one below each part's folder."""
+    docs = frames.table(spark, sf, "documents").select(
+        (F.col("doc_id") % 16).alias("p"), "doc_id", F.concat(F.lit("x"), F.hex("text")).alias("line")
+    )
+    parts = docs.repartition(16, "p").sortWithinPartitions("p", "doc_id").drop("doc_id")
+    out = parts.write.mode("append").partitionBy("p")
+    out.option("extension", extension).csv(folder)
+
+
+@query(
+    "staging_scan",
+    f"""WITH {_FILES_SQL}
+SELECT 'pdf' AS file_ext, 2 * count(*) AS files, count(DISTINCT file_hash) AS contents,
+  CAST(2 * sum(file_size_bytes) AS BIGINT) AS bytes, md5(string_agg(file_hash, ',' ORDER BY file_hash)) AS digest FROM files
+UNION ALL SELECT 'csv', count(*), NULL, NULL, NULL FROM files""",
+)
 def staging_scan(spark, sf):
+    """Two copies of every file, and as many of a type that is refused."""
     folder = scratch_dir(spark, "staging")
-    _drop_documents(spark, sf, folder, 2)
-    frames.table(spark, sf, "benchmark").select("text").write.mode("append").csv(folder)
-    kept = files.scan_staging(spark, folder).groupBy("file_ext").agg(
+    for extension in ("pdf", "pdf", "csv"):
+        _drop_documents(spark, sf, folder, extension)
+    # A small chunk, so that every file is read in many.
+    found = files.scan_staging(spark, folder, chunk_bytes=4096, recursive=True)
+    kept = found.groupBy("file_ext").agg(
         F.count(F.lit(1)).alias("files"),
         F.countDistinct("file_hash").alias("contents"),
         F.sum("file_size_bytes").alias("bytes"),
+        F.md5(F.array_join(F.array_sort(F.collect_set("file_hash")), ",")).alias("digest"),
     )
-    refused = files.unsupported_files(spark, folder).select(
+    refused = files.unsupported_files(spark, folder, recursive=True).select(
         "file_ext", "files", F.lit(None).cast("bigint").alias("contents"),
-        F.lit(None).cast("bigint").alias("bytes"),
+        F.lit(None).cast("bigint").alias("bytes"), F.lit(None).cast("string").alias("digest"),
     )
     return kept.unionByName(refused)
 
@@ -166,13 +185,17 @@ def staging_scan(spark, sf):
 # --- streams -----------------------------------------------------------------
 
 
-@query("stream_ingest")
+@query(
+    "stream_ingest",
+    f"""WITH {_FILES_SQL}
+SELECT 'pdf' AS file_ext, file_hash, file_size_bytes, 0 AS epoch FROM files""",
+)
 def stream_ingest(spark, sf):
-    """New files of a drop folder; a second run over more copies adds nothing."""
+    """New files of a drop folder; a second run over copies of them adds nothing."""
     folder, base = scratch_dir(spark, "drop"), scratch_dir(spark, "ingest")
     for _ in range(2):
-        _drop_documents(spark, sf, folder, 1)
-        ingest.ingest_files(spark, folder, f"{base}/landing", f"{base}/checkpoint")
+        _drop_documents(spark, sf, folder, "pdf")
+        ingest.ingest_files(spark, f"{folder}/*", f"{base}/landing", f"{base}/checkpoint")
     landed = ingest.read_epochs(spark, f"{base}/landing", ingest.STAGED_FILE)
     return landed.select("file_ext", "file_hash", "file_size_bytes", "epoch")
 

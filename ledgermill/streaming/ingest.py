@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgermill.functions.crypto import Secret, content_hash
+from ledgermill.functions.crypto import Secret
 from ledgermill.operators.buckets import EPOCH, SLOT, BucketedLog
 from ledgermill.operators.checklist import valid_answers
 from ledgermill.operators.keys import first_per_key
@@ -30,9 +30,8 @@ from ledgermill.operators.merge import (
 )
 from ledgermill.operators.review import valid_review_actions
 from ledgermill.schemas import CORE_DOCUMENTS
-from ledgermill.seeds import STAGING_EXTENSIONS
 from ledgermill.session import path_exists
-from ledgermill.sources.files import BINARY_FILE, describe_files
+from ledgermill.sources.files import BINARY_FILE, described, with_hashes
 from ledgermill.sources.queue import unprocessed
 
 
@@ -65,16 +64,9 @@ def read_epochs(spark: SparkSession, path: str, schema: str, before: int | None
 
 
 def staged_files(spark: SparkSession, folder: str) -> DataFrame:
-    """New files of a supported type dropped into a folder, hashed."""
+    """New files of a supported type dropped into a folder, listed and not yet read."""
     files = spark.readStream.format("binaryFile").schema(BINARY_FILE).load(folder)
-    return describe_files(files).filter(F.col("file_ext").isin(*STAGING_EXTENSIONS)).select(
-        "path",
-        "file_name",
-        "file_ext",
-        F.col("length").alias("file_size_bytes"),
-        F.col("modificationTime").alias("modified_at"),
-        content_hash(F.col("content")).alias("file_hash"),
-    )
+    return described(files)
 
 
 STAGED_FILE = (
@@ -88,7 +80,8 @@ def ingest_files(spark: SparkSession, folder: str, landing: str, checkpoint: str
 
     def land(batch: DataFrame, epoch: int) -> None:
         log = BucketedLog(batch.sparkSession, landing, STAGED_FILE, ["file_hash"])
-        once = first_per_key(batch, ["file_hash"], [F.col("file_name"), F.col("path")])
+        hashed = with_hashes(batch)
+        once = first_per_key(hashed, ["file_hash"], [F.col("file_name"), F.col("path")])
         # Hashed once: the slots are looked up before the rows are written.
         once.persist()
         log.write(log.unknown(once, before=epoch), epoch)

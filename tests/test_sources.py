@@ -237,6 +237,26 @@ def test_staging_folder(spark, folder):
     ]
 
 
+def test_files_are_hashed_in_chunks_and_dealt_by_size(spark, folder):
+    import hashlib
+
+    bodies = {"a b%20c.pdf": b"x" * 100_000, "empty.pdf": b"", "z+z.PNG": bytes(range(256)) * 9, "n.txt": b"no"}
+    for name, body in bodies.items():
+        with open(os.path.join(folder, name), "wb") as handle:
+            handle.write(body)
+    for path in (folder, f"file://{folder}"):
+        for chunk in (7, 1 << 20):
+            rows = files.scan_staging(spark, path, chunk_bytes=chunk).collect()
+            assert {r.file_name: r.file_hash for r in rows} == {
+                n: hashlib.sha256(b).hexdigest() for n, b in bodies.items() if n != "n.txt"}
+            assert {r.file_name: r.file_size_bytes for r in rows}["a b%20c.pdf"] == 100_000
+    reader = files.StagedReader({"path": folder, "partitionbytes": str(5 << 20)})
+    assert sorted(len(p.files) for p in reader.partitions()) == [1, 1, 1, 1]
+    assert list(files.StagedReader({"path": folder}).read(reader.partitions()[0]))[0][4] is None
+    os.mkdir(os.path.join(folder, "sub"))
+    assert files.scan_staging(spark, os.path.join(folder, "sub")).count() == 0
+
+
 def test_snapshot_versions(spark, folder):
     table = snapshots.SnapshotTable(spark, f"{folder}/core", schemas.CORE_DOCUMENTS)
     assert table.read().count() == 0 and table.current() is None
