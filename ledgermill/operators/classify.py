@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermill import seeds
 from ledgermill.functions import text as text_fn
@@ -105,10 +106,16 @@ def default_classification(confidence: str, category: str, summary: str) -> Colu
         "document_type": "Unknown",
         "summary": summary,
     }
-    names = re.findall(r"(\w+): (?:STRING|ARRAY)", CLASSIFICATION.split("line_items")[0])
-    fields = [F.lit(given.get(n)).cast("string").alias(n) for n in names]
-    items = CLASSIFICATION.split("line_items: ", 1)[1][:-1]
-    return F.struct(*fields, F.array().cast(items).alias("line_items"))
+    shape = T.StructType.fromDDL(f"c {CLASSIFICATION}")["c"].dataType
+    none = F.array()
+    return F.struct(
+        *[
+            (none if isinstance(f.dataType, T.ArrayType) else F.lit(given.get(f.name)))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in shape.fields
+        ]
+    )
 
 
 def document_default(summary: str = "No text could be extracted from this document.") -> Column:
@@ -167,6 +174,49 @@ def extract_supplier(text: Column) -> Column:
     return F.nullif(F.trim(F.regexp_extract(text, r"^\s*([^\n]+)", 1)), F.lit(""))
 
 
+# Our own words for kinds of documents, the more telling ones first.
+DOCUMENT_TYPES = (
+    "tax invoice", "contract note", "notice of assessment", "payment summary", "payslip",
+    "receipt", "statement", "invoice", "certificate", "notice", "schedule",
+)
+_DAY = r"([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
+
+
+def extract_type(text: Column) -> Column:
+    """The first word for a kind of document, in title case."""
+    body = "|".join(DOCUMENT_TYPES)
+    found = F.regexp_extract(text, rf"(?i)\b({body})\b", 1)
+    return F.nullif(F.initcap(F.lower(found)), F.lit(""))
+
+
+def extract_period(text: Column) -> Column:
+    """``struct<first, last>``: the days of a billing period, null where they are no days."""
+    pattern = rf"(?i)\b(?:billing|service|supply) period[: ]+{_DAY}\s*(?:-|–|to)\s*{_DAY}"
+
+    def day(group: int) -> Column:
+        said = F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+        return F.coalesce(values.safe_to_date(said), values.statement_date(said, "%d/%m/%Y"))
+
+    return F.when(
+        F.lower(text).contains(" period"), F.struct(day(1).alias("first"), day(2).alias("last"))
+    )
+
+
+def extract_address(text: Column) -> Column:
+    """The rest of the line behind "supply address"."""
+    said = F.trim(F.regexp_extract(text, r"(?i)\bsupply address[: ]+([^\r\n]+)", 1))
+    return F.when(F.lower(text).contains("supply address"), F.nullif(said, F.lit("")))
+
+
+def summary_of(category: Column, supplier: Column, amount: Column) -> Column:
+    """One line: the category, who from and how much, as far as they are known."""
+    return F.concat(
+        category,
+        F.coalesce(F.concat(F.lit(" from "), supplier), F.lit("")),
+        F.coalesce(F.concat(F.lit(", $"), amount), F.lit("")),
+    )
+
+
 def classify_documents(
     docs: DataFrame,
     text: str,
@@ -193,6 +243,8 @@ def classify_documents(
             "_amount": extract_amount(body).cast("string"),
             "_date": extract_date(body),
             "_items": text_fn.bill_lines(body),
+            "_period": extract_period(body),
+            "_supplier": extract_supplier(body),
         }
     )
     read = read.withColumn("_best", best_category(F.col("_words"), rules)).withColumn(
@@ -204,7 +256,6 @@ def classify_documents(
         confidence_of(hits).cast("decimal(4,3)").cast("string"),
         F.lit(DOCUMENT_DEFAULT_CONFIDENCE),
     )
-    nothing = F.lit(None).cast("string")
     found = F.struct(
         ((hits > 0) & (hits >= F.col("_private"))).cast("string").alias("is_tax_relevant"),
         category.alias("category"),
@@ -213,13 +264,13 @@ def classify_documents(
         F.col("_amount").alias("deductible_amount"),
         F.col("_amount").alias("total_amount"),
         confidence.alias("confidence"),
-        nothing.alias("document_type"),
+        extract_type(body).alias("document_type"),
         F.col("_date").cast("string").alias("document_date"),
-        nothing.alias("summary"),
-        nothing.alias("billing_period_start"),
-        nothing.alias("billing_period_end"),
-        extract_supplier(body).alias("supplier_name"),
-        nothing.alias("supply_address"),
+        summary_of(category, F.col("_supplier"), F.col("_amount")).alias("summary"),
+        F.col("_period.first").cast("string").alias("billing_period_start"),
+        F.col("_period.last").cast("string").alias("billing_period_end"),
+        F.col("_supplier").alias("supplier_name"),
+        extract_address(body).alias("supply_address"),
         extract_account(body).alias("account_reference"),
         F.transform(
             "_items",
@@ -239,7 +290,7 @@ def classify_documents(
         F.when(empty, document_default().cast(CLASSIFICATION)).otherwise(
             found.cast(CLASSIFICATION)
         ),
-    ).drop("_words", "_best", "_private", "_amount", "_date", "_items")
+    ).drop("_words", "_best", "_private", "_amount", "_date", "_items", "_period", "_supplier")
 
 
 def parse_response(

@@ -711,16 +711,65 @@ def category_rules(spark, sf):
     )
 
 
+# Rules of several words, which the head of the made-up bill holds.
+_BILL_RULES = {
+    "Donations": ("gift receipt", "charity fund"),
+    "Technology Equipment": ("tax invoice", "invoice paid"),
+    "Bank Interest Statement": ("interest earned",),
+}
+_BILL_HEAD = {
+    "supplier": "concat('Shop ', source)",
+    "kind": "CASE doc_id % 3 WHEN 0 THEN 'TAX INVOICE, tax invoice' WHEN 1 THEN 'Gift Receipt of the Charity Fund' "
+    "ELSE 'Statement of interest earned' END",
+    "day": "CASE doc_id % 4 WHEN 0 THEN '2024-02-30 or 05/03/2024' WHEN 1 THEN '2024-05-06' WHEN 2 THEN '31/02/2024' "
+    "ELSE 'soon' END",
+    "period": "CASE doc_id % 2 WHEN 0 THEN 'Billing period: 01/04/2024 to 30/04/2024' "
+    "ELSE 'Service period 40/04/2024 - 30/04/2024' END",
+    "address": "concat('Supply Address: ', doc_id, ' High St')",
+    "account": "concat('Account number: AC-', 1000 + doc_id)",
+    "total": "CASE WHEN doc_id % 5 <> 0 THEN concat('Total due $', CAST(doc_id AS {string}), '.50') ELSE 'Total due' END",
+}
+
+
+@query(
+    "class_fields",
+    """WITH f AS (SELECT doc_id, 'Shop ' || source AS supplier, doc_id % 3 AS k, doc_id % 5 <> 0 AS paid FROM documents)
+SELECT doc_id, CASE k WHEN 0 THEN 'Technology Equipment' WHEN 1 THEN 'Donations' ELSE 'Bank Interest Statement' END AS category,
+  'true' AS is_tax_relevant,
+  CASE k WHEN 0 THEN '0.600' WHEN 1 THEN '0.600' ELSE '0.500' END AS confidence,
+  CASE k WHEN 2 THEN 'false' ELSE 'true' END AS is_deductible,
+  '2024' AS fy_year,
+  CASE WHEN paid THEN doc_id || '.50' END AS deductible_amount, CASE WHEN paid THEN doc_id || '.50' END AS total_amount,
+  CASE k WHEN 0 THEN 'Tax Invoice' WHEN 1 THEN 'Receipt' ELSE 'Statement' END AS document_type,
+  CASE doc_id % 4 WHEN 0 THEN '2024-03-05' WHEN 1 THEN '2024-05-06' WHEN 2 THEN '2024-04-01' ELSE '2024-04-30' END AS document_date,
+  CASE k WHEN 0 THEN 'Technology Equipment' WHEN 1 THEN 'Donations' ELSE 'Bank Interest Statement' END || ' from ' || supplier
+    || CASE WHEN paid THEN ', $' || doc_id || '.50' ELSE '' END AS summary,
+  CASE doc_id % 2 WHEN 0 THEN '2024-04-01' END AS billing_period_start,
+  '2024-04-30' AS billing_period_end,
+  supplier AS supplier_name, doc_id || ' High St' AS supply_address, 'AC-' || (1000 + doc_id) AS account_reference,
+  1 AS line_items FROM f""",
+)
+def class_fields(spark, sf):
+    """All fields of the classification, of bills with a known head and the whole text below."""
+    head = [F.expr(sql.format(string="STRING")) for sql in _BILL_HEAD.values()]
+    body = F.concat_ws("\n", *head, F.lit("Usage 2 kWh @ 0.5000 = 1.00"), F.replace("text", F.lit("$"), F.lit("")))
+    docs = frames.table(spark, sf, "documents").select("doc_id", body.alias("text"))
+    rows = classify.classify_documents(docs, "text", _BILL_RULES, ("zzyzx",))
+    return rows.select("doc_id", "classification.*").withColumn("line_items", F.size("line_items"))
+
+
 @query(
     "default_class",
     """SELECT doc_id, 'Invoice / Receipt — Other' AS document_category, '0.1' AS document_confidence,
   'Other' AS folder_category, '0.0' AS folder_confidence, 'false' AS is_deductible FROM documents""",
 )
 def default_class(spark, sf):
-    docs = frames.table(spark, sf, "documents")
-    blank = classify.classify_documents(
-        docs.select("doc_id", F.lit("").alias("text")), "text", SAMPLE_RULES
+    """Empty texts, missing ones, and whole texts that no rule speaks for."""
+    docs = frames.table(spark, sf, "documents").select(
+        "doc_id",
+        F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, F.col("text")).alias("text"),
     )
+    blank = classify.classify_documents(docs, "text", {"Donations": ("zzyzx",)})
     folder = classify.parse_response(F.lit("no answer"))
     return blank.withColumn("folder", folder).select(
         "doc_id",
