@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions.crypto import content_hash
 from ledgermill.functions.text import drop_nul, preview
+from ledgermill.operators.buckets import EPOCH, SLOT, BucketedLog
 from ledgermill.operators.keys import first_per_key
+from ledgermill.schemas import LANDING_DOCUMENTS
 from ledgermill.sources.queue import landed_hashes
 
 _FILE = "_file_key"
@@ -110,17 +112,52 @@ def update_json(landing: DataFrame, updates: DataFrame) -> DataFrame:
     sides are unique on the landing id.
     """
     new = updates.select(F.col("landing_id").alias("_id"), F.col("classification").alias("_cls"))
+    joined = landing.join(new, F.col("landing_id") == F.col("_id"), "left")
+    return joined.withColumn("raw_json", _rebuilt()).select(*landing.columns)
+
+
+def _rebuilt() -> Column:
+    """``raw_json`` with ``_cls`` as its classification, where ``_id`` is set."""
     fields = F.coalesce(
         F.from_json("raw_json", "map<string,variant>"),
         F.create_map().cast("map<string,variant>"),
     )
     kept = F.map_filter(fields, lambda key, _: key != "classification")
     added = F.create_map(F.lit("classification"), F.parse_json("_cls"))
-    joined = landing.join(new, F.col("landing_id") == F.col("_id"), "left")
     rebuilt = F.to_json(F.map_concat(kept, added))
-    return joined.withColumn(
-        "raw_json", F.when(F.col("_id").isNotNull(), rebuilt).otherwise(F.col("raw_json"))
-    ).select(*landing.columns)
+    return F.when(F.col("_id").isNotNull(), rebuilt).otherwise(F.col("raw_json"))
+
+
+ID_KEY = ("landing_id",)
+UPDATE = "landing_id BIGINT, classification STRING"
+
+
+def landing_log(spark: SparkSession, path: str) -> BucketedLog:
+    """Landing rows, bucketed on their id."""
+    return BucketedLog(spark, path, LANDING_DOCUMENTS, ID_KEY)
+
+
+def update_log(spark: SparkSession, path: str) -> BucketedLog:
+    """New classifications, a small table beside the landing rows; the latest epoch counts."""
+    return BucketedLog(spark, path, UPDATE, ID_KEY)
+
+
+def read_updated(rows: BucketedLog, updates: BucketedLog) -> DataFrame:
+    """Landing rows with their latest classification put into ``raw_json``.
+
+    An update writes its few rows only. They meet the landing rows here, bucket by
+    bucket, so the JSON is not shuffled and nothing is rewritten.
+    """
+    rows.check_same_layout(updates)
+    latest = first_per_key(updates.read(), [SLOT, *ID_KEY], [F.col(EPOCH).desc()])
+    new = latest.select(
+        F.col(SLOT).alias("_slot"),
+        F.col("landing_id").alias("_id"),
+        F.col("classification").alias("_cls"),
+    )
+    on = (F.col(SLOT) == F.col("_slot")) & (F.col("landing_id") == F.col("_id"))
+    joined = rows.read().join(new, on, "left")
+    return joined.withColumn("raw_json", _rebuilt()).select(*rows.columns)
 
 
 def reset_landing(landing: DataFrame, path: str) -> None:

@@ -117,7 +117,14 @@ def json_update(spark, sf):
     updates = landing.classification_updates(
         frames.table(spark, sf, "labels").select(one.alias("updates"))
     )
-    rows = landing.update_json(frames.landing_documents(spark, sf), updates)
+    base = scratch_dir(spark, "updated")
+    queued = landing.landing_log(spark, f"{base}/landing")
+    queued.write(frames.landing_documents(spark, sf), 0)
+    changes = landing.update_log(spark, f"{base}/updates")
+    # An older classification of some rows, which the newer one replaces.
+    changes.write(updates.filter("landing_id % 3 = 0").withColumn("classification", F.lit("{}")), 0)
+    changes.write(updates, 1)
+    rows = landing.read_updated(queued, changes)
 
     def field(path: str):
         return F.get_json_object("raw_json", path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.calendar import epoch_ms
 from ledgermill.functions.values import mean_double
-from ledgermill.operators.keys import first_per_key
+from ledgermill.operators.keys import first_per_key, sorted_places
 from ledgermill.plans.frames import table
 from ledgermill.plans.registry import query
 
@@ -385,8 +385,8 @@ def rolling(spark, sf):
 def sort_keys(spark, sf):
     """All rows, each with its place in the order of its status."""
     keys = [F.col("o_totalprice").asc(), F.col("o_orderkey").asc()]
-    place = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy(*keys))
-    return table(spark, sf, "orders").select("o_orderkey", place.alias("place"))
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return sorted_places(rows, [F.col("o_orderstatus")], keys, "place").select("o_orderkey", "place")
 
 
 @query(
@@ -396,8 +396,8 @@ def sort_keys(spark, sf):
 )
 def nulls_last(spark, sf):
     keys = [F.col("quality").desc_nulls_last(), F.col("doc_id").asc()]
-    order = Window.partitionBy(F.col("doc_id") % 7).orderBy(*keys)
-    return _scored(spark, sf).select("doc_id", F.row_number().over(order).alias("place"))
+    rows = _scored(spark, sf).select("doc_id", "quality")
+    return sorted_places(rows, [F.col("doc_id") % 7], keys, "place").select("doc_id", "place")
 
 
 @query(
@@ -408,8 +408,8 @@ def nulls_last(spark, sf):
 def sort_by_aggregate(spark, sf):
     total = F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("total")
     grouped = table(spark, sf, "orders").groupBy("o_custkey").agg(total)
-    order = Window.partitionBy(F.col("o_custkey") % 7).orderBy(F.col("total").desc(), "o_custkey")
-    return grouped.select("o_custkey", F.row_number().over(order).alias("place"))
+    keys = [F.col("total").desc(), F.col("o_custkey").asc()]
+    return sorted_places(grouped, [F.col("o_custkey") % 7], keys, "place").select("o_custkey", "place")
 
 
 @query(

@@ -92,3 +92,38 @@ def test_twenty_batches_take_level_time_and_match_one_merge(spark, folder):
     assert marked.select("source_id").distinct().count() == len(newest)
     early, late = sorted(seconds[2:8])[3], sorted(seconds[14:])[3]
     assert late < 2.5 * early, seconds
+
+
+def test_updates_meet_the_json_in_its_bucket(spark, folder):
+    from ledgermill.operators import landing as queue_of
+
+    rows = landing(spark, [{"source_id": f"k{i}", "raw_json": '{"a": 1, "classification": {"x": 0}}'} for i in range(30)])
+    queued = queue_of.landing_log(spark, f"{folder}/queue")
+    queued.write(rows, 0)
+    updates = queue_of.update_log(spark, f"{folder}/updates")
+    for epoch, ids in enumerate(([1, 2, 3], [2, 99])):
+        made = [(i, f'{{"x": {10 * epoch + i}}}') for i in ids]
+        updates.write(spark.createDataFrame(made, queue_of.UPDATE), epoch)
+    with scoped(spark, {**CO_LOCATED, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        done = queue_of.read_updated(queued, updates)
+        assert "Exchange" not in plan_of(done)
+        x = F.get_json_object("raw_json", "$.classification.x").cast("int")
+        found = dict(values(done.withColumn("x", x), "landing_id", "x"))
+    assert len(found) == 30 and {k: found[k] for k in (1, 2, 3, 4)} == {1: 1, 2: 12, 3: 3, 4: 0}
+
+
+def test_sorted_places_split_groups_over_ranges(spark):
+    from ledgermill.operators.keys import sorted_places
+
+    rows = spark.range(3000).selectExpr(
+        "id", "CASE WHEN id % 10 < 7 THEN 'hot' WHEN id % 10 = 8 THEN NULL ELSE 'cold' END AS g",
+        "id * 7919 % 1009 AS v", "1 AS _at_least")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    found = sorted_places(rows, [F.col("g")], order, "place")
+    plain = spark.createDataFrame(rows.collect(), rows.schema)
+    plain.createOrReplaceTempView("places")
+    wanted = spark.sql("SELECT id, row_number() OVER (PARTITION BY g ORDER BY v DESC, id) AS place FROM places")
+    assert values(found, "id", "place") == values(wanted, "id", "place")
+    whole = sorted_places(rows, [], order, "place")
+    assert sorted(r[0] for r in whole.select("place").collect()) == list(range(1, 3001))
+    assert sorted_places(rows.limit(0), [F.col("g")], order, "place").count() == 0
