@@ -221,25 +221,34 @@ def stream_rows(spark, sf):
 @query(
     "stream_dedupe",
     "SELECT source_type, source_id FROM (SELECT CASE lang WHEN 'en' THEN 'GMAIL' WHEN 'de' THEN 'FOLDER' "
-    "ELSE 'MANUAL' END AS source_type, md5(text) AS source_id FROM documents) GROUP BY ALL",
+    "ELSE 'MANUAL' END AS source_type, md5(text) AS source_id FROM documents) GROUP BY ALL "
+    "UNION ALL SELECT 'LATE', 'item-' || item_id FROM benchmark WHERE item_id % 2 = 0",
 )
 def stream_dedupe(spark, sf):
-    """Repeated mail is dropped while its state is inside the lateness window."""
+    """Mail of a day, then late mail: copies are dropped, two days are kept, four days refused."""
     base = scratch_dir(spark, "mail")
+    day = "TIMESTAMP'2024-01-05 00:00:00'"
     mail = frames.table(spark, sf, "documents").alias("d").selectExpr(
         *frames._LANDING_KEY,
-        "TIMESTAMP'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(d.doc_id % 1440 AS INT)) AS received_at",
+        f"{day} + make_dt_interval(0, 0, CAST(d.doc_id % 1440 AS INT)) AS received_at",
     )
-    mail.write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(mail.schema).parquet(f"{base}/in")
-    once = ingest.dedupe_late(stream, ["source_type", "source_id"])
-    run = (
-        once.writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{base}/out")
+    again = mail.withColumn("received_at", F.expr("received_at - INTERVAL '1' DAY"))
+    late = frames.table(spark, sf, "benchmark").selectExpr(
+        "'LATE' AS source_type",
+        "concat('item-', item_id) AS source_id",
+        f"{day} - make_dt_interval(CAST(IF(item_id % 2 = 0, 2, 4) AS INT)) AS received_at",
     )
-    run.awaitTermination()
+    for batch in (mail, again.unionByName(late)):
+        batch.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(mail.schema).parquet(f"{base}/in")
+        once = ingest.dedupe_late(stream, ["source_type", "source_id"])
+        run = (
+            once.writeStream.format("parquet")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{base}/out")
+        )
+        run.awaitTermination()
     return spark.read.schema(mail.schema).parquet(f"{base}/out").select(
         "source_type", "source_id"
     )
