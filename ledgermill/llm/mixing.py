@@ -92,9 +92,9 @@ def mixture(
 
     ``size`` counts words, null texts have 0. A null source is a source of its
     own, ordered last. A document without words is taken with 0 words, a source
-    without words has target 0. The order of sampling depends on the seed and
-    the id alone; repeated ids are ordered by size and place. Empty input gives
-    no rows; other columns of ``docs`` are ignored. With ``row_column`` the row
+    without words has target 0. The order of sampling depends on the seed, the id
+    and the text, so rows without an id, or with one id, are dealt like others;
+    rows that repeat both are ordered by place. Empty input gives no rows; other columns of ``docs`` are ignored. With ``row_column`` the row
     numbers of ``docs`` are kept in the result.
     """
     row = row_column or fresh(docs.columns, "row_no")
@@ -105,7 +105,7 @@ def mixture(
             F.col(id_column).cast("long").alias("doc_id"),
             source_key(F.col(source_column)).alias("key"),
             word_count(F.col(text_column)).alias("size"),
-            F.xxhash64(F.lit(seed), F.col(id_column).cast("long")).alias("draw"),
+            F.xxhash64(F.lit(seed), F.col(id_column).cast("long"), F.col(text_column)).alias("draw"),
         ).withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)).cast("int")),
         "sized",
     )

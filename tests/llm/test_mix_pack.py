@@ -119,6 +119,18 @@ def test_cuts_cover_a_document():
         assert all(0 < n <= 2048 for _, n in cuts)
 
 
+def test_rows_without_an_id_are_dealt_by_their_text(spark):
+    rows = [(None, f"text number {i} " * (1 + i % 5), "abc"[i % 3], 1, 1, 1) for i in range(600)]
+    docs = stored(spark.createDataFrame(rows, SCHEMA), "fixture")
+    runs = []
+    for given in (docs, stored(docs.repartition(5), "other")):
+        mixed = mixing.mixed(given).select("text", "source")
+        runs.append(sorted(map(tuple, mixed.collect())))
+    # Rows are told apart by their texts, wherever they lie in the table.
+    assert runs[0] == runs[1]
+    assert len({t for t, _ in runs[0]}) > 300
+
+
 def test_packed_ids_are_those_of_the_library(spark):
     from tokenizers import Tokenizer
 
