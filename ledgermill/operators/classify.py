@@ -62,9 +62,9 @@ def _alternation(words: Sequence[str]) -> str:
     return rf"(?=[{first}])(?<![\p{{L}}\p{{N}}])({body})(?![\p{{L}}\p{{N}}])"
 
 
-def words_found(text: Column, words: Sequence[str]) -> Column:
-    """Every whole-word hit in the text, lower case, in one scan."""
-    return F.regexp_extract_all(F.lower(text), F.lit(_alternation(words)), F.lit(1))
+def words_found(lower: Column, words: Sequence[str]) -> Column:
+    """Every whole-word hit in a lower-case text, in one scan."""
+    return F.regexp_extract_all(lower, F.lit(_alternation(words)), F.lit(1))
 
 
 def hits_of(found: Column, words: Sequence[str]) -> Column:
@@ -182,14 +182,18 @@ DOCUMENT_TYPES = (
 _DAY = r"([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
 
 
-def extract_type(text: Column) -> Column:
-    """The first word for a kind of document, in title case."""
+def extract_type(lower: Column) -> Column:
+    """The first word for a kind of document in a lower-case text, in title case."""
     body = "|".join(DOCUMENT_TYPES)
-    found = F.regexp_extract(text, rf"(?i)\b({body})\b", 1)
-    return F.nullif(F.initcap(F.lower(found)), F.lit(""))
+    found = F.regexp_extract(lower, rf"\b({body})\b", 1)
+    # Plain searches keep the expression away from texts without any of the words.
+    some = F.lit(False)
+    for word in {w.rsplit(" ")[-1] for w in DOCUMENT_TYPES}:
+        some = some | lower.contains(word)
+    return F.when(some, F.nullif(F.initcap(found), F.lit("")))
 
 
-def extract_period(text: Column) -> Column:
+def extract_period(text: Column, lower: Column) -> Column:
     """``struct<first, last>``: the days of a billing period, null where they are no days."""
     pattern = rf"(?i)\b(?:billing|service|supply) period[: ]+{_DAY}\s*(?:-|–|to)\s*{_DAY}"
 
@@ -198,14 +202,14 @@ def extract_period(text: Column) -> Column:
         return F.coalesce(values.safe_to_date(said), values.statement_date(said, "%d/%m/%Y"))
 
     return F.when(
-        F.lower(text).contains(" period"), F.struct(day(1).alias("first"), day(2).alias("last"))
+        lower.contains(" period"), F.struct(day(1).alias("first"), day(2).alias("last"))
     )
 
 
-def extract_address(text: Column) -> Column:
+def extract_address(text: Column, lower: Column) -> Column:
     """The rest of the line behind "supply address"."""
     said = F.trim(F.regexp_extract(text, r"(?i)\bsupply address[: ]+([^\r\n]+)", 1))
-    return F.when(F.lower(text).contains("supply address"), F.nullif(said, F.lit("")))
+    return F.when(lower.contains("supply address"), F.nullif(said, F.lit("")))
 
 
 def summary_of(category: Column, supplier: Column, amount: Column) -> Column:
@@ -237,13 +241,14 @@ def classify_documents(
     }
     # Everything that reads the text is computed once, in its own projection.
     words = [w for rule in rules.values() for w in rule]
-    read = docs.withColumns(
+    lower = F.col("_lower")
+    read = docs.withColumn("_lower", F.lower(body)).withColumns(
         {
-            "_words": words_found(body, [*words, *private_words]),
+            "_words": words_found(lower, [*words, *private_words]),
             "_amount": extract_amount(body).cast("string"),
             "_date": extract_date(body),
             "_items": text_fn.bill_lines(body),
-            "_period": extract_period(body),
+            "_period": extract_period(body, lower),
             "_supplier": extract_supplier(body),
         }
     )
@@ -264,13 +269,13 @@ def classify_documents(
         F.col("_amount").alias("deductible_amount"),
         F.col("_amount").alias("total_amount"),
         confidence.alias("confidence"),
-        extract_type(body).alias("document_type"),
+        extract_type(lower).alias("document_type"),
         F.col("_date").cast("string").alias("document_date"),
         summary_of(category, F.col("_supplier"), F.col("_amount")).alias("summary"),
         F.col("_period.first").cast("string").alias("billing_period_start"),
         F.col("_period.last").cast("string").alias("billing_period_end"),
         F.col("_supplier").alias("supplier_name"),
-        extract_address(body).alias("supply_address"),
+        extract_address(body, lower).alias("supply_address"),
         extract_account(body).alias("account_reference"),
         F.transform(
             "_items",
@@ -290,7 +295,7 @@ def classify_documents(
         F.when(empty, document_default().cast(CLASSIFICATION)).otherwise(
             found.cast(CLASSIFICATION)
         ),
-    ).drop("_words", "_best", "_private", "_amount", "_date", "_items", "_period", "_supplier")
+    ).drop("_words", "_best", "_private", "_amount", "_date", "_items", "_period", "_supplier", "_lower")
 
 
 def parse_response(

@@ -1275,7 +1275,7 @@ def share_merge(spark, sf):
 
 
 def _message_json(spark, sf):
-    """Documents as exported mail messages, PDF parts at several depths, one of them at sixty."""
+    """Documents as exported mail messages, PDF parts at several depths, down to sixty."""
     body = F.struct(
         F.lit("att").alias("attachmentId"), F.lit(None).cast("string").alias("data"),
         F.col("n_chars").alias("size"),
@@ -1293,13 +1293,15 @@ def _message_json(spark, sf):
     def pdf(number):
         return F.concat(F.lit(f"{number}-"), "doc_id", F.lit(".PDF"))
 
-    # Sixty levels of multiparts around one file, as text: the depth of the data is no schema.
+    # Eight levels of multiparts around one file, and sixty in every fifth of them, as text:
+    # the depth of the data is no schema.
     level = F.to_json(
         part(F.lit(""), F.lit("multipart/mixed"), empty, F.array(F.lit("@")))
     )
     opening, closing = F.substring_index(level, '"@"', 1), F.substring_index(level, '"@"', -1)
     leaf = F.to_json(part(pdf("deep"), F.lit("application/pdf"), body))
-    deep = F.concat(F.repeat(opening, F.lit(59)), leaf, F.repeat(closing, F.lit(59)))
+    levels = F.when(F.col("doc_id") % 20 == 1, 59).otherwise(7)
+    deep = F.concat(F.repeat(opening, levels), leaf, F.repeat(closing, levels))
     flat = F.array(
         part(F.lit("note.txt"), F.lit("text/plain"), body),
         part(pdf("one"), F.lit("application/octet-stream"), body),

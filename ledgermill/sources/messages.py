@@ -19,6 +19,9 @@ _PART = (
     "body: STRUCT<attachmentId: STRING, data: STRING, size: BIGINT>, rest: STRING>"
 )
 
+# Levels that one pass over deeper messages reads.
+LEVELS = 4 * (MIME_DEPTH + 1)
+
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE).json(path)
@@ -72,8 +75,8 @@ def with_parts(messages: DataFrame) -> DataFrame:
     """Add ``_parts``: every part below the message itself, at any depth, in document order.
 
     The schema reads the first levels. Messages that nest deeper, and only they, are
-    read again, some levels a pass, until no part is left as text. Each pass is written
-    to the scratch folder, so the next one starts from there.
+    read again, :data:`LEVELS` levels a pass, until no part is left as text. Each pass is
+    written to the scratch folder, so the next one starts from there.
     """
     spark = messages.sparkSession
     rows = messages.withColumn("_parts", _tree(F.col("payload.parts"), MIME_DEPTH - 1))
@@ -81,7 +84,10 @@ def with_parts(messages: DataFrame) -> DataFrame:
     done, pending = rows.filter(~unread), rows.filter(unread)
     while pending.limit(1).count():
         path = scratch_dir(spark, "parts")
-        pending.withColumn("_parts", _read_rest(F.col("_parts"))).write.parquet(path)
+        parts = F.col("_parts")
+        for _ in range(LEVELS // (MIME_DEPTH + 1)):
+            parts = _read_rest(parts)
+        pending.withColumn("_parts", parts).write.parquet(path)
         stored = spark.read.schema(rows.schema).parquet(path)
         done = done.unionByName(stored.filter(~unread))
         pending = stored.filter(unread)
