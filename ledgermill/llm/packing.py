@@ -245,6 +245,9 @@ def packed(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
+    A further column, document_row, is the same for all pieces of one row of ``docs``: it
+    tells copies of a document apart.
+
     Ids are those the tokenizer file's library gives; a text that spells out one of the
     file's special tokens has that token's id there, unless ``special_as_text`` is set.
     Null and empty texts have one id, the end id. Repeated rows and repeated or
@@ -273,4 +276,4 @@ def packed(
     dealt = F.xxhash64("row_no", F.expr(f"IF(length = {window}, start, -1)"))
     cut = cut.withColumn("block", F.pmod(dealt, F.lit(blocks)))
     placed = cut.groupBy("block").applyInPandas(_packer(window), PLACED)
-    return placed.drop("row_no")
+    return placed.withColumnRenamed("row_no", "document_row")
