@@ -80,6 +80,11 @@ def numbered_copy(df: DataFrame, name: str) -> DataFrame:
     return stored(with_row_id(df, name), "numbered")
 
 
+def numbered_rows(df: DataFrame, name: str, scanned: bool) -> DataFrame:
+    """Row numbers for rows that are read more than once: a copy, or places in a file scan."""
+    return numbered_scan(df, name) if scanned else numbered_copy(df, name)
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

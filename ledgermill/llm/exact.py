@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import fresh, levels_for, numbered_copy, stored, with_row_id
+from ledgermill.llm.common import fresh, levels_for, numbered_rows, stored, with_row_id
 
 BLOCK_BYTES = 8192
 
@@ -264,10 +264,16 @@ def exact_duplicates(
     return result if row_column else result.drop("row_no")
 
 
-def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text an earlier row has; columns unchanged."""
+def deduplicated(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", scanned: bool = False
+) -> DataFrame:
+    """``docs`` without the rows whose text an earlier row has; columns unchanged.
+
+    ``scanned`` says that ``docs`` is the direct read of files, so that its rows can be
+    numbered by their places in the scan and nothing is copied.
+    """
     row = fresh([*docs.columns, "doc_id", "kept"], "row_no")
-    numbered = numbered_copy(docs, row)
+    numbered = numbered_rows(docs, row, scanned)
     found = exact_duplicates(numbered, id_column, text_column, row)
     dropped = stored(found.where("NOT kept").select(row), "dropped")
     return numbered.join(dropped, row, "left_anti").drop(row)

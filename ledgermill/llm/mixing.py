@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm.common import (
     WORD,
     fresh,
-    numbered_copy,
+    numbered_rows,
     quoted,
     stored,
     with_row_id,
@@ -162,14 +162,17 @@ def mixed(
     max_epochs: int = MAX_EPOCHS,
     weights: tuple[int, ...] = WEIGHTS,
     seed: int = SEED,
+    scanned: bool = False,
 ) -> DataFrame:
     """``docs`` repeated and cut as :func:`mixture` says; columns unchanged.
 
     A document taken in part is its first words, joined by spaces; ``n_chars``
-    follows where there is such a column.
+    follows where there is such a column. ``scanned`` says that ``docs`` is the direct
+    read of files, so that its rows can be numbered by their places in the scan and
+    nothing is copied.
     """
     row = fresh([*docs.columns, "doc_id", "size", "taken", "part", "copies"], "row_no")
-    numbered = numbered_copy(docs, row)
+    numbered = numbered_rows(docs, row, scanned)
     plan = mixture(
         numbered, id_column, text_column, source_column, row, max_epochs, weights, seed
     )

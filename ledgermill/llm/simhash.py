@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import fresh, numbered_copy, stored, with_row_id
+from ledgermill.llm.common import fresh, numbered_rows, stored, with_row_id
 from ledgermill.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -212,11 +212,17 @@ def near_duplicates(
     )
 
 
-def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group, that of the smallest id."""
+def one_per_group(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", scanned: bool = False
+) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group, that of the smallest id.
+
+    ``scanned`` says that ``docs`` is the direct read of files, so that its rows can be
+    numbered by their places in the scan and nothing is copied.
+    """
     taken = [*docs.columns, "doc_id", "component_id", "fingerprint"]
     row, root = fresh(taken, "row_no"), fresh(taken, "root")
-    numbered = numbered_copy(docs, row)
+    numbered = numbered_rows(docs, row, scanned)
     found = stored(
         near_duplicates(numbered, id_column, text_column, row, root_column=root),
         "near-duplicates",
