@@ -1,8 +1,8 @@
 """Corpus pipeline: from raw documents to packed token sequences.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor
-kept; ``docs`` is read from Parquet, so rows have a fixed place in the scan. All
-stages but the last return the columns of ``documents``.
+kept; ``docs`` is the direct read of Parquet files, so rows have a fixed place in the
+scan and are numbered by it. All stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -22,19 +22,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id stays."""
     prepared(spark)
-    return exact.deduplicated(docs)
+    return exact.deduplicated(docs, scanned=True)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every near-duplicate group the document with the smallest id stays."""
     prepared(spark)
-    return simhash.one_per_group(docs)
+    return simhash.one_per_group(docs, scanned=True)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out until their sources meet their targets."""
     prepared(spark)
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, scanned=True)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
