@@ -9,7 +9,12 @@ centroid lies closer to one already taken than to the vector.
 Queries search the centroids through an in-memory graph: each centroid is linked
 to its nearest others, and a best-first walk collects the nearest ones until their
 lists hold enough rows for all neighbours, and then those whose distance is at most
-``PROBE_RATIO`` times that of the last of these; their lists are read, however many.
+a ratio times that of the last of these; their lists are read, however many. Centroids
+that the walk did not come by are compared at its end, so that groups without a link
+between them hide nothing. How far the lists must be read depends on the vectors: a
+bounded sample of the queries is compared with every row, and the ratio is the one that
+reaches ``TUNE_RECALL`` of their true neighbours, never below ``PROBE_RATIO``. Distances
+to centroids are taken from the sample's median, so a common offset costs no digits.
 A query at a centroid of its own thus reads on until it has its neighbours. Lists longer
 than a block are cut into blocks, queries of a list likewise,
 and every pair of blocks is one task's work, so that one common vector does not
@@ -44,15 +49,23 @@ FIRST_LISTS = 8
 GRAPH_LINKS = 16
 ENTRY_POINTS = 16
 BLOCK_ROWS = 1024
+# Queries whose true neighbours set the ratio, and the part of these to be found.
+TUNE_QUERIES = 256
+TUNE_RECALL = 0.98
 
 
 @dataclass
 class Centroids:
-    """Centroid vectors and the links of their graph."""
+    """Centroid vectors and the links of their graph; vectors are seen from ``middle``."""
 
     points: np.ndarray
     links: np.ndarray
     entries: np.ndarray
+    middle: np.ndarray | float = 0.0
+
+    def all_away(self, vector: np.ndarray) -> np.ndarray:
+        """Distances of a vector from every centroid."""
+        return np.sqrt(((self.points - np.append(vector - self.middle, 0.0)) ** 2).sum(axis=1))
 
     def within(
         self, vector: np.ndarray, ratio: float, sizes: np.ndarray, enough: int
@@ -61,9 +74,10 @@ class Centroids:
 
         Lists up to ``ratio`` times the distance at which the nearer lists hold
         ``enough`` rows; all lists if they hold fewer. The walk ends when nothing
-        ahead is within the ratio and WALK_LEAST centroids were opened.
+        ahead is within the ratio and WALK_LEAST centroids were opened; what it has not
+        seen is then compared once.
         """
-        point = np.append(vector, 0.0)
+        point = np.append(vector - self.middle, 0.0)
         seen = np.zeros(len(self.points), dtype=bool)
         found: list[tuple[float, int]] = []
         ahead: list[tuple[float, int]] = []
@@ -96,9 +110,11 @@ class Centroids:
             new = np.unique(new[~seen[new]])
             if len(new):
                 meet(new)
-        if held < enough and not seen.all():
-            # No link leads to some centroids.
-            meet(np.flatnonzero(~seen))
+        # The links may lead past some centroids, or not to them at all.
+        rest = np.flatnonzero(~seen)
+        if len(rest):
+            away = np.sqrt(((self.points[rest] - point) ** 2).sum(axis=1))
+            meet(rest if held < enough else rest[away <= ratio * reach])
         ranked = sorted(pair for pair in found if pair[0] <= ratio * reach)
         return np.array([i for _, i in ranked]), sum(pair[0] <= reach for pair in ranked)
 
@@ -117,7 +133,8 @@ def train(sample: np.ndarray, lists: int, rounds: int = 12, seed: int = 42) -> C
     have 0, so that placing, walking and probing use one plain distance.
     """
     rng = np.random.default_rng(seed)
-    sample = np.unique(sample, axis=0)
+    middle = np.median(sample, axis=0)
+    sample = np.unique(sample, axis=0) - middle
     lists = max(1, min(lists, len(sample)))
     points = sample[rng.choice(len(sample), lists, replace=False)].copy()
     fair = len(sample) / lists
@@ -145,7 +162,7 @@ def train(sample: np.ndarray, lists: int, rounds: int = 12, seed: int = 42) -> C
     far = rng.integers(0, lists, (lists, 2))
     links = np.concatenate([near, far], axis=1)
     entries = np.sort(rng.choice(lists, min(ENTRY_POINTS, lists), replace=False))
-    return Centroids(points, links, entries)
+    return Centroids(points, links, entries, middle)
 
 
 def _usable(vector: Column) -> Column:
@@ -165,7 +182,7 @@ def copies(index: Centroids, vectors: np.ndarray, replicas: int, ratio: float) -
     A further centroid is taken if it is within ``ratio`` and no centroid taken
     before lies closer to it than the vector does.
     """
-    points = np.concatenate([vectors, np.zeros((len(vectors), 1))], axis=1)
+    points = np.concatenate([vectors - index.middle, np.zeros((len(vectors), 1))], axis=1)
     away = np.sqrt(squared(points, index.points))
     width = min(2 * replicas, away.shape[1])
     near = np.argpartition(away, width - 1, axis=1)[:, :width]
@@ -219,6 +236,69 @@ def _prober(shared, ratio: float, sizes: np.ndarray, enough: int):
     return _dealer(lists_of)
 
 
+def _true_neighbours(shared, count: int):
+    """The ``count`` nearest rows of a task for every query of a bounded sample."""
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked_rows, asked, middle = shared.value
+        away = np.zeros((len(asked), 0))
+        places = np.zeros((len(asked), 0), dtype=np.int64)
+        for frame in frames:
+            if not len(frame):
+                continue
+            points = np.array(frame["vector"].tolist(), dtype=np.float64) - middle
+            rows = np.broadcast_to(frame["row_no"].to_numpy(), (len(asked), len(frame)))
+            new = squared(asked, points)
+            new[rows == asked_rows[:, None]] = np.inf
+            away = np.concatenate([away, new], axis=1)
+            places = np.concatenate([places, rows], axis=1)
+            if away.shape[1] > count:
+                near = np.argpartition(away, count - 1, axis=1)[:, :count]
+                away = np.take_along_axis(away, near, axis=1)
+                places = np.take_along_axis(places, near, axis=1)
+        known = np.isfinite(away)
+        yield pd.DataFrame(
+            {
+                "query_row": np.repeat(asked_rows, known.sum(axis=1)),
+                "row_no": places[known],
+                "away": away[known],
+            }
+        )
+
+    return search
+
+
+def tuned_ratio(
+    index: Centroids,
+    vectors: dict[int, np.ndarray],
+    lists: dict[tuple[int, int], list[int]],
+    sizes: np.ndarray,
+    enough: int,
+    least: float,
+) -> float:
+    """The ratio that reads a list of ``TUNE_RECALL`` of the true neighbours, at least ``least``.
+
+    ``lists`` holds, for a query and a true neighbour, the lists of the neighbour.
+    """
+    needed = []
+    away, reach = {}, {}
+    for query, vector in vectors.items():
+        away[query] = index.all_away(vector)
+        order = np.argsort(away[query], kind="stable")
+        held = np.cumsum(sizes[order])
+        last = order[min(np.searchsorted(held, enough), len(order) - 1)]
+        reach[query] = away[query][last]
+    for (query, _), of in lists.items():
+        far = away[query][of].min()
+        needed.append(1.0 if far <= reach[query] else far / reach[query] if reach[query] else np.inf)
+    if not needed:
+        return least
+    needed.sort()
+    # A little more, as a list at the ratio itself must be within it.
+    ratio = needed[min(len(needed) - 1, int(np.ceil(TUNE_RECALL * len(needed))) - 1)]
+    return max(least, ratio * (1 + 1e-9))
+
+
 def _searcher(count: int):
     def search(key: tuple, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -298,9 +378,24 @@ def nearest(
         sizes[r["list"]] = r["rows"]
     # A vector is in at most ``replicas`` lists and may be the query itself.
     enough = replicas * (neighbours + 1)
-    queries = stored(
-        asking.mapInPandas(_prober(shared, probe_ratio, sizes, enough), schema), "probes"
+    # A bounded number of queries is compared with every row.
+    tuned = asking.orderBy(F.xxhash64("vec_id", "row_no"), "row_no").limit(TUNE_QUERIES).toPandas()
+    asked = np.array(tuned["vector"].tolist(), dtype=np.float64).reshape(-1, width)
+    given = (tuned["row_no"].to_numpy(dtype=np.int64), asked - index.middle, index.middle)
+    compared = usable.select("row_no", "vector").mapInPandas(
+        _true_neighbours(spark.sparkContext.broadcast(given), neighbours),
+        "query_row long, row_no long, away double",
+    )
+    nearest_first = Window.partitionBy("query_row").orderBy("away", "row_no")
+    true = compared.withColumn("rank", F.row_number().over(nearest_first)).where(
+        F.col("rank") <= neighbours
     )
+    lists_of: dict[tuple[int, int], list[int]] = {}
+    for r in rows.join(F.broadcast(true), "row_no").select("query_row", "row_no", "list").collect():
+        lists_of.setdefault((r["query_row"], r["row_no"]), []).append(r["list"])
+    vectors_of = dict(zip(given[0].tolist(), asked, strict=True))
+    ratio = tuned_ratio(index, vectors_of, lists_of, sizes, enough, probe_ratio)
+    queries = stored(asking.mapInPandas(_prober(shared, ratio, sizes, enough), schema), "probes")
 
     def searched(asked: DataFrame) -> DataFrame:
         """The nearest of every asked list, at most ``most`` away."""

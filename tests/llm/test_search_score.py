@@ -93,6 +93,29 @@ def test_nearest_of_outliers_and_tight_groups(spark):
             assert len(set(best) & {r["vec_id"] for r in own}) >= 9
 
 
+@pytest.mark.parametrize("kind", ["normal", "heavy", "flat", "offset"])
+def test_nearest_finds_the_true_ones_whatever_the_shape(spark, kind):
+    rng = np.random.default_rng(1)
+    vectors = {
+        "normal": lambda: rng.normal(size=(8000, 16)),
+        "heavy": lambda: rng.standard_t(1.5, size=(8000, 32)),
+        "flat": lambda: rng.normal(size=(8000, 6)) @ rng.normal(size=(6, 64))
+        + 0.05 * rng.normal(size=(8000, 64)),
+        "offset": lambda: rng.normal(size=(8000, 8)) + 1e9,
+    }[kind]()
+    schema = "vec_id long, embedding array<double>"
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    data = stored(spark.createDataFrame(rows, schema), "shapes")
+    found = ann.nearest(data, list_rows=32).collect()
+    hits = 0
+    for query in range(0, 8000, 100):
+        away = np.sqrt(((vectors - vectors[query]) ** 2).sum(axis=1))
+        away[query] = np.inf
+        best = np.lexsort((np.arange(8000), away))[:10].tolist()
+        hits += len(set(best) & {r["vec_id"] for r in found if r["query_id"] == query})
+    assert hits / 800 >= 0.93
+
+
 def test_boundary_vectors_are_copied():
     index = ann.Centroids(
         np.array([[0.0, 0, 0], [2.0, 0, 0], [0, 9.0, 0]]), np.zeros((3, 1), int), np.array([0])
