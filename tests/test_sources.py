@@ -352,3 +352,24 @@ def test_a_run_takes_all_from_its_newest_closing_row(spark):
     assert values(runlog.runs(log), "status", "rows_extracted", "error_msg") == [("SUCCESS", 4, None)]
     started = runlog.runs(log.filter("status = 'STARTED'"))
     assert values(started, "status", "rows_extracted", "completed_at") == [("STARTED", 0, None)]
+
+
+def test_every_dropped_part_is_written_by_a_task_of_its_own(spark, folder):
+    import glob
+    import os
+
+    from ledgermill.plans import queries_flow
+
+    sf = f"{folder}/sf"
+    rows = [(i, f"text {i}") for i in range(200)] + [(None, "none"), (-3, "below")]
+    spark.createDataFrame(rows, "doc_id LONG, text STRING").write.parquet(f"{sf}/documents.parquet")
+    queries_flow._drop_documents(spark, sf, f"{folder}/drop", "pdf")
+    tasks = {}
+    for path in glob.glob(f"{folder}/drop/p=*/part-*.pdf"):
+        part = os.path.basename(os.path.dirname(path))
+        tasks.setdefault(part, []).append(os.path.basename(path).split("-")[1])
+    assert all(len(found) == 1 for found in tasks.values())
+    assert len({tasks[f"p={i}"][0] for i in range(16)}) == 16
+    with open(glob.glob(f"{folder}/drop/p=3/part-*.pdf")[0]) as handle:
+        lines = handle.read().splitlines()
+    assert lines == ["x" + f"text {i}".encode().hex().upper() for i in range(3, 200, 16)]
