@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_KEY = "spark.ledgermill.scratch.dir"
 
@@ -79,6 +79,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_base(spark), "ledgermill", f"{name}-{uuid.uuid4().hex}")
 
 
+def kept_copy(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the scratch folder and read back, so that Spark knows their size."""
+    copy = scratch_dir(rows.sparkSession, name)
+    rows.write.parquet(copy)
+    return rows.sparkSession.read.schema(rows.schema).parquet(copy)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the file system the path names."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

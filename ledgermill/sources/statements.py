@@ -8,19 +8,26 @@ fields are kept as an array of any width, and columns are named by their place.
 
 The text is scanned once: lines are written with their block, place and state, and all
 that follows reads this copy, so a scan that would be split in another way changes nothing.
+A block lies in one scan task and in order, so places and states are counted along the scan
+and lines are not shuffled; only lines of records of several lines are, to be joined. What
+is known of a block or of a file is one row, written as well, so that Spark knows its size
+and broadcasts it.
 A record of several lines must be well formed and no longer than a documented bound;
 otherwise a quote was left open by mistake, and its lines are read one by one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill import seeds
-from ledgermill.session import scratch_dir
+from ledgermill.session import kept_copy
 
 # Longest record of several lines.
 MOST_LINES, MOST_CHARACTERS = 1000, 1 << 20
@@ -153,6 +160,47 @@ def _carried(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return rows.withColumns(before).drop("_flips", "_settled")
 
 
+# What a scan task adds to a line: its place in the block, the state before and behind it and
+# the place its record starts at (0: in an earlier block), for both first states of the block.
+_STATES = ("place", "before_closed", "after_closed", "start_closed", "before_open", "after_open", "start_open")
+
+
+def _along_the_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns of ``_STATES`` for lines that come in order, block by block."""
+    at, place, after, start = None, 0, [0, 1], [0, 0]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files, blocks = batch.column("file"), batch.column("block").to_numpy(zero_copy_only=False)
+        codes = np.asarray(files.dictionary_encode().indices)
+        changes = np.flatnonzero((np.diff(codes) != 0) | (np.diff(blocks) != 0)) + 1
+        closed = batch.column("if_closed").to_numpy(zero_copy_only=False)
+        opened = batch.column("if_open").to_numpy(zero_copy_only=False)
+        out = {name: np.empty(batch.num_rows, dtype=np.int64) for name in _STATES}
+        bounds = [0, *changes.tolist(), batch.num_rows]
+        for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+            here = (files[begin].as_py(), int(blocks[begin]))
+            if here != at:
+                at, place, after, start = here, 0, [0, 1], [0, 0]
+            own = slice(begin, end)
+            places = place + 1 + np.arange(end - begin)
+            flips = np.cumsum(closed[own] > opened[own])
+            settled = np.where(closed[own] == opened[own], np.arange(end - begin), -1)
+            settled = np.maximum.accumulate(settled)
+            base = closed[own][settled] - flips[settled]
+            out["place"][own] = places
+            for i, name in enumerate(("closed", "open")):
+                behind = (np.where(settled >= 0, base, after[i]) + flips) % 2
+                before = np.concatenate([[after[i]], behind[:-1]])
+                starts = np.maximum.accumulate(np.where(before == 0, places, start[i]))
+                out[f"before_{name}"][own], out[f"after_{name}"][own] = before, behind
+                out[f"start_{name}"][own] = starts
+                after[i], start[i] = int(behind[-1]), int(starts[-1])
+            place = int(places[-1])
+        kept = {name: batch.column(name) for name in ("file", "block", "value", "if_closed")}
+        yield pa.RecordBatch.from_pydict({**kept, **{n: pa.array(v) for n, v in out.items()}})
+
+
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their number in the file and the number of the line their record starts in.
 
@@ -169,27 +217,26 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
         "value",
         F.when(quoted, left_open(bare)).otherwise(F.lit(0).cast("long")).alias("if_closed"),
         F.when(quoted, left_open(F.concat(F.lit('"'), "value")))
         .otherwise(F.lit(1).cast("long"))
         .alias("if_open"),
     )
-    inside = Window.partitionBy("file", "block").orderBy("pos")
-    placed = _carried(lines, ["file", "block"], "pos").withColumn(
-        "place", F.row_number().over(inside)
-    )
+    states = ", ".join(f"{name} LONG" for name in _STATES)
     # Blocks and places hold for this scan only, so what follows reads what it wrote.
-    copy = scratch_dir(spark, "lines")
-    placed.drop("pos", "if_open").write.parquet(copy)
-    placed = spark.read.schema(placed.drop("pos", "if_open").schema).parquet(copy)
+    placed = kept_copy(
+        lines.mapInArrow(
+            _along_the_scan, f"file STRING, block LONG, value STRING, if_closed LONG, {states}"
+        ),
+        "lines",
+    )
     blocks = placed.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("n"),
         F.max_by("after_closed", "place").alias("if_closed"),
         F.max_by("after_open", "place").alias("if_open"),
-        F.max(F.when(F.col("before_closed") == 0, F.col("place"))).alias("last_closed"),
-        F.max(F.when(F.col("before_open") == 0, F.col("place"))).alias("last_open"),
+        F.nullif(F.max("start_closed"), F.lit(0)).alias("last_closed"),
+        F.nullif(F.max("start_open"), F.lit(0)).alias("last_open"),
     )
     blocks = _carried(blocks, ["file"], "block")
     earlier = (
@@ -211,57 +258,57 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     line_no = F.col("lines_before") + F.col("place")
     unclosed = F.coalesce(line_no >= F.col("unclosed_from"), F.lit(False))
-    begun = F.when(F.col("begun") == 0, F.col("before_closed")).otherwise(F.col("before_open"))
-    numbered = placed.join(blocks, ["file", "block"]).select(
+
+    def of_block(name: str) -> Column:
+        return F.when(F.col("begun") == 0, F.col(f"{name}_closed")).otherwise(F.col(f"{name}_open"))
+
+    begun_here = F.col("lines_before") + F.nullif(of_block("start"), F.lit(0))
+    return placed.join(kept_copy(blocks, "blocks"), ["file", "block"]).select(
         "file",
-        "block",
-        "start_before",
         "value",
         line_no.alias("line_no"),
         unclosed.alias("unclosed"),
-        ((begun == 0) | unclosed).alias("starts"),
+        ((of_block("before") == 0) | unclosed).alias("starts"),
+        ((of_block("after") == 1) & ~unclosed).alias("goes_on"),
         (F.col("if_closed") == 1).alias("open_alone"),
+        F.when(unclosed, line_no)
+        .otherwise(F.coalesce(begun_here, "start_before", F.lit(1)))
+        .alias("record_no"),
     )
-    running = (
-        Window.partitionBy("file", "block")
-        .orderBy("line_no")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    own = F.max(F.when(F.col("starts"), F.col("line_no"))).over(running)
-    return numbered.withColumn("record_no", F.coalesce(own, "start_before", F.lit(1)))
 
 
 def _joined_records(lines: DataFrame) -> DataFrame:
     """One row per record: file, line_no (of its first line), value, unclosed, parts.
 
-    Only records of several lines are collected, up to the bound; ``parts`` are their
-    lines. Where a quote is never closed, every line from it to the end of its file is
-    a row of its own, and so is every line of a record beyond the bound.
+    Only records of several lines are shuffled and collected, up to the bound; ``parts``
+    are their lines. Where a quote is never closed, every line from it to the end of its
+    file is a row of its own, and so is every line of a record beyond the bound.
     """
     keys = ["file", "record_no"]
-    later = lines.where("NOT starts").groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("more_lines"), F.sum(F.length("value")).alias("more_characters")
-    )
-    joined = lines.join(later, keys, "left")
-    fits = (F.col("more_lines") < MOST_LINES) & (F.col("more_characters") < MOST_CHARACTERS)
-    part = F.struct("line_no", "value", "open_alone")
-    alone = joined.where(F.col("more_lines").isNull() | ~fits).select(
+    one = F.col("starts") & ~F.col("goes_on")
+    alone = lines.where(one).select(
         "file",
         "line_no",
         "value",
-        (F.col("unclosed") | (F.col("more_lines").isNotNull() & F.col("open_alone"))).alias("unclosed"),
+        "unclosed",
         F.lit(None).cast("array<struct<line_no:bigint,value:string,open_alone:boolean>>").alias("parts"),
     )
+    record, later = Window.partitionBy(*keys), ~F.col("starts")
+    fits = (F.count_if(later).over(record) < MOST_LINES) & (
+        F.sum(F.when(later, F.length("value")).otherwise(0)).over(record) < MOST_CHARACTERS
+    )
+    part = F.struct("line_no", "value", "open_alone")
     several = (
-        joined.where(fits)
-        .groupBy(*keys)
+        lines.where(~one)
+        .withColumn("apart", F.when(~fits, F.col("line_no")))
+        .groupBy(*keys, "apart")
         .agg(F.array_sort(F.collect_list(part)).alias("parts"))
         .select(
             "file",
-            F.col("record_no").alias("line_no"),
+            F.coalesce("apart", "record_no").alias("line_no"),
             F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"),
-            F.lit(False).alias("unclosed"),
-            "parts",
+            (F.col("apart").isNotNull() & F.col("parts")[0]["open_alone"]).alias("unclosed"),
+            F.when(F.col("apart").isNull(), F.col("parts")).alias("parts"),
         )
     )
     return alone.unionByName(several)
@@ -334,7 +381,7 @@ def read_records(
     lines that leave a quote open are such records, the others are read as they are.
     """
     records = _joined_records(_numbered_lines(spark, path))
-    described = _described(records, layouts, file_name)
+    described = kept_copy(_described(records, layouts, file_name), "described")
     data = records.where(F.trim("value") != "").join(described, "file")
     data = _line_by_line(data.where(F.col("line_no") > F.col("header_line")))
     data = data.where(F.trim("value") != "")

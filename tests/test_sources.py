@@ -373,3 +373,12 @@ def test_every_dropped_part_is_written_by_a_task_of_its_own(spark, folder):
     with open(glob.glob(f"{folder}/drop/p=3/part-*.pdf")[0]) as handle:
         lines = handle.read().splitlines()
     assert lines == ["x" + f"text {i}".encode().hex().upper() for i in range(3, 200, 16)]
+
+
+def test_lines_are_not_shuffled_to_be_numbered(spark, folder):
+    with open(f"{folder}/a.csv", "w") as handle:
+        handle.write("Date,Amount\n" + "".join(f"1 Jan 24,{i}\n" for i in range(50)))
+    lines = statements._numbered_lines(spark, folder)
+    assert "hashpartitioning" not in lines._jdf.queryExecution().executedPlan().toString()
+    found = sorted((r["line_no"], r["record_no"]) for r in lines.collect())
+    assert found == [(i, i) for i in range(1, 52)]
