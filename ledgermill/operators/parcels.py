@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgermill.session import kept_copy
+
 SHARES = "decimal(28,8)"
 CELL_SHARES = 1_000_000
 KEYS = ("security_code",)
@@ -153,6 +155,8 @@ def cgt_parcels(
         F.coalesce("value", F.lit(0)).cast("double").alias("value"),
         F.coalesce("brokerage", F.lit(0)).cast("double").alias("brokerage"),
     )
+    # Read three times: for the pieces, the disposals and the purchases.
+    lined = kept_copy(lined, "lined")
     pieces = _pieces(lined, keys, cell_shares)
 
     def trade(side: str, amount: Column) -> DataFrame:
@@ -175,15 +179,18 @@ def cgt_parcels(
     # Past the end of the last purchase a piece has a start to its left but no purchase.
     inside = F.col("at") < F.col("buy_end")
     end = F.least("next_at", "sell_end", F.when(inside, F.col("buy_end")))
-    parts = matched.withColumn("_has", F.coalesce(inside, F.lit(False))).withColumn(
-        "quantity", (end - F.col("at")).cast(SHARES)
-    )
+    has = F.coalesce(inside, F.lit(False))
+    part = F.struct(has.alias("_has"), (end - F.col("at")).cast(SHARES).alias("quantity"))
     # The rest of a piece that outlasts the last purchase.
-    rest_from = F.when(F.col("_has"), F.col("buy_end"))
-    rest = parts.filter(F.col("_has")).withColumn(
-        "quantity", (F.least("next_at", "sell_end") - rest_from).cast(SHARES)
-    ).withColumn("_has", F.lit(False))
-    both = parts.unionByName(rest).filter("quantity > 0")
+    rest = F.struct(
+        F.lit(False).alias("_has"),
+        F.when(has, F.least("next_at", "sell_end") - F.col("buy_end")).cast(SHARES).alias("quantity"),
+    )
+    both = (
+        matched.withColumn("_part", F.explode(F.array(part, rest)))
+        .select("*", "_part.*")
+        .filter("quantity > 0")
+    )
 
     def bought(name: str) -> Column:
         return F.when(F.col("_has"), F.col(name)).alias(name)

@@ -138,3 +138,12 @@ def test_empty_and_hot_plan(spark):
     assert found.count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_the_trades_are_laid_on_their_line_once(spark):
+    rows = [{**r, "quantity": None, "value": None, "brokerage": None} for r in rows_of([("A", D(2024, 1, 1), "BUY", 1, 1, 0)])]
+    found = parcels.cgt_parcels(frame(spark, TRADE, rows), ["trade_no"], F.lit(0))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # What follows reads the written line, and matches every piece once.
+    assert "parquet" in plan and "RDD" not in plan and "Union" not in plan
+    assert found.count() == 0
