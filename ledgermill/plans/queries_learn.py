@@ -8,7 +8,7 @@ from ledgermill.operators import baselines, learned, merchants, similar
 from ledgermill.plans import frames
 from ledgermill.plans.frames import with_frames
 from ledgermill.plans.registry import query
-from ledgermill.session import scratch_dir
+from ledgermill.session import kept_copy, scratch_dir
 
 # --- naive Bayes -------------------------------------------------------------
 
@@ -159,7 +159,8 @@ def few_shot_similar(spark, sf):
     """Five confirmed and five rejected examples that are most like each open document."""
     texts = frames.table(spark, sf, "documents").select("doc_id", "text")
     docs = frames.core_documents(spark, sf).select("doc_id", "review_status", "reviewed_at")
-    docs = docs.join(texts, "doc_id")
+    # Texts are read three times: for the weights, the examples and the documents.
+    docs = kept_copy(docs.join(texts, "doc_id"), "reviewed")
     return similar.few_shot_similar(docs.filter(_OPEN), docs)
 
 

@@ -225,6 +225,39 @@ def test_similar_examples_match_brute_force(spark):
         assert sorted(map(tuple, found.collect())) == brute_similar(rows, rows, n, terms)
 
 
+def test_long_lists_of_similar_examples(spark, monkeypatch):
+    """Common terms, near copies and repeated keys: no list is read beyond the bound."""
+    import datetime
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(70):
+        # Near copies share six terms; the others hold a few of eight common ones.
+        words = [f"copy{j}" for j in range(6)] + [f"own{i % 33}"] if i < 35 else rng.sample([f"w{j}" for j in range(8)], rng.randint(1, 5))
+        rows.append({"doc_id": i, "text": " ".join(words), "reviewed_at": rng.choice([None, datetime.datetime(2025, 1, rng.randint(1, 5))]),
+                     "review_status": rng.choice(["CONFIRMED", "CONFIRMED", "REJECTED", "PENDING"])})
+    schema = "doc_id LONG, text STRING, review_status STRING, reviewed_at TIMESTAMP"
+    reviewed = frame(spark, schema, rows)
+    longest = []
+    kept = similar.kept_copy
+
+    def watched(copied, name):
+        copy = kept(copied, name)
+        if name == "lists":
+            longest.append(copy.agg(F.max(F.size("members"))).first()[0])
+        return copy
+
+    monkeypatch.setattr(similar, "kept_copy", watched)
+    monkeypatch.setattr(similar, "COMMON", 3)
+    found = similar.few_shot_similar(reviewed, reviewed, n=2, terms=7, longest=4)
+    assert sorted(map(tuple, found.collect())) == brute_similar(rows, rows, 2, 7)
+    assert len(longest) > 2 and max(x or 0 for x in longest) <= 5
+    # Terms of a key that comes twice count twice, whatever the bound.
+    twice = frame(spark, schema, rows + rows[40:50])
+    cut, whole = (similar.few_shot_similar(twice, twice, n=2, terms=7, longest=x) for x in (4, 1000))
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_similar_block_and_plan(spark):
     rows = [{"doc_id": i, "text": "power bill north", "review_status": s} for i, s in enumerate(["CONFIRMED", "REJECTED", "PENDING"])]
     reviewed = frame(spark, "doc_id LONG, text STRING, review_status STRING, reviewed_at TIMESTAMP", rows)
