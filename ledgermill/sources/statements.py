@@ -34,8 +34,8 @@ MOST_LINES, MOST_CHARACTERS = 1000, 1 << 20
 # A record whose quoted fields all end right before a comma or the end.
 _STRICT = r'(?s)(?:\s*"[^"]*+(?:""[^"]*+)*+"\s*|(?!\s*")[^,]*)(?:,(?:\s*"[^"]*+(?:""[^"]*+)*+"\s*|(?!\s*")[^,]*))*'
 
-# A field with the comma before it: quoted with doubled quotes inside, or plain.
-_FIELD = r'(?:^|,)\s*(?:"[^"]*(?:""[^"]*)*"[^,]*|[^,]*)'
+# A field behind the comma before it: quoted with doubled quotes inside, or plain.
+_FIELD = r'(?:^|,)(\s*(?:"[^"]*(?:""[^"]*)*"[^,]*|[^,]*))'
 # The fields of a line from its start on that end in the line, with the comma behind.
 _ENDED = r'\G(?:\s*+"[^"]*+(?:""[^"]*+)*+"[^,]*+|(?!\s*+")[^,]*+)(?:,|\z)'
 
@@ -101,16 +101,26 @@ def detect_provider(
     return F.coalesce(*by_name, choice)
 
 
+def _cut(line: Column) -> Column:
+    """The fields of a record as they stand between its commas."""
+    return F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1))
+
+
 def csv_fields(line: Column) -> Column:
     """The fields of a record: trimmed, unquoted, empty ones NULL."""
+    return _unquoted(_cut(line))
+
+
+def _unquoted(parts: Column) -> Column:
+    """Fields as cut: trimmed, unquoted, empty ones NULL."""
 
-    def clean(part: Column) -> Column:
-        bare = F.trim(F.regexp_replace(part, r"^,", ""))
+    def clean(bare: Column) -> Column:
         inner = F.regexp_extract(bare, r'(?s)^"(.*)"[^"]*$', 1)
         value = F.when(bare.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"')))
         return F.nullif(F.coalesce(value, bare), F.lit(""))
 
-    return F.transform(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(0)), clean)
+    # Trimmed first, as what is used several times in a function is worked out each time.
+    return F.transform(F.transform(parts, lambda part: F.trim(part)), clean)
 
 
 def column_names(header: Column) -> Column:
@@ -238,7 +248,7 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.nullif(F.max("start_closed"), F.lit(0)).alias("last_closed"),
         F.nullif(F.max("start_open"), F.lit(0)).alias("last_open"),
     )
-    blocks = _carried(blocks, ["file"], "block")
+    blocks = _carried(blocks.withColumn("_id", F.monotonically_increasing_id()), ["file"], "block")
     earlier = (
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -251,6 +261,8 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     blocks = blocks.select(
         "file",
         "block",
+        # A number for the path, which is long; it holds as this is written once.
+        F.min("_id").over(whole).alias("file_no"),
         "lines_before",
         "begun",
         F.when(at_end == 1, F.max("last_start").over(whole)).alias("unclosed_from"),
@@ -265,6 +277,7 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     begun_here = F.col("lines_before") + F.nullif(of_block("start"), F.lit(0))
     return placed.join(kept_copy(blocks, "blocks"), ["file", "block"]).select(
         "file",
+        "file_no",
         "value",
         line_no.alias("line_no"),
         unclosed.alias("unclosed"),
@@ -278,16 +291,18 @@ def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _joined_records(lines: DataFrame) -> DataFrame:
-    """One row per record: file, line_no (of its first line), value, unclosed, parts.
+    """One row per record: file, file_no, line_no (of its first line), value, unclosed, parts.
 
     Only records of several lines are shuffled and collected, up to the bound; ``parts``
-    are their lines. Where a quote is never closed, every line from it to the end of its
+    are their lines. They go by the file's number, so that no line takes its path along
+    unless ``file`` is read. Where a quote is never closed, every line from it to the end of its
     file is a row of its own, and so is every line of a record beyond the bound.
     """
-    keys = ["file", "record_no"]
+    keys = ["file_no", "record_no"]
     one = F.col("starts") & ~F.col("goes_on")
     alone = lines.where(one).select(
         "file",
+        "file_no",
         "line_no",
         "value",
         "unclosed",
@@ -302,9 +317,10 @@ def _joined_records(lines: DataFrame) -> DataFrame:
         lines.where(~one)
         .withColumn("apart", F.when(~fits, F.col("line_no")))
         .groupBy(*keys, "apart")
-        .agg(F.array_sort(F.collect_list(part)).alias("parts"))
+        .agg(F.any_value("file").alias("file"), F.array_sort(F.collect_list(part)).alias("parts"))
         .select(
             "file",
+            "file_no",
             F.coalesce("apart", "record_no").alias("line_no"),
             F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("value"),
             (F.col("apart").isNotNull() & F.col("parts")[0]["open_alone"]).alias("unclosed"),
@@ -320,12 +336,14 @@ def _line_by_line(data: DataFrame) -> DataFrame:
     A quote that closes inside a field, or more fields than the header has, says that
     the quote before was never meant to span lines.
     """
-    fields = F.size(F.regexp_extract_all("value", F.lit(_FIELD), F.lit(0)))
-    formed = F.col("value").rlike(rf"\A{_STRICT}\z") & (fields <= F.size("names"))
+    formed = F.col("value").rlike(rf"\A{_STRICT}\z") & (F.size("_cut") <= F.size("names"))
     whole = F.array(F.struct("line_no", "value", F.col("unclosed").alias("open_alone")))
     kept = F.when(F.col("parts").isNull() | formed, whole).otherwise(F.col("parts"))
     return (
-        data.withColumn("_line", F.explode(kept))
+        data.withColumn("_cut", _cut(F.col("value")))
+        .withColumn("_line", F.explode(kept))
+        # What was cut is the whole record, also where it is its only line.
+        .withColumn("_cut", F.when(F.col("value") == F.col("_line.value"), F.col("_cut")))
         .withColumn("line_no", F.col("_line.line_no"))
         .withColumn("value", F.col("_line.value"))
         .withColumn("unclosed", F.col("_line.open_alone"))
@@ -334,19 +352,22 @@ def _line_by_line(data: DataFrame) -> DataFrame:
 
 
 def _described(
-    records: DataFrame, layouts: tuple[Layout, ...], file_name: Column | None = None
+    lines: DataFrame, layouts: tuple[Layout, ...], file_name: Column | None = None
 ) -> DataFrame:
-    """file, provider, header_line, names: one row per file, from its first lines.
+    """file, file_no, provider, header_line, names: one row per file, from its first lines.
 
-    Lines above the header are counted as lines of the file.
+    Lines above the header are counted as lines of the file. Only lines of records that
+    start among the first ones are joined.
     """
     most = max(x.skip_rows for x in layouts) + 1
+    records = _joined_records(lines.where(F.col("record_no") <= most))
     heads = records.where(F.col("line_no") <= most).select(
         "file",
+        "file_no",
         "line_no",
         csv_fields(F.regexp_replace("value", "^\ufeff", "")).alias("fields"),
     )
-    firsts = heads.groupBy("file").agg(
+    firsts = heads.groupBy("file", "file_no").agg(
         F.map_from_entries(F.collect_list(F.struct("line_no", "fields"))).alias("head")
     )
     none = F.array().cast("array<string>")
@@ -358,7 +379,9 @@ def _described(
     )
     found = found.withColumn("header_line", (skip + 1).cast("long"))
     header = F.coalesce(F.try_element_at("head", F.col("header_line")), none)
-    return found.select("file", "provider", "header_line", column_names(header).alias("names"))
+    return found.select(
+        "file", "file_no", "provider", "header_line", column_names(header).alias("names")
+    )
 
 
 def read_records(
@@ -380,17 +403,17 @@ def read_records(
     record of several lines that is not well formed is taken line by line: of these,
     lines that leave a quote open are such records, the others are read as they are.
     """
-    records = _joined_records(_numbered_lines(spark, path))
-    described = kept_copy(_described(records, layouts, file_name), "described")
-    data = records.where(F.trim("value") != "").join(described, "file")
+    lines = _numbered_lines(spark, path)
+    described = kept_copy(_described(lines, layouts, file_name), "described")
+    records = _joined_records(lines).drop("file")
+    data = records.where(F.trim("value") != "").join(described, "file_no")
     data = _line_by_line(data.where(F.col("line_no") > F.col("header_line")))
     data = data.where(F.trim("value") != "")
     unread = F.concat(
         F.array_repeat(F.lit(None).cast("string"), F.size("names")), F.array("value")
     )
-    parsed = data.withColumn(
-        "fields", F.when(F.col("unclosed"), unread).otherwise(csv_fields(F.col("value")))
-    )
+    cut = F.coalesce("_cut", _cut(F.col("value")))
+    parsed = data.withColumn("fields", F.when(F.col("unclosed"), unread).otherwise(_unquoted(cut)))
     width = F.greatest(F.size("names"), F.size("fields"))
     named = F.transform(
         F.sequence(F.lit(1), width),
@@ -401,11 +424,15 @@ def read_records(
             F.try_element_at("fields", i).alias("value"),
         ),
     )
+    as_wide = F.size("names") == F.size("fields")
+    record = F.when(as_wide, F.map_from_arrays("names", "fields")).otherwise(
+        F.map_from_entries(named)
+    )
     return parsed.select(
         "file",
         "provider",
         (F.col("line_no") - F.col("header_line")).cast("int").alias("row_num"),
-        F.map_from_entries(named).alias("record"),
+        record.alias("record"),
     )
 
 

@@ -382,3 +382,23 @@ def test_lines_are_not_shuffled_to_be_numbered(spark, folder):
     assert "hashpartitioning" not in lines._jdf.queryExecution().executedPlan().toString()
     found = sorted((r["line_no"], r["record_no"]) for r in lines.collect())
     assert found == [(i, i) for i in range(1, 52)]
+
+
+def test_first_lines_and_paths_are_not_shuffled(spark, folder, monkeypatch):
+    """A file is described from its first lines, and joined lines go by its number."""
+    for name, day in (("nab-a.csv", 1), ("nab-b.csv", 2)):
+        with open(os.path.join(folder, name), "w") as handle:
+            handle.write("Date,Amount,Transaction Details,Balance\n" + "".join(
+                f'{day} Mar 26,-{i}.00,"row\n{i}",0\n' for i in range(1, 40)))
+    lines = statements._numbered_lines(spark, folder)
+    numbers = lines.groupBy("file").agg(F.countDistinct("file_no").alias("n"), F.min("file_no").alias("no")).collect()
+    assert [r.n for r in numbers] == [1, 1] and len({r.no for r in numbers}) == 2
+    joined, join = [], statements._joined_records
+    monkeypatch.setattr(statements, "_joined_records", lambda rows: joined.append(rows.count()) or join(rows))
+    found = statements.read_statement(spark, folder, F.lit(1))
+    assert joined[0] < 20 and joined[1] == lines.count() == 158
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "hashpartitioning" in x]
+    assert exchanges and all("file_no#" in x and "file#" not in x for x in exchanges)
+    assert sorted((r.txn_date_raw, r.amount_raw, r.description_raw) for r in found.collect()) == sorted(
+        (f"{day} Mar 26", f"-{i}.00", f"row\n{i}") for day in (1, 2) for i in range(1, 40))
