@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.calendar import fy_of, month_start
 from ledgermill.operators.parcels import SHARES, later_factor, split_factors
+from ledgermill.session import kept_copy
 
 # Account types that are owed, and months of the statement check.
 DEBT_TYPES = ("CREDIT_CARD", "MORTGAGE")
@@ -17,6 +18,9 @@ DERIVED_BUDGET_MONTHS = 3
 # Our own threshold: standard deviations that make an outlier.
 Z_LIMIT = 2.0
 
+# Trades of a security from which on it is cut into blocks, and trades a sorting task gets.
+PLAIN_TRADES, TASK_TRADES = 100_000, 500_000
+
 
 def monthly_by_category(txns: DataFrame) -> DataFrame:
     """Spend (money out positive) per category and month."""
@@ -222,7 +226,9 @@ def _signed_quantity() -> Column:
 def _with_factor(trades: DataFrame) -> DataFrame:
     """Add ``_factor``: shares of today for one share of the trade's day."""
     factor = later_factor(F.col("trade_date"), F.col("splits"))
-    joined = trades.join(split_factors(trades), "security_code", "left")
+    # Splits are few: a task holds those of its securities and does not sort the trades.
+    splits = split_factors(trades).hint("shuffle_hash")
+    joined = trades.join(splits, "security_code", "left")
     return joined.withColumn("_factor", factor).drop("splits")
 
 
@@ -271,32 +277,60 @@ def running_trades(
 ) -> DataFrame:
     """Row-level running quantity per security, in order of day and ``order``.
 
-    Quantities are summed per block first; a row adds the blocks before its own
-    to the window inside its block. Blocks are trading days, cut further by
+    A security of up to ``PLAIN_TRADES`` trades is summed in one window. One with more
+    is cut into blocks, whose quantities are summed first; a row adds the blocks before
+    its own to the window inside its block. Blocks are trading days, cut further by
     ``block``, which must not decrease along ``order`` and should bound the rows of
     a block, for instance a range of the leading order column. So a heavily traded
-    security, or day, does not end up in one task. Quantities are those of the row's
-    day; a split counts from the beginning of its day.
+    security, or day, does not end up in one task. Rows are sorted once, in tasks whose
+    number follows the number of trades. Trades are counted when this is called; those
+    without security, day or block are summed but not returned. Quantities are those of
+    the row's day; a split counts from the beginning of its day.
     """
-    rows = _with_factor(trades).withColumn("_q", _signed_quantity()).withColumn(
-        "_block", block
+    trades = trades.filter(F.col("security_code").isNotNull())
+    counts = kept_copy(trades.groupBy("security_code").agg(F.count(F.lit(1)).alias("_n")), "counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    # No more than one in PLAIN_TRADES trades names such a security.
+    busy = F.broadcast(counts.filter(F.col("_n") > PLAIN_TRADES).select("security_code"))
+    of_day, keys = ["trade_date", "_block"], ["security_code", "trade_date", "_block"]
+    cut = ["_cut_day", "_cut_block"]
+
+    rows = trades.withColumn("_block", block).join(
+        busy.withColumn("_busy", F.lit(True)), "security_code", "left"
+    )
+    rows = _with_factor(rows).withColumn("_q", _signed_quantity())
+    for name, column in zip(cut, of_day, strict=True):
+        rows = rows.withColumn(name, F.when(F.col("_busy"), F.col(column)))
+    tasks = max(trades.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_TRADES))
+    rows = rows.drop("_busy").repartition(tasks, "security_code", *cut)
+    inside = (
+        Window.partitionBy("security_code", *cut)
+        .orderBy(*of_day, *order)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    keys = ["security_code", "trade_date", "_block"]
-    blocks = rows.groupBy(*keys).agg(F.sum("_q").alias("_sum"))
+    # A block without a quantity so far has no position.
+    counted = F.struct(*of_day)
+    last = F.last(F.when(F.col("_q").isNotNull(), counted), ignorenulls=True).over(inside)
+    rows = rows.withColumn("_inside", F.when(last.eqNullSafe(counted), F.sum("_q").over(inside)))
+
+    cut_trades = _with_factor(trades.withColumn("_block", block).join(busy, "security_code"))
+    blocks = cut_trades.groupBy(*keys).agg(F.sum(_signed_quantity()).alias("_sum"))
     earlier = (
         Window.partitionBy("security_code")
-        .orderBy("trade_date", "_block")
+        .orderBy(*of_day)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = blocks.select(*keys, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    inside = (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    offsets = blocks.select(
+        "security_code",
+        *[F.col(c).alias(name) for name, c in zip(cut, of_day, strict=True)],
+        F.sum("_sum").over(earlier).alias("_before"),
     )
+    before = F.coalesce("_before", F.lit(0))
     return (
-        rows.withColumn("_inside", F.sum("_q").over(inside))
-        .join(offsets, keys)
-        .withColumn("quantity_held", _held(F.col("_before") + F.col("_inside")))
-        .drop("_q", "_inside", "_before", "_block", "_factor")
+        rows.dropna(subset=of_day)
+        .join(offsets, ["security_code", *cut], "left")
+        .withColumn("quantity_held", _held(before + F.col("_inside")))
+        .drop("_q", "_inside", "_before", "_block", "_factor", *cut)
     )
 
 

@@ -132,6 +132,55 @@ def test_positions_are_in_the_shares_of_the_day(spark):
     assert [float(r["quantity_held"]) for r in running] == [10, 20, 15, 15]
 
 
+def test_running_trades_are_sorted_once_in_tasks_by_their_number(spark, monkeypatch):
+    from decimal import Decimal as De
+
+    rng = random.Random(3)
+    trades = [
+        (rng.choice(["HOT", "HOT", "HOT", "A", "B", None]), rng.choice([None, *[D(2024, 1, d) for d in range(1, 9)]]),
+         rng.choice(["BUY", "SELL", "DIVIDEND", "SPLIT"]), rng.choice([1, 2, 4, None]), 1, 0)
+        for _ in range(300)
+    ]
+    # Nearly all ratios are one, so that positions stay short.
+    trades = [(c, d, t, 1 if t == "SPLIT" and rng.random() < 0.9 else q, v, f) for c, d, t, q, v, f in trades]
+    rows = [{**r, **{k: None if r[k] is None else De(str(r[k])) for k in ("quantity", "value", "brokerage")}}
+            for r in rows_of(trades)]
+
+    def shares(r):
+        if r["quantity"] is None and r["trade_type"] in ("BUY", "SELL"):
+            return None
+        sign = {"BUY": 1, "SELL": -1}.get(r["trade_type"], 0)
+        return sign * Fraction(str(r["quantity"] or 0)) * factor(r)
+
+    def factor(r):
+        result = Fraction(1)
+        for s in rows:
+            if (s["trade_type"] == "SPLIT" and s["quantity"] and s["security_code"] == r["security_code"]
+                    and s["trade_date"] and r["trade_date"] and s["trade_date"] > r["trade_date"]):
+                result *= Fraction(str(s["quantity"]))
+        return result
+
+    expected = {}
+    for code in ("HOT", "A", "B"):
+        held, at, counted = Fraction(0), None, False
+        mine = [r for r in rows if r["security_code"] == code]
+        for r in sorted(mine, key=lambda r: (r["trade_date"] or D(1, 1, 1), r["trade_no"])):
+            here = (r["trade_date"], r["trade_no"] // 7)
+            added, counted = shares(r), counted and here == at
+            at, held, counted = here, held + (added or 0), counted or added is not None
+            if r["trade_date"]:
+                expected[r["trade_no"]] = round(float(held / factor(r)), 4) if counted else None
+    df = frame(spark, TRADE, rows).repartition(3)
+    monkeypatch.setattr(health, "TASK_TRADES", 10)
+    for most in (0, 100, 10**6):
+        monkeypatch.setattr(health, "PLAIN_TRADES", most)
+        found = health.running_trades(df, ["trade_no"], F.floor(F.col("trade_no") / 7))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        known = sum(r["security_code"] is not None for r in rows)
+        assert "_cut_block#" in plan and f", {-(-known // 10)}), REPARTITION_BY_NUM" in plan
+        assert {r.trade_no: None if r.quantity_held is None else float(r.quantity_held) for r in found.collect()} == expected
+
+
 def test_empty_and_hot_plan(spark):
     empty = frame(spark, TRADE, [])
     found = parcels.cgt_parcels(empty, ["trade_no"], F.lit(0))
