@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgermill.llm import ann, pii, quality, toxicity
@@ -116,6 +117,57 @@ def test_nearest_finds_the_true_ones_whatever_the_shape(spark, kind):
     assert hits / 800 >= 0.93
 
 
+def test_queries_are_written_once_and_dealt_in_bounded_batches(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 8)))]
+    data = stored(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "v")
+    written = {}
+
+    def spy(df, name):
+        out = stored(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ann, "stored", spy)
+    assert ann.nearest(data, list_rows=4, query_step=10).count() == 3000
+    assert written["postings"] == 3000 and written["probes"] == 300
+
+    monkeypatch.setattr(ann, "BATCH_VALUES", 40)
+    sizes = np.array([3, 0, 25, 2, 40])
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "row_no": [7, 8],
+            "vector": [[1.0] * 4, [2.0] * 4],
+            "lists": pa.array([[4, 0, 1, 2], [3, 2]], pa.list_(pa.int32())),
+            "first": pa.array([1, 0], pa.int32()),
+        }
+    )
+    starts = np.cumsum(sizes) - sizes
+    for nearest in (True, False):
+        out = list(ann._dealer(sizes, 5, nearest)(iter([batch])))
+        assert max(b.num_rows for b in out) <= 10
+        found = [(r["row_no"], r["block"], n) for b in out for r in b.to_pylist() for n in r["lists"]]
+        read = [(7, [4]), (8, [])] if nearest else [(7, [0, 2]), (8, [2, 3])]
+        assert sorted(found) == sorted(
+            {(q, at // 5, n) for q, of in read for n in of for at in range(starts[n], starts[n] + sizes[n])}
+        )
+
+
+def test_training_holds_few_distances_and_learns_the_same(monkeypatch):
+    import tracemalloc
+
+    sample = np.random.default_rng(5).normal(size=(3000, 8)).round(1)
+    whole = ann.train(sample, 600)
+    monkeypatch.setattr(ann, "TRAINED_DISTANCES", 1 << 18)
+    tracemalloc.start()
+    parts = ann.train(sample, 600)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All distances are 14 MB.
+    assert peak < 6e6
+    assert np.allclose(whole.points, parts.points) and (whole.links == parts.links).mean() > 0.99
+
+
 def test_boundary_vectors_are_copied():
     index = ann.Centroids(
         np.array([[0.0, 0, 0], [2.0, 0, 0], [0, 9.0, 0]]), np.zeros((3, 1), int), np.array([0])
