@@ -145,6 +145,10 @@ _FILES_SQL = """parts AS (SELECT doc_id % 16 AS p,
 files AS (SELECT sha256(body) AS file_hash, length(body) AS file_size_bytes FROM parts)"""
 
 
+# Shuffle files go when the write that needed them has ended.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _drop_documents(spark, sf, folder: str, extension: str) -> None:
     """Write the documents as sixteen files of a type, one below each part's folder."""
     docs = frames.table(spark, sf, "documents").select(
@@ -156,7 +160,16 @@ def _drop_documents(spark, sf, folder: str, extension: str) -> None:
         "p", F.concat(F.lit("x"), F.hex("text")).alias("line")
     )
     out = parts.write.mode("append").partitionBy("p")
-    out.option("extension", extension).csv(folder)
+    # The texts that were shuffled are not read again, so they need not stay beside the files.
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        out.option("extension", extension).csv(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(_SHUFFLE_CLEANUP, before)
 
 
 @query(
@@ -169,8 +182,9 @@ UNION ALL SELECT 'csv', count(*), NULL, NULL, NULL FROM files""",
 def staging_scan(spark, sf):
     """Two copies of every file, and as many of a type that is refused."""
     folder = scratch_dir(spark, "staging")
-    for extension in ("pdf", "pdf", "csv"):
-        _drop_documents(spark, sf, folder, extension)
+    # The documents are shuffled and sorted for one set of files; the others are copies of it.
+    _drop_documents(spark, sf, folder, "pdf")
+    files.copy_staging(spark, folder, ("pdf", "csv"))
     # A small chunk, so that every file is read in many.
     found = files.scan_staging(spark, folder, chunk_bytes=4096, recursive=True)
     kept = found.groupBy("file_ext").agg(

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import uuid
 from collections.abc import Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -57,6 +59,24 @@ def sha256_of(path: str, chunk_bytes: int = CHUNK_BYTES) -> str:
     return digest.hexdigest()
 
 
+def copy_beside(path: str, names: list[str], chunk_bytes: int = CHUNK_BYTES) -> None:
+    """Copies of a file under other names in its folder, all filled in one reading.
+
+    A copy is hidden until it is whole, and a repeated task replaces it.
+    """
+    files, inner = file_system(path)
+    folder = inner.rpartition("/")[0]
+    hidden = [f"{folder}/.{name}-{uuid.uuid4().hex}" for name in names]
+    with ExitStack() as opened:
+        given = opened.enter_context(files.open_input_stream(inner))
+        copies = [opened.enter_context(files.open_output_stream(name)) for name in hidden]
+        while chunk := given.read(chunk_bytes):
+            for copy in copies:
+                copy.write(chunk)
+    for whole, name in zip(hidden, names, strict=True):
+        files.move(whole, f"{folder}/{name}")
+
+
 @dataclass
 class Listed(InputPartition):
     """Files of one task: path, name, size and time."""
@@ -135,6 +155,19 @@ def list_staging(
     return files.withColumn("file_ext", file_extension(F.col("file_name")))
 
 
+def copy_staging(spark: SparkSession, folder: str, extensions: tuple[str, ...]) -> None:
+    """Copy every visible file of a folder and those below it, once per extension, beside it."""
+
+    def copied(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, name in zip(frame["path"], frame["file_name"], strict=True):
+                copy_beside(path, [f"copy-{i}-{name}.{e}" for i, e in enumerate(extensions)])
+            yield frame[["path"]]
+
+    listed = list_staging(spark, folder, recursive=True).select("path", "file_name")
+    listed.mapInPandas(copied, "path STRING").write.format("noop").mode("overwrite").save()
+
+
 def scan_staging(
     spark: SparkSession, folder: str, chunk_bytes: int = CHUNK_BYTES, recursive: bool = False
 ) -> DataFrame:

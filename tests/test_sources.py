@@ -402,3 +402,79 @@ def test_first_lines_and_paths_are_not_shuffled(spark, folder, monkeypatch):
     assert exchanges and all("file_no#" in x and "file#" not in x for x in exchanges)
     assert sorted((r.txn_date_raw, r.amount_raw, r.description_raw) for r in found.collect()) == sorted(
         (f"{day} Mar 26", f"-{i}.00", f"row\n{i}") for day in (1, 2) for i in range(1, 40))
+
+
+def test_staging_writes_the_documents_once_and_leaves_no_shuffled_texts(spark, folder, monkeypatch):
+    import hashlib
+    import os
+    import time
+
+    from ledgermill.plans import queries_flow
+
+    sf = f"{folder}/sf"
+    rows = [(i % 40, f"text {i}") for i in range(0, 80, 2)] + [(None, "none"), (3, None)]
+    spark.createDataFrame(rows, "doc_id LONG, text STRING").write.parquet(f"{sf}/documents.parquet")
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return {
+            name
+            for top in dirs.localDirs()
+            for _, _, names in os.walk(top.toString())
+            for name in names
+            if name.startswith("shuffle_") and name.endswith(".data")
+        }
+
+    before, written, scratch = shuffled(), [], f"{folder}/staging"
+    drop = queries_flow._drop_documents
+    monkeypatch.setattr(queries_flow, "scratch_dir", lambda *_: scratch)
+    monkeypatch.setattr(
+        queries_flow, "_drop_documents", lambda *given: written.append(given[3]) or drop(*given)
+    )
+    found = queries_flow.staging_scan(spark, sf)
+    assert written == ["pdf"]
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+
+    held = {}
+    for top, _, names in os.walk(scratch):
+        for name in names:
+            if not name.startswith((".", "_")):
+                with open(f"{top}/{name}", "rb") as handle:
+                    body = handle.read()
+                held.setdefault(name.rpartition(".")[2], []).append((os.path.basename(top), body))
+    once = sorted(held["csv"])
+    assert len(once) == 10 and sorted(held["pdf"]) == sorted(2 * once)
+    digests = sorted({hashlib.sha256(body).hexdigest() for _, body in once})
+    assert [tuple(r) for r in found.orderBy("file_ext").collect()] == [
+        ("csv", 10, None, None, None),
+        (
+            "pdf", 20, len(digests), 2 * sum(len(body) for _, body in once),
+            hashlib.md5(",".join(digests).encode()).hexdigest(),
+        ),
+    ]
+
+
+def test_a_copied_file_is_whole_and_keeps_its_place(spark, folder):
+    import os
+
+    for path, body in (("a.pdf", b"x" * 10_000), ("sub/a.csv", b""), ("sub/a b%20.txt", b"1")):
+        os.makedirs(os.path.dirname(f"{folder}/{path}"), exist_ok=True)
+        with open(f"{folder}/{path}", "wb") as handle:
+            handle.write(body)
+    files.copy_staging(spark, folder, ("pdf", "csv"))
+    found = {
+        os.path.relpath(f"{top}/{name}", folder): os.path.getsize(f"{top}/{name}")
+        for top, _, names in os.walk(folder)
+        for name in names
+    }
+    assert found == {
+        "a.pdf": 10_000, "copy-0-a.pdf.pdf": 10_000, "copy-1-a.pdf.csv": 10_000,
+        "sub/a.csv": 0, "sub/copy-0-a.csv.pdf": 0, "sub/copy-1-a.csv.csv": 0,
+        "sub/a b%20.txt": 1, "sub/copy-0-a b%20.txt.pdf": 1, "sub/copy-1-a b%20.txt.csv": 1,
+    }
+    files.copy_beside(f"{folder}/a.pdf", ["b.pdf"], chunk_bytes=7)
+    with open(f"{folder}/b.pdf", "rb") as handle:
+        assert handle.read() == b"x" * 10_000
